@@ -32,8 +32,24 @@ def phred_sum(qual: Column) -> Column:
 
 def bases_below(qual: Column, min_phred: int) -> Column:
     """How many bases are under `min_phred`, without building an array."""
-    low = "".join(chr(PHRED_OFFSET + q) for q in range(min_phred))
-    return F.length(qual) - F.length(F.translate(qual, low, ""))
+    low = rf"[\x{PHRED_OFFSET:02x}-\x{PHRED_OFFSET + min_phred - 1:02x}]+"
+    return F.length(qual) - F.length(F.regexp_replace(qual, low, ""))
+
+
+def letter_runs(text: Column) -> Column:
+    """Runs of one letter as array<struct<letter, start, stop>>, from 0, stop excluded."""
+    runs = F.regexp_extract_all(text, F.lit(r"((.)\2*)"), F.lit(1))
+    edges = F.aggregate(
+        runs, F.array(F.lit(0)), lambda acc, r: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(r)))
+    )
+    return F.transform(
+        F.arrays_zip(runs.alias("r"), F.slice(edges, F.lit(2), F.size(runs)).alias("e")),
+        lambda z: F.struct(
+            F.substring(z["r"], 1, 1).alias("letter"),
+            (z["e"] - F.length(z["r"])).alias("start"),
+            z["e"].alias("stop"),
+        ),
+    )
 
 
 def error_probability(q: Column) -> Column:

@@ -82,6 +82,14 @@ def lookup_join(
     return salted_join(facts, lookup, keys, how)
 
 
+def fill_join(grid: DataFrame, cells: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Left join of cells to a grid in which every key occurs once.
+
+    No key is crowded, so beyond the broadcast bound a plain shuffle is even.
+    """
+    return grid.join(F.broadcast(cells) if fits(cells, max_rows) else cells, list(keys), "left")
+
+
 def with_roster(
     df: DataFrame, roster: DataFrame, column: str, shard_rows: int = ROSTER_SHARD
 ) -> DataFrame:
@@ -182,21 +190,45 @@ def restrict_to(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), cuts: int = 64
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    by: Sequence[str] = (),
+    max_values: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per `by`, a column per entry of `probs`.
 
-    Equal values are counted first. Approximate quantiles then serve as cut
-    points: counts per stretch between cuts tell in which stretch each wanted
-    rank lies, and only those stretches are ranked value by value. No task
-    sees all values of a group.
+    Equal values are counted first and the counts are checkpointed: the data
+    is read once. Up to `max_values` counts are ranked by one aggregate; more
+    are ranked piece by piece, see `_ranked_quantiles`.
     """
     by = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c"))
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, value)
+        .agg(F.count(F.lit(1)).alias("__c"))
+        .checkpoint()
+    )
+    if not fits(counts, max_values):
+        return _ranked_quantiles(counts, value, probs, by)
+    points = F.array(*[F.lit(float(p)) for p in probs.values()])
+    at = counts.groupBy(*by).agg(F.percentile(value, points, F.col("__c")).alias("__q"))
+    return at.select(*by, *[F.round(F.col("__q")[i], 9).alias(k) for i, k in enumerate(probs)])
+
+
+def _ranked_quantiles(
+    counts: DataFrame, value: str, probs: dict[str, float], by: list[str], cuts: int = 64
+) -> DataFrame:
+    """Quantiles of counted values, with no task that sees all values of a group.
+
+    Approximate quantiles serve as cut points. Counts per stretch between cuts
+    tell in which stretch each wanted rank lies, and only those stretches are
+    ranked value by value.
+    """
     grid = [i / cuts for i in range(1, cuts)]
     marks = counts.groupBy(*by).agg(F.percentile_approx(value, grid, 1000).alias("__marks"))
     if by:
-        # One row per group of the report, e.g. per annotation.
         counts = lookup_join(counts, marks, by)
     else:
         counts = counts.withColumn("__marks", marks.scalar())

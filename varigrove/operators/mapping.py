@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators.joins import block_carry, lookup_join, ordered_index
+from varigrove.operators.joins import block_carry, lookup_join, ordered_index, salted_join
 
 MIN_MAPQ = 30
 SEED = 31
 SEED_STEP = 23
+# K-mers of a broadcast index; about 100 bytes each.
+INDEX_KMERS = 4_000_000
 DEPTH_BLOCK = 1 << 16
 
 READ = ("sample", "read_id", "mate")
@@ -33,17 +35,25 @@ def target_kmers(targets: DataFrame, k: int = SEED) -> DataFrame:
 
 
 def read_seeds(reads: DataFrame, k: int = SEED, step: int = SEED_STEP) -> DataFrame:
-    """Every `step`-th k-mer of each read on both strands."""
-    strands = F.array(
-        F.struct(F.lit("+").alias("strand"), F.col("seq").alias("s")),
-        F.struct(F.lit("-").alias("strand"), B.reverse_complement(F.col("seq")).alias("s")),
-    )
+    """Every `step`-th k-mer of each read on both strands.
+
+    The k-mers of a read are listed before they become rows, so a row carries
+    its own k-mer and not the whole read.
+    """
     last = F.length("seq") - k
+    offsets = F.sequence(F.lit(0), last, F.lit(step))
+
+    def cut(s: Column) -> Column:
+        return F.transform(offsets, lambda i: F.substring(s, i + 1, F.lit(k)))
+
+    listed = F.concat(cut(F.col("seq")), cut(F.col("back")))
+    number = F.floor(last / step) + 1
+    strand = F.when(F.col("__i") < F.col("__n"), "+").otherwise("-")
     return (
         reads.where(last >= 0)
-        .select(*READ, F.explode(F.sequence(F.lit(0), last, F.lit(step))).alias("r_off"), strands.alias("ss"))
-        .select(*READ, "r_off", F.inline("ss"))
-        .select(*READ, "strand", "r_off", F.substring("s", F.col("r_off") + 1, F.lit(k)).alias("kmer"))
+        .withColumn("back", B.reverse_complement(F.col("seq")))
+        .select(*READ, number.cast("int").alias("__n"), F.posexplode(listed).alias("__i", "kmer"))
+        .select(*READ, strand.alias("strand"), (F.col("__i") % F.col("__n") * step).alias("r_off"), "kmer")
     )
 
 
@@ -52,32 +62,33 @@ def seed_join(reads: DataFrame, targets: DataFrame, k: int = SEED, step: int = S
 
     Score = seeds on one diagonal; best by score, then locus, diagonal and
     strand. `second_score` is the best score among all other placements, 0 if
-    there is none. The target index is broadcast only while its row count is
-    within bounds; beyond, frequent k-mers of the reads are salted.
+    there is none.
 
-    One shuffle by read serves the three aggregations after the join. The last
-    two see at most as many rows per read as the read has seeds.
+    The number of target k-mers follows from the target lengths. Within bounds
+    the index is broadcast and reads are not shuffled for the lookup; beyond,
+    frequent k-mers of the reads are salted. Hits are then shuffled by read
+    once, for both the count and the choice. A read, and not a k-mer or a
+    locus, is the group of that window: its rows are its own placements.
     """
-    hits = lookup_join(read_seeds(reads, k, step), target_kmers(targets, k), ["kmer"])
+    index = target_kmers(targets, k)
+    size = targets.agg(F.sum(F.greatest(F.length("seq") - k + 1, F.lit(0)))).first()[0] or 0
+    seeds = read_seeds(reads, k, step)
+    if size <= INDEX_KMERS:
+        hits = seeds.join(F.broadcast(index), "kmer")
+    else:
+        hits = salted_join(seeds, index, ["kmer"])
     placed = (
         hits.select(*READ, "locus", "strand", (F.col("t_off") - F.col("r_off")).alias("diag"))
         .repartition(*READ)
         .groupBy(*READ, "locus", "diag", "strand")
         .agg(F.count(F.lit(1)).alias("score"))
     )
-    by_score = placed.groupBy(*READ, "score").agg(
-        F.min(F.struct("locus", "diag", "strand")).alias("first"), F.count(F.lit(1)).alias("ways")
-    )
-    scores = F.reverse(F.sort_array(F.collect_list(F.struct("score", "ways", "first"))))
-    best = by_score.groupBy(*READ).agg(scores.alias("s"))
-    top, runner_up = F.col("s")[0], F.get("s", F.lit(1))
-    return best.select(
-        *READ,
-        top["first"]["locus"].alias("locus"),
-        top["first"]["diag"].alias("diag"),
-        top["first"]["strand"].alias("strand"),
-        top["score"].alias("score"),
-        F.when(top["ways"] > 1, top["score"]).otherwise(F.coalesce(runner_up["score"], F.lit(0))).alias("second_score"),
+    ranked = Window.partitionBy(*READ).orderBy(F.desc("score"), "locus", "diag", "strand")
+    return (
+        placed.withColumn("second_score", F.coalesce(F.lead("score").over(ranked), F.lit(0)))
+        .withColumn("__r", F.row_number().over(ranked))
+        .where(F.col("__r") == 1)
+        .select(*READ, "locus", "diag", "strand", "score", "second_score")
     )
 
 

@@ -51,11 +51,32 @@ def basic_stats(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
 
 
 def cycle_phred_counts(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
-    """Bases per file, cycle and phred value: at most 94 rows per cycle."""
-    return (
-        reads.select(*by, F.posexplode(B.phred(F.col("qual"))).alias("__i", "phred"))
-        .groupBy(*by, (F.col("__i") + 1).alias("cycle"), "phred")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Bases per file, cycle and phred value: at most 94 rows per cycle.
+
+    Qualities come in runs, so a read is written as the starts and ends of its
+    runs and not as one row per base. Events are summed per cycle first; the
+    running sum then covers one row per cycle, file and value.
+    """
+    run = F.col("__r")
+    event = lambda at, d: F.struct(at.alias("cycle"), F.lit(d).alias("d"))
+    events = (
+        reads.select(*by, F.explode(B.letter_runs(F.col("qual"))).alias("__r"))
+        .select(
+            *by,
+            run["letter"].alias("letter"),
+            F.inline(F.array(event(run["start"] + 1, 1), event(run["stop"] + 1, -1))),
+        )
+        .groupBy(*by, "letter", "cycle")
+        .agg(F.sum("d").alias("d"))
+    )
+    along = Window.partitionBy(*by, "letter").orderBy("cycle")
+    steps = events.withColumn("n", F.sum("d").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    steps = steps.withColumn("__next", F.lead("cycle").over(along)).where(F.col("n") > 0)
+    return steps.select(
+        *by,
+        F.explode(F.sequence("cycle", F.col("__next") - 1)).alias("cycle"),
+        (F.ascii("letter") - B.PHRED_OFFSET).alias("phred"),
+        "n",
     )
 
 
@@ -81,6 +102,7 @@ def read_quality_hist(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
 def cycle_bases(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
     """A, C, G, T and N counts and shares per cycle."""
     each = reads.select(*by, F.posexplode(F.split("seq", "")).alias("__i", "base"))
+    # Numeric grouping keys only: they keep the map-side hash table fast.
     tally = lambda b: F.count(F.when(F.col("base") == b, 1))
     out = each.groupBy(*by, (F.col("__i") + 1).alias("cycle")).agg(
         F.count(F.lit(1)).alias("bases"), *[tally(b).alias(f"n_{b.lower()}") for b in "ACGTN"]
@@ -91,8 +113,29 @@ def cycle_bases(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
 
 
 def n_content(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
-    """Share of N per cycle."""
-    return cycle_bases(reads, by).select(*by, "cycle", "bases", "n_n", "pct_n")
+    """Share of N per cycle.
+
+    Only reads with an N give rows of their own; how many reads reach a cycle
+    follows from the lengths.
+    """
+    lengths = length_hist(reads, by).withColumnRenamed("length", "cycle")
+    longest = lengths.groupBy(*by).agg(F.max("cycle").alias("__last"))
+    cycles = longest.select(*by, F.explode(F.sequence(F.lit(1), "__last")).alias("cycle"))
+    reach = Window.partitionBy(*by).orderBy(F.desc("cycle")).rowsBetween(Window.unboundedPreceding, 0)
+    bases = cycles.join(lengths, [*by, "cycle"], "left").select(
+        *by, "cycle", F.sum(F.coalesce("reads", F.lit(0))).over(reach).alias("bases")
+    )
+    found = (
+        reads.where(F.instr("seq", "N") > 0)
+        .select(*by, F.posexplode(F.split("seq", "")).alias("__i", "base"))
+        .where(F.col("base") == "N")
+        .groupBy(*by, (F.col("__i") + 1).alias("cycle"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    n = F.coalesce("n", F.lit(0))
+    return bases.join(found, [*by, "cycle"], "left").select(
+        *by, "cycle", "bases", n.alias("n_n"), (n * 100.0 / F.col("bases")).alias("pct_n")
+    )
 
 
 def gc_hist(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
@@ -230,9 +273,13 @@ def trim_report(reads: DataFrame) -> DataFrame:
 
 def cohort_qc(reads: DataFrame) -> DataFrame:
     """One row per sample over all metrics."""
-    basic = basic_stats(reads, ["sample"]).select("sample", "reads", "bases", "mean_length", "gc_percent")
-    quality = reads.groupBy("sample").agg(
-        (F.sum(B.phred_sum(F.col("qual"))) / F.sum(F.length("qual"))).alias("mean_phred")
+    size = F.sum(F.length("seq"))
+    basic = reads.groupBy("sample").agg(
+        F.count(F.lit(1)).alias("reads"),
+        size.alias("bases"),
+        F.avg(F.length("seq")).alias("mean_length"),
+        (F.sum(B.count_bases(F.col("seq"), "GC")) * 100.0 / size).alias("gc_percent"),
+        (F.sum(B.phred_sum(F.col("qual"))) / F.sum(F.length("qual"))).alias("mean_phred"),
     )
     levels = duplication_levels(reads, ["sample"])
     repeats = levels.groupBy("sample").agg(
@@ -243,7 +290,7 @@ def cohort_qc(reads: DataFrame) -> DataFrame:
         (F.col("reads_after") * 100.0 / F.col("reads_before")).alias("kept_percent"),
         "adapter_trimmed",
     )
-    return basic.join(quality, "sample").join(repeats, "sample").join(kept, "sample")
+    return basic.join(repeats, "sample").join(kept, "sample")
 
 
 # -- pairing -----------------------------------------------------------------

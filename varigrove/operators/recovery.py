@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varigrove.functions import names as N
-from varigrove.operators.joins import lookup_join, running_total, with_roster
+from varigrove.operators.joins import fill_join, lookup_join, running_total, with_roster
 
 KINDS = {"gene": "exon_len", "supercontig": "supercontig_len"}
 MEAN_ROW = "MeanLength"
@@ -120,7 +120,7 @@ def seq_lengths(contigs: DataFrame, loci: DataFrame, kind: str, targets: DataFra
     row named MeanLength.
     """
     grid = with_roster(loci.select("locus"), sample_list(contigs), "sample")
-    cells = grid.join(recovered_lengths(contigs, kind), ["sample", "locus"], "left").select(
+    cells = fill_join(grid, recovered_lengths(contigs, kind), ["sample", "locus"]).select(
         F.col("sample").cast("string").alias("sample"),
         "locus",
         F.coalesce("bp", F.lit(0)).cast("double").alias("bp"),
@@ -222,9 +222,10 @@ def longest_supercontig(contigs: DataFrame, clean: DataFrame, carry: Sequence[st
         F.col("supercontig_len").alias("length"),
         *[F.col(c) for c in carry],
     )
-    kept = lookup_join(contigs, clean.select("locus").distinct(), ["locus"], "left_semi")
-    best = kept.groupBy("locus").agg(F.min(rank).alias("b"))
-    return best.select("locus", "b.sample", "b.contig_no", "b.length", *[F.col(f"b.{c}") for c in carry])
+    # Reduced to one row per locus first, so the semi-join has no crowded key.
+    best = contigs.groupBy("locus").agg(F.min(rank).alias("b"))
+    kept = best.join(clean.select("locus").distinct(), "locus", "left_semi")
+    return kept.select("locus", "b.sample", "b.contig_no", "b.length", *[F.col(f"b.{c}") for c in carry])
 
 
 def reference_manifest(reference: DataFrame, block: int = 4096) -> DataFrame:

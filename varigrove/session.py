@@ -14,6 +14,9 @@ DEFAULTS = {
     # Split a skewed join partition even where an aggregate follows on the
     # same key; the extra shuffle is cheaper than one straggler.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Many steps turn a row into hundreds, so a small shuffle must not end in
+    # one task. Large shuffles are cut by parallelism and do not notice.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
