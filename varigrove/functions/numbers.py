@@ -11,7 +11,7 @@ MEGABASE = 1_000_000
 def pct_trunc1(part: Column, total: Column) -> Column:
     """Percent with one decimal, cut off and not rounded; null over zero."""
     whole = F.when(total != 0, total)
-    return F.floor(part * 1000 / whole) / 10.0
+    return F.floor(part.cast("long") * 1000 / whole) / 10.0
 
 
 def pct_round2(part: Column, total: Column) -> Column:

@@ -356,7 +356,8 @@ def rank_sum(piled: DataFrame, value: str, name: str) -> DataFrame:
     counts = piled.groupBy(*SITE, value).agg(F.count(F.lit(1)).alias("n"), alt.alias("alt"))
     below = Window.partitionBy(*SITE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     mean_rank = F.coalesce(F.sum("n").over(below), F.lit(0)) + (F.col("n") + 1) / 2.0
-    n1, n0 = F.col("n_alt"), F.col("n_ref")
+    # Products of two counts of a deep site do not fit a long.
+    n1, n0 = F.col("n_alt").cast("double"), F.col("n_ref").cast("double")
     u = F.col("ranks") - n1 * (n1 + 1) / 2.0
     z = (u - n1 * n0 / 2.0) / F.sqrt(n1 * n0 * (n1 + n0 + 1) / 12.0)
     return (
