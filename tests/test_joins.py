@@ -88,13 +88,14 @@ def test_running_total(spark, block):
     assert list(got["total"]) == list(want.groupby("g")["v"].cumsum())
 
 
+@pytest.mark.parametrize("bound", [0, 1_000_000])
 @pytest.mark.parametrize("width", [1, 10, 1000])
-def test_interval_join(spark, width):
+def test_interval_join(spark, width, bound):
     rng = np.random.default_rng(1)
     start = rng.integers(0, 500, 300)
     intervals = pd.DataFrame({"c": rng.choice(["a", "b"], 300), "i": range(300), "start": start, "stop": start + rng.integers(0, 90, 300)})
     points = pd.DataFrame({"c": rng.choice(["a", "b"], 200), "p": rng.integers(0, 600, 200)}).drop_duplicates()
-    got = joins.interval_join(spark.createDataFrame(intervals), spark.createDataFrame(points), "c", "start", "stop", "p", width)
+    got = joins.interval_join(spark.createDataFrame(intervals), spark.createDataFrame(points), "c", "start", "stop", "p", width, bound)
     want = intervals.merge(points, on="c").query("start <= p <= stop")
     assert sorted((r.i, r.p) for r in got.collect()) == sorted(zip(want["i"], want["p"]))
 

@@ -103,20 +103,25 @@ def site_alleles(piled: DataFrame) -> DataFrame:
 
 # -- likelihoods and calls ---------------------------------------------------
 
-def genotype_likelihoods(piled: DataFrame) -> DataFrame:
-    """log10 likelihoods of 0/0, 0/1 and 1/1 per sample and site."""
+def _likelihood_columns() -> list[Column]:
+    """Depth and log10 likelihoods of 0/0, 0/1 and 1/1 as aggregates."""
     # A quality under 1.25 says less than a random base; it is not used further.
     e = F.least(B.error_probability(F.col("bq")), F.lit(0.75))
     right, wrong = F.log10(1 - e), F.log10(e / 3)
     either = F.log10((1 - e) / 2 + e / 6)
     alt = _is_alt()
-    return piled.groupBy("sample", *SITE, "ref").agg(
+    return [
         F.count(F.lit(1)).alias("dp"),
         F.count(F.when(alt, 1)).alias("alt_dp"),
         F.sum(F.when(alt, wrong).otherwise(right)).alias("l0"),
         F.sum(either).alias("l1"),
         F.sum(F.when(alt, right).otherwise(wrong)).alias("l2"),
-    )
+    ]
+
+
+def genotype_likelihoods(piled: DataFrame) -> DataFrame:
+    """log10 likelihoods of 0/0, 0/1 and 1/1 per sample and site."""
+    return piled.groupBy("sample", *SITE, "ref").agg(*_likelihood_columns())
 
 
 def call_genotypes(likelihoods: DataFrame) -> DataFrame:
@@ -251,33 +256,38 @@ def joint_genotype(cells: DataFrame) -> DataFrame:
 
 # -- site annotations --------------------------------------------------------
 
-def site_quality(likelihoods: DataFrame) -> DataFrame:
-    """Phred confidence that any sample varies, -10 * sum of log10 P(0/0).
-
-    P(0/0) is normalised within a sample, relative to its largest likelihood:
-    so the logarithm stays finite.
-    """
+def _log_hom_ref() -> Column:
+    """log10 P(0/0) within a sample, relative to its largest likelihood: always finite."""
     top = F.greatest("l0", "l1", "l2")
     spread = sum((F.pow(F.lit(10.0), F.col(c) - top) for c in ("l0", "l1", "l2")), F.lit(0.0))
-    log_p = F.col("l0") - top - F.log10(spread)
-    return likelihoods.groupBy(*SITE).agg((F.sum(log_p) * -10.0).alias("qual"), F.sum("dp").alias("dp"))
+    return F.col("l0") - top - F.log10(spread)
+
+
+def site_quality(likelihoods: DataFrame) -> DataFrame:
+    """Phred confidence that any sample varies, -10 * sum of log10 P(0/0)."""
+    return likelihoods.groupBy(*SITE).agg((F.sum(_log_hom_ref()) * -10.0).alias("qual"), F.sum("dp").alias("dp"))
 
 
 def qual_by_depth(quality: DataFrame) -> DataFrame:
     return quality.withColumn("qd", F.col("qual") / F.when(F.col("dp") > 0, F.col("dp")))
 
 
-def strand_table(piled: DataFrame) -> DataFrame:
-    """Reads by allele and strand per site."""
+def _strand_columns() -> list[Column]:
+    """Reads by allele and strand as aggregates."""
     alt = _is_alt()
     count = lambda cond: F.count(F.when(cond, 1))
     forward, reverse = F.col("strand") == 0, F.col("strand") == 1
-    return piled.groupBy(*SITE).agg(
+    return [
         count(~alt & forward).alias("ref_f"),
         count(~alt & reverse).alias("ref_r"),
         count(alt & forward).alias("alt_f"),
         count(alt & reverse).alias("alt_r"),
-    )
+    ]
+
+
+def strand_table(piled: DataFrame) -> DataFrame:
+    """Reads by allele and strand per site."""
+    return piled.groupBy(*SITE).agg(*_strand_columns())
 
 
 def _fisher_p(a: int, b: int, c: int, d: int, step: int = 1 << 16) -> float:
@@ -385,17 +395,34 @@ def site_depth(piled: DataFrame, by: Sequence[str] = SITE) -> DataFrame:
 
 
 def annotate_sites(piled: DataFrame) -> DataFrame:
-    """Site table with all annotations the hard filters read."""
-    likelihoods = genotype_likelihoods(piled)
-    table = fisher_strand(strand_odds_ratio(strand_table(piled))).select(*SITE, "fs", "sor")
+    """Candidate sites with all annotations the hard filters read.
+
+    The pileup is by far the largest table of a study. One aggregate of it per
+    sample and site feeds all annotations that are sums; the allele choice and
+    the two rank sums need counts by base and by value, one aggregate each.
+    """
+    per_sample = piled.groupBy("sample", *SITE, "ref").agg(
+        *_likelihood_columns(),
+        *_strand_columns(),
+        F.sum(F.col("mapq") * F.col("mapq")).alias("__mapq2"),
+    )
+    cells = ("ref_f", "ref_r", "alt_f", "alt_r")
+    summed = (
+        per_sample.groupBy(*SITE)
+        .agg(
+            F.max("alt_dp").alias("__alt"),
+            (F.sum(_log_hom_ref()) * -10.0).alias("qual"),
+            F.sum("dp").alias("dp"),
+            *[F.sum(c).alias(c) for c in cells],
+            F.sqrt(F.sum("__mapq2") / F.sum("dp")).alias("mq"),
+        )
+        .where(F.col("__alt") > 0)
+    )
+    annotated = qual_by_depth(fisher_strand(strand_odds_ratio(summed))).drop("__alt", *cells)
     site = list(SITE)
+    z = lambda df, name, new: df.select(*site, F.col(name).alias(new))
     return (
-        candidate_sites(likelihoods)
-        .select(*SITE)
-        .join(site_alleles(piled), site)
-        .join(qual_by_depth(site_quality(likelihoods)), site)
-        .join(table, site)
-        .join(rms_mapq(piled), site)
-        .join(mapq_rank_sum(piled).select(*SITE, F.col("mq_rank_sum").alias("mqranksum")), site)
-        .join(readpos_rank_sum(piled).select(*SITE, F.col("read_pos_rank_sum").alias("readposranksum")), site)
+        annotated.join(site_alleles(piled), site)
+        .join(z(mapq_rank_sum(piled), "mq_rank_sum", "mqranksum"), site)
+        .join(z(readpos_rank_sum(piled), "read_pos_rank_sum", "readposranksum"), site)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
 from varigrove.functions.numbers import MEGABASE, pct_round2, pct_trunc1, safe_ratio, window_number
-from varigrove.operators.joins import exact_quantiles
+from varigrove.operators.joins import attach, exact_quantiles, lookup_join
 from varigrove.operators.variants import RULES, is_pass, main_chromosomes
 
 BINS = 100
@@ -152,8 +152,7 @@ def threshold_review(long: DataFrame) -> DataFrame:
 def annotation_clip(long: DataFrame, low: float = 0.005, high: float = 0.995) -> DataFrame:
     """Per annotation, values within its own quantile range."""
     bounds = exact_quantiles(long, "value", {"lo": low, "hi": high}, by=["annotation"])
-    # One row per annotation, and those are the fixed rules.
-    return long.join(F.broadcast(bounds), "annotation").where(
+    return lookup_join(long, bounds, ["annotation"]).where(
         (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
     )
 
@@ -167,7 +166,7 @@ def histogram(df: DataFrame, value: str, split: Sequence[str], by: Sequence[str]
     by = list(by)
     ends = df.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     if by:
-        ranged = df.join(F.broadcast(ends), by)  # one row per annotation
+        ranged = attach(df, ends, by)
     else:
         one = ends.select(F.struct("*").alias("s")).scalar()
         ranged = df.withColumn("__ends", one).select("*", "__ends.*").drop("__ends")

@@ -82,6 +82,16 @@ def lookup_join(
     return salted_join(facts, lookup, keys, how)
 
 
+def attach(facts: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join a summary of `facts`, one row per key, back to them.
+
+    The summary is checkpointed, so that counting its rows for the broadcast
+    check does not read the facts once more.
+    """
+    ensure_checkpoint_dir(facts.sparkSession)
+    return lookup_join(facts, summary.checkpoint(), keys)
+
+
 def fill_join(grid: DataFrame, cells: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join of cells to a grid in which every key occurs once.
 
@@ -170,17 +180,25 @@ def block_carry(cut: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def interval_join(
-    intervals: DataFrame, points: DataFrame, key: str, start: str, stop: str, at: str, width: int = 1000
+    intervals: DataFrame,
+    points: DataFrame,
+    key: str,
+    start: str,
+    stop: str,
+    at: str,
+    width: int = 1000,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Points inside closed intervals of the same `key`, as an equi-join on bins.
 
     An interval is listed once in every bin it touches and a point once in its
-    own, so each pair meets exactly once. Bins crowded by intervals are salted.
+    own, so each pair meets exactly once. Points beyond the broadcast bound are
+    shuffled, and bins crowded by intervals are salted.
     """
     bin_of = lambda c: F.floor(F.col(c) / width)
     listed = intervals.withColumn("__bin", F.explode(F.sequence(bin_of(start), bin_of(stop))))
     placed = points.withColumn("__bin", bin_of(at))
-    met = salted_join(listed, placed, [key, "__bin"])
+    met = lookup_join(listed, placed, [key, "__bin"], max_rows=max_rows)
     return met.where(F.col(at).between(F.col(start), F.col(stop))).drop("__bin")
 
 

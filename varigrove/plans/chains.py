@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varigrove.operators import calling, mapping, reads, recovery, variants
+from varigrove.session import ensure_checkpoint_dir
 
 
 def read_chain(raw: DataFrame, targets: DataFrame) -> DataFrame:
@@ -24,6 +25,21 @@ def site_chain(piled: DataFrame) -> DataFrame:
     return tagged_snps(calling.annotate_sites(piled))
 
 
+def joint_chain(piled: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Pileup and reference-confidence intervals to joint genotype counts per site.
+
+    The likelihoods are the per-sample stage of a study. Sites, calls and the
+    roster all start from them, so they are checkpointed and the pileup is
+    read once.
+    """
+    ensure_checkpoint_dir(piled.sparkSession)
+    likelihoods = calling.genotype_likelihoods(piled).checkpoint()
+    sites = calling.candidate_sites(likelihoods)
+    calls = calling.call_genotypes(likelihoods)
+    cells = calling.joint_cells(calls, sites, likelihoods.select("sample"), blocks)
+    return calling.joint_genotype(cells)
+
+
 def tagged_snps(sites: DataFrame) -> DataFrame:
     """Sites to tagged biallelic SNPs with their pass label."""
     snps = variants.biallelic(variants.select_snps(sites))

@@ -134,6 +134,32 @@ _VIEWS = {
           count(*) filter (base <> ref and strand = 0) as alt_f,
           count(*) filter (base <> ref and strand = 1) as alt_r
         from fx_pileup group by chrom, pos""",
+    "v_fisher": """
+        select chrom, pos, ref_f, ref_r, alt_f, alt_r,
+          abs(-10 * log10(greatest(least(sum(exp(lp)) filter (lp <= lo + 1e-7), 1.0), 1e-300))) as fs
+        from (select *, max(case when x = ref_f then lp end) over (partition by chrom, pos) as lo from (
+          select *, lgamma(r + 1) - lgamma(x + 1) - lgamma(r - x + 1) + lgamma(o + 1) - lgamma(c - x + 1)
+              - lgamma(o - c + x + 1) - lgamma(r + o + 1) + lgamma(c + 1) + lgamma(r + o - c + 1) as lp
+          from (select *, unnest(range(greatest(0, c - o), least(r, c) + 1)) as x from (
+            select *, ref_f + ref_r as r, alt_f + alt_r as o, ref_f + alt_f as c from v_strand))))
+        group by chrom, pos, ref_f, ref_r, alt_f, alt_r""",
+    "v_sor": """
+        select chrom, pos, ref_f, ref_r, alt_f, alt_r,
+          ln((a * d) / (b * c) + (b * c) / (a * d)) + ln(least(a, b) / greatest(a, b)) - ln(least(c, d) / greatest(c, d)) as sor
+        from (select *, ref_f + 1 as a, ref_r + 1 as b, alt_f + 1 as c, alt_r + 1 as d from v_strand)""",
+    "v_rms": "select chrom, pos, sqrt(avg(mapq * mapq)) as mq from fx_pileup group by chrom, pos",
+    **{
+        view: f"""
+        select chrom, pos, count(*) filter (base = ref) as n_ref, count(*) filter (base <> ref) as n_alt,
+          case when count(*) filter (base = ref) > 0 and count(*) filter (base <> ref) > 0 then (
+            (sum(r) filter (base <> ref) - count(*) filter (base <> ref) * (count(*) filter (base <> ref) + 1) / 2
+             - count(*) filter (base <> ref) * count(*) filter (base = ref) / 2)
+            / sqrt(count(*) filter (base <> ref) * count(*) filter (base = ref) * (count(*) + 1) / 12)) end as z
+        from (select *, rank() over (partition by chrom, pos order by {value})
+                + (count(*) over (partition by chrom, pos, {value}) - 1) / 2 as r from fx_pileup)
+        group by chrom, pos"""
+        for view, value in (("v_mapq_z", "mapq"), ("v_readpos_z", "read_pos"))
+    },
     "v_site_missing": """
         select chrom, pos, count(*) as calls, count(*) filter (gt = './.') as missing,
           count(*) filter (gt = './.') / count(*) as f_missing
@@ -426,35 +452,23 @@ ORACLE: dict[str, str] = {
     "site_qual": "select chrom, pos, round(qual, 4) as qual, dp from v_qual",
     "site_qd": "select chrom, pos, round(qual, 4) as qual, dp, round(qual / dp, 4) as qd from v_qual",
     "strand_table": "select * from v_strand",
-    "fisher_strand": """
-        select chrom, pos, ref_f, ref_r, alt_f, alt_r,
-          round(abs(-10 * log10(greatest(least(sum(exp(lp)) filter (lp <= lo + 1e-7), 1.0), 1e-300))), 4) as fs
-        from (select *, max(case when x = ref_f then lp end) over (partition by chrom, pos) as lo from (
-          select *, lgamma(r + 1) - lgamma(x + 1) - lgamma(r - x + 1) + lgamma(o + 1) - lgamma(c - x + 1)
-              - lgamma(o - c + x + 1) - lgamma(r + o + 1) + lgamma(c + 1) + lgamma(r + o - c + 1) as lp
-          from (select *, unnest(range(greatest(0, c - o), least(r, c) + 1)) as x from (
-            select *, ref_f + ref_r as r, alt_f + alt_r as o, ref_f + alt_f as c from v_strand))))
-        group by chrom, pos, ref_f, ref_r, alt_f, alt_r""",
-    "strand_odds_ratio": """
-        select chrom, pos, ref_f, ref_r, alt_f, alt_r,
-          round(ln((a * d) / (b * c) + (b * c) / (a * d)) + ln(least(a, b) / greatest(a, b)) - ln(least(c, d) / greatest(c, d)), 6) as sor
-        from (select *, ref_f + 1 as a, ref_r + 1 as b, alt_f + 1 as c, alt_r + 1 as d from v_strand)""",
-    "rms_mapq": "select chrom, pos, round(sqrt(avg(mapq * mapq)), 6) as mq from fx_pileup group by chrom, pos",
-    **{
-        key: f"""
-        select chrom, pos, count(*) filter (base = ref) as n_ref, count(*) filter (base <> ref) as n_alt,
-          case when count(*) filter (base = ref) > 0 and count(*) filter (base <> ref) > 0 then round(
-            (sum(r) filter (base <> ref) - count(*) filter (base <> ref) * (count(*) filter (base <> ref) + 1) / 2
-             - count(*) filter (base <> ref) * count(*) filter (base = ref) / 2)
-            / sqrt(count(*) filter (base <> ref) * count(*) filter (base = ref) * (count(*) + 1) / 12), 6) end as {name}
-        from (select *, rank() over (partition by chrom, pos order by {value})
-                + (count(*) over (partition by chrom, pos, {value}) - 1) / 2 as r from fx_pileup)
-        group by chrom, pos"""
-        for key, value, name in (
-            ("mapq_rank_sum", "mapq", "mq_rank_sum"),
-            ("readpos_rank_sum", "read_pos", "read_pos_rank_sum"),
-        )
-    },
+    "fisher_strand": "select * replace (round(fs, 4) as fs) from v_fisher",
+    "strand_odds_ratio": "select * replace (round(sor, 6) as sor) from v_sor",
+    "rms_mapq": "select chrom, pos, round(mq, 6) as mq from v_rms",
+    "mapq_rank_sum": "select chrom, pos, n_ref, n_alt, round(z, 6) as mq_rank_sum from v_mapq_z",
+    "readpos_rank_sum": "select chrom, pos, n_ref, n_alt, round(z, 6) as read_pos_rank_sum from v_readpos_z",
+    "annotated_sites": f"""
+        select * replace (round(qual, 4) as qual, round(qd, 4) as qd, round(fs, 4) as fs, round(sor, 4) as sor,
+          round(mq, 4) as mq, round(mqranksum, 4) as mqranksum, round(readposranksum, 4) as readposranksum),
+          {_TAG} as filter from (
+          select c.chrom, c.pos, c.ref, a.alt, q.qual, q.dp, q.qual / q.dp as qd, fs, sor, mq,
+            m.z as mqranksum, r.z as readposranksum
+          from v_candidates c
+          join (select chrom, pos, base as alt from (
+                  select chrom, pos, base, row_number() over (partition by chrom, pos order by count(*) desc, base) as rn
+                  from fx_pileup where base <> ref group by chrom, pos, base) where rn = 1) a using (chrom, pos)
+          join v_qual q using (chrom, pos) join v_fisher using (chrom, pos) join v_sor using (chrom, pos)
+          join v_rms using (chrom, pos) join v_mapq_z m using (chrom, pos) join v_readpos_z r using (chrom, pos))""",
     "site_depth": "select chrom, pos, count(*) as dp from fx_pileup group by chrom, pos",
     # variant tables
     "select_snps": f"select chrom, pos, ref, alt from fx_sites where {_SNP}",

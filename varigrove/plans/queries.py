@@ -474,11 +474,7 @@ def cohort_grid(x):
 
 @query
 def joint_genotypes(x):
-    likelihoods = calling.genotype_likelihoods(x.pileup())
-    sites = calling.candidate_sites(likelihoods)
-    calls = calling.call_genotypes(likelihoods)
-    cells = calling.joint_cells(calls, sites, x.pileup().select("sample"), x.blocks())
-    return rounded(calling.joint_genotype(cells))
+    return rounded(chains.joint_chain(x.pileup(), x.blocks()))
 
 
 @query
@@ -522,6 +518,12 @@ def readpos_rank_sum(x):
     return rounded(calling.readpos_rank_sum(x.pileup()))
 
 
+@query
+def annotated_sites(x):
+    """Pileup to tagged sites with every annotation."""
+    return rounded(variants.hard_filter(calling.annotate_sites(x.pileup())), 4)
+
+
 @query
 def site_depth(x):
     return calling.site_depth(x.pileup())
