@@ -42,6 +42,14 @@ def test_salts_spread_the_hot_key(crowded):
     assert len(sizes) == 16 and sizes.max() < 2 * sizes.mean()
 
 
+def test_sizes_are_counted(spark):
+    df = spark.createDataFrame([("x" * 100, 1, [1, 2, 3]), (None, 2, None)], "t string, n int, a array<int>")
+    # 16 for the row and 16 for the number, the text, and the array as text
+    assert joins.fits(df, 2 * 32 + 100 + len("[1, 2, 3]"))
+    assert not joins.fits(df, 2 * 32 + 100 + len("[1, 2, 3]") - 1)
+    assert joins.fits(df.where("false"), 0)
+
+
 def test_salted_join_rejects_outer(crowded, lookup):
     with pytest.raises(ValueError):
         joins.salted_join(crowded, lookup, ["k"], "full")
@@ -50,7 +58,7 @@ def test_salted_join_rejects_outer(crowded, lookup):
 @pytest.mark.parametrize("bound", [0, 1_000_000])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_on_both_sides_of_its_bound(crowded, lookup, how, bound):
-    got = joins.lookup_join(crowded, lookup, ["k"], how, max_rows=bound)
+    got = joins.lookup_join(crowded, lookup, ["k"], how, max_bytes=bound)
     assert content(got) == content(crowded.join(lookup, "k", how))
 
 
@@ -58,7 +66,7 @@ def test_lookup_join_on_both_sides_of_its_bound(crowded, lookup, how, bound):
 def test_fill_join(spark, bound):
     grid = spark.range(50).withColumnRenamed("id", "k")
     cells = spark.range(0, 50, 3).select(F.col("id").alias("k"), F.lit(1).alias("n"))
-    got = joins.fill_join(grid, cells, ["k"], max_rows=bound)
+    got = joins.fill_join(grid, cells, ["k"], max_bytes=bound)
     assert content(got) == content(grid.join(cells, "k", "left"))
 
 

@@ -202,8 +202,10 @@ def test_pileup_of_bases(spark):
         (14, 8, "T", 39, 1), (16, 9, "C", 40, 1), (17, 10, "A", 41, 1),
     ]
     reference = spark.createDataFrame([("c", "N" * 9 + "ACGTTTCG" + "A" * 30)], "name string, seq string")
-    placed = calling.add_reference(calling.pileup(df), reference, chunk=4)
-    assert rows(placed.where("base != ref").select("pos", "ref", "base"), "pos") == [(17, "G", "A")]
+    for chunk in (1, 2, 3, 4, 7, 1000):
+        placed = calling.pileup_on(df, reference, chunk)
+        assert rows(placed.select("pos", "read_pos", "base"), "pos") == [(r[0], r[1], r[2]) for r in rows(got, "pos")]
+        assert rows(placed.where("base != ref").select("pos", "ref", "base"), "pos") == [(17, "G", "A")]
 
 
 @pytest.mark.parametrize("span", [1, 5, 64, 1 << 16])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varigrove.functions import bases as B
-from varigrove.operators.joins import interval_join, with_roster
+from varigrove.operators.joins import interval_join, lookup_join, with_roster
 from varigrove.operators.mapping import aligned_stretches
 
 GQ_CAP = 99
@@ -31,54 +31,86 @@ STATES = ("0/0", "0/1", "1/1")
 
 # -- evidence ----------------------------------------------------------------
 
+def _stretch_table(aln: DataFrame) -> DataFrame:
+    """Gap-free stretches `chrom, start, stop, read_off` with what their bases need."""
+    with_bases = {"seq", "qual"} <= set(aln.columns)
+    carried = ["sample", "rname", "pos", "flag", "mapq"] + (["seq", "qual"] if with_bases else [])
+    b = F.col("__b")
+    return aligned_stretches(aln, carried).select(
+        "sample",
+        F.col("rname").alias("chrom"),
+        (F.col("pos") + b["ref_off"]).cast("long").alias("start"),
+        (F.col("pos") + b["ref_off"] + b["len"]).cast("long").alias("stop"),
+        b["read_off"].alias("read_off"),
+        B.has_flag(F.col("flag"), B.REVERSE).cast("int").alias("strand"),
+        "mapq",
+        *(["seq", "qual"] if with_bases else []),
+    )
+
+
+def _letter(text: str, at: Column) -> Column:
+    return F.substring(text, at.cast("int"), F.lit(1))
+
+
+def _expand(stretches: DataFrame, *more: Column) -> DataFrame:
+    """One row per position of each stretch; `more` may use `__i`, counted from 0."""
+    with_bases = {"seq", "qual"} <= set(stretches.columns)
+    at = F.col("read_off") + F.col("__i") + 1
+    bases = [_letter("seq", at).alias("base"), (F.ascii(_letter("qual", at)) - B.PHRED_OFFSET).alias("bq")]
+    return stretches.select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stop") - F.col("start") - 1)).alias("__i")
+    ).select(
+        "sample",
+        "chrom",
+        (F.col("start") + F.col("__i")).alias("pos"),
+        "strand",
+        "mapq",
+        at.cast("int").alias("read_pos"),
+        *(bases if with_bases else []),
+        *more,
+    )
+
+
 def pileup(aln: DataFrame) -> DataFrame:
     """One row per aligned base, duplicates left out.
 
     Only the columns a row needs are carried into the expansion. `base` and
     `bq` are there if the alignments hold `seq` and `qual`.
     """
-    with_bases = {"seq", "qual"} <= set(aln.columns)
-    carried = ["sample", "rname", "pos", "flag", "mapq"] + (["seq", "qual"] if with_bases else [])
-    b = F.col("__b")
-    out = (
-        aligned_stretches(aln, carried)
-        .select("*", F.explode(F.sequence(F.lit(0), b["len"] - 1)).alias("__i"))
-        .select(
-            "sample",
-            F.col("rname").alias("chrom"),
-            (F.col("pos") + b["ref_off"] + F.col("__i")).cast("long").alias("pos"),
-            B.has_flag(F.col("flag"), B.REVERSE).cast("int").alias("strand"),
-            "mapq",
-            (b["read_off"] + F.col("__i") + 1).cast("int").alias("read_pos"),
-            *(["seq", "qual"] if with_bases else []),
-        )
-    )
-    if not with_bases:
-        return out
-    at = F.col("read_pos")
-    return out.select(
-        *out.columns[:6],
-        F.substring("seq", at, F.lit(1)).alias("base"),
-        (F.ascii(F.substring("qual", at, F.lit(1))) - B.PHRED_OFFSET).alias("bq"),
-    )
+    return _expand(_stretch_table(aln))
 
 
-def add_reference(piled: DataFrame, reference: DataFrame, chunk: int = 1000) -> DataFrame:
-    """Reference base of each pileup row from `reference(name, seq)`.
+def pileup_on(aln: DataFrame, reference: DataFrame, chunk: int = 1000) -> DataFrame:
+    """Pileup with the reference base of each position, from `reference(name, seq)`.
 
-    Sequences are cut into chunks keyed by contig and chunk number, so no row
-    carries a whole contig.
+    The reference is cut into pieces of `chunk` bases, and stretches at the
+    borders of pieces. They are joined before they become rows per base: the
+    shuffle moves reads, and the far larger pileup is made in place. Pieces
+    that reads crowd on are salted.
     """
-    starts = F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / chunk))
-    pieces = reference.select(F.col("name").alias("chrom"), "seq", F.explode(starts).alias("__chunk")).select(
-        "chrom", "__chunk", F.substring("seq", (F.col("__chunk") * chunk + 1).cast("int"), F.lit(chunk)).alias("__seq")
+    number = F.sequence(F.lit(0).cast("long"), F.floor((F.length("seq") - 1) / chunk))
+    pieces = (
+        reference.where(F.length("seq") > 0)
+        .select(F.col("name").alias("chrom"), "seq", F.explode(number).alias("__piece"))
+        .select("chrom", "__piece", F.substring("seq", (F.col("__piece") * chunk + 1).cast("int"), F.lit(chunk)).alias("__ref"))
     )
-    placed = piled.withColumn("__chunk", F.floor((F.col("pos") - 1) / chunk))
-    return (
-        placed.join(pieces, ["chrom", "__chunk"])
-        .withColumn("ref", F.substring("__seq", (F.pmod(F.col("pos") - 1, F.lit(chunk)) + 1).cast("int"), F.lit(1)))
-        .drop("__chunk", "__seq")
+    touched = F.sequence(F.floor((F.col("start") - 1) / chunk), F.floor((F.col("stop") - 2) / chunk))
+    # Positions count from 1, so piece p covers p * chunk + 1 up to (p + 1) * chunk.
+    first = F.greatest(F.col("start"), F.col("__piece") * chunk + 1)
+    parts = (
+        _stretch_table(aln)
+        .withColumn("__piece", F.explode(touched))
+        .withColumns(
+            {
+                "read_off": F.col("read_off") + first - F.col("start"),
+                "stop": F.least(F.col("stop"), (F.col("__piece") + 1) * chunk + 1),
+                "start": first,
+            }
+        )
     )
+    met = lookup_join(parts, pieces, ["chrom", "__piece"])
+    at = F.pmod(F.col("start") + F.col("__i") - 1, F.lit(chunk)) + 1
+    return _expand(met, _letter("__ref", at).alias("ref"))
 
 
 def _is_alt() -> Column:

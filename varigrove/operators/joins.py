@@ -1,7 +1,7 @@
 """Joins and orderings that hold when one key owns a large part of the rows.
 
-Nothing here drops, caps or samples rows. Where a side is broadcast, its row
-count was checked first or follows from the way it was made.
+Nothing here drops, caps or samples rows. Where a side is broadcast, its size
+was measured first or follows from the way it was made.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from varigrove.session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+RANKED_VALUES = 1_000_000
 HOT_SHARE = 0.01
 SALTS = 32
 ROSTER_SHARD = 50_000
@@ -23,9 +24,22 @@ _SALT = "__salt"
 _HOT = "__hot"
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of `df` take at most `max_bytes`, counted and not guessed.
+
+    Texts and nested values count by their length, everything else as 16 bytes.
+    """
+    plain = ("string", "binary")
+    sizes = [
+        F.octet_length(F.col(f"`{f.name}`").cast("string")) if f.dataType.simpleString() in plain or _nested(f) else F.lit(16)
+        for f in df.schema.fields
+    ]
+    width = sum((F.coalesce(s, F.lit(0)) for s in sizes), F.lit(16)).cast("long")
+    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
+
+
+def _nested(field) -> bool:
+    return field.dataType.simpleString().startswith(("array", "map", "struct"))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
@@ -74,10 +88,10 @@ def lookup_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Broadcast `lookup` if it has at most `max_rows` rows, else salt the join."""
-    if fits(lookup, max_rows):
+    """Broadcast `lookup` if it takes at most `max_bytes`, else salt the join."""
+    if fits(lookup, max_bytes):
         return facts.join(F.broadcast(lookup), list(keys), how)
     return salted_join(facts, lookup, keys, how)
 
@@ -85,19 +99,19 @@ def lookup_join(
 def attach(facts: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join a summary of `facts`, one row per key, back to them.
 
-    The summary is checkpointed, so that counting its rows for the broadcast
+    The summary is checkpointed, so that measuring it for the broadcast
     check does not read the facts once more.
     """
     ensure_checkpoint_dir(facts.sparkSession)
     return lookup_join(facts, summary.checkpoint(), keys)
 
 
-def fill_join(grid: DataFrame, cells: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def fill_join(grid: DataFrame, cells: DataFrame, keys: Sequence[str], max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Left join of cells to a grid in which every key occurs once.
 
     No key is crowded, so beyond the broadcast bound a plain shuffle is even.
     """
-    return grid.join(F.broadcast(cells) if fits(cells, max_rows) else cells, list(keys), "left")
+    return grid.join(F.broadcast(cells) if fits(cells, max_bytes) else cells, list(keys), "left")
 
 
 def with_roster(
@@ -187,7 +201,7 @@ def interval_join(
     stop: str,
     at: str,
     width: int = 1000,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Points inside closed intervals of the same `key`, as an equi-join on bins.
 
@@ -198,7 +212,7 @@ def interval_join(
     bin_of = lambda c: F.floor(F.col(c) / width)
     listed = intervals.withColumn("__bin", F.explode(F.sequence(bin_of(start), bin_of(stop))))
     placed = points.withColumn("__bin", bin_of(at))
-    met = lookup_join(listed, placed, [key, "__bin"], max_rows=max_rows)
+    met = lookup_join(listed, placed, [key, "__bin"], max_bytes=max_bytes)
     return met.where(F.col(at).between(F.col(start), F.col(stop))).drop("__bin")
 
 
@@ -212,7 +226,7 @@ def exact_quantiles(
     value: str,
     probs: dict[str, float],
     by: Sequence[str] = (),
-    max_values: int = BROADCAST_ROWS,
+    max_values: int = RANKED_VALUES,
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per `by`, a column per entry of `probs`.
 
@@ -228,7 +242,7 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("__c"))
         .checkpoint()
     )
-    if not fits(counts, max_values):
+    if counts.count() > max_values:
         return _ranked_quantiles(counts, value, probs, by)
     points = F.array(*[F.lit(float(p)) for p in probs.values()])
     at = counts.groupBy(*by).agg(F.percentile(value, points, F.col("__c")).alias("__q"))

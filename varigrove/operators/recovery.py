@@ -178,11 +178,13 @@ def locus_recovery(contigs: DataFrame) -> DataFrame:
 
 
 def intron_lengths(contigs: DataFrame) -> DataFrame:
-    """Supercontig minus exon length per sample and locus."""
-    gene = recovered_lengths(contigs, "gene").withColumnRenamed("bp", "exon_bp")
-    whole = recovered_lengths(contigs, "supercontig").withColumnRenamed("bp", "supercontig_bp")
-    return gene.join(whole, ["sample", "locus"]).withColumn(
-        "intron_bp", F.col("supercontig_bp") - F.col("exon_bp")
+    """Supercontig minus exon length of the kept contig per sample and locus.
+
+    Both lengths belong to one contig, so no join is needed.
+    """
+    exon, whole = F.col("exon_len"), F.col("supercontig_len")
+    return best_contig(contigs).select(
+        "sample", "locus", exon.alias("exon_bp"), whole.alias("supercontig_bp"), (whole - exon).alias("intron_bp")
     )
 
 

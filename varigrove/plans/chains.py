@@ -17,7 +17,7 @@ def read_chain(raw: DataFrame, targets: DataFrame) -> DataFrame:
 def evidence_chain(aln: DataFrame, reference: DataFrame) -> DataFrame:
     """Alignments to a pileup with reference bases, duplicates out, MAPQ 30 in."""
     marked = mapping.mark_duplicates(mapping.min_mapq(aln))
-    return calling.add_reference(calling.pileup(marked), reference)
+    return calling.pileup_on(marked, reference)
 
 
 def site_chain(piled: DataFrame) -> DataFrame:
