@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SMALL
 
-PYTHON_QUERIES = {"fisher_strand"}
+# The exact p-value of the strand table, on one row per site.
+PYTHON_QUERIES = {"fisher_strand", "annotated_sites"}
 
 
 def plan(df):

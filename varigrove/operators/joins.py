@@ -114,6 +114,15 @@ def fill_join(grid: DataFrame, cells: DataFrame, keys: Sequence[str], max_bytes:
     return grid.join(F.broadcast(cells) if fits(cells, max_bytes) else cells, list(keys), "left")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all shuffle partitions, for a short table whose rows become many.
+
+    A stated number is not merged again for being small, as AQE would do.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def with_roster(
     df: DataFrame, roster: DataFrame, column: str, shard_rows: int = ROSTER_SHARD
 ) -> DataFrame:

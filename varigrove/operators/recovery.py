@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varigrove.functions import names as N
-from varigrove.operators.joins import fill_join, lookup_join, running_total, with_roster
+from varigrove.operators.joins import fill_join, lookup_join, running_total, spread, with_roster
 
 KINDS = {"gene": "exon_len", "supercontig": "supercontig_len"}
 MEAN_ROW = "MeanLength"
@@ -119,7 +119,7 @@ def seq_lengths(contigs: DataFrame, loci: DataFrame, kind: str, targets: DataFra
     With `targets(locus, seq)`, the mean target length per locus is added as a
     row named MeanLength.
     """
-    grid = with_roster(loci.select("locus"), sample_list(contigs), "sample")
+    grid = with_roster(spread(loci.select("locus"), "locus"), sample_list(contigs), "sample")
     cells = fill_join(grid, recovered_lengths(contigs, kind), ["sample", "locus"]).select(
         F.col("sample").cast("string").alias("sample"),
         "locus",

@@ -611,7 +611,7 @@ ORACLE: dict[str, str] = {
         left join v_extra_long e on p.sample = e.sample and p.locus = e.locus
         left join v_peaks d on p.locus = d.locus group by p.sample""",
     "paralog_report": """
-        select locus, max_copies, samples, flagged, round(share, 6) as share from v_flag_shares where share > 0.05""",
+        select locus, max_copies, samples, flagged, round(share, 6) as share from v_flag_shares where share > 0.01""",
     "clean_loci": "select locus from v_clean",
     "paralog_loci": "select locus from v_flagged",
     "lenient_loci": """

@@ -751,7 +751,7 @@ def paralog_summary(x):
 
 @query
 def paralog_report(x):
-    return rounded(paralogs.paralog_report(x.contigs(), 0.05))
+    return rounded(paralogs.paralog_report(x.contigs(), 0.01))
 
 
 @query
