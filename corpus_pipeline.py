@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from varigrove.llm import decontaminate, mixing, queries
+from varigrove.llm import bagminhash, decontaminate, mixing, queries, toxicity
 from varigrove.llm.common import saved, table
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain takes for toxic go; it is trained on those that are labelled."""
+    return toxicity.without_toxic(docs, queries.toxic_labels(spark, sf_dir), queries.CATEGORIES, reject="toxic")
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays, the one with the smallest id."""
+    return bagminhash.without_near_duplicates(docs)
+
+
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with any window of a benchmark item go."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -27,6 +37,8 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("MinHash near-dedup", without_copies),
     ("benchmark decontamination", clean_of_benchmark),
     ("mixing sources to target weights", mixed),
     ("token-ID / binary output", token_files),

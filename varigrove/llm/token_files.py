@@ -96,6 +96,7 @@ class Encoder(dict):
 
         tokenizer = Tokenizer.from_file(path)
         self.model = tokenizer.model
+        self.vocabulary: dict[str, int] = tokenizer.get_vocab(with_added_tokens=True)
         self.width = id_width(tokenizer.get_vocab_size(with_added_tokens=True))
         self.type = np.dtype(f"<u{self.width}")
         added = {t.content: np.array([n], self.type).tobytes() for n, t in tokenizer.get_added_tokens_decoder().items()}
