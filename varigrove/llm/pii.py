@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -125,7 +126,16 @@ def proposed(text: str, base: Sequence[tuple[int, str, int]]) -> list[tuple[int,
     if _DIGIT.search(text) or "@" in text or "(at)" in text or "[at]" in text:
         found = [(m.start(), kind, m.end()) for kind, p in _WIDER for m in p.finditer(text)]
     found += [(m.start(1), "name", m.end(1)) for m in _NAME.finditer(text)]
-    return in_order([(s, k, e) for s, k, e in found if not any(s < y and x < e for x, _, y in base)])
+    found = in_order(found)
+    return [x for x, free in zip(found, _apart(found, base), strict=True) if free]
+
+
+def _apart(found: Sequence[tuple[int, str, int]], base: Sequence[tuple[int, str, int]]) -> list[bool]:
+    """Whether each of `found` overlaps no span of `base`; both are in order."""
+    starts = [s for s, _, _ in base]
+    reach = np.maximum.accumulate([0, *(e for _, _, e in base)]).tolist()
+    # Of the spans that begin before one ends, none may end after it begins.
+    return [reach[bisect_left(starts, e)] <= s for s, _, e in found]
 
 
 def votes(text: str, spans: Sequence[tuple[int, str, int]]) -> list[tuple[int, ...]]:
@@ -134,7 +144,8 @@ def votes(text: str, spans: Sequence[tuple[int, str, int]]) -> list[tuple[int, .
     for n, (start, kind, end) in enumerate(spans):
         span, number = text[start:end], digits(text[start:end])
         before = text[max(0, start - CONTEXT) : start]
-        near = any(abs(s - end) <= COMPANY or abs(start - e) <= COMPANY for i, (s, _, e) in enumerate(spans) if abs(i - n) in (1, 2))
+        beside = [*spans[max(0, n - 2) : n], *spans[n + 1 : n + 3]]
+        near = any(abs(s - end) <= COMPANY or abs(start - e) <= COMPANY for s, _, e in beside)
         context = YES if _BEFORE[kind].search(before) else NO if _AGAINST.search(before) else SILENT
         out.append((_form(kind, span, number), _checksum(kind, span, number), _gazetteer(kind, span, number), context, YES if near else SILENT))
     return out
