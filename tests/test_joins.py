@@ -108,14 +108,14 @@ def test_interval_join(spark, width, bound):
     assert sorted((r.i, r.p) for r in got.collect()) == sorted(zip(want["i"], want["p"]))
 
 
-@pytest.mark.parametrize("bound", [0, 1_000_000])
+@pytest.mark.parametrize("cuts", [2, 64])
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_exact_quantiles(spark, by, bound):
+def test_exact_quantiles(spark, by, cuts):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"g": rng.choice(["x", "y"], 4000, p=[0.9, 0.1]), "v": np.round(rng.lognormal(0, 2, 4000), 2)})
     pdf.loc[::3, "v"] = 1.5  # a third of the values are equal
     probs = {"a": 0.0, "b": 0.005, "c": 0.5, "d": 0.77, "e": 0.995, "f": 1.0}
-    got = joins.exact_quantiles(spark.createDataFrame(pdf), "v", probs, by, max_values=bound).toPandas()
+    got = joins.exact_quantiles(spark.createDataFrame(pdf), "v", probs, by, cuts).toPandas()
     groups = dict(list(pdf.groupby("g"))) if by else {None: pdf}
     assert len(got) == len(groups)
     for _, row in got.iterrows():
@@ -126,8 +126,14 @@ def test_exact_quantiles(spark, by, bound):
 def test_quantiles_of_one_and_two_values(spark):
     for values, want in (([4.0], 4.0), ([1.0, 2.0], 1.25)):
         df = spark.createDataFrame([(v,) for v in values], "v double")
-        for bound in (0, 100):
-            assert joins.exact_quantiles(df, "v", {"q": 0.25}, max_values=bound).first().q == want
+        assert joins.exact_quantiles(df, "v", {"q": 0.25}).first().q == want
+
+
+def test_quantiles_keep_null_groups_and_every_digit(spark):
+    values = [1 / 3, 2 / 3, 1.0, 4 / 3, 5 / 3]
+    df = spark.createDataFrame([(g, v) for g in (None, "x") for v in values], "g string, v double")
+    got = {r.g: (r.lo, r.hi) for r in joins.exact_quantiles(df, "v", {"lo": 0.0, "hi": 1.0}, ["g"]).collect()}
+    assert got == {None: (1 / 3, 5 / 3), "x": (1 / 3, 5 / 3)}
 
 
 def test_checkpoint_folder_of_the_session_is_used(spark):

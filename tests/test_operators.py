@@ -2,7 +2,7 @@
 
 from fractions import Fraction
 from itertools import product
-from math import comb, log10
+from math import comb, lgamma, log, log10
 
 import numpy as np
 import pandas as pd
@@ -232,14 +232,16 @@ def exact_fisher(a, b, c, d):
 @pytest.mark.parametrize("step", [2, 1 << 16])
 def test_fisher_by_brute_force(step):
     for cells in product(range(5), repeat=4):
-        assert calling._fisher_p(*cells, step=step) == pytest.approx(exact_fisher(*cells), rel=1e-6)
+        assert 10 ** calling._fisher_log10(*cells, step=step) == pytest.approx(exact_fisher(*cells), rel=1e-6)
     for cells in ((40, 3, 5, 60), (100, 100, 100, 90), (0, 80, 75, 1)):
-        assert calling._fisher_p(*cells, step=step) == pytest.approx(exact_fisher(*cells), rel=1e-6)
+        assert 10 ** calling._fisher_log10(*cells, step=step) == pytest.approx(exact_fisher(*cells), rel=1e-6)
 
 
 def test_fisher_of_a_deep_site():
-    assert calling._fisher_p(400_000, 400_000, 400_000, 400_000) == pytest.approx(1.0)
-    assert calling._fisher_p(500_000, 0, 0, 500_000) == 0.0
+    assert calling._fisher_log10(400_000, 400_000, 400_000, 400_000) == pytest.approx(0.0, abs=1e-9)
+    # Two tables of C(1,000,000, 500,000) are as extreme.
+    each = (lgamma(1_000_001) - 2 * lgamma(500_001)) / log(10)
+    assert calling._fisher_log10(500_000, 0, 0, 500_000) == pytest.approx(log10(2) - each, rel=1e-9)
 
 
 PILE = "sample string, chrom string, pos long, ref string, base string, bq int, mapq int, strand int, read_pos int"
@@ -469,3 +471,57 @@ def test_undetermined_samples_get_no_read_group(inputs):
     got = samples.read_groups(inputs.samples())
     assert got.where("sm like 'Undet%'").count() == 0
     assert got.count() < inputs.samples().count()
+
+
+# -- records as aligners write them -------------------------------------------
+
+RECORD = "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, pnext long, sum_bq int, seq string, qual string"
+
+
+def records(spark):
+    """Two lone reads without a sample on a clean locus, and what must not count."""
+    rows = [
+        (None, "a", 0, "c", 1, 60, "4M", 0, 10, "ACGT", "IIII"),
+        (None, "b", 16, "c", 1, 60, "4M", 9, 20, "ACgN", "IIII"),
+        (None, "b", 256, "c", 1, 60, "4M", 9, 20, "*", "*"),
+        (None, "c", 512, "c", 1, 60, "4M", 0, 20, "TTTT", "IIII"),
+        (None, "d", 0, "c", 1, 60, "4M", 7, 20, None, None),
+    ]
+    return spark.createDataFrame(rows, RECORD)
+
+
+def test_only_evidence_is_piled_up(spark):
+    reference = spark.createDataFrame([("c", "acgtn")], "name string, seq string")
+    piled = calling.pileup_on(records(spark), reference)
+    seen = sorted((r.pos, r.ref, r.base, r.strand) for r in piled.collect())
+    assert seen == [(1, "A", "A", 0), (1, "A", "A", 1), (2, "C", "C", 0), (2, "C", "C", 1), (3, "G", "G", 0), (3, "G", "G", 1), (4, "T", "T", 0)]
+    assert calling.candidate_sites(calling.genotype_likelihoods(piled)).count() == 0
+    depth = {r.pos: r.depth for r in mapping.depth(records(spark)).collect()}
+    assert depth == {1: 2, 2: 2, 3: 2, 4: 2}
+
+
+def test_null_samples_are_a_sample(spark):
+    primary = records(spark).where("flag in (0, 16) and seq is not null")
+    marked = mapping.mark_duplicates(primary)
+    assert {r.qname: r.flag for r in marked.collect()} == {"a": 0, "b": 16}
+    twice = primary.where("qname = 'a'").unionByName(primary.where("qname = 'a'").selectExpr("sample", "'z' as qname", "flag", "rname", "pos", "mapq", "cigar", "pnext", "5 as sum_bq", "seq", "qual"))
+    assert {r.qname: r.flag for r in mapping.mark_duplicates(twice).collect()} == {"a": 0, "z": 1024}
+    assert calling.pileup(marked).count() == 7
+
+
+def test_samples_of_blocks_are_in_the_roster(spark):
+    rows = [(s, "c", 5, "A", b, 40, 60, 0, 9) for s in (1, 2, 3) for b in "CC"]
+    piled = spark.createDataFrame(rows, "sample int, chrom string, pos long, ref string, base string, bq int, mapq int, strand int, read_pos int")
+    blocks = spark.createDataFrame([(4, "c", 1, 9, 50), (5, "c", 6, 9, 50), (1, "c", 1, 9, 50)], "sample int, chrom string, start long, stop long, gq int")
+    one = chains.joint_chain(piled, blocks).first()
+    assert (one.called, one.no_call, one.hom_alt, one.ac, one.an) == (4, 1, 3, 6, 8)
+    mapped = chains.joint_chain(piled, blocks, spark.createDataFrame([(9,)], "sample int")).first()
+    assert (mapped.called, mapped.no_call) == (4, 2)
+
+
+def test_a_reference_is_cut_in_one_pass(spark):
+    """Pieces far from the start of a contig hold its letters."""
+    reference = spark.createDataFrame([("c", "ACGT" * 5000)], "name string, seq string")
+    aln = spark.createDataFrame([(1, "a", 0, "c", 15_001, 60, "8M", 0, 10, "ACGTACGT", "IIIIIIII")], RECORD.replace("sample string", "sample int"))
+    piled = calling.pileup_on(aln, reference)
+    assert [(r.pos, r.ref) for r in piled.orderBy("pos").collect()] == [(15_001 + n, "ACGT"[n % 4]) for n in range(8)]

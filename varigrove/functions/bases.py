@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 PAIRED = 1
 PROPER = 2
 UNMAPPED = 4
+MATE_UNMAPPED = 8
 REVERSE = 16
 FIRST_MATE = 64
 SECOND_MATE = 128
 SECONDARY = 256
+QC_FAIL = 512
 DUPLICATE = 1024
 SUPPLEMENTARY = 2048
 
@@ -132,6 +134,15 @@ def is_mapped(flag: Column) -> Column:
     return ~has_flag(flag, UNMAPPED)
 
 
+def is_evidence(flag: Column) -> Column:
+    """Mapped, primary or supplementary, and neither failed nor a duplicate.
+
+    A supplementary record holds other bases of its read than the primary one,
+    so it counts; a secondary record repeats bases, so it doesn't.
+    """
+    return is_mapped(flag) & ~has_flag(flag, SECONDARY | QC_FAIL | DUPLICATE)
+
+
 # -- CIGAR -------------------------------------------------------------------
 
 def _cigar_sum(cigar: Column, ops: str) -> Column:

@@ -11,6 +11,7 @@ Pileup: `sample, chrom, pos, ref, base, bq, mapq, strand, read_pos`.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -53,11 +54,14 @@ def _letter(text: str, at: Column) -> Column:
 
 
 def _expand(stretches: DataFrame, *more: Column) -> DataFrame:
-    """One row per position of each stretch; `more` may use `__i`, counted from 0."""
+    """One row per position of each stretch; `more` may use `__i`, counted from 0.
+
+    Bases come in upper case, and only A, C, G and T are evidence.
+    """
     with_bases = {"seq", "qual"} <= set(stretches.columns)
     at = F.col("read_off") + F.col("__i") + 1
-    bases = [_letter("seq", at).alias("base"), (F.ascii(_letter("qual", at)) - B.PHRED_OFFSET).alias("bq")]
-    return stretches.select(
+    bases = [F.upper(_letter("seq", at)).alias("base"), (F.ascii(_letter("qual", at)) - B.PHRED_OFFSET).alias("bq")]
+    rows = stretches.select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stop") - F.col("start") - 1)).alias("__i")
     ).select(
         "sample",
@@ -69,6 +73,8 @@ def _expand(stretches: DataFrame, *more: Column) -> DataFrame:
         *(bases if with_bases else []),
         *more,
     )
+    letters = [c for c in ("base", "ref") if c in rows.columns]
+    return rows.where(reduce(Column.__and__, (F.col(c).isin(*"ACGT") for c in letters), F.lit(True)))
 
 
 def pileup(aln: DataFrame) -> DataFrame:
@@ -88,11 +94,10 @@ def pileup_on(aln: DataFrame, reference: DataFrame, chunk: int = 1000) -> DataFr
     shuffle moves reads, and the far larger pileup is made in place. Pieces
     that reads crowd on are salted.
     """
-    number = F.sequence(F.lit(0).cast("long"), F.floor((F.length("seq") - 1) / chunk))
-    pieces = (
-        reference.where(F.length("seq") > 0)
-        .select(F.col("name").alias("chrom"), "seq", F.explode(number).alias("__piece"))
-        .select("chrom", "__piece", F.substring("seq", (F.col("__piece") * chunk + 1).cast("int"), F.lit(chunk)).alias("__ref"))
+    # One pass over a contig: looking each piece up by its place would read it from the start every time.
+    cut = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    pieces = reference.where(F.length("seq") > 0).select(
+        F.col("name").alias("chrom"), F.posexplode(cut).alias("__piece", "__ref")
     )
     touched = F.sequence(F.floor((F.col("start") - 1) / chunk), F.floor((F.col("stop") - 2) / chunk))
     # Positions count from 1, so piece p covers p * chunk + 1 up to (p + 1) * chunk.
@@ -110,7 +115,7 @@ def pileup_on(aln: DataFrame, reference: DataFrame, chunk: int = 1000) -> DataFr
     )
     met = lookup_join(parts, pieces, ["chrom", "__piece"])
     at = F.pmod(F.col("start") + F.col("__i") - 1, F.lit(chunk)) + 1
-    return _expand(met, _letter("__ref", at).alias("ref"))
+    return _expand(met, F.upper(_letter("__ref", at)).alias("ref"))
 
 
 def _is_alt() -> Column:
@@ -271,6 +276,26 @@ def joint_cells(calls: DataFrame, sites: DataFrame, samples: DataFrame, blocks:
     )
 
 
+def known_cells(calls: DataFrame, sites: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The cells of candidate sites that a call or a reference-confidence interval fills: sample, site, gt.
+
+    A call counts before an interval. Cells without either are not made.
+    """
+    own = calls.join(sites.select(*SITE), list(SITE), "left_semi").select("sample", *SITE, "gt")
+    covered = blocks_over_sites(blocks, sites).select("sample", *SITE, F.lit(None).cast("string").alias("gt"))
+    merged = own.unionByName(covered).groupBy("sample", *SITE).agg(F.max("gt").alias("gt"))
+    return merged.withColumn("gt", F.coalesce("gt", F.lit(STATES[0])))
+
+
+def joint_counts(cells: DataFrame, samples: DataFrame) -> DataFrame:
+    """As `joint_genotype`, from the filled cells and the roster of `samples`.
+
+    Cells that are not there are counted as the rest of the roster.
+    """
+    size = samples.select("sample").distinct().agg(F.count(F.lit(1)).alias("n"))
+    return joint_genotype(cells).withColumn("no_call", size.scalar() - F.col("called"))
+
+
 def joint_genotype(cells: DataFrame) -> DataFrame:
     """Allele count, number and frequency and call counts per site."""
     called = ~B.is_missing(F.col("gt"))
@@ -322,8 +347,8 @@ def strand_table(piled: DataFrame) -> DataFrame:
     return piled.groupBy(*SITE).agg(*_strand_columns())
 
 
-def _fisher_p(a: int, b: int, c: int, d: int, step: int = 1 << 16) -> float:
-    """Two-sided exact p of a 2x2 table.
+def _fisher_log10(a: int, b: int, c: int, d: int, step: int = 1 << 16) -> float:
+    """log10 of the two-sided exact p of a 2x2 table, which itself may be too small for a float.
 
     Weights follow from each other by ratio, starting at the lowest table; they
     are walked in steps, so a deep site needs no array of its depth.
@@ -333,7 +358,7 @@ def _fisher_p(a: int, b: int, c: int, d: int, step: int = 1 << 16) -> float:
     row, other, col = a + b, c + d, a + c
     low, high = max(0, col - other), min(row, col)
     if low == high:
-        return 1.0
+        return 0.0
 
     def log_ratios(x):  # from table x to x + 1
         return np.log((row - x) * (col - x)) - np.log((x + 1.0) * (other - col + x + 1.0))
@@ -354,16 +379,15 @@ def _fisher_p(a: int, b: int, c: int, d: int, step: int = 1 << 16) -> float:
             seen = part[a - start]
     total = extreme = 0.0
     for _, part in walk():
-        weight = np.exp(part - peak)
-        total += weight.sum()
-        extreme += weight[part <= seen + 1e-7].sum()
-    return float(min(1.0, extreme / total))
+        total += np.exp(part - peak).sum()
+        extreme += np.exp(part[part <= seen + 1e-7] - seen).sum()
+    return float(min(0.0, (np.log(extreme) + seen - np.log(total) - peak) / np.log(10.0)))
 
 
 @F.pandas_udf(T.DoubleType())
 def _fisher_column(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
     for a, b, c, d in batches:
-        yield pd.Series([_fisher_p(*map(int, t)) for t in zip(a, b, c, d)], dtype="float64")
+        yield pd.Series([_fisher_log10(*map(int, t)) for t in zip(a, b, c, d)], dtype="float64")
 
 
 def fisher_strand(table: DataFrame) -> DataFrame:
@@ -371,8 +395,7 @@ def fisher_strand(table: DataFrame) -> DataFrame:
 
     The only Python step of this module; it runs on one small row per site.
     """
-    p = _fisher_column("ref_f", "ref_r", "alt_f", "alt_r")
-    return table.withColumn("fs", F.abs(B.phred_scale(F.greatest(p, F.lit(1e-300)))))
+    return table.withColumn("fs", F.abs(_fisher_column("ref_f", "ref_r", "alt_f", "alt_r") * -10.0))
 
 
 def strand_odds_ratio(table: DataFrame) -> DataFrame:

@@ -152,7 +152,9 @@ def threshold_review(long: DataFrame) -> DataFrame:
 def annotation_clip(long: DataFrame, low: float = 0.005, high: float = 0.995) -> DataFrame:
     """Per annotation, values within its own quantile range."""
     bounds = exact_quantiles(long, "value", {"lo": low, "hi": high}, by=["annotation"])
-    return lookup_join(long, bounds, ["annotation"]).where(
+    # One row per annotation: they are the columns of a table.
+    bounds = F.broadcast(bounds.withColumnRenamed("annotation", "__of"))
+    return long.join(bounds, F.col("annotation").eqNullSafe(F.col("__of"))).drop("__of").where(
         (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
     )
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from varigrove.session import ensure_checkpoint_dir
 
 BROADCAST_BYTES = 64 << 20
-RANKED_VALUES = 1_000_000
 HOT_SHARE = 0.01
 SALTS = 32
 ROSTER_SHARD = 50_000
@@ -231,61 +230,40 @@ def restrict_to(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: dict[str, float],
-    by: Sequence[str] = (),
-    max_values: int = RANKED_VALUES,
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), cuts: int = 64
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per `by`, a column per entry of `probs`.
 
-    Equal values are counted first and the counts are checkpointed: the data
-    is read once. Up to `max_values` counts are ranked by one aggregate; more
-    are ranked piece by piece, see `_ranked_quantiles`.
+    A null in `by` is a group of its own. Equal values are counted first and the
+    counts are checkpointed, so the data is read once. No task sees all values
+    of a group: approximate quantiles serve as cut points, counts per stretch
+    between cuts tell in which stretch each wanted rank lies, and only those
+    stretches are ranked value by value. A quantile between two equal values is
+    that value.
     """
     by = list(by)
     ensure_checkpoint_dir(df.sparkSession)
+    # Structs compare nulls as equal.
+    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
     counts = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
+        .groupBy(group.alias("__g"), F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
         .checkpoint()
     )
-    if counts.count() > max_values:
-        return _ranked_quantiles(counts, value, probs, by)
-    points = F.array(*[F.lit(float(p)) for p in probs.values()])
-    at = counts.groupBy(*by).agg(F.percentile(value, points, F.col("__c")).alias("__q"))
-    return at.select(*by, *[F.round(F.col("__q")[i], 9).alias(k) for i, k in enumerate(probs)])
-
-
-def _ranked_quantiles(
-    counts: DataFrame, value: str, probs: dict[str, float], by: list[str], cuts: int = 64
-) -> DataFrame:
-    """Quantiles of counted values, with no task that sees all values of a group.
-
-    Approximate quantiles serve as cut points. Counts per stretch between cuts
-    tell in which stretch each wanted rank lies, and only those stretches are
-    ranked value by value.
-    """
     grid = [i / cuts for i in range(1, cuts)]
-    marks = counts.groupBy(*by).agg(F.percentile_approx(value, grid, 1000).alias("__marks"))
-    if by:
-        counts = lookup_join(counts, marks, by)
-    else:
-        counts = counts.withColumn("__marks", marks.scalar())
-    counts = counts.withColumn(
-        "__part", F.size(F.filter("__marks", lambda m: m < F.col(value)))
-    ).drop("__marks")
-
-    parts = counts.groupBy(*by, "__part").agg(F.sum("__c").alias("__n"))
-    ahead = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
+    marks = counts.groupBy("__g").agg(F.percentile_approx("__v", grid, 1000).alias("__marks"))
+    part = F.size(F.filter("__marks", lambda m: m < F.col("__v")))
+    counts = lookup_join(counts, marks, ["__g"]).withColumn("__part", part).drop("__marks")
+
+    parts = counts.groupBy("__g", "__part").agg(F.sum("__c").alias("__n"))
+    ahead = Window.partitionBy("__g").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(
-        *by,
+        "__g",
         "__part",
         "__n",
         F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"),
-        F.sum("__n").over(whole).alias("__all"),
+        F.sum("__n").over(Window.partitionBy("__g")).alias("__all"),
     )
     spots = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
     wanted = (
@@ -293,27 +271,19 @@ def _ranked_quantiles(
         .withColumn("__at", F.col("__s.p") * (F.col("__all") - 1))
         .withColumn("__rank", F.explode(F.array(F.floor("__at"), F.ceil("__at"))))
         .where((F.col("__rank") >= F.col("__ahead")) & (F.col("__rank") < F.col("__ahead") + F.col("__n")))
-        .select(*by, "__part", "__ahead", F.col("__s.k").alias("__k"), "__at", "__rank")
+        .select("__g", "__part", "__ahead", F.col("__s.k").alias("__k"), "__at", "__rank")
         .distinct()
     )
     # `wanted` holds at most two rows per quantile and group.
-    near = lookup_join(
-        counts, wanted.select(*by, "__part", "__ahead").distinct(), [*by, "__part"]
-    )
-    upto = Window.partitionBy(*by, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    near = lookup_join(counts, wanted.select("__g", "__part", "__ahead").distinct(), ["__g", "__part"])
+    upto = Window.partitionBy("__g", "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = near.withColumn("__to", F.col("__ahead") + F.sum("__c").over(upto))
-    hit = ranked.join(wanted.drop("__ahead"), [*by, "__part"]).where(
+    hit = ranked.join(wanted.drop("__ahead"), ["__g", "__part"]).where(
         (F.col("__rank") < F.col("__to")) & (F.col("__rank") >= F.col("__to") - F.col("__c"))
     )
-    weight = F.when(F.floor("__at") == F.ceil("__at"), F.lit(1.0)).otherwise(
-        1.0 - F.abs(F.col("__at") - F.col("__rank"))
-    )
-    blended = hit.groupBy(*by, "__k").agg(F.sum(F.col(value) * weight).alias("__v"))
-    return blended.groupBy(*by).agg(
-        *[F.max(F.when(F.col("__k") == k, F.round("__v", 9))).alias(k) for k in probs]
+    low, high = F.min("__v"), F.max("__v")
+    step = F.max("__at") - F.floor(F.max("__at"))
+    blended = hit.groupBy("__g", "__k").agg((low + (high - low) * step).alias("__q"))
+    return blended.groupBy("__g").agg(*[F.max(F.when(F.col("__k") == k, F.col("__q"))).alias(k) for k in probs]).select(
+        *[F.col("__g").getField(c).alias(c) for c in by], *probs
     )
-
-
-def expressions(mapping: dict[str, Column]) -> list[Column]:
-    """Named columns of a dictionary, for `select`."""
-    return [c.alias(name) for name, c in mapping.items()]

@@ -7,6 +7,7 @@ step needs them, `seq, qual, sum_bq`.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -139,9 +140,17 @@ def coordinate_rank(aln: DataFrame, order: Sequence[str] = ("rname", "pos", "qna
 
 
 def alignment_counts(aln: DataFrame) -> DataFrame:
-    """Total, mapped, properly paired and duplicate records per sample."""
+    """Records per sample by class of flag.
+
+    Where the records name the mate's contig (`rnext`, `=` for the same), pairs
+    mapped to two contigs are counted too.
+    """
     flag = F.col("flag")
     count = lambda cond: F.count(F.when(cond, 1))
+    both = B.has_flag(flag, B.PAIRED) & B.is_mapped(flag) & ~B.has_flag(flag, B.MATE_UNMAPPED)
+    elsewhere = []
+    if "rnext" in aln.columns:
+        elsewhere = [count(both & ~F.col("rnext").isin("=", "*") & (F.col("rnext") != F.col("rname"))).alias("mate_elsewhere")]
     return aln.groupBy("sample").agg(
         F.count(F.lit(1)).alias("total"),
         count(B.is_mapped(flag)).alias("mapped"),
@@ -150,6 +159,10 @@ def alignment_counts(aln: DataFrame) -> DataFrame:
         count(B.has_flag(flag, B.FIRST_MATE)).alias("first_mates"),
         count(B.has_flag(flag, B.SECOND_MATE)).alias("second_mates"),
         count(B.has_flag(flag, B.DUPLICATE)).alias("duplicates"),
+        count(B.has_flag(flag, B.SECONDARY)).alias("secondary"),
+        count(B.has_flag(flag, B.SUPPLEMENTARY)).alias("supplementary"),
+        count(B.has_flag(flag, B.PAIRED) & B.is_mapped(flag) & B.has_flag(flag, B.MATE_UNMAPPED)).alias("singletons"),
+        *elsewhere,
     )
 
 
@@ -161,7 +174,7 @@ def mark_duplicates(
     """Set the duplicate bit on all but the best record of each duplicate set.
 
     A set shares library, contig, unclipped 5' position, strand and mate
-    position. The best has the highest `sum_bq`, then the smallest name.
+    position; a null, as in records without a read group, equals a null. The best has the highest `sum_bq`, then the smallest name.
     Unmapped records never count. No row is removed.
 
     A window per set would load a large set into one task. Instead the best of
@@ -182,9 +195,13 @@ def mark_duplicates(
         .groupBy(*[c.alias(n) for n, c in keys.items()])
         .agg(F.min(F.struct((-F.col("sum_bq")).alias("r"), F.col("qname").alias("q"), ident.alias("id"))).alias("b"))
         .select("b.id.*", F.lit(True).alias("__best"))
+        .alias("best")
     )
+    met = reduce(Column.__and__, (F.col(f"aln.{c}").eqNullSafe(F.col(f"best.{c}")) for c in identity))
     return (
-        aln.join(best, list(identity), "left")
+        aln.alias("aln")
+        .join(best, met, "left")
+        .select("aln.*", "__best")
         .withColumn(
             "flag",
             F.when(B.is_mapped(flag) & F.col("__best").isNull(), B.set_flag(flag, B.DUPLICATE)).otherwise(
@@ -221,9 +238,13 @@ def mapq_attrition(aln: DataFrame, threshold: int = MIN_MAPQ) -> DataFrame:
 
 
 def aligned_stretches(aln: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Gap-free stretches of mapped records that are not duplicates."""
-    flag = F.col("flag")
-    usable = aln.where(B.is_mapped(flag) & ~B.has_flag(flag, B.DUPLICATE))
+    """Gap-free stretches of records that are evidence, see `bases.is_evidence`.
+
+    Where the records hold bases, those without any (`*`) are left out.
+    """
+    usable = aln.where(B.is_evidence(F.col("flag")))
+    if "seq" in aln.columns:
+        usable = usable.where(F.col("seq").isNotNull() & ~F.col("seq").isin("*", ""))
     return usable.select(*keep, F.explode(B.aligned_blocks(F.col("cigar"))).alias("__b"))
 
 
@@ -258,7 +279,13 @@ def depth(aln: DataFrame, by: Sequence[str] = ("sample",), block: int = DEPTH_BL
     runs = (
         steps.withColumn("__in", F.sum("d").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("__next", F.coalesce(F.lead("at").over(inside), (F.col("__block") + 1) * block))
-        .join(block_carry(steps, keys, "d"), [*keys, "__block"])
+        .alias("steps")
+    )
+    carry = block_carry(steps, keys, "d").alias("carry")
+    met = reduce(Column.__and__, (F.col(f"steps.{k}").eqNullSafe(F.col(f"carry.{k}")) for k in [*keys, "__block"]))
+    runs = (
+        runs.join(carry, met)
+        .select("steps.*", "carry.__carry")
         .withColumn("depth", F.col("__in") + F.col("__carry"))
         .where(F.col("depth") > 0)
     )

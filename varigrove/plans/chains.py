@@ -25,9 +25,12 @@ def site_chain(piled: DataFrame) -> DataFrame:
     return tagged_snps(calling.annotate_sites(piled))
 
 
-def joint_chain(piled: DataFrame, blocks: DataFrame) -> DataFrame:
+def joint_chain(piled: DataFrame, blocks: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """Pileup and reference-confidence intervals to joint genotype counts per site.
 
+    The roster has every sample of the pileup, of the intervals and of `samples`,
+    the sample map of the study, if it is given.
+
     The likelihoods are the per-sample stage of a study. Sites, calls and the
     roster all start from them, so they are checkpointed and the pileup is
     read once.
@@ -36,8 +39,10 @@ def joint_chain(piled: DataFrame, blocks: DataFrame) -> DataFrame:
     likelihoods = calling.genotype_likelihoods(piled).checkpoint()
     sites = calling.candidate_sites(likelihoods)
     calls = calling.call_genotypes(likelihoods)
-    cells = calling.joint_cells(calls, sites, likelihoods.select("sample"), blocks)
-    return calling.joint_genotype(cells)
+    roster = likelihoods.select("sample").unionByName(blocks.select("sample"))
+    if samples is not None:
+        roster = roster.unionByName(samples.select("sample"))
+    return calling.joint_counts(calling.known_cells(calls, sites, blocks), roster)
 
 
 def tagged_snps(sites: DataFrame) -> DataFrame:

@@ -202,6 +202,45 @@ class Inputs:
             )
         )
 
+    def target_alignments(self) -> DataFrame:
+        """Records with bases on targets: some secondary, failed, without bases or sample, some bases N or lower case."""
+        keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+        order, line = F.col("l_orderkey"), F.col("l_linenumber")
+        at = F.expr("1 + (l_orderkey*13 + l_linenumber*7) % 29")
+        own = F.substring("seq", at.cast("int"), F.lit(100))
+        seq = (
+            F.when(order % 31 == 0, "*")
+            .when(order % 7 == 0, F.concat(F.lit("N"), F.substring(own, 2, 99)))
+            .when(order % 11 == 0, F.concat(F.lit("G"), F.substring(own, 2, 99)))
+            .when(order % 5 == 0, F.lower(own))
+            .otherwise(own)
+        )
+        flag = F.when(line == 3, 256).when(line == 4, 512).when(line == 5, 2048).when(line == 6, 1024).otherwise(0)
+        return (
+            self.table("lineitem")
+            .select(*keys)
+            .distinct()
+            .join(self.loci(), F.col("l_partkey") == F.col("locus"))
+            .select(
+                _dashed(*keys).alias("qname"),
+                F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey")).alias("sample"),
+                F.col("locus").cast("string").alias("rname"),
+                at.cast("long").alias("pos"),
+                ((order * 7) % 61).cast("int").alias("mapq"),
+                flag.cast("int").alias("flag"),
+                F.lit("100M").alias("cigar"),
+                seq.alias("seq"),
+                F.concat(
+                    F.repeat(F.lit("I"), 100 - (order % 61).cast("int")), F.repeat(F.lit("#"), (order % 61).cast("int"))
+                ).alias("qual"),
+            )
+        )
+
+    def masked_reference(self) -> DataFrame:
+        """Targets as a reference, a third of them in lower case."""
+        seq = F.when(F.col("locus") % 3 == 0, F.lower("seq")).otherwise(F.col("seq"))
+        return self.loci().select(F.col("locus").cast("string").alias("name"), seq.alias("seq"))
+
     def pileup(self) -> DataFrame:
         """Aligned bases of twelve samples over six hundred sites, all lines."""
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
@@ -353,6 +392,15 @@ INPUT_SQL = {
           case when l_linenumber%5=0 then '5S95M' else '100M' end as cigar,
           cast(1+l_partkey%200*50+200 as bigint) as pnext, cast(3000+l_orderkey%700 as int) as sum_bq
         from lineitem""",
+    "fx_target_alignments": """
+        select locus, case when l_suppkey%5<>0 then l_suppkey end as sample, 1+(l_orderkey*13+l_linenumber*7)%29 as pos,
+          case l_linenumber when 3 then 256 when 4 then 512 when 5 then 2048 when 6 then 1024 else 0 end as flag,
+          case when l_orderkey%31=0 then '*' when l_orderkey%7=0 then concat('N',substr(f,2,99))
+               when l_orderkey%11=0 then concat('G',substr(f,2,99)) when l_orderkey%5=0 then lower(f) else f end as seq,
+          concat(repeat('I',cast(100-l_orderkey%61 as int)),repeat('#',cast(l_orderkey%61 as int))) as qual
+        from (select distinct l_orderkey, l_linenumber, l_suppkey, locus,
+                substr(seq, cast(1+(l_orderkey*13+l_linenumber*7)%29 as int), 100) as f
+              from lineitem join fx_loci on l_partkey=locus)""",
     "fx_pileup": """
         select cast(l_suppkey%12 as int) as sample,
           concat('chr0',cast(cast(floor(l_partkey/300) as bigint)%2+1 as varchar)) as chrom,

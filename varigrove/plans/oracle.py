@@ -35,6 +35,15 @@ _BI = "position(',' in alt) = 0"
 _TI = "ref || alt in ('AG', 'GA', 'CT', 'TC')"
 
 # Views built on the inputs; a query names what it needs.
+def _between(value: str, p: float) -> str:
+    """The quantile of rows that hold their rank `rn` from 0 and their number `n`; equal neighbours give their value."""
+    low = f"max({value}) filter (rn = floor({p} * (n - 1)))"
+    high = f"max({value}) filter (rn = ceil({p} * (n - 1)))"
+    return f"{low} + ({high} - {low}) * (max({p} * (n - 1)) - floor(max({p} * (n - 1))))"
+
+
+_RANKED_DP = "(select dp, count(*) over () as n, row_number() over (order by dp) - 1 as rn from fx_sites where dp is not null)"
+
 _VIEWS = {
     **INPUT_SQL,
     "v_tagged_all": f"select *, {_TAG} as filter from fx_sites",
@@ -48,8 +57,10 @@ _VIEWS = {
         where value is not null""",
     "v_long_clipped": """
         select l.* from v_long l join (
-          select annotation, round(quantile_cont(value, 0.005), 9) as lo, round(quantile_cont(value, 0.995), 9) as hi
-          from v_long group by annotation) b on l.annotation = b.annotation
+          select annotation, """ + _between("value", 0.005) + " as lo, " + _between("value", 0.995) + """ as hi
+          from (select annotation, value, count(*) over (partition by annotation) as n,
+                  row_number() over (partition by annotation order by value) - 1 as rn from v_long where value is not null)
+          group by annotation) b on l.annotation = b.annotation
         where l.value >= b.lo and l.value <= b.hi""",
     "v_runs": f"""
         select 'first' as run, count(*) as raw_snps, count(*) filter (not {_ANY_FAIL}) as pass_snps
@@ -136,7 +147,7 @@ _VIEWS = {
         from fx_pileup group by chrom, pos""",
     "v_fisher": """
         select chrom, pos, ref_f, ref_r, alt_f, alt_r,
-          abs(-10 * log10(greatest(least(sum(exp(lp)) filter (lp <= lo + 1e-7), 1.0), 1e-300))) as fs
+          abs(-10 * least(ln(sum(exp(lp - lo)) filter (lp <= lo + 1e-7)) + max(lo), 0) / ln(10)) as fs
         from (select *, max(case when x = ref_f then lp end) over (partition by chrom, pos) as lo from (
           select *, lgamma(r + 1) - lgamma(x + 1) - lgamma(r - x + 1) + lgamma(o + 1) - lgamma(c - x + 1)
               - lgamma(o - c + x + 1) - lgamma(r + o + 1) + lgamma(c + 1) + lgamma(r + o - c + 1) as lp
@@ -165,7 +176,9 @@ _VIEWS = {
           count(*) filter (gt = './.') / count(*) as f_missing
         from fx_genotypes group by chrom, pos""",
     "v_dp_clipped": """
-        select * from v_tagged, (select round(quantile_cont(dp, 0.01), 9) as lo, round(quantile_cont(dp, 0.99), 9) as hi from v_tagged)
+        select * from v_tagged, (
+          select """ + _between("dp", 0.01) + " as lo, " + _between("dp", 0.99) + """ as hi
+          from (select dp, count(*) over () as n, row_number() over (order by dp) - 1 as rn from v_tagged where dp is not null))
         where dp between lo and hi""",
     "v_best": """
         select * from (select *, row_number() over (partition by sample, locus
@@ -299,11 +312,12 @@ ORACLE: dict[str, str] = {
     "reverse_complement": """
         select read_id, mate, translate(reverse(seq), 'TGCAN', 'ACGTN') as seq from fx_reads""",
     "mate_pairs": """
-        select a.sample, a.read_id, a.seq as seq_1, b.seq as seq_2 from fx_reads a
-        join fx_reads b on a.read_id = b.read_id and a.sample = b.sample where a.mate = 1 and b.mate = 2""",
+        select sample, read_id, max(seq) filter (mate = 1) as seq_1, max(seq) filter (mate = 2) as seq_2
+        from fx_reads group by sample, read_id
+        having count(*) filter (mate = 1) > 0 and count(*) filter (mate = 2) > 0""",
     "unpaired_mates": """
-        select sample, read_id, mate from fx_reads
-        where mate = 1 and read_id not in (select read_id from fx_reads where mate = 2)""",
+        select sample, read_id, min(mate) as mate from fx_reads group by sample, read_id
+        having count(*) filter (mate = 2) = 0""",
     "read_basic_stats": """
         select sample, mate, count(*) as reads, cast(sum(length(seq)) as bigint) as bases,
           cast(min(length(seq)) as int) as min_length, cast(max(length(seq)) as int) as max_length,
@@ -396,7 +410,9 @@ ORACLE: dict[str, str] = {
     "flagstat": """
         select sample, count(*) as total, count(*) filter ((flag & 4) = 0) as mapped, count(*) filter ((flag & 1) = 1) as paired,
           count(*) filter ((flag & 6) = 2) as properly_paired, count(*) filter ((flag & 64) = 64) as first_mates,
-          count(*) filter ((flag & 128) = 128) as second_mates, count(*) filter ((flag & 1024) = 1024) as duplicates
+          count(*) filter ((flag & 128) = 128) as second_mates, count(*) filter ((flag & 1024) = 1024) as duplicates,
+          count(*) filter ((flag & 256) = 256) as secondary, count(*) filter ((flag & 2048) = 2048) as supplementary,
+          count(*) filter ((flag & 13) = 9) as singletons
         from v_marked group by sample""",
     "mark_duplicates": "select sample, qname, flag from v_marked",
     "duplicate_metrics": "select *, round(duplicates / examined, 6) as share from v_metrics",
@@ -417,6 +433,14 @@ ORACLE: dict[str, str] = {
     "pileup_positions": """
         select rname as chrom, rpos as pos, strand, count(*) as bases, cast(sum(mapq) as bigint) as mapq,
           cast(sum(read_pos) as bigint) as read_pos, min(sample) as first_sample from v_bases group by rname, rpos, strand""",
+    "pileup_on_reference": """
+        select chrom, pos, ref, base, count(*) as bases, cast(sum(bq) as bigint) as quality, count(sample) as named from (
+          select cast(l.locus as varchar) as chrom, l.sample, cast(l.pos + i as bigint) as pos,
+            upper(substr(t.seq, cast(l.pos + i as int), 1)) as ref, upper(substr(l.seq, cast(i + 1 as int), 1)) as base,
+            ascii(substr(l.qual, cast(i + 1 as int), 1)) - 33 as bq
+          from (select *, unnest(range(0, 100)) as i from fx_target_alignments where (flag & 1796) = 0 and seq <> '*') l
+          join fx_loci t using (locus))
+        where ref in ('A', 'C', 'G', 'T') and base in ('A', 'C', 'G', 'T') group by all""",
     "allele_counts": """
         select sample, chrom, pos, ref, base, count(*) as depth, count(*) filter (strand = 0) as forward,
           count(*) filter (strand = 1) as reverse from fx_pileup group by all""",
@@ -443,7 +467,7 @@ ORACLE: dict[str, str] = {
           count(*) filter (gt = '0/1') + 2 * count(*) filter (gt = '1/1') as ac, 2 * count(*) filter (gt <> './.') as an,
           round((count(*) filter (gt = '0/1') + 2 * count(*) filter (gt = '1/1')) / nullif(2 * count(*) filter (gt <> './.'), 0), 6) as af
         from (select g.chrom, g.pos, g.sample, coalesce(c.gt, case when b.sample is not null then '0/0' else './.' end) as gt
-              from (select chrom, pos, s.sample from v_candidates, (select distinct sample from fx_pileup) s) g
+              from (select chrom, pos, s.sample from v_candidates, (select sample from fx_pileup union select sample from fx_blocks) s) g
               left join v_calls c on g.chrom = c.chrom and g.pos = c.pos and g.sample = c.sample
               left join (select distinct b.sample, b.chrom, v.pos from fx_blocks b
                          join v_candidates v on v.chrom = b.chrom and v.pos between b.start and b.stop) b
@@ -530,8 +554,7 @@ ORACLE: dict[str, str] = {
           cast(305 as double) as dp_min_suggested, round(2 * median(dp), 4) as dp_max_suggested from v_tagged""",
     "depth_clip": """
         select chrom, pos, dp from fx_sites
-        where dp >= (select round(quantile_cont(dp, 0.01), 9) from fx_sites)
-          and dp <= (select round(quantile_cont(dp, 0.99), 9) from fx_sites)""",
+        where dp >= (select """ + _between("dp", 0.01) + " from " + _RANKED_DP + ") and dp <= (select " + _between("dp", 0.99) + " from " + _RANKED_DP + ")",
     "depth_bounds_filter": "select chrom, pos, dp from fx_sites where dp >= 610 and dp <= 3000",
     "annotation_vs_threshold": """
         select l.annotation, t.threshold, pass, count(*) as sites, count(*) filter (bad) as beyond, count(*) filter (not bad) as within

@@ -427,6 +427,14 @@ def pileup_positions(x):
     )
 
 
+@query
+def pileup_on_reference(x):
+    piled = calling.pileup_on(x.target_alignments(), x.masked_reference())
+    return piled.groupBy("chrom", "pos", "ref", "base").agg(
+        F.count(F.lit(1)).alias("bases"), F.sum("bq").alias("quality"), F.count("sample").alias("named")
+    )
+
+
 @query
 def allele_counts(x):
     return calling.allele_counts(x.pileup())
