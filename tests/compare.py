@@ -72,7 +72,7 @@ def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(entry.queries())
     spark = session.build(
-        "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g"
+        "local[" + os.environ.get("COMPARE_CPUS", "8") + "]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

@@ -525,3 +525,21 @@ def test_a_reference_is_cut_in_one_pass(spark):
     aln = spark.createDataFrame([(1, "a", 0, "c", 15_001, 60, "8M", 0, 10, "ACGTACGT", "IIIIIIII")], RECORD.replace("sample string", "sample int"))
     piled = calling.pileup_on(aln, reference)
     assert [(r.pos, r.ref) for r in piled.orderBy("pos").collect()] == [(15_001 + n, "ACGT"[n % 4]) for n in range(8)]
+
+
+@pytest.mark.parametrize(
+    ("seq", "left"),
+    [
+        ("CCCC" + reads.ADAPTER + "TTTT", "CCCC"),  # whole, inside
+        ("CCCC" + reads.ADAPTER, "CCCC"),
+        ("CCCC" + reads.ADAPTER[:20], "CCCC"),  # as far as the read goes
+        ("CCCC" + reads.ADAPTER[:4], "CCCC"),
+        ("CCCC" + reads.ADAPTER[:3], "CCCC" + reads.ADAPTER[:3]),  # too little to tell
+        ("CCCC" + reads.ADAPTER[:12] + "TTTT", "CCCC" + reads.ADAPTER[:12] + "TTTT"),  # a chance match
+        ("AGAT" + "C" * 10 + reads.ADAPTER[:9], "AGAT" + "C" * 10),
+        (reads.ADAPTER, ""),
+    ],
+)
+def test_adapter_is_compared_whole(spark, seq, left):
+    df = spark.createDataFrame([(seq, "I" * len(seq))], "seq string, qual string")
+    assert reads.trim_adapter(df).first().seq == left and len(reads.trim_adapter(df).first().qual) == len(left)

@@ -242,3 +242,24 @@ def test_only_new_files_are_landed(spark, tmp_path):
     row("b").write.mode("append").parquet(src)
     resume.land_new_files(spark, src, schema, out, mark, double)
     assert rows(spark.read.parquet(out), "sample") == [("a", 2), ("b", 2)]
+
+
+def test_vcf_has_contigs_in_the_order_of_the_genome(spark, tmp_path):
+    sites = spark.createDataFrame(
+        [("chr10", 5, "A", "C", 30.0), ("chr2", 9, "A", "G", 31.0), ("chr2", 3, "C", "T", 32.0), ("other", 1, "G", "A", 33.0)],
+        "chrom string, pos long, ref string, alt string, qual double",
+    )
+    calls = spark.createDataFrame(
+        [(f"s{n:03d}", "chr2", 9, "0/1") for n in range(0, 300, 2)] + [("s001", "chr10", 5, None), ("s300", "chr10", 5, "1/1")],
+        "sample string, chrom string, pos long, gt string",
+    )
+    genome = spark.createDataFrame([("chr2", 500, 1), ("chr10", 400, 2)], "name string, length int, rank int")
+    vcf.write_vcf(sites, str(tmp_path / "v"), calls, contigs=genome)
+    lines = [line for f in sorted((tmp_path / "v").glob("part-*")) for line in f.read_text().splitlines()]
+    assert lines[1:3] == ["##contig=<ID=chr2,length=500>", "##contig=<ID=chr10,length=400>"]
+    names = lines[3].split("\t")[9:]
+    assert names == sorted({*(f"s{n:03d}" for n in range(0, 300, 2)), "s001", "s300"})
+    body = [x.split("\t") for x in lines[4:]]
+    assert [x[:2] for x in body] == [["chr2", "3"], ["chr2", "9"], ["chr10", "5"], ["other", "1"]]
+    assert body[1][9:] == ["./." if n in ("s001", "s300") else "0/1" for n in names]
+    assert body[2][9:] == ["1/1" if n == "s300" else "./." for n in names] and set(body[0][9:]) == {"./."}

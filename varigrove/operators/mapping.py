@@ -126,7 +126,8 @@ def flag_bits(aln: DataFrame) -> DataFrame:
 
 
 def attach_read_groups(aln: DataFrame, groups: DataFrame) -> DataFrame:
-    return lookup_join(aln, groups, ["sample"])
+    """Alignments with the read group of their sample; without one its columns are null."""
+    return lookup_join(aln, groups, ["sample"], "left")
 
 
 def coordinate_sort(aln: DataFrame, order: Sequence[str] = ("rname", "pos", "qname", "flag")) -> DataFrame:

@@ -19,6 +19,8 @@ FILE = ("sample", "mate")
 # Fixed value: start of the common sequencing adapter.
 ADAPTER = "AGATCGGAAGAGCACACGTCTGAACTCCAG"
 ADAPTER_SEED = 12
+# Bases of the adapter that must be left at the end of a read.
+ADAPTER_OVERLAP = 4
 MIN_PHRED = 20
 MAX_BAD_PERCENT = 40
 MIN_LENGTH = 50
@@ -206,9 +208,22 @@ def detect_adapter(reads: DataFrame, k: int = 12, tail: int = 30) -> DataFrame:
 
 # -- trimming ----------------------------------------------------------------
 
-def trim_adapter(reads: DataFrame, adapter: str = ADAPTER, seed: int = ADAPTER_SEED) -> DataFrame:
-    """Cut bases and qualities at the leftmost start of the adapter."""
-    at = F.instr(F.col("seq"), F.lit(adapter[:seed]))
+def adapter_pattern(adapter: str, overlap: int = ADAPTER_OVERLAP) -> str:
+    """The whole adapter, or at the end of a read as much of it as fits, `overlap` bases at least."""
+    rest = ""
+    for letter in reversed(adapter[overlap:]):
+        rest = f"(?:{letter}{rest})?"
+    return f"{adapter}|{adapter[:overlap]}{rest}$"
+
+
+def trim_adapter(reads: DataFrame, adapter: str = ADAPTER, overlap: int = ADAPTER_OVERLAP) -> DataFrame:
+    """Cut bases and qualities at the leftmost start of the adapter.
+
+    The adapter counts as a whole where the read goes on behind it, and by the
+    bases that fit where the read ends in it; a chance match of its first bases
+    is no adapter.
+    """
+    at = F.regexp_instr(F.col("seq"), F.lit(adapter_pattern(adapter, overlap)))
     cut = lambda c: F.when(at > 0, F.substring(F.col(c), F.lit(1), at - 1)).otherwise(F.col(c))
     return reads.withColumns({"seq": cut("seq"), "qual": cut("qual")})
 
@@ -240,9 +255,9 @@ def keep_pairs(reads: DataFrame) -> DataFrame:
     return reads.withColumn("__ok", has_mate()).where("__ok").drop("__ok")
 
 
-def trim(reads: DataFrame) -> DataFrame:
+def trim(reads: DataFrame, adapter: str = ADAPTER) -> DataFrame:
     """Adapter cut, quality filter, length filter, then whole pairs only."""
-    return keep_pairs(length_filter(quality_filter(trim_adapter(reads))))
+    return keep_pairs(length_filter(quality_filter(trim_adapter(reads, adapter))))
 
 
 def trim_report(reads: DataFrame) -> DataFrame:

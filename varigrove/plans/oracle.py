@@ -72,10 +72,16 @@ _VIEWS = {
         select run, raw_snps, pass_snps, round_even((raw_snps - pass_snps) / raw_snps * 100.0, 2) as pct_removed
         from v_runs""",
     "v_cut": """
-        select * replace (
-          case when strpos(seq, 'AGATCGGAAGAG') > 0 then left(seq, strpos(seq, 'AGATCGGAAGAG') - 1) else seq end as seq,
-          case when strpos(seq, 'AGATCGGAAGAG') > 0 then left(qual, strpos(seq, 'AGATCGGAAGAG') - 1) else qual end as qual),
-          length(seq) as len_before from fx_reads""",
+        select * exclude (place, whole, left_over) replace (
+          case when place > 0 then left(seq, place - 1) else seq end as seq, case when place > 0 then left(qual, place - 1) else qual end as qual),
+          length(seq) as len_before
+        from (
+          select *, case when whole > 0 and (left_over is null or whole < left_over) then whole else coalesce(left_over, 0) end as place
+          from (
+            select *, strpos(seq, 'AGATCGGAAGAGCACACGTCTGAACTCCAG') as whole,
+              list_min([length(seq) - n + 1 for n in range(4, 31)
+                        if right(seq, n) = left('AGATCGGAAGAGCACACGTCTGAACTCCAG', n) and length(seq) >= n]) as left_over
+            from fx_reads))""",
     # Test qualities hold 'I' (40) and '#' (2) only.
     "v_judged": """
         select *, case when (length(qual) - length(replace(qual, '#', ''))) * 100 > 40 * length(qual) then 'quality'
@@ -403,7 +409,7 @@ ORACLE: dict[str, str] = {
           (flag & 16) = 16 as reverse, (flag & 64) = 64 as first_mate, flag | 1024 as as_duplicate from fx_alignments""",
     "attach_read_groups": """
         select a.sample, qname, p[1] || '_' || p[2] || '_' || p[3] || '_' || p[5] || '_' || p[6] as rgid, p[4] as lb
-        from fx_alignments a join (select sample, string_split(base, '_') as p from fx_samples
+        from fx_alignments a left join (select sample, string_split(base, '_') as p from fx_samples
                                    where base not like 'Undetermined%') s on a.sample = s.sample""",
     "coordinate_rank": """
         select rname, pos, qname, row_number() over (order by rname, pos, qname, flag) as rank from fx_alignments""",
