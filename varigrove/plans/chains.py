@@ -1,4 +1,7 @@
-"""End-to-end chains: one lazy plan from input tables to the review tables."""
+"""End-to-end chains, from input tables to the review tables.
+
+Some steps measure or checkpoint a side while the plan is built.
+"""
 
 from __future__ import annotations
 
