@@ -41,7 +41,7 @@ def test_later_models_use_earlier_ones():
     second = np.where(rng.random(2000) < 0.95, first, ~first)
     rows = [[int(not f)] for f in first]
     models, limits = toxicity.fit_chain(rows, np.column_stack((first, second)).astype(float), np.arange(2000) % 3, 2)
-    assert models[1].of_earlier[0] > 0.5 and 0.05 <= min(limits) <= max(limits) <= 0.95
+    assert models[1].of_earlier[0] > 0.5 and 0.1 <= min(limits) <= max(limits) <= 0.9
     ids, owner = np.array([r[0] for r in rows]), np.arange(2000)
     found = toxicity.chained(models, ids, owner, 2000)
     assert ((found[:, 1] > 0.5) == first).mean() > 0.99

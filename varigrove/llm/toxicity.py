@@ -112,7 +112,7 @@ def fit_linear(
 
 
 def best_limit(found: np.ndarray, goal: np.ndarray) -> float:
-    """The probability that parts the rows with the highest F1, half way to the next row below; 0.5 if classes lack."""
+    """The probability that parts the rows with the highest F1, half way to the next row below, within 0.1 and 0.9; 0.5 if classes lack."""
     if not 0 < goal.sum() < len(goal):
         return 0.5
     order = np.argsort(-found, kind="stable")
@@ -120,7 +120,7 @@ def best_limit(found: np.ndarray, goal: np.ndarray) -> float:
     f1 = 2 * hits / (np.arange(1, len(goal) + 1) + goal.sum())
     at = int(np.argmax(f1))
     below = found[order[at + 1]] if at + 1 < len(goal) else 0.0
-    return float(np.clip((found[order[at]] + below) / 2, 0.05, 0.95))
+    return float(np.clip((found[order[at]] + below) / 2, 0.1, 0.9))
 
 
 def fit_chain(
