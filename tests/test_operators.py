@@ -543,3 +543,9 @@ def test_a_reference_is_cut_in_one_pass(spark):
 def test_adapter_is_compared_whole(spark, seq, left):
     df = spark.createDataFrame([(seq, "I" * len(seq))], "seq string, qual string")
     assert reads.trim_adapter(df).first().seq == left and len(reads.trim_adapter(df).first().qual) == len(left)
+
+
+def test_manifest_of_named_loci(spark):
+    df = spark.createDataFrame([("b7", 30), ("a10", 20), ("c", 5)], "locus string, length int")
+    got = [tuple(r) for r in recovery.reference_manifest(df).orderBy("offset").collect()]
+    assert got == [("a10", 20, 0, 20), ("b7", 30, 20, 50), ("c", 5, 50, 55)]

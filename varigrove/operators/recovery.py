@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varigrove.functions import names as N
-from varigrove.operators.joins import fill_join, lookup_join, running_total, spread, with_roster
+from varigrove.operators.joins import fill_join, lookup_join, ordered_index, running_total, spread, with_roster
 
 KINDS = {"gene": "exon_len", "supercontig": "supercontig_len"}
 MEAN_ROW = "MeanLength"
@@ -231,8 +231,9 @@ def longest_supercontig(contigs: DataFrame, clean: DataFrame, carry: Sequence[st
 
 
 def reference_manifest(reference: DataFrame, block: int = 4096) -> DataFrame:
-    """Name, length and running offset of the sequences by locus number."""
-    ends = running_total(reference.select("locus", "length"), [], "locus", "length", block, "end_offset")
+    """Name, length and running offset of the sequences in order of their locus, a number or a name."""
+    placed = ordered_index(reference.select("locus", "length"), ["locus"], "__nth")
+    ends = running_total(placed, [], "__nth", "length", block, "end_offset")
     return ends.select(
         F.col("locus").cast("string").alias("name"),
         "length",
