@@ -14,9 +14,9 @@ read beyond the time at which all slots are sure to be taken.
 
 Texts of equal words are one class before any signature is compared. Signatures
 are cut into bands; texts that agree in a band are compared with one member of
-the bucket by their whole bags, and those that it leaves open with the rest of
-the bucket, as far as the triangle inequality of 1 - J allows a link at all.
-Classes are the connected components of the links.
+the bucket by their whole bags; those that this leaves outside the bucket's
+largest component are compared with all of the bucket, in blocks that put out
+links only. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ SLOTS = BANDS * ROWS
 #: Documents whose signatures are drawn together, and words of them at most (one document may have more).
 BATCH_DOCS = 1024
 BATCH_WORDS = 1_000_000
+#: Texts on either side of a block of comparisons.
+BLOCK_TEXTS = 512
 #: Word hashes kept per Python worker: memory, not results, depends on it.
 KEPT_WORDS = 500_000
 
@@ -188,6 +190,37 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.list_(pa.int64()))], names=["content", "bag"])
 
 
+def _near_in_block(threshold: float):  # noqa: ANN202
+    """Of the texts of a block, the pairs (u, v) of an asking and another one that are near and not in one component."""
+
+    def compare(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        asks = block.column("asks").to_numpy(zero_copy_only=False).astype(bool)
+        own = np.unique(np.array(block.column("own").to_pylist(), dtype=object), return_inverse=True)[1]
+        names = block.column("content").to_pylist()
+        bags = block.column("bag").chunk(0)
+        cuts, flat = bags.offsets.to_numpy(), bags.values.to_numpy()
+        sizes = np.diff(cuts)
+        others = np.flatnonzero(~asks)
+        element = np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in others] or [flat[:0]])
+        order = np.argsort(element, kind="stable")
+        element, holder = element[order], np.repeat(np.arange(len(others)), sizes[others])[order]
+        found: set[tuple[bytes, bytes]] = set()
+        for i in np.flatnonzero(asks):
+            mine = flat[cuts[i] : cuts[i + 1]]
+            low, high = np.searchsorted(element, mine, "left"), np.searchsorted(element, mine, "right")
+            n = high - low
+            places = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(holder[places], minlength=len(others))
+            near = both >= threshold * (sizes[i] + sizes[others] - both)
+            for k in others[near & (own[others] != own[i])]:
+                found.add((max(names[i], names[k]), min(names[i], names[k])))
+        pairs = sorted(found)
+        return pa.table({"u": pa.array([u for u, _ in pairs], pa.binary()), "v": pa.array([v for _, v in pairs], pa.binary())})
+
+    return compare
+
+
 def _similarity(a: str, b: str) -> F.Column:
     both = F.size(F.array_intersect(a, b))
     return both / (F.size(a) + F.size(b) - both)
@@ -242,7 +275,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     texts = saved(
         rows.groupBy("content").agg(F.min(first).alias("first"), F.max("n").alias("n"), F.first("bands").alias("bands")), "near-texts"
     )
-    linked = components(_links(shown, texts, threshold))
+    linked = _linked(shown, texts, threshold)
     heads = (
         texts.select("content", "first")
         .join(linked, F.col("content") == F.col("node"), "left")
@@ -251,7 +284,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     best = heads.groupBy("root").agg(F.min("first").alias("best"))
     of_text = heads.join(best, "root").select("content", "root", "best")
     sizes = rows.groupBy("content").agg(F.count(F.lit(1)).alias("k")).join(of_text, "content").groupBy("root").agg(F.sum("k").alias("class_rows"))
-    classes = of_text.join(sizes, "root").select("content", "best", "class_rows")
+    # Written, so that the join below is of two plain shuffles and a text with many copies can be split.
+    classes = saved(of_text.join(sizes, "root").select("content", "best", "class_rows"), "near-classes")
     return rows.join(classes, "content").select(
         "id",
         "a",
@@ -262,14 +296,14 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     )
 
 
-def _links(shown: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (u, v) of contents whose bags are similar enough, enough of them to connect all that agree in a band."""
+def _linked(shown: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) of the contents that are linked to another: the smallest content of their component."""
     placed = texts.where("n > 0").select("content", "n", F.posexplode("bands").alias("band", "bucket"))
     # The member that others are compared with is another one in every band.
     lead = F.min(F.struct(F.xxhash64("content", "band").alias("h"), "content", "n")).alias("lead")
     crowded = placed.groupBy("band", "bucket").agg(lead, F.count(F.lit(1)).alias("members")).where("members > 1")
     members = saved(
-        placed.join(crowded, ["band", "bucket"])
+        placed.join(saved(crowded, "near-buckets"), ["band", "bucket"])
         .where(F.col("content") != F.col("lead.content"))
         .select("band", "bucket", "members", "content", "n", F.col("lead.content").alias("lead"), F.col("lead.n").alias("lead_n")),
         "near-members",
@@ -292,25 +326,40 @@ def _links(shown: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         return pairs.join(left, "u").join(right, "v").select("u", "v", _similarity("x", "y").alias("j"))
 
     judged = saved(verified(pairs), "near-judged")
-    near = judged.where(F.col("j") >= threshold).select("u", "v")
-    # What its lead leaves open may still be near another member. In buckets of two there is none.
-    scored = members.where("members > 2").join(judged, (F.col("content") == F.col("u")) & (F.col("lead") == F.col("v")), "left").select(
-        "band", "bucket", "content", "n", "lead", F.col("j").alias("j")
+    roots = saved(components(judged.where(F.col("j") >= threshold).select("u", "v")), "near-roots")
+
+    def rooted(df: DataFrame, node: str, name: str) -> DataFrame:
+        of = roots.select(F.col("node").alias(node), F.col("root").alias("__root"))
+        return df.join(of, node, "left").withColumn(name, F.coalesce("__root", node)).drop("__root")
+
+    # Texts that agree in a band and are in different components may still be near
+    # to each other. In a bucket, at least one of two such texts is outside its
+    # largest component: those texts are compared with all others, in blocks.
+    # Buckets of two have no such pair, and leads were compared with all.
+    scored = rooted(members.where("members > 2"), "content", "own").select("band", "bucket", "content", "own")
+    shares = scored.groupBy("band", "bucket", "own").agg(F.count(F.lit(1)).alias("k"))
+    largest = shares.groupBy("band", "bucket").agg(
+        F.max(F.struct("k", "own"))["own"].alias("most"), F.sum("k").alias("all"), F.max("k").alias("k")
+    )
+    mixed_buckets = saved(largest.where(F.col("k") < F.col("all")), "near-mixed")
+    placed_in = saved(scored.join(mixed_buckets, ["band", "bucket"]), "near-scored")
+    asks = F.ceil((F.col("all") - F.col("k")) / BLOCK_TEXTS).cast("int")
+    told = F.ceil(F.col("all") / BLOCK_TEXTS).cast("int")
+    block = lambda of: F.pmod(F.xxhash64("content"), of).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), of - 1))
+    asking = placed_in.where("own != most").select(
+        "band", "bucket", block(asks).alias("row"), every(told).alias("col"), F.lit(True).alias("asks"), "content", "own"
     )
-    # Without a similarity to the lead (sizes too far apart), the sizes bound it.
-    loose = scored.where(F.coalesce(F.col("j"), F.lit(0.0)) < threshold)
-    other = scored.select("band", "bucket", F.col("content").alias("v"), F.col("n").alias("vn"), F.col("j").alias("vj"))
-    slack = 1 - threshold
-    possible = F.col("j").isNull() | F.col("vj").isNull() | (F.abs(F.col("j") - F.col("vj")) <= slack + 1e-9)
-    more = (
-        loose.select("band", "bucket", F.col("content").alias("u"), F.col("n").alias("un"), "j")
-        .join(other, ["band", "bucket"])
-        .where((F.col("u") != F.col("v")) & enough(F.col("un"), F.col("vn")) & possible)
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
+    answering = placed_in.select(
+        "band", "bucket", every(asks).alias("row"), block(told).alias("col"), F.lit(False).alias("asks"), "content", "own"
     )
-    open_pairs = saved(more, "near-open")
-    return near.unionByName(verified(open_pairs).where(F.col("j") >= threshold).select("u", "v"))
+    blocks = asking.unionByName(answering).join(bags, "content").groupBy("band", "bucket", "row", "col")
+    late = saved(blocks.applyInArrow(_near_in_block(threshold), "u binary, v binary").distinct(), "near-late")
+    met = saved(components(rooted(rooted(late, "u", "a"), "v", "b").select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-met")
+    # Roots that met late take the smallest of them along.
+    moved = met.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    once = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return once.unionByName(met.join(roots, "node", "left_anti"))
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
