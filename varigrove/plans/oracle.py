@@ -232,6 +232,22 @@ ORACLE: dict[str, str] = {
     "annotation_extract": """
         select chrom as CHROM, pos as POS, qual as QUAL, filter as FILTER, qd as QD, fs as FS, sor as SOR, mq as MQ,
           mqranksum as MQRankSum, readposranksum as ReadPosRankSum, dp as DP from v_tagged_all""",
+    "fasta_file": "select header, seq from fx_targets",
+    "name_list_file": "select cast(locus as varchar) as name from fx_loci",
+    "fastq_file": "select read_id, seq, qual from fx_reads",
+    "sam_file": """
+        select cast(locus as varchar) as rname, cast(pos as bigint) as pos, cast(flag as int) as flag, '100M' as cigar,
+          cast(locus as varchar) as rnext, seq, qual, 'a_b_' || sample as sample,
+          cast(40 * (length(qual) - length(replace(qual, 'I', ''))) as int) as sum_bq
+        from fx_target_alignments""",
+    "vcf_file": """
+        select chrom, pos, ref, alt, qual, qd, fs, sor, mq, mqranksum, readposranksum, dp from fx_sites""",
+    "vcf_genotypes_file": "select chrom, pos, cast(sample as varchar) as sample, gt from fx_genotypes",
+    "annotations_file": """
+        select chrom as CHROM, pos as POS, qual as QUAL, filter as FILTER, qd as QD, fs as FS, sor as SOR, mq as MQ,
+          mqranksum as MQRankSum, readposranksum as ReadPosRankSum, dp as DP from v_tagged_all""",
+    "cohort_file": "select sample, chrom, start, stop, gq from fx_blocks",
+    "run_tables_file": "select * from v_run_table",
     "run_append_union": "select * from v_run_table",
     "sample_map": "select split_part(split_part(path, '/', 2), '_', 1) as sample, path from fx_files where side = 'source'",
     "interval_list": "select name from fx_seqs order by ord",

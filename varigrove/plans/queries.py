@@ -25,7 +25,8 @@ from varigrove.operators import (
 )
 from varigrove.plans import chains
 from varigrove.plans.inputs import Inputs
-from varigrove.sources import tables, vcf
+from varigrove.session import scratch_path
+from varigrove.sources import alignments, fasta, fastq, tables, vcf
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 
@@ -64,6 +65,79 @@ def annotation_extract(x):
     return vcf.annotation_columns(variants.hard_filter(x.sites()))
 
 
+# -- files written from a table and read back --------------------------------
+
+@query
+def fasta_file(x):
+    path = scratch_path(x.spark, "fasta")
+    fasta.write_fasta(x.targets(), path)
+    return fasta.read_fasta(x.spark, path).select("header", "seq")
+
+
+@query
+def name_list_file(x):
+    path = scratch_path(x.spark, "names")
+    fasta.write_names(x.loci(), "locus", path)
+    return fasta.read_names(x.spark, path)
+
+
+@query
+def fastq_file(x):
+    path = scratch_path(x.spark, "fastq")
+    record = F.concat_ws("\n", F.concat(F.lit("@"), F.col("read_id"), F.lit(" mate")), "seq", F.lit("+"), "qual")
+    x.reads().select(record.alias("value")).write.option("compression", "gzip").text(path)
+    return fastq.read_fastq(x.spark, path).select("read_id", "seq", "qual")
+
+
+@query
+def sam_file(x):
+    path = scratch_path(x.spark, "sam")
+    group = F.concat(F.lit("RG:Z:a_b_"), F.col("sample").cast("string"), F.lit("_lane"))
+    fields = ["qname", "flag", "rname", "pos", "mapq", "cigar", F.lit("="), F.lit("0"), F.lit("0"), "seq", "qual", group]
+    text = [F.col(f).cast("string") if isinstance(f, str) else f for f in fields]
+    lines = x.target_alignments().select(F.concat_ws("\t", *text).alias("value"))
+    lines.write.text(path)
+    return alignments.read_sam(x.spark, path).select("rname", "pos", "flag", "cigar", "rnext", "seq", "qual", "sample", "sum_bq")
+
+
+@query
+def vcf_file(x):
+    path = scratch_path(x.spark, "vcf")
+    vcf.write_vcf(x.sites(), path)
+    wanted = ["chrom", "pos", "ref", "alt", "qual", *vcf.INFO_KEYS]
+    return vcf.read_vcf(x.spark, path).select(*wanted)
+
+
+@query
+def vcf_genotypes_file(x):
+    path = scratch_path(x.spark, "vcf")
+    vcf.write_vcf(x.sites(), path, x.genotypes())
+    names = vcf.sample_columns(x.spark, path)
+    return vcf.genotypes(vcf.read_vcf(x.spark, path), names).select("chrom", "pos", "sample", "gt")
+
+
+@query
+def annotations_file(x):
+    path = scratch_path(x.spark, "annotations")
+    vcf.export_annotations(variants.hard_filter(x.sites()), path)
+    return x.spark.read.csv(path, sep="\t", header=True, schema=vcf.ANNOTATIONS, nullValue=".")
+
+
+@query
+def cohort_file(x):
+    path = scratch_path(x.spark, "cohort")
+    tables.create_cohort(x.blocks(), path)
+    return x.spark.read.parquet(path).select("sample", "chrom", "start", "stop", "gq")
+
+
+@query
+def run_tables_file(x):
+    path = scratch_path(x.spark, "runs")
+    for name in ("first", "second"):
+        tables.append_run(_run(x, name), path, name)
+    return tables.read_runs(x.spark, path, "run string, raw_snps long, pass_snps long, pct_removed double")
+
+
 def _run(x, name):
     """Counts of the first run, and of a second one with a stricter depth."""
     sites = x.sites() if name == "first" else cohort.depth_filter(x.sites(), 610, 3000)

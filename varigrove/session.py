@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +34,12 @@ def build(master: str | None = None, app: str = "varigrove", **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named in `spark.checkpoint.dir`.
 
