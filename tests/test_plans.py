@@ -2,20 +2,20 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SMALL
+from varigrove.plans import queries
 
-# The exact p-value of the strand table, on one row per site.
-PYTHON_QUERIES = {"fisher_strand", "annotated_sites"}
+# The exact p-value of the strand table, on one row per site; lines of FASTQ files folded into records.
+PYTHON_QUERIES = {"fisher_strand", "annotated_sites", "fastq_file"}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.registered()))
 def test_plan(spark, name):
-    text = plan(entry.queries()[name](spark, SMALL))
+    text = plan(queries.registered()[name](spark, SMALL))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     if name not in PYTHON_QUERIES:
