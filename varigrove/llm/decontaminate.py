@@ -256,8 +256,9 @@ def decontaminate(
     found, (n_words, spans, n_hit, items) = find_overlaps(docs, benchmark, text=text, **options)
     long = F.exists(quoted(spans), lambda s: s[1] - s[0] > F.lit(max_span)) if max_span is not None else F.lit(False)
     stays = found.where(~long & (quoted(n_hit) <= quoted(n_words) * F.lit(max_coverage)))
-    cut = F.when(quoted(n_hit) > 0, _without(quoted(text), quoted(spans))).otherwise(quoted(text))
-    return stays.withColumn(text, cut).drop(n_words, spans, n_hit, items)
+    if max_coverage > 0:  # else no row with a hit is left
+        stays = stays.withColumn(text, _without(quoted(text), quoted(spans)))
+    return stays.drop(n_words, spans, n_hit, items)
 
 
 @F.pandas_udf(T.StringType())

@@ -51,7 +51,8 @@ def exact_groups(
     # Rows that are the same in all of this are one row with a count from here on.
     same = classed.groupBy("hash", "tie", "doc_id", "len", "text_sha256").agg(F.count(F.lit(1)).alias("times"))
     best = F.min(F.struct(-F.col("len"), F.col("doc_id").isNull(), F.col("doc_id").alias("id")))
-    groups = same.groupBy("hash", "tie").agg(F.sum("times").alias("group_size"), best.alias("best"))
+    # Written, so that the join below is of two plain shuffles and a large group can be split.
+    groups = saved(same.groupBy("hash", "tie").agg(F.sum("times").alias("group_size"), best.alias("best")), "exact-groups")
     first = (F.col("best.id").eqNullSafe(F.col("doc_id"))) & (F.col("best.col1") == -F.col("len"))
     return (
         same.join(groups, ["hash", "tie"])
