@@ -38,12 +38,12 @@ BANDS = 20
 ROWS = 5
 SLOTS = BANDS * ROWS
 #: Documents whose signatures are drawn together, and words of them at most (one document may have more).
-BATCH_DOCS = 1024
-BATCH_WORDS = 1_000_000
+BATCH_DOCS = 512
+BATCH_WORDS = 300_000
 #: Texts on either side of a block of comparisons.
 BLOCK_TEXTS = 512
-#: Word hashes kept per Python worker: memory, not results, depends on it.
-KEPT_WORDS = 500_000
+#: Word hashes kept within a task: memory, not results, depends on it.
+KEPT_WORDS = 300_000
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -174,6 +174,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = batch.slice(start, len(lines))
                 yield _described(lines, texts[start : n + 1], part.column(0), part.column(1))
                 start, lines, held = n + 1, [], 0
+    _WORDS.clear()  # workers are used again, by other stages too
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

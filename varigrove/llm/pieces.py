@@ -16,8 +16,8 @@ _BLANK_BEFORE_SPACE = re.compile(r" (?:\s|\Z)")
 
 #: Pieces and pre-tokens kept per Python worker, and the longest kept: memory,
 #: not results, depends on them.
-KEPT_PIECES = 400_000
-KEPT_TOKENS = 600_000
+KEPT_PIECES = 300_000
+KEPT_TOKENS = 500_000
 LONGEST = 48
 
 #: Fixed values of byte-level BPE: its pre-tokens, with white space as Unicode's property ...
