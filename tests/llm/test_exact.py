@@ -8,7 +8,7 @@ from cases import SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from varigrove.llm import exact
+from varigrove.llm import exact, queries
 
 
 def brute(rows):
@@ -25,9 +25,10 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-def test_oracle(spark, con):
-    assert compare.differences(spark, con, SMALL, "op2_exact_dedup") == []
-    assert "op2_exact_dedup" in entry.oracle_sql()
+@pytest.mark.parametrize("name", list(queries.oracle()))
+def test_oracle(spark, con, name):
+    assert compare.differences(spark, con, SMALL, name) == []
+    assert name in entry.oracle_sql() and name in entry.queries()
 
 
 @pytest.mark.parametrize("digest", [exact.content_hash, lambda c: F.lit(b"same"), lambda c: F.substring(exact.content_hash(c), 1, 1)])

@@ -27,8 +27,15 @@ MOST = 2
 #: Blocks of a source: one per so many words, and never more than MAX_BLOCKS;
 #: beyond that, blocks grow and nothing else changes.
 BLOCK_WORDS = 50_000
-MAX_BLOCKS = 65_536
-SHARDS = 16
+MAX_BLOCKS = 1 << 20
+#: Words of an output shard, about 50 MB; their number is the next power of two.
+SHARD_WORDS = 8_000_000
+#: Sources that are broadcast at most, about 100 bytes each.
+BROADCAST_SOURCES = 100_000
+#: Levels of the splitting tree in one plan; after as many, what is split is written and spread.
+LEVELS = 6
+#: Rows added at the end to come near a target.
+REFINED = 2
 SEED = 7
 
 
@@ -112,7 +119,7 @@ def hypergeometric(good: Column, bad: Column, draws: Column, chance: Column) ->
     )
 
 
-def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def split_quotas(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """source, shard, quota: the blocks `quota` of each source dealt to `shards` shards.
 
     `shards` is a power of two. Shards differ by one block at most, and the
@@ -124,6 +131,8 @@ def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     entry = F.struct(F.col("source").isNull().alias("none"), F.col("source"), F.col("quota").cast("long").alias("quota"))
     tree = quotas.agg(F.array_sort(F.collect_list(entry)).alias("held")).select(F.lit(0).cast("long").alias("node"), "held")
     for level in range(levels):
+        if level and level % LEVELS == 0:
+            tree = saved(tree.repartition("node"), "mix-tree")
         all_of = F.aggregate("held", F.lit(0).cast("long"), lambda a, e: a + e.quota)
         empty = F.expr("cast(array() as array<bigint>)")
         drawn = F.aggregate(
@@ -166,33 +175,40 @@ def draw(
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    shards: int = SHARDS,
+    keep: Sequence[str] | None = None,
+    shards: int | None = None,
     weights: Sequence[float] = WEIGHTS,
     share: float = SHARE,
     most: float = MOST,
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
-) -> tuple[DataFrame, list[str]]:
-    """Each row of `docs` with what the mix takes of it, and the names of the four columns added.
+) -> tuple[DataFrame, list[str], int]:
+    """Each row of `docs` with what the mix takes of it; the names of the four columns added; the number of shards.
 
     The columns: size (words), source_size, target, and an array with the shard
-    of each copy taken. Null texts have size 0 and a null source is a source of
-    its own. Equal rows are drawn one by one. Empty tables give no rows.
+    of each copy taken. Of `docs` the columns `keep` are returned, all by
+    default. Null texts have size 0 and a null source is a source of its own.
+    Equal rows are drawn one by one. Empty tables give no rows.
     """
-    names = [free_name(docs.columns, n) for n in ("size", "source_size", "target", "shards")]
+    keep = docs.columns if keep is None else list(keep)
+    names = [free_name(keep, n) for n in ("size", "source_size", "target", "shards")]
     packed = docs.select(
-        F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
+        F.struct(*[quoted(c) for c in keep]).alias("row"),
         # Keeps the order of code points, and null last, without nulls to join on.
         F.coalesce(F.concat(F.lit("s"), quoted(source).cast("string")), F.lit("t")).alias("source"),
         word_count(quoted(text)).alias("size"),
         F.xxhash64(F.lit(seed), quoted(key), quoted(text)).alias("place"),
         quoted(key).alias("id"),
     )
-    # One row per source: as many as the recipe names, so it may be broadcast.
     goal = saved(targets(packed.select("source", "size"), weights, share, most), "mix-targets").withColumn(
         "blocks", F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("source_size") / block_words) + 1).cast("int")
     )
-    sized = packed.join(F.broadcast(goal), "source").withColumn("block", F.pmod("place", "blocks").cast("int"))
+    held = goal.agg(F.count(F.lit(1)).alias("sources"), F.sum("target").alias("words")).first()
+    if shards is None:
+        shards = 1 << int((held.words or 0) / SHARD_WORDS).bit_length()
+    # One row per source. So many that they don't fit are met by a plain join instead, with the same rows.
+    near = F.broadcast(goal) if held.sources <= BROADCAST_SOURCES else goal
+    sized = packed.join(near, "source").withColumn("block", F.pmod("place", "blocks").cast("int"))
 
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     permuted = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), F.lit("block"), "block"), "block")
@@ -224,33 +240,34 @@ def draw(
     )
     blocks = parts.join(tickets, ["source", "block"], "left").select("source", "block", "full", "left", "words", "to")
 
-    met = sized.join(blocks, ["source", "block"])
-    # Only the last block of a source is cut, so only its rows are put in order:
-    # a run of them that fits, then the one row that comes nearest to what is left.
-    cut = (F.col("left") > 0) & (F.col("left") < F.col("words"))
+    # The last block of a source is cut: a run of its rows in order of their hash
+    # that fits, then, REFINED times, the row that comes nearest to what is left.
+    # The join has dealt the rows by block, so looking at blocks moves nothing more.
     block = Window.partitionBy("source", "block")
-    inside = block.orderBy("place", "id", "size")
-    nearest = block.orderBy("run", "gap", "place", "id")
-    clear = met.where(~cut).withColumn("partly", F.col("left") > 0)
-    edge = (
-        met.where(cut)
-        .withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("run", F.col("upto") <= F.col("left"))
-        .withColumn("open", F.col("left") - F.coalesce(F.max(F.when(F.col("run"), F.col("upto"))).over(block), F.lit(0)))
-        .withColumn("gap", F.abs(F.col("size") - F.col("open")))
-        .withColumn("nearest", (F.row_number().over(nearest) == 1) & (F.col("gap") < F.col("open")))
-        .withColumn("partly", F.col("run") | F.col("nearest"))
-        .drop("upto", "run", "open", "gap", "nearest")
+    inside = block.orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    met = (
+        sized.join(blocks, ["source", "block"])
+        .withColumn("upto", F.sum("size").over(inside))
+        .withColumn("partly", (F.col("left") > 0) & (F.col("upto") <= F.col("left")))
+        .withColumn("open", F.greatest(F.col("left"), F.lit(0)) - F.coalesce(F.max(F.when(F.col("partly"), F.col("upto"))).over(block), F.lit(0)))
     )
+    for _ in range(REFINED):
+        nearest = F.row_number().over(block.orderBy("partly", "gap", "place", "id"))
+        met = (
+            met.withColumn("gap", F.abs(F.col("size") - F.col("open")))
+            .withColumn("added", ~F.col("partly") & (nearest == 1) & (F.col("gap") < F.abs("open")))
+            .withColumn("open", F.col("open") - F.coalesce(F.max(F.when(F.col("added"), F.col("size"))).over(block), F.lit(0)))
+            .withColumn("partly", F.col("partly") | F.col("added"))
+        )
     copies = F.col("full") + F.col("partly").cast("int")
     none = F.expr("cast(array() as array<bigint>)")
     to = F.when(copies > 0, F.slice(F.transform("to", lambda t: t.shard), 1, copies)).otherwise(none)
-    drawn = clear.unionByName(edge).select(
-        *[F.col("row").getField(c).alias(c) for c in docs.columns],
+    drawn = met.select(
+        *[F.col("row").getField(c).alias(c) for c in keep],
         *[F.col(c).alias(n) for c, n in zip(("size", "source_size", "target"), names)],
         to.alias(names[3]),
     )
-    return drawn, names
+    return drawn, names, shards
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -260,8 +277,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     Options as for `draw`. The columns are those of `docs`.
     """
     seed = options.get("seed", SEED)
-    shards = options.get("shards", SHARDS)
-    drawn, (_, _, _, to) = draw(docs, **options)
+    drawn, (_, _, _, to), shards = draw(docs, **options)
     shard, place = free_name(drawn.columns, "shard"), free_name(drawn.columns, "place")
     key = options.get("key", "doc_id")
     return (

@@ -84,7 +84,7 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of each document; see `mixing.draw`."""
-    drawn, (size, source_size, target, shards) = mixing.draw(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    drawn, (size, source_size, target, shards), _ = mixing.draw(table(spark, folder, "documents"), keep=["doc_id"])
     return drawn.select("doc_id", size, source_size, target, (F.col(size) * F.size(shards)).alias("taken"))
 
 
@@ -127,6 +127,11 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+_WORDS_SQL = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
 ORACLE = {
     "op2_exact_dedup": r"""
         with d as (
@@ -141,6 +146,43 @@ ORACLE = {
         )
         select doc_id, keep_id, group_size, kept, sha256(norm) as text_sha256 from n
     """,
+    "op3_benchmark_overlap": rf"""
+        with d as (
+            select doc_id, {_WORDS_SQL} as w from documents
+        ), b as (
+            select cast(item_id as varchar) as item, {_WORDS_SQL} as w from benchmark
+        ), bw as (
+            select distinct item, n, array_to_string(w[i : i + n - 1], ' ') as run
+            from (select item, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from b where len(w) > 0)
+        ), dw as (
+            select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') as run
+            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+                  from d, (select distinct n from bw) where len(w) >= n)
+        ), met as (
+            select doc_id, item, i, n from dw join bw using (n, run)
+        ), hits as (
+            select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(i, i + n)) as at from met) group by doc_id
+        ), items as (
+            select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+            from (select distinct doc_id, item from met) group by doc_id
+        )
+        select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join hits using (doc_id) left join items using (doc_id)
+    """,
+    "op5_chat_format": rf"""
+        with c as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all values (-1, 0, 'user', '{TRAP}'), (-1, 1, 'assistant', '{TRAP}')
+        )
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+               cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+               cast(sum(length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|'))
+                        + {len(chat.START) + len(chat.END) + 2}) as bigint) as formatted_chars
+        from c group by conv_id
+    """,
 }
 
 
