@@ -93,6 +93,20 @@ def test_mix_repeats_what_is_drawn(spark):
     assert got == Counter({k: v for k, v in want.items() if v})
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_long_documents_leave_no_gap(spark, seed):
+    """One document is half of its source; small rows of other blocks fill what it leaves open."""
+    rows = [(0, "w " * 100_000, "a"), *((n, "w " * (2 + n % 9), "a") for n in range(1, 17_000)), (17_000, "w " * 90_000, "b")]
+    rows += [(20_000 + n, "w " * 50, None) for n in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
+    drawn, names, _ = mixing.draw(docs, keep=["doc_id", "source"], shards=4, block_words=5_000, share=0.9, seed=seed)
+    got = drawn.selectExpr("*", f"size * size({names[3]}) as taken").toPandas()
+    assert len(got) == len(rows) and all((got.taken / got["size"]).between(0, 2))
+    for s, least in (("a", 2), (None, 50)):
+        part = got[got.source.isna() if s is None else got.source == s]
+        assert abs(part.taken.sum() - part.target.iloc[0]) <= least / 2 + 1e-6
+
+
 def test_odd_rows(odd, none):
     drawn, names, _ = mixing.draw(odd)
     rows = drawn.collect()

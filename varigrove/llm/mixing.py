@@ -1,8 +1,8 @@
 """Mixing sources to target weights: exact block quotas split among output shards.
 
 The documents of a source fall into blocks by hash. A source's target is filled
-with whole blocks in permuted order, and the last block is cut between two
-documents. The blocks drawn are dealt to output shards by a splitting tree: each
+with whole blocks in permuted order, and from the block that is too long on with
+those rows that fit. The blocks drawn are dealt to output shards by a splitting tree: each
 node holds one quota per source and gives its left child a multivariate
 hypergeometric draw of half of its blocks. So a shard's mixture is distributed
 as if all blocks had been shuffled at once, and no step sorts them all.
@@ -34,8 +34,6 @@ SHARD_WORDS = 8_000_000
 BROADCAST_SOURCES = 100_000
 #: Levels of the splitting tree in one plan; after as many, what is split is written and spread.
 LEVELS = 6
-#: Rows added at the end to come near a target.
-REFINED = 2
 SEED = 7
 
 
@@ -170,6 +168,127 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     return tree.select(F.col("node").alias("shard"), F.inline("held")).select("source", "shard", "quota").where("quota > 0")
 
 
+def _bits(number: Column | str) -> Column:
+    """Length of a number in binary digits, 0 for what is under 1."""
+    number = F.col(number) if isinstance(number, str) else number
+    return F.when(number >= 1, F.length(F.bin(F.floor(number)))).otherwise(0)
+
+
+def _at(nth: str, row: Column) -> Column:
+    """Place of a row in its source: blocks in permuted order, rows by number."""
+    return F.col(nth).cast("long") * F.lit(1 << 32) + row
+
+
+def _inside(spans: str, bits: Column, at: Column) -> Column:
+    return F.exists(spans, lambda p: (bits <= p.bits) & (at < p.end))
+
+
+def _walked(held: Column | str, goal: Column) -> Column:
+    """open, spans: `held` rows (at, size, bits) taken in order up to `goal` words, and what is left of it.
+
+    At the first row that does not fit, those of as many binary digits as what
+    is left are set aside, so all that go on being met fit by themselves; the
+    next that does not fit is larger than what is then left, and so on. `spans`
+    has the most digits taken up to each such place.
+    """
+
+    def step(a: Column, x: Column) -> Column:
+        asked = x.bits <= a.bits
+        taken = asked & (x.size <= a.open)
+        left = F.when(taken, a.open - x.size).otherwise(a.open)
+        over, done = asked & ~taken, taken & (left < 1)
+        span = F.struct(a.bits.alias("bits"), F.when(done, x["at"] + 1).otherwise(x["at"]).alias("end"))
+        return F.struct(
+            left.alias("open"),
+            F.when(done, 0).when(over, F.greatest(_bits(left) - 1, F.lit(0))).otherwise(a.bits).alias("bits"),
+            F.when(over | done, F.concat(a.spans, F.array(span))).otherwise(a.spans).alias("spans"),
+        )
+
+    nothing = F.expr("cast(array() as array<struct<bits:int,end:bigint>>)")
+    start = F.struct(goal.alias("open"), (_bits(goal) + 1).alias("bits"), nothing.alias("spans"))
+    end = F.coalesce(F.try_element_at(held, F.lit(-1))["at"] + 1, F.lit(0).cast("long"))
+    return F.aggregate(
+        held,
+        start,
+        step,
+        lambda a: F.struct(a.open.alias("open"), F.concat(a.spans, F.array(F.struct(a.bits.alias("bits"), end.alias("end")))).alias("spans")),
+    )
+
+
+def _filled(rows: DataFrame, sums: DataFrame, placed: DataFrame) -> DataFrame:
+    """source, nth, spans, extra, back: how blocks are taken in part.
+
+    From the cut block on, rows are taken in order (`spans`). At the end, rows set
+    aside are no shorter than the highest binary digit of what is left: one may
+    fit yet, and then one may come nearer from above (`extra`). Where too little
+    stands behind a long row to fill what it was set aside for, it is taken
+    instead, and rows are given back for it from the end on (`back`), if that
+    comes nearer.
+
+    Rows of as many digits are needed only until their words reach what is left
+    at the cut: by then all is filled or they are set aside. In front of the cut
+    it is the longest row that they have to reach. So what one task walks over
+    follows from the words of a block and of a row, not from those of the source.
+    """
+    cut = placed.where("left > 0 and words > left").select("source", F.col("nth").alias("first"), F.col("left").alias("open"))
+    longest = sums.groupBy("source").agg(F.pow(F.lit(2.0), F.max("bits")).alias("longest"))
+    near = sums.where("bits > 0").join(placed.select("source", "block", "nth"), ["source", "block"]).join(cut.join(longest, "source"), "source")
+    behind = F.col("nth") >= F.col("first")
+    before = (
+        Window.partitionBy("source", "bits", behind)
+        .orderBy(F.abs(F.col("nth") - F.col("first")))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    wanted = (
+        near.withColumn("met", F.coalesce(F.sum("words").over(before), F.lit(0)))
+        .where(F.col("met") < F.when(behind, F.col("open")).otherwise(F.col("longest")))
+        .select("source", "block", "bits", "nth", "first", "open")
+    )
+    entry = F.struct(_at("nth", F.col("nth_row")).alias("at"), "size", "bits")
+    no_rows, no_spans = F.expr("cast(array() as array<bigint>)"), F.expr("cast(array() as array<struct<bits:int,end:bigint>>)")
+    walked = (
+        rows.join(wanted, ["source", "block", "bits"])
+        .groupBy("source", "first", "open")
+        .agg(F.array_sort(F.collect_list(entry)).alias("held"))
+        .withColumn("ahead", F.filter("held", lambda x: x["at"] < _at("first", F.lit(0))))
+        .withColumn("held", F.filter("held", lambda x: x["at"] >= _at("first", F.lit(0))))
+        .withColumn("walk", _walked("held", F.col("open")))
+        .select("source", "first", "ahead", "held", "walk.spans", "walk.open")
+        .withColumn("aside", F.filter("held", lambda x: ~_inside("spans", x.bits, x["at"])))
+        .withColumn("extra", no_rows)
+        .withColumn("off", F.col("open"))
+    )
+    for _ in ("from below", "from above"):
+        gaps = F.transform(
+            F.filter("aside", lambda x: ~F.array_contains("extra", x["at"])),
+            lambda x: F.struct(F.abs(x.size - F.col("off")).alias("gap"), x["at"].alias("at"), x.size.alias("size")),
+        )
+        walked = (
+            walked.withColumn("nearest", F.array_min(gaps))
+            .withColumn("comes", F.coalesce(F.col("nearest.gap") < F.col("off"), F.lit(False)))
+            .withColumn("extra", F.when(F.col("comes"), F.concat("extra", F.array("nearest.at"))).otherwise(F.col("extra")))
+            .withColumn("off", F.when(F.col("comes"), F.col("off") - F.col("nearest.size")).otherwise(F.col("off")))
+        )
+    longer = F.transform(F.filter("aside", lambda x: x.size > F.col("open")), lambda x: F.struct(x.size.alias("size"), x["at"].alias("at")))
+    given = F.filter(F.concat("ahead", "held"), lambda x: (x["at"] < _at("first", F.lit(0))) | _inside("spans", x.bits, x["at"]))
+    backwards = F.transform(F.reverse(given), lambda x: F.struct((-x["at"]).alias("at"), x.size.alias("size"), x.bits.alias("bits")))
+    walked = (
+        walked.withColumn("long", F.array_min(longer))
+        .withColumn("given", backwards)
+        .withColumn("walk", F.when(F.col("long").isNotNull(), _walked("given", F.col("long.size") - F.col("open"))))
+        .withColumn("better", F.coalesce(F.col("walk.open") < F.abs("off"), F.lit(False)))
+        .withColumn("extra", F.when(F.col("better"), F.array("long.at")).otherwise(F.col("extra")))
+        .withColumn("back", F.when(F.col("better"), F.col("walk.spans")).otherwise(no_spans))
+    )
+    touched = F.filter(
+        F.concat("ahead", "held"),
+        lambda x: F.array_contains("extra", x["at"])
+        | F.when(x["at"] < _at("first", F.lit(0)), _inside("back", x.bits, -x["at"])).otherwise(_inside("spans", x.bits, x["at"])),
+    )
+    hit = F.array_distinct(F.transform(touched, lambda x: F.floor(x["at"] / F.lit(1 << 32)).cast("int")))
+    return walked.select("source", F.explode(hit).alias("nth"), "spans", "extra", "back")
+
+
 def draw(
     docs: DataFrame,
     key: str = "doc_id",
@@ -210,19 +329,30 @@ def draw(
     near = F.broadcast(goal) if held.sources <= BROADCAST_SOURCES else goal
     sized = packed.join(near, "source").withColumn("block", F.pmod("place", "blocks").cast("int"))
 
+    # A table of a few numbers per row: rows of a block are numbered in order of their hash.
+    in_block = F.row_number().over(Window.partitionBy("source", "block").orderBy("place", "size"))
+    rows = saved(sized.select("source", "block", "size", _bits("size").alias("bits"), in_block.alias("nth_row")), "mix-rows")
+    sums = saved(rows.groupBy("source", "block", "bits").agg(F.sum("size").alias("words")), "mix-sums")
+
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     permuted = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), F.lit("block"), "block"), "block")
     ahead = F.coalesce(F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = saved(
-        sized.groupBy("source", "block")
-        .agg(F.sum("size").alias("words"), F.max("source_size").alias("source_size"), F.max("target").alias("target"))
+    placed = saved(
+        sums.groupBy("source", "block")
+        .agg(F.sum("words").alias("words"))
+        .join(near, "source")
         .withColumn("full", whole.cast("int"))
         .withColumn("left", F.col("target") - F.col("full") * F.col("source_size") - ahead)
-        .withColumn("nth", F.row_number().over(permuted))
-        .withColumn("tickets", F.col("full") + F.when(F.col("left") > 0, 1).otherwise(0))
-        .select("source", "block", "words", "full", "left", "nth", "tickets"),
+        .select("source", "block", "words", "full", "left", F.row_number().over(permuted).alias("nth")),
         "mix-blocks",
     )
+    filled = saved(_filled(rows, sums, placed), "mix-filled")
+    parts = (
+        placed.join(filled, ["source", "nth"], "left")
+        .withColumn("all", (F.col("left") > 0) & (F.col("words") <= F.col("left")))
+        .withColumn("tickets", F.col("full") + (F.col("all") | F.col("spans").isNotNull()).cast("int"))
+        .select("source", "block", "full", "all", "nth", "spans", "extra", "back", "tickets")
+    )
 
     # Tickets of a source are numbered copy by copy in permuted order; its shards draw runs of that order.
     quotas = split_quotas(parts.groupBy("source").agg(F.sum("tickets").alias("quota")), shards, seed)
@@ -238,27 +368,15 @@ def draw(
         .groupBy("source", "block")
         .agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("to"))
     )
-    blocks = parts.join(tickets, ["source", "block"], "left").select("source", "block", "full", "left", "words", "to")
-
-    # The last block of a source is cut: a run of its rows in order of their hash
-    # that fits, then, REFINED times, the row that comes nearest to what is left.
-    # The join has dealt the rows by block, so looking at blocks moves nothing more.
-    block = Window.partitionBy("source", "block")
-    inside = block.orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    met = (
-        sized.join(blocks, ["source", "block"])
-        .withColumn("upto", F.sum("size").over(inside))
-        .withColumn("partly", (F.col("left") > 0) & (F.col("upto") <= F.col("left")))
-        .withColumn("open", F.greatest(F.col("left"), F.lit(0)) - F.coalesce(F.max(F.when(F.col("partly"), F.col("upto"))).over(block), F.lit(0)))
-    )
-    for _ in range(REFINED):
-        nearest = F.row_number().over(block.orderBy("partly", "gap", "place", "id"))
-        met = (
-            met.withColumn("gap", F.abs(F.col("size") - F.col("open")))
-            .withColumn("added", ~F.col("partly") & (nearest == 1) & (F.col("gap") < F.abs("open")))
-            .withColumn("open", F.col("open") - F.coalesce(F.max(F.when(F.col("added"), F.col("size"))).over(block), F.lit(0)))
-            .withColumn("partly", F.col("partly") | F.col("added"))
-        )
+    blocks = parts.join(tickets, ["source", "block"], "left").select("source", "block", "full", "all", "nth", "spans", "extra", "back", "to")
+
+    # The join has dealt the rows by block, so numbering them again moves nothing more.
+    met = sized.join(blocks, ["source", "block"]).withColumn("at", _at("nth", in_block)).withColumn("bits", _bits("size"))
+    worded = F.col("size") > 0
+    some = F.coalesce(worded & _inside("spans", F.col("bits"), F.col("at")), F.lit(False))
+    returned = F.coalesce(worded & _inside("back", F.col("bits"), -F.col("at")), F.lit(False))
+    chosen = F.coalesce(F.array_contains("extra", F.col("at")), F.lit(False))
+    met = met.withColumn("partly", chosen | ((F.col("all") | some) & ~returned))
     copies = F.col("full") + F.col("partly").cast("int")
     none = F.expr("cast(array() as array<bigint>)")
     to = F.when(copies > 0, F.slice(F.transform("to", lambda t: t.shard), 1, copies)).otherwise(none)
