@@ -133,6 +133,22 @@ def test_layers(wrapped):
     assert max(e - s for _, s, e in added) >= len(wrapped.removesuffix("%253D%253D")) - 2
 
 
+def lines(run, width=64):
+    return "\n".join(run[n : n + width] for n in range(0, len(run), width))
+
+
+NOISE = " ".join(hashlib.sha256(b"%d" % n).hexdigest()[:20] for n in range(200))
+
+
+@pytest.mark.parametrize("before", [1 << 20, (1 << 20) - 3000, (1 << 20) - 9000])
+def test_runs_over_a_stretch_are_whole(before):
+    inner = b64(gzip.compress((" ".join(hashlib.sha256(b"%d" % n).hexdigest()[:20] for n in range(2000)) + " " + PLAIN).encode()))
+    assert len(inner) > 20_000
+    for run in (inner,):
+        text = "x y " * ((before - 8000) // 4) + " " + run + " end" * 1000
+        assert secrets.find_secrets(b64(gzip.compress(text.encode())))[1]
+
+
 def test_layers_leave_open_secrets_alone():
     text = f"{PLAIN} and {quote(PLAIN, safe='')}"
     base, added = secrets.find_secrets(text)

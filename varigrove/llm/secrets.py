@@ -12,15 +12,13 @@ ends when no layer is new.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import html
 import lzma
 import re
 import zlib
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote_to_bytes
 
 import numpy as np
@@ -45,12 +43,19 @@ _ESCAPES = re.compile(
     r"|(?P<reference>&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|amp|lt|gt|quot|apos);)"
 )
 _ESCAPED = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
-_MAGIC = ((b"\x1f\x8b", "gzip"), (b"x\x01", "zlib"), (b"x\x9c", "zlib"), (b"x\xda", "zlib"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"), (b"(\xb5/\xfd", "zstd"))
-
-#: Decompressed data is unwrapped in stretches of this size that overlap by OVERLAP, so memory stays bounded.
+# A run goes on over line ends (with blanks that indent the next line), so wrapped lines are one run.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_LINE_END = re.compile(r"\r?\n[\x20\t]*")
+_SEPARATOR = re.compile(r"[+/_-]")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_MAGIC = ((b"\x1f\x8b", "gzip"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"), (b"(\xb5/\xfd", "zstd"))
+
+#: Decompressed data is read in stretches of this size; a layer of it overlaps the last
+#: by OVERLAP at least, and by the whole of an encoded run or secret that its end cuts.
 STRETCH = 1 << 20
 OVERLAP = 1 << 12
+#: Bytes that an encoded run or a secret is made of; line ends are in wrapped base64.
+_RUN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.%\\{}&#;:\"'\r\n-"
 
 
 def scan(text: str) -> Iterator[tuple[str, int, int]]:
@@ -68,9 +73,9 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text, and for each of its characters where in the original it begins and ends."""
+    """A text, and where in the original each of its characters begins and ends: arrays, or one pair for all."""
 
-    def __init__(self, text: str, begin: np.ndarray, end: np.ndarray):
+    def __init__(self, text: str, begin: np.ndarray | int, end: np.ndarray | int):
         self.text, self.begin, self.end = text, begin, end
 
     @classmethod
@@ -79,35 +84,47 @@ class Layer:
         return cls(text, at, at + 1)
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
+        if isinstance(self.begin, int):
+            return self.begin, self.end
         return int(self.begin[start:end].min()), int(self.end[start:end].max())
 
+    def layers(self) -> Iterator[Layer]:
+        """The layers right below, made as they are taken."""
+        if (plain := self.replaced()) is not None:
+            yield plain
+        yield from self.inside()
+
     def replaced(self) -> Layer | None:
         """The layer with its escapes replaced, or None if it has none."""
+        one = isinstance(self.begin, int)
         parts, begins, ends, at = [], [], [], 0
         for m in _ESCAPES.finditer(self.text):
             plain = _plain(m)
             if plain == m[0]:
                 continue
-            start, stop = self.origin(m.start(), m.end())
             parts += [self.text[at : m.start()], plain]
-            begins += [self.begin[at : m.start()], np.full(len(plain), start)]
-            ends += [self.end[at : m.start()], np.full(len(plain), stop)]
+            if not one:
+                start, stop = self.origin(m.start(), m.end())
+                begins += [self.begin[at : m.start()], np.full(len(plain), start)]
+                ends += [self.end[at : m.start()], np.full(len(plain), stop)]
             at = m.end()
         if not at:
             return None
-        return Layer(
-            "".join([*parts, self.text[at:]]), np.concatenate([*begins, self.begin[at:]]), np.concatenate([*ends, self.end[at:]])
-        )
+        text = "".join([*parts, self.text[at:]])
+        if one:
+            return Layer(text, self.begin, self.end)
+        return Layer(text, np.concatenate([*begins, self.begin[at:]]), np.concatenate([*ends, self.end[at:]]))
 
     def inside(self) -> Iterator[Layer]:
-        """Layers of the base64 runs that hold a text or compressed data."""
+        """Layers of what the base64 runs decode to: of each line, and of the lines that one run may be wrapped in."""
         for m in _BASE64.finditer(self.text):
-            data = unbase64(m[0])
-            if data is None:
-                continue
-            start, end = self.origin(m.start(), m.end())
-            for text in texts_of(data):
-                yield Layer(text, np.full(len(text), start), np.full(len(text), end))
+            runs = [(m.start(), m.end())]
+            if "\n" in m[0]:
+                runs += [(m.start() + x.start(), m.start() + x.end()) for x in _LINE.finditer(m[0])]
+            for start, end in runs:
+                origin = self.origin(start, end)
+                for text in _run_texts(_LINE_END.sub("", self.text[start:end])):
+                    yield Layer(text, *origin)
 
 
 def _plain(m: re.Match[str]) -> str:
@@ -122,70 +139,120 @@ def _plain(m: re.Match[str]) -> str:
     return "".join(map(chr, units)).encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
-def unbase64(run: str) -> bytes | None:
+def unbase64(run: str) -> bytes:
+    """Bytes of a run; a last digit that can't stand alone is left out."""
     bare = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(bare) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(bare + "=" * (-len(bare) % 4), validate=True)
-    except binascii.Error:
-        return None
+    bare = bare[: len(bare) - (len(bare) % 4 == 1)]
+    return base64.b64decode(bare + "=" * (-len(bare) % 4))
 
 
-def texts_of(data: bytes) -> Iterator[str]:
-    """The text that `data` is, or the stretches of what it decompresses to; nothing if it is neither."""
-    kind = next((k for magic, k in _MAGIC if data.startswith(magic)), None)
-    if kind:
-        yield from _decompressed(data, kind)
-        return
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return
-    if all(c.isprintable() or c in "\t\r\n" for c in text):
-        yield text
+def _run_texts(run: str) -> Iterator[str]:
+    """Texts that a run holds from any of its characters on: four alignments, and packed data behind a separator."""
+    bare = run.rstrip("=")
+    aligned = [unbase64(bare[k:]) for k in range(4)]
+    yield from texts_of(aligned[0])
+    for m in _SEPARATOR.finditer(""):
+        offset = m.end() // 4 * 3
+        data = aligned[m.end() % 4]
+        if offset and _kind(data[offset : offset + 8]):
+            yield from _decompressed(data[offset:])
+
+
+def _kind(data: bytes) -> str | None:
+    """How packed data begins; any zlib header counts, so a text may look like one."""
+    if data[:2] in (b"x\x01", b"x\x9c", b"x\xda"):
+        return "zlib"
+    return next((k for magic, k in _MAGIC if data.startswith(magic)), None)
 
 
-def _decompressed(data: bytes, kind: str) -> Iterator[str]:
-    if kind == "zstd":
-        chunks = iter(lambda r=zstandard.ZstdDecompressor().stream_reader(data): r.read(STRETCH), b"")
-    else:
-        made = {"gzip": lambda: zlib.decompressobj(31), "zlib": zlib.decompressobj, "bz2": bz2.BZ2Decompressor, "xz": lambda: lzma.LZMADecompressor(memlimit=1 << 28)}
-        chunks = _stretches(made[kind](), data)
-    tail = b""
-    try:
-        for chunk in chunks:
-            yield (tail + chunk).decode("utf-8", "replace")
-            tail = chunk[-OVERLAP:]
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+def texts_of(data: bytes) -> Iterator[str]:
+    """`data` as a text, without its NULs too (UTF-16), and the stretches of what it decompresses to."""
+    if _kind(data):
+        yield from _decompressed(data)
         return
+    text = data.decode("utf-8", "replace")
+    if "\ufffd" not in text and all(c.isprintable() or c in "\t\r\n" for c in text):
+        yield text
 
 
-def _stretches(machine, data: bytes) -> Iterator[bytes]:  # noqa: ANN001
+def _decompressed(data: bytes) -> Iterator[str]:
+    """Texts of what `data` decompresses to. A run of _RUN that a stretch ends in is carried over whole."""
+    held: list[bytes] = []
+    for chunk in _members(data):
+        run = _run_start(chunk)
+        if run == 0:
+            held.append(chunk)
+            continue
+        head = b"".join([*held, chunk[:run]])
+        yield head.decode("utf-8", "replace")
+        held = [head[-OVERLAP:], chunk[run:]]
+    if held:
+        yield b"".join(held).decode("utf-8", "replace")
+
+
+def _run_start(chunk: bytes) -> int:
+    """Where the run begins that `chunk` ends in; blanks that indent a line belong to it."""
+    at = len(chunk)
     while True:
-        chunk = machine.decompress(data, STRETCH)
-        data = getattr(machine, "unconsumed_tail", b"")
-        if not chunk:
-            return
-        yield chunk
+        at = len(chunk[:at].rstrip(_RUN))
+        line = len(chunk[:at].rstrip(b" \t"))
+        if line == at or (line and chunk[line - 1 : line] != b"\n"):
+            return at
+        at = line
+
+
+_MACHINES: dict[str, Callable] = {
+    "gzip": lambda: zlib.decompressobj(31),
+    "zlib": zlib.decompressobj,
+    "bz2": bz2.BZ2Decompressor,
+    "xz": lambda: lzma.LZMADecompressor(memlimit=1 << 28),
+}
+
+
+def _members(data: bytes) -> Iterator[bytes]:
+    """Stretches of all members one behind the other, and what stands behind the last."""
+    first = True
+    while kind := _kind(data):
+        try:
+            if kind == "zstd":
+                reader = zstandard.ZstdDecompressor().stream_reader(data)
+                yield from iter(lambda: reader.read(STRETCH), b"")
+                return
+            machine = _MACHINES[kind]()
+            rest = data
+            while not machine.eof:
+                chunk = machine.decompress(rest, STRETCH)
+                rest = getattr(machine, "unconsumed_tail", b"")
+                if not chunk and not machine.eof:
+                    return
+                if chunk:
+                    yield chunk
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+            break
+        data, first = b"", False
+    if data and not first:
+        yield data
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Open secrets of a text, and those of its inner layers that no open one of their kind covers."""
     base = list(scan(text))
     added: set[tuple[str, int, int]] = set()
-    first = Layer.whole(text) if _may_wrap(text) else None
-    todo = deque([first] if first else [])
-    seen = {_digest(text)}
+    todo = [Layer.whole(text).layers()] if _may_wrap(text) else []
+    own = _digest(text)
+    seen: set[tuple[bytes, int, int]] = set()
     while todo:
-        layer = todo.popleft()
-        found = [layer.replaced(), *layer.inside()]
-        for inner in found:
-            if inner is None or not inner.text or (key := _digest(inner.text) + inner.begin[:1].tobytes()) in seen or _digest(inner.text) in seen:
-                continue
-            seen.add(key)
-            added |= {(kind, *inner.origin(s, e)) for kind, s, e in scan(inner.text)}
-            todo.append(inner)
+        inner = next(todo[-1], None)
+        if inner is None:
+            todo.pop()
+            continue
+        digest = _digest(inner.text)
+        if not inner.text or digest == own or (key := (digest, *inner.origin(0, 1))) in seen:
+            continue
+        seen.add(key)
+        added |= {(kind, *inner.origin(s, e)) for kind, s, e in scan(inner.text)}
+        if _may_wrap(inner.text):
+            todo.append(inner.layers())
     new = [x for x in added if not any(k == x[0] and s <= x[1] and x[2] <= e for k, s, e in base)]
     return base, sorted(new)
 
