@@ -140,6 +140,12 @@ def lines(run, width=64):
 NOISE = " ".join(hashlib.sha256(b"%d" % n).hexdigest()[:20] for n in range(200))
 
 
+@pytest.mark.parametrize("around", ["\u00a0", "\u3000", "\u200d", "\u00ad", "\ufeff", "\f", "\0"])
+def test_any_decoded_text_is_scanned(around):
+    assert secrets.find_secrets(f"a {b64(around + ' ' + PLAIN)} b")[1]
+    assert secrets.find_secrets(f"a {b64(PLAIN.encode('utf-16'))} b")[1]
+
+
 @pytest.mark.parametrize("before", [1 << 20, (1 << 20) - 3000, (1 << 20) - 9000])
 def test_runs_over_a_stretch_are_whole(before):
     inner = b64(gzip.compress((" ".join(hashlib.sha256(b"%d" % n).hexdigest()[:20] for n in range(2000)) + " " + PLAIN).encode()))

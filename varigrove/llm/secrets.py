@@ -167,12 +167,10 @@ def _kind(data: bytes) -> str | None:
 
 def texts_of(data: bytes) -> Iterator[str]:
     """`data` as a text, without its NULs too (UTF-16), and the stretches of what it decompresses to."""
-    if _kind(data):
-        yield from _decompressed(data)
-        return
-    text = data.decode("utf-8", "replace")
-    if "\ufffd" not in text and all(c.isprintable() or c in "\t\r\n" for c in text):
-        yield text
+    yield data.decode("utf-8", "replace")
+    if b"\0" in data:
+        yield data.replace(b"\0", b"").decode("utf-8", "replace")
+    yield from _decompressed(data)
 
 
 def _decompressed(data: bytes) -> Iterator[str]:
