@@ -146,11 +146,19 @@ def test_any_decoded_text_is_scanned(around):
     assert secrets.find_secrets(f"a {b64(PLAIN.encode('utf-16'))} b")[1]
 
 
+@pytest.mark.parametrize("prefix", ["x/", "id_", "abc-", "a/b/", "k_"])
+def test_base64_behind_a_prefix_and_over_lines(prefix):
+    for inner in (f"{NOISE} {PLAIN}".encode(), gzip.compress(f"{NOISE} {PLAIN}".encode()), zlib.compress(PLAIN.encode())):
+        assert secrets.find_secrets(f"a {prefix}{b64(inner)} b")[1]
+        for wrapped in (lines(b64(inner)), lines(b64(inner), 76).replace("\n", "\r\n  ")):
+            assert secrets.find_secrets(f"a\n{wrapped}\nb")[1]
+
+
 @pytest.mark.parametrize("before", [1 << 20, (1 << 20) - 3000, (1 << 20) - 9000])
 def test_runs_over_a_stretch_are_whole(before):
     inner = b64(gzip.compress((" ".join(hashlib.sha256(b"%d" % n).hexdigest()[:20] for n in range(2000)) + " " + PLAIN).encode()))
     assert len(inner) > 20_000
-    for run in (inner,):
+    for run in (inner, lines(inner)):
         text = "x y " * ((before - 8000) // 4) + " " + run + " end" * 1000
         assert secrets.find_secrets(b64(gzip.compress(text.encode())))[1]
 

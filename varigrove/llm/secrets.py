@@ -44,7 +44,7 @@ _ESCAPES = re.compile(
 )
 _ESCAPED = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 # A run goes on over line ends (with blanks that indent the next line), so wrapped lines are one run.
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)*={0,2}")
 _LINE_END = re.compile(r"\r?\n[\x20\t]*")
 _SEPARATOR = re.compile(r"[+/_-]")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -150,8 +150,9 @@ def _run_texts(run: str) -> Iterator[str]:
     """Texts that a run holds from any of its characters on: four alignments, and packed data behind a separator."""
     bare = run.rstrip("=")
     aligned = [unbase64(bare[k:]) for k in range(4)]
-    yield from texts_of(aligned[0])
-    for m in _SEPARATOR.finditer(""):
+    for data in aligned:
+        yield from texts_of(data)
+    for m in _SEPARATOR.finditer(bare):
         offset = m.end() // 4 * 3
         data = aligned[m.end() % 4]
         if offset and _kind(data[offset : offset + 8]):
