@@ -154,6 +154,13 @@ def test_base64_behind_a_prefix_and_over_lines(prefix):
             assert secrets.find_secrets(f"a\n{wrapped}\nb")[1]
 
 
+@pytest.mark.parametrize("level", range(10))
+def test_all_members_of_packed_data(level):
+    assert secrets.find_secrets(b64(zlib.compress(PLAIN.encode(), level)))[1]
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.compress):
+        assert secrets.find_secrets(b64(pack(b"nothing here") + pack(PLAIN.encode())))[1]
+
+
 @pytest.mark.parametrize("before", [1 << 20, (1 << 20) - 3000, (1 << 20) - 9000])
 def test_runs_over_a_stretch_are_whole(before):
     inner = b64(gzip.compress((" ".join(hashlib.sha256(b"%d" % n).hexdigest()[:20] for n in range(2000)) + " " + PLAIN).encode()))

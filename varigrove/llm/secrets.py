@@ -161,7 +161,7 @@ def _run_texts(run: str) -> Iterator[str]:
 
 def _kind(data: bytes) -> str | None:
     """How packed data begins; any zlib header counts, so a text may look like one."""
-    if data[:2] in (b"x\x01", b"x\x9c", b"x\xda"):
+    if len(data) > 1 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
         return "zlib"
     return next((k for magic, k in _MAGIC if data.startswith(magic)), None)
 
@@ -214,7 +214,7 @@ def _members(data: bytes) -> Iterator[bytes]:
     while kind := _kind(data):
         try:
             if kind == "zstd":
-                reader = zstandard.ZstdDecompressor().stream_reader(data)
+                reader = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True)
                 yield from iter(lambda: reader.read(STRETCH), b"")
                 return
             machine = _MACHINES[kind]()
@@ -228,7 +228,7 @@ def _members(data: bytes) -> Iterator[bytes]:
                     yield chunk
         except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
             break
-        data, first = b"", False
+        data, first = machine.unused_data.lstrip(b"\0"), False
     if data and not first:
         yield data
 
