@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from varigrove.plans import queries
 from varigrove.sources import alignments, fasta, fastq, tables, vcf
 from varigrove.streaming import resume
 
@@ -263,3 +264,18 @@ def test_vcf_has_contigs_in_the_order_of_the_genome(spark, tmp_path):
     assert [x[:2] for x in body] == [["chr2", "3"], ["chr2", "9"], ["chr10", "5"], ["other", "1"]]
     assert body[1][9:] == ["./." if n in ("s001", "s300") else "0/1" for n in names]
     assert body[2][9:] == ["1/1" if n == "s300" else "./." for n in names] and set(body[0][9:]) == {"./."}
+
+
+def test_matrix_has_all_loci(inputs, monkeypatch):
+    """The query's wide table has a column for each locus, and gives back each cell."""
+    seen = []
+    unpivot = tables.unpivot_matrix
+    monkeypatch.setattr(tables, "unpivot_matrix", lambda wide, value="n": seen.append(wide) or unpivot(wide, value))
+    queries.matrix_unpivot(inputs)
+    loci = {str(r.locus) for r in inputs.contigs().select("locus").distinct().collect()}
+    assert len(loci) > 11 and {c for w in seen for c in w.columns[1:]} == loci
+    copies = inputs.contigs().groupBy("sample", F.col("locus").cast("string").alias("locus")).agg(F.count("*").alias("n"))
+    blocks = list(tables.pivot_blocks(copies, width=70))
+    assert len(blocks) == -(-len(loci) // 70) and all(len(w.columns) <= 71 for w in blocks)
+    got = tables.unpivot_blocks(inputs.spark, blocks).withColumn("sample", F.col("sample").cast(copies.schema["sample"].dataType))
+    assert rows(got, "sample", "locus") == rows(copies, "sample", "locus")

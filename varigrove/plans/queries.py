@@ -161,11 +161,12 @@ def interval_list(x):
 
 @query
 def matrix_unpivot(x):
-    # Samples by linkage group keeps the file narrow; cells are copy counts.
-    group = F.concat(F.lit("group_"), (F.col("locus") % 11).cast("string"))
-    copies = x.contigs().groupBy("sample", group.alias("locus")).agg(F.count(F.lit(1)).alias("n"))
-    wide = tables.pivot_matrix(copies)
-    return tables.unpivot_matrix(wide).where(F.col("n").isNotNull())
+    # The wide table has all loci; the oracle is told by linkage group, so groups are summed behind it.
+    copies = x.contigs().groupBy("sample", F.col("locus").cast("string").alias("locus")).agg(F.count(F.lit(1)).alias("n"))
+    sample = copies.schema["sample"].dataType
+    long = tables.unpivot_blocks(x.spark, tables.pivot_blocks(copies)).withColumn("sample", F.col("sample").cast(sample))
+    group = F.concat(F.lit("group_"), (F.col("locus").cast("bigint") % 11).cast("string"))
+    return long.groupBy("sample", group.alias("locus")).agg(F.sum("n").alias("n"))
 
 
 @query
