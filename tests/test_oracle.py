@@ -4,7 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from paths import SMALL
 from varigrove.plans import oracle, queries
 
 # Nothing to find in so few rows; tested on a larger folder and by hand elsewhere.

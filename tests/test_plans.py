@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SMALL
+from paths import SMALL
 from varigrove.plans import queries
 
 # The exact p-value of the strand table, on one row per site; lines of FASTQ files folded into records.
