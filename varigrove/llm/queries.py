@@ -9,7 +9,19 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varigrove.llm import bagminhash, chat, decontaminate, exact, mixing, pii, secrets, token_counts, token_files, toxicity
+from varigrove.llm import (
+    bagminhash,
+    chat,
+    decontaminate,
+    exact,
+    lexical,
+    mixing,
+    pii,
+    secrets,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from varigrove.llm.common import saved, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -111,6 +123,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", *names, (F.col(names[1]) >= chain.limits[1]).alias("toxic"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for each item of `benchmark`; see `lexical.search`."""
+    index = lexical.build(table(spark, folder, "documents"))
+    return lexical.search(index, table(spark, folder, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_near_dedup,
@@ -123,6 +141,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secret_scan,
         op9_token_counts,
         op10_toxicity,
+        op11_lexical_search,
     ]
     return {f.__name__: f for f in own}
 
@@ -170,6 +189,33 @@ ORACLE = {
                sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from d left join hits using (doc_id) left join items using (doc_id)
     """,
+    "op11_lexical_search": r"""
+        with d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from documents
+        ), sizes as (
+            select doc_id, cast(len(t) as bigint) as n from d where len(t) > 0
+        ), total as (
+            select count(*) as docs, cast(sum(n) as bigint) as words from sizes
+        ), tfs as (
+            select doc_id, term, count(*) as tf from (select doc_id, unnest(t) as term from d) group by doc_id, term
+        ), asked as (
+            select item_id, term, count(*) as c from (
+              select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+            group by item_id, term
+        ), weights as (
+            select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w
+            from tfs, total group by term, docs
+        ), scored as (
+            select item_id, doc_id, cast(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) as bigint) as score
+            from asked join weights using (term) join tfs using (term) join sizes using (doc_id), total
+            group by item_id, doc_id
+        )
+        select item_id, cast(rank as integer) as rank, doc_id, score from (
+            select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+        where rank <= 10
+    """,
     "op5_chat_format": rf"""
         with c as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
