@@ -16,6 +16,7 @@ from varigrove.llm import (
     exact,
     lexical,
     mixing,
+    negatives,
     pii,
     secrets,
     token_counts,
@@ -129,6 +130,13 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(index, table(spark, folder, "benchmark"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth row of `embeddings`, a seventh of them labelled anew; see `negatives.hard_negatives`."""
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=label)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_near_dedup,
@@ -142,6 +150,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_token_counts,
         op10_toxicity,
         op11_lexical_search,
+        op12_hard_negatives,
     ]
     return {f.__name__: f for f in own}
 
@@ -216,6 +225,31 @@ ORACLE = {
             select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
         where rank <= 10
     """,
+    "op12_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+            from embeddings
+            where label is not null and embedding is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+                   cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) as bigint) as score
+            from v a join v b on a.vec_id % 100 = 0 and len(a.q) = len(b.q)
+        ), positives as (
+            select * from (
+                select anchor_id, vec_id as positive_id, score as positive_score,
+                       row_number() over (partition by anchor_id order by score desc, vec_id) as place
+                from scored where same and vec_id <> anchor_id)
+            where place <= 5
+        )
+        select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from (
+            select p.anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+                   row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank
+            from positives p join scored s on p.anchor_id = s.anchor_id and not same
+              and 80 * positive_score <= 100 * score and score <= positive_score)
+        where rank <= 5
+    """,
     "op5_chat_format": rf"""
         with c as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
