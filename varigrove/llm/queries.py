@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from varigrove.llm import (
     chat,
     decontaminate,
     exact,
+    fingerprints,
     lexical,
     mixing,
     negatives,
@@ -137,6 +140,39 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=label)
 
 
+@lru_cache(maxsize=2)
+def _walked(text: str) -> tuple[fingerprints.Walk, str]:
+    """The walk up to where the edit of a text begins, and the fingerprint of the whole; a text comes as next and then itself."""
+    letters = fingerprints.letters_of(text)
+    stays = len(letters) - len(letters) // 2
+    walk = fingerprints.Walk().feed(letters[:stays])
+    return walk, walk.copy().feed(letters[stays:]).fingerprint()
+
+
+def edited_likeness(text: str, following: str) -> tuple[int, str, str, str, float, float, int]:
+    """A text, and itself with its second half replaced by the beginning of the following one."""
+    half = len(text) // 2
+    walk, mark = _walked(text)
+    new = fingerprints.letters_of(following[:half])
+    edited = walk.copy().feed(new).fingerprint()
+    digest = hashlib.sha256((text[: len(text) - half] + following[:half]).encode("utf-8", "surrogatepass")).hexdigest()
+    shared = set(fingerprints.bands(mark)) & set(fingerprints.bands(edited))
+    next_mark = _walked(following)[1]
+    near, near_next = fingerprints.likeness(mark, edited), fingerprints.likeness(mark, next_mark)
+    return len(text), digest, mark, edited, near, near_next, len(shared)
+
+
+EDITED = (
+    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+    "near_next double, bands_edited int"
+)
+
+
+def op13_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of each document and of its edit by the next one, and their likeness; see `fingerprints`."""
+    return fingerprints.with_next(table(spark, folder, "documents"), edited_likeness, EDITED)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_near_dedup,
@@ -151,6 +187,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_toxicity,
         op11_lexical_search,
         op12_hard_negatives,
+        op13_document_fingerprints,
     ]
     return {f.__name__: f for f in own}
 
