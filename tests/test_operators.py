@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators import calling, cohort, mapping, paralogs, reads, recovery, samples, variants
+from varigrove.operators import calling, cohort, genotyping, mapping, paralogs, reads, recovery, samples, variants
 from varigrove.plans import chains
 
 
@@ -263,31 +263,91 @@ def test_rank_sum_by_brute_force(spark):
         assert got[pos].mq_rank_sum == pytest.approx(z)
 
 
+def pair_likelihoods(piled, alleles):
+    """log10 likelihood of every pair of alleles, base by base."""
+    out = []
+    for j in range(len(alleles)):
+        for i in range(j + 1):
+            total = 0.0
+            for base, q in piled:
+                e = min(10 ** (-q / 10), 0.75)
+                fits = (base == alleles[i]) + (base == alleles[j])
+                total += log10(1 - e) if fits == 2 else log10((1 - e) / 2 + e / 6) if fits == 1 else log10(e / 3)
+            out.append(total)
+    return out
+
+
 def test_likelihoods_and_calls(spark):
     data = [("s", "c", 1, "A", "A", 30, 60, 0, 1)] * 4 + [("s", "c", 2, "A", b, 20, 60, 0, 1) for b in "ACAC"]
     data += [("s", "c", 3, "A", "C", 30, 60, 0, 1)] * 3 + [("s", "c", 4, "A", "A", 0, 60, 0, 1)]
-    likelihoods = calling.genotype_likelihoods(spark.createDataFrame(data, PILE))
+    data += [("s", "c", 5, "T", b, 25, 60, 0, 1) for b in "GGCCGN"]
+    data += [("s", "c", 6, "T", b, 22, 60, 0, 1) for b in "TGA"]  # 0/1, 0/2 and 1/2 are equal
+    likelihoods = genotyping.genotype_likelihoods(spark.createDataFrame(data, PILE))
     one = {r.pos: r for r in likelihoods.collect()}
-    e = 10**-3
-    assert one[1].l0 == pytest.approx(4 * log10(1 - e))
-    assert one[1].l2 == pytest.approx(4 * log10(e / 3))
-    assert one[4].l0 is not None
-    got = calling.call_genotypes(likelihoods)
-    assert rows(got.select("pos", "gt"), "pos")[:3] == [(1, "0/0"), (2, "0/1"), (3, "1/1")]
+    for pos, alleles in ((1, ["A", "<NON_REF>"]), (2, ["A", "C"]), (3, ["A", "C"]), (5, ["T", "G", "C"]), (6, ["T", "A", "G"])):
+        assert one[pos].alleles == alleles
+        mine = [(d[4], d[5]) for d in data if d[2] == pos and d[4] != "N"]
+        assert one[pos].gl == pytest.approx(pair_likelihoods(mine, alleles))
+        assert one[pos].ad == [sum(b == a for b, _ in mine) for a in alleles] == one[pos].site_ad
+    assert all(g is not None for g in one[4].gl)
+    got = genotyping.call_genotypes(likelihoods)
+    calls = {r.pos: r for r in got.collect()}
+    assert [calls[p].gt for p in (1, 2, 3, 5, 6)] == ["0/0", "0/1", "1/1", "1/2", "0/1"]
+    assert len(calls[5].pl) == 6 and min(calls[5].pl) == 0
     assert got.agg(F.max("gq")).first()[0] <= 99
-    quality = {r.pos: r.qual for r in calling.site_quality(likelihoods).collect()}
+    quality = {r.pos: r.qual for r in genotyping.site_quality(likelihoods).collect()}
     assert quality[3] > 60 > quality[1] >= 0
+    assert genotyping.genotype_likelihoods(spark.createDataFrame([], PILE)).collect() == []
+
+
+def test_two_alternatives_at_one_site(spark):
+    """Samples that are C/C and G/G at an A site have different genotypes, and the site is not biallelic."""
+    data = [(s, "c", 7, "A", b, 30, 60, n % 2, n) for s, b in (("x", "C"), ("y", "G"), (None, "C")) for n in range(6)]
+    data += [("x", "c", 8, "A", b, 30, 60, n % 2, n) for n, b in enumerate("ACACAC")]
+    piled = spark.createDataFrame(data, PILE)
+    calls = genotyping.call_genotypes(genotyping.genotype_likelihoods(piled))
+    assert {(r.sample, r.pos): r.gt for r in calls.collect()} == {("x", 7): "1/1", ("y", 7): "2/2", (None, 7): "1/1", ("x", 8): "0/1"}
+    none = spark.createDataFrame([], "sample string, chrom string, start long, stop long, gq int")
+    joint = {r.pos: r for r in chains.joint_chain(piled, none).collect()}
+    assert (joint[7].alleles, joint[7].ac, joint[7].an, joint[7].hom_alt, joint[7].het) == (["A", "C", "G"], [4, 2], 6, 3, 0)
+    assert joint[7].af == pytest.approx([2 / 3, 1 / 3]) and joint[8].ac == [1] and joint[8].no_call == 2
+    sites = calling.annotate_sites(piled)
+    assert rows(sites.select("pos", "alt"), "pos") == [(7, "C,G"), (8, "C")]
+    assert rows(chains.site_chain(piled).select("pos", "alt")) == [(8, "C")]
+
+
+def test_site_quality_is_the_posterior_of_no_alternative(spark):
+    """Against the sum over all genotypes of all samples at every frequency."""
+    draw = np.random.default_rng(4)
+    data = [(s, "c", 1, "A", str(draw.choice(list("AAACCG"))), int(draw.integers(5, 20)), 60, 0, 1) for s in ("x", "y", "z") for _ in range(4)]
+    likelihoods = genotyping.genotype_likelihoods(spark.createDataFrame(data, PILE))
+    got = genotyping.site_quality(likelihoods).first().qual
+    samples_ = likelihoods.collect()
+    ad = samples_[0].site_ad
+    share = [0.0] + [n / sum(ad[1:]) for n in ad[1:]]
+    weights = {}
+    for f, prior in [(0.0, 0.999)] + [(f, 0.001 / f / sum(1 / x for x in genotyping.FREQUENCIES)) for f in genotyping.FREQUENCIES]:
+        q = [1 - f] + [f * s for s in share[1:]]
+        chance = prior
+        for r in samples_:
+            pairs = [(i, j) for j in range(len(q)) for i in range(j + 1)]
+            chance *= sum(10**g * q[i] * q[j] * (1 if i == j else 2) for g, (i, j) in zip(r.gl, pairs))
+        weights[f] = chance
+    assert got == pytest.approx(-10 * log10(weights[0.0] / sum(weights.values())), abs=1e-6)
 
 
 def test_joint_cells_use_blocks_and_no_calls(spark):
     calls = spark.createDataFrame([("a", "c", 5, "0/1", 40, 9)], "sample string, chrom string, pos long, gt string, gq int, dp long")
-    sites = spark.createDataFrame([("c", 5)], "chrom string, pos long")
-    blocks = spark.createDataFrame([("b", "c", 1, 9, 30)], "sample string, chrom string, start long, stop long, gq int")
-    names = spark.createDataFrame([("a",), ("b",), ("d",)], "sample string")
+    sites = spark.createDataFrame([("c", 5, "A", ["A", "C", "G"])], "chrom string, pos long, ref string, alleles array<string>")
+    schema = "sample string, chrom string, start long, stop long, gq int"
+    blocks = spark.createDataFrame([("b", "c", 1, 9, 30), (None, "c", 2, 9, 20)], schema)
+    names = spark.createDataFrame([("a",), ("b",), ("d",), (None,)], "sample string")
     cells = calling.joint_cells(calls, sites, names, blocks)
-    assert rows(cells.select("sample", "gt", "gq"), "sample") == [("a", "0/1", 40), ("b", "0/0", 30), ("d", "./.", None)]
-    row = calling.joint_genotype(cells).first()
-    assert (row.ac, row.an, row.af, row.no_call) == (1, 4, 0.25, 1)
+    assert rows(cells.select("sample", "gt", "gq"), "sample") == [
+        (None, "0/0", 20), ("a", "0/1", 40), ("b", "0/0", 30), ("d", "./.", None)
+    ]
+    row = genotyping.joint_genotype(cells, sites).first()
+    assert (row.ac, row.an, row.af, row.no_call) == ([1, 0], 6, [1 / 6, 0.0], 1)
 
 
 def test_chain_from_reads_to_tagged_sites(spark):
@@ -495,7 +555,7 @@ def test_only_evidence_is_piled_up(spark):
     piled = calling.pileup_on(records(spark), reference)
     seen = sorted((r.pos, r.ref, r.base, r.strand) for r in piled.collect())
     assert seen == [(1, "A", "A", 0), (1, "A", "A", 1), (2, "C", "C", 0), (2, "C", "C", 1), (3, "G", "G", 0), (3, "G", "G", 1), (4, "T", "T", 0)]
-    assert calling.candidate_sites(calling.genotype_likelihoods(piled)).count() == 0
+    assert genotyping.candidate_sites(genotyping.genotype_likelihoods(piled)).count() == 0
     depth = {r.pos: r.depth for r in mapping.depth(records(spark)).collect()}
     assert depth == {1: 2, 2: 2, 3: 2, 4: 2}
 
@@ -514,7 +574,7 @@ def test_samples_of_blocks_are_in_the_roster(spark):
     piled = spark.createDataFrame(rows, "sample int, chrom string, pos long, ref string, base string, bq int, mapq int, strand int, read_pos int")
     blocks = spark.createDataFrame([(4, "c", 1, 9, 50), (5, "c", 6, 9, 50), (1, "c", 1, 9, 50)], "sample int, chrom string, start long, stop long, gq int")
     one = chains.joint_chain(piled, blocks).first()
-    assert (one.called, one.no_call, one.hom_alt, one.ac, one.an) == (4, 1, 3, 6, 8)
+    assert (one.called, one.no_call, one.hom_alt, one.ac, one.an) == (4, 1, 3, [6], 8)
     mapped = chains.joint_chain(piled, blocks, spark.createDataFrame([(9,)], "sample int")).first()
     assert (mapped.called, mapped.no_call) == (4, 2)
 

@@ -19,15 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varigrove.functions import bases as B
-from varigrove.operators.joins import interval_join, lookup_join, with_roster
+from varigrove.operators import genotyping
+from varigrove.operators.genotyping import SITE
+from varigrove.operators.joins import interval_join, lookup_join, null_safe_join, with_roster
 from varigrove.operators.mapping import aligned_stretches
 
-GQ_CAP = 99
 CONFIDENT_GQ = 20
 BLOCK_SPAN = 1 << 16
 
-SITE = ("chrom", "pos")
-STATES = ("0/0", "0/1", "1/1")
+HOM_REF = "0/0"
 
 
 # -- evidence ----------------------------------------------------------------
@@ -131,48 +131,7 @@ def allele_counts(piled: DataFrame) -> DataFrame:
     )
 
 
-def site_alleles(piled: DataFrame) -> DataFrame:
-    """Reference and most frequent other base per site; ties by base."""
-    counts = piled.where(_is_alt()).groupBy(*SITE, "ref", "base").agg(F.count(F.lit(1)).alias("n"))
-    top = F.min(F.struct((-F.col("n")).alias("r"), "base"))["base"]
-    return counts.groupBy(*SITE).agg(F.min("ref").alias("ref"), top.alias("alt"))
-
-
-# -- likelihoods and calls ---------------------------------------------------
-
-def _likelihood_columns() -> list[Column]:
-    """Depth and log10 likelihoods of 0/0, 0/1 and 1/1 as aggregates."""
-    # A quality under 1.25 says less than a random base; it is not used further.
-    e = F.least(B.error_probability(F.col("bq")), F.lit(0.75))
-    right, wrong = F.log10(1 - e), F.log10(e / 3)
-    either = F.log10((1 - e) / 2 + e / 6)
-    alt = _is_alt()
-    return [
-        F.count(F.lit(1)).alias("dp"),
-        F.count(F.when(alt, 1)).alias("alt_dp"),
-        F.sum(F.when(alt, wrong).otherwise(right)).alias("l0"),
-        F.sum(either).alias("l1"),
-        F.sum(F.when(alt, right).otherwise(wrong)).alias("l2"),
-    ]
-
-
-def genotype_likelihoods(piled: DataFrame) -> DataFrame:
-    """log10 likelihoods of 0/0, 0/1 and 1/1 per sample and site."""
-    return piled.groupBy("sample", *SITE, "ref").agg(*_likelihood_columns())
-
-
-def call_genotypes(likelihoods: DataFrame) -> DataFrame:
-    """Best genotype under a flat prior, scaled likelihoods and its quality."""
-    top = F.greatest("l0", "l1", "l2")
-    pl = [F.round((top - F.col(c)) * 10.0).cast("int") for c in ("l0", "l1", "l2")]
-    gt = F.when(F.col("l0") == top, STATES[0]).when(F.col("l1") == top, STATES[1]).otherwise(STATES[2])
-    second = F.sort_array(F.array("pl0", "pl1", "pl2"))[1]
-    return (
-        likelihoods.withColumns({"gt": gt, "pl0": pl[0], "pl1": pl[1], "pl2": pl[2]})
-        .withColumn("gq", F.least(second, F.lit(GQ_CAP)))
-        .select("sample", *SITE, "ref", "dp", "alt_dp", "gt", "gq", "pl0", "pl1", "pl2")
-    )
-
+# -- reference-confidence intervals ------------------------------------------
 
 def reference_blocks(calls: DataFrame, confident: int = CONFIDENT_GQ, span: int = BLOCK_SPAN) -> DataFrame:
     """Runs of adjacent hom-ref positions of one confidence band.
@@ -184,7 +143,7 @@ def reference_blocks(calls: DataFrame, confident: int = CONFIDENT_GQ, span: int
     """
     band = F.when(F.col("gq") >= confident, "confident").otherwise("low")
     keys = ["sample", "chrom", "band"]
-    hom = calls.where(F.col("gt") == STATES[0]).select(
+    hom = calls.where(F.col("gt") == HOM_REF).select(
         "sample", "chrom", "pos", "gq", band.alias("band"), F.floor(F.col("pos") / span).alias("__s")
     )
     inside = Window.partitionBy(*keys, "__s").orderBy("pos")
@@ -212,7 +171,7 @@ def reference_blocks(calls: DataFrame, confident: int = CONFIDENT_GQ, span: int
 
 def combine_cohort(calls: DataFrame, blocks: DataFrame) -> DataFrame:
     """Variant calls and reference-confidence intervals of all samples in one table."""
-    variant = calls.where(F.col("gt") != STATES[0]).select(
+    variant = calls.where(F.col("gt") != HOM_REF).select(
         "sample",
         "chrom",
         F.col("pos").alias("start"),
@@ -222,36 +181,23 @@ def combine_cohort(calls: DataFrame, blocks: DataFrame) -> DataFrame:
         F.lit(False).alias("is_block"),
     )
     interval = blocks.select(
-        "sample", "chrom", "start", "stop", F.lit(STATES[0]).alias("gt"), "gq", F.lit(True).alias("is_block")
+        "sample", "chrom", "start", "stop", F.lit(HOM_REF).alias("gt"), "gq", F.lit(True).alias("is_block")
     )
     return variant.unionByName(interval)
 
 
-def candidate_sites(likelihoods: DataFrame) -> DataFrame:
-    """Sites where at least one sample shows the alternative."""
-    return (
-        likelihoods.groupBy(*SITE, "ref")
-        .agg(
-            F.max("alt_dp").alias("max_alt_dp"),
-            F.sum("dp").alias("dp"),
-            F.count(F.when(F.col("alt_dp") > 0, 1)).alias("samples_with_alt"),
-        )
-        .where(F.col("max_alt_dp") > 0)
-    )
-
-
 def blocks_over_sites(blocks: DataFrame, sites: DataFrame) -> DataFrame:
     """Every reference-confidence interval with the sites it covers."""
     return interval_join(blocks, sites.select(*SITE), "chrom", "start", "stop", "pos")
 
 
 def cohort_grid(sites: DataFrame, samples: DataFrame, calls: DataFrame) -> DataFrame:
-    """One cell per site and sample; `./.` where there is no call.
+    """One cell per site and sample, a null sample among them; `./.` where there is no call.
 
     The join key is the cell itself, so no key is hot.
     """
     cells = with_roster(sites.select(*SITE), samples, "sample")
-    return cells.join(calls, [*SITE, "sample"], "left").withColumn("gt", F.coalesce("gt", F.lit("./.")))
+    return null_safe_join(cells, calls, [*SITE, "sample"], "left").withColumn("gt", F.coalesce("gt", F.lit("./.")))
 
 
 def joint_cells(calls: DataFrame, sites: DataFrame, samples: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
@@ -269,9 +215,9 @@ def joint_cells(calls: DataFrame, sites: DataFrame, samples: DataFrame, blocks:
     )
     silent = F.col("gt") == "./."
     return (
-        grid.join(covered, [*SITE, "sample"], "left")
+        null_safe_join(grid, covered, [*SITE, "sample"], "left")
         .withColumn("gq", F.when(silent, F.col("__block_gq")).otherwise(F.col("gq")))
-        .withColumn("gt", F.when(silent & F.col("__block_gq").isNotNull(), STATES[0]).otherwise(F.col("gt")))
+        .withColumn("gt", F.when(silent & F.col("__block_gq").isNotNull(), HOM_REF).otherwise(F.col("gt")))
         .drop("__block_gq")
     )
 
@@ -284,47 +230,20 @@ def known_cells(calls: DataFrame, sites: DataFrame, blocks: DataFrame) -> DataFr
     own = calls.join(sites.select(*SITE), list(SITE), "left_semi").select("sample", *SITE, "gt")
     covered = blocks_over_sites(blocks, sites).select("sample", *SITE, F.lit(None).cast("string").alias("gt"))
     merged = own.unionByName(covered).groupBy("sample", *SITE).agg(F.max("gt").alias("gt"))
-    return merged.withColumn("gt", F.coalesce("gt", F.lit(STATES[0])))
+    return merged.withColumn("gt", F.coalesce("gt", F.lit(HOM_REF)))
 
 
-def joint_counts(cells: DataFrame, samples: DataFrame) -> DataFrame:
-    """As `joint_genotype`, from the filled cells and the roster of `samples`.
+def joint_counts(cells: DataFrame, sites: DataFrame, samples: DataFrame) -> DataFrame:
+    """As `genotyping.joint_genotype`, from the filled cells and the roster of `samples`.
 
     Cells that are not there are counted as the rest of the roster.
     """
     size = samples.select("sample").distinct().agg(F.count(F.lit(1)).alias("n"))
-    return joint_genotype(cells).withColumn("no_call", size.scalar() - F.col("called"))
-
-
-def joint_genotype(cells: DataFrame) -> DataFrame:
-    """Allele count, number and frequency and call counts per site."""
-    called = ~B.is_missing(F.col("gt"))
-    alts = F.length("gt") - F.length(F.translate("gt", "1", ""))
-    out = cells.groupBy(*SITE).agg(
-        F.count(F.when(called, 1)).alias("called"),
-        F.count(F.when(~called, 1)).alias("no_call"),
-        F.count(F.when(F.col("gt") == STATES[1], 1)).alias("het"),
-        F.count(F.when(F.col("gt") == STATES[2], 1)).alias("hom_alt"),
-        F.sum(F.when(called, alts).otherwise(0)).alias("ac"),
-        (F.count(F.when(called, 1)) * 2).alias("an"),
-    )
-    return out.withColumn("af", F.col("ac") / F.when(F.col("an") > 0, F.col("an")))
+    return genotyping.joint_genotype(cells, sites).withColumn("no_call", size.scalar() - F.col("called"))
 
 
 # -- site annotations --------------------------------------------------------
 
-def _log_hom_ref() -> Column:
-    """log10 P(0/0) within a sample, relative to its largest likelihood: always finite."""
-    top = F.greatest("l0", "l1", "l2")
-    spread = sum((F.pow(F.lit(10.0), F.col(c) - top) for c in ("l0", "l1", "l2")), F.lit(0.0))
-    return F.col("l0") - top - F.log10(spread)
-
-
-def site_quality(likelihoods: DataFrame) -> DataFrame:
-    """Phred confidence that any sample varies, -10 * sum of log10 P(0/0)."""
-    return likelihoods.groupBy(*SITE).agg((F.sum(_log_hom_ref()) * -10.0).alias("qual"), F.sum("dp").alias("dp"))
-
-
 def qual_by_depth(quality: DataFrame) -> DataFrame:
     return quality.withColumn("qd", F.col("qual") / F.when(F.col("dp") > 0, F.col("dp")))
 
@@ -450,34 +369,34 @@ def site_depth(piled: DataFrame, by: Sequence[str] = SITE) -> DataFrame:
 
 
 def annotate_sites(piled: DataFrame) -> DataFrame:
-    """Candidate sites with all annotations the hard filters read.
+    """Candidate sites with their alternatives and all annotations the hard filters read.
 
     The pileup is by far the largest table of a study. One aggregate of it per
-    sample and site feeds all annotations that are sums; the allele choice and
-    the two rank sums need counts by base and by value, one aggregate each.
+    sample and site feeds allele lists, likelihoods and all annotations that are
+    sums; the two rank sums need counts by value, one aggregate each. Strand
+    counts and rank sums hold all alternatives of a site against the reference.
     """
-    per_sample = piled.groupBy("sample", *SITE, "ref").agg(
-        *_likelihood_columns(),
-        *_strand_columns(),
-        F.sum(F.col("mapq") * F.col("mapq")).alias("__mapq2"),
-    )
     cells = ("ref_f", "ref_r", "alt_f", "alt_r")
+    piled = genotyping.evidence(piled)
+    per_sample = genotyping.genotype_likelihoods(
+        piled, [*cells, "__mapq2"], [*_strand_columns(), F.sum(F.col("mapq") * F.col("mapq")).alias("__mapq2")]
+    )
     summed = (
-        per_sample.groupBy(*SITE)
+        per_sample.groupBy(*SITE, "ref", "alleles")
         .agg(
-            F.max("alt_dp").alias("__alt"),
-            (F.sum(_log_hom_ref()) * -10.0).alias("qual"),
+            *genotyping.frequency_sums(),
             F.sum("dp").alias("dp"),
             *[F.sum(c).alias(c) for c in cells],
             F.sqrt(F.sum("__mapq2") / F.sum("dp")).alias("mq"),
         )
-        .where(F.col("__alt") > 0)
+        .where(F.col("alt_f") + F.col("alt_r") > 0)
+        .withColumn("qual", genotyping.quality_of())
+        .withColumn("alt", genotyping.alternatives(F.col("alleles")))
+        .select(*SITE, "ref", "alt", "qual", "dp", *cells, "mq")
     )
-    annotated = qual_by_depth(fisher_strand(strand_odds_ratio(summed))).drop("__alt", *cells)
+    annotated = qual_by_depth(fisher_strand(strand_odds_ratio(summed))).drop(*cells)
     site = list(SITE)
     z = lambda df, name, new: df.select(*site, F.col(name).alias(new))
-    return (
-        annotated.join(site_alleles(piled), site)
-        .join(z(mapq_rank_sum(piled), "mq_rank_sum", "mqranksum"), site)
-        .join(z(readpos_rank_sum(piled), "read_pos_rank_sum", "readposranksum"), site)
+    return annotated.join(z(mapq_rank_sum(piled), "mq_rank_sum", "mqranksum"), site).join(
+        z(readpos_rank_sum(piled), "read_pos_rank_sum", "readposranksum"), site
     )

@@ -95,6 +95,14 @@ def lookup_join(
     return salted_join(facts, lookup, keys, how)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key equals a null; the keys come from `left`, which `how` must keep or drop (inner, left, semi, anti)."""
+    met = reduce(Column.__and__, (F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys))
+    joined = left.alias("l").join(right.alias("r"), met, how)
+    added = [] if how in ("left_semi", "left_anti") else [F.col(f"r.`{c}`") for c in right.columns if c not in keys]
+    return joined.select("l.*", *added)
+
+
 def attach(facts: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join a summary of `facts`, one row per key, back to them.
 
@@ -138,8 +146,9 @@ def with_roster(
         mine = names
         if shards > 1:
             mine = names.where(F.pmod(F.xxhash64(column), F.lit(shards)) == shard)
-        entries = mine.agg(F.sort_array(F.collect_list(column)).alias(column)).scalar()
-        return df.select("*", F.explode(entries).alias(column))
+        # Structs, since a list of plain values leaves out a null.
+        entries = mine.agg(F.sort_array(F.collect_list(F.struct(column)))).scalar()
+        return df.select("*", F.explode(entries).alias("__entry")).withColumn(column, F.col("__entry").getField(column)).drop("__entry")
 
     return reduce(DataFrame.unionByName, (part(s) for s in range(shards)))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varigrove.operators import calling, mapping, reads, recovery, variants
+from varigrove.operators import calling, genotyping, mapping, reads, recovery, variants
 from varigrove.session import ensure_checkpoint_dir
 
 
@@ -39,13 +39,13 @@ def joint_chain(piled: DataFrame, blocks: DataFrame, samples: DataFrame | None =
     read once.
     """
     ensure_checkpoint_dir(piled.sparkSession)
-    likelihoods = calling.genotype_likelihoods(piled).checkpoint()
-    sites = calling.candidate_sites(likelihoods)
-    calls = calling.call_genotypes(likelihoods)
+    likelihoods = genotyping.genotype_likelihoods(piled).checkpoint()
+    sites = genotyping.candidate_sites(likelihoods)
+    calls = genotyping.call_genotypes(likelihoods)
     roster = likelihoods.select("sample").unionByName(blocks.select("sample"))
     if samples is not None:
         roster = roster.unionByName(samples.select("sample"))
-    return calling.joint_counts(calling.known_cells(calls, sites, blocks), roster)
+    return calling.joint_counts(calling.known_cells(calls, sites, blocks), sites, roster)
 
 
 def tagged_snps(sites: DataFrame) -> DataFrame:

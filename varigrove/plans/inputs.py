@@ -242,16 +242,20 @@ class Inputs:
         return self.loci().select(F.col("locus").cast("string").alias("name"), seq.alias("seq"))
 
     def pileup(self) -> DataFrame:
-        """Aligned bases of twelve samples over six hundred sites, all lines."""
-        part, supp = F.col("l_partkey"), F.col("l_suppkey")
-        spot = part % 300
-        alt = (F.col("l_linenumber") % 3 == 0) & ((spot * 7 + supp % 12) % 3 != 0)
+        """Aligned bases of twelve samples, one of them null, over two sites per pair of parts; some with two or three alternatives."""
+        part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+        step = (
+            F.when((line % 3 == 0) & ((part * 7 + supp % 12) % 3 != 0), 1)
+            .when((line == 5) & (part % 4 == 1) & (supp % 12 < 7), 2)
+            .when((line == 7) & (part % 8 == 1), 3)
+            .otherwise(0)
+        )
         return self.table("lineitem").select(
-            (supp % 12).cast("int").alias("sample"),
-            F.concat(F.lit("chr0"), (F.floor(part / 300) % 2 + 1).cast("string")).alias("chrom"),
-            (spot + 1).cast("long").alias("pos"),
-            _base(spot).alias("ref"),
-            F.when(alt, _base(spot + 1)).otherwise(_base(spot)).alias("base"),
+            F.when(supp % 12 != 11, (supp % 12).cast("int")).alias("sample"),
+            F.concat(F.lit("chr0"), (part % 2 + 1).cast("string")).alias("chrom"),
+            (F.floor(part / 2) + 1001).cast("long").alias("pos"),
+            _base(part).alias("ref"),
+            _base(part + step).alias("base"),
             (F.col("l_orderkey") % 21 + 20).cast("int").alias("bq"),
             ((F.col("l_orderkey") * 7 + part * 3) % 61).cast("int").alias("mapq"),
             (F.col("l_orderkey") % 2).cast("int").alias("strand"),
@@ -264,7 +268,7 @@ class Inputs:
         return (
             self.table("lineitem")
             .groupBy(
-                (F.col("l_suppkey") % 12).cast("int").alias("sample"),
+                F.when(F.col("l_suppkey") % 12 != 11, (F.col("l_suppkey") % 12).cast("int")).alias("sample"),
                 F.concat(F.lit("chr"), _digits(F.col("l_partkey") % 14 + 1, 2)).alias("chrom"),
                 start.alias("start"),
                 (start + F.floor("l_quantity") * 20).alias("stop"),
@@ -402,17 +406,17 @@ INPUT_SQL = {
                 substr(seq, cast(1+(l_orderkey*13+l_linenumber*7)%29 as int), 100) as f
               from lineitem join fx_loci on l_partkey=locus)""",
     "fx_pileup": """
-        select cast(l_suppkey%12 as int) as sample,
-          concat('chr0',cast(cast(floor(l_partkey/300) as bigint)%2+1 as varchar)) as chrom,
-          cast(l_partkey%300+1 as bigint) as pos, substr('ACGT',cast(l_partkey%300%4+1 as int),1) as ref,
-          case when l_linenumber%3=0 and (l_partkey%300*7+l_suppkey%12)%3<>0
-               then substr('ACGT',cast((l_partkey%300+1)%4+1 as int),1)
-               else substr('ACGT',cast(l_partkey%300%4+1 as int),1) end as base,
+        select case when l_suppkey%12<>11 then cast(l_suppkey%12 as int) end as sample,
+          concat('chr0',cast(l_partkey%2+1 as varchar)) as chrom, l_partkey//2+1001 as pos,
+          substr('ACGT',cast(l_partkey%4+1 as int),1) as ref,
+          substr('ACGT',cast((l_partkey+case when l_linenumber%3=0 and (l_partkey*7+l_suppkey%12)%3<>0 then 1
+              when l_linenumber=5 and l_partkey%4=1 and l_suppkey%12<7 then 2
+              when l_linenumber=7 and l_partkey%8=1 then 3 else 0 end)%4+1 as int),1) as base,
           cast(20+l_orderkey%21 as int) as bq, cast((l_orderkey*7+l_partkey*3)%61 as int) as mapq,
           cast(l_orderkey%2 as int) as strand, cast(1+l_orderkey%100 as int) as read_pos
         from lineitem""",
     "fx_blocks": """
-        select cast(l_suppkey%12 as int) as sample, concat('chr',lpad(cast(l_partkey%14+1 as varchar),2,'0')) as chrom,
+        select case when l_suppkey%12<>11 then cast(l_suppkey%12 as int) end as sample, concat('chr',lpad(cast(l_partkey%14+1 as varchar),2,'0')) as chrom,
           l_orderkey*1000 as start, l_orderkey*1000+cast(floor(l_quantity) as bigint)*20 as stop,
           cast(min(l_partkey%100) as int) as gq
         from lineitem group by 1,2,3,4""",

@@ -123,28 +123,52 @@ _VIEWS = {
           i + (case when cigar like '5S%' then 5 else 0 end) + 1 as read_pos
         from (select *, unnest(range(0, case when cigar like '5S%' then 95 else 100 end)) as i
               from fx_alignments where (flag & 4) = 0)""",
+    "v_alleles": """
+        select chrom, pos, ref, coalesce(list(base order by n desc, base) filter (base <> ref), ['<NON_REF>']) as alts,
+          coalesce(list(n order by n desc, base) filter (base <> ref), [0]) as alt_ad, coalesce(sum(n) filter (base = ref), 0) as ref_ad
+        from (select chrom, pos, ref, base, count(*) as n from fx_pileup group by all) group by chrom, pos, ref""",
+    "v_pairs": """
+        select *, list_concat([ref], alts)[i + 1] as a, alts[j] as b, j * (j + 1) // 2 + i as g,
+          case when i = 0 then 0.0 when list_sum(alt_ad) = 0 then 1.0 else alt_ad[i] / list_sum(alt_ad) end as share_a,
+          case when j = 0 then 0.0 when list_sum(alt_ad) = 0 then 1.0 else alt_ad[j] / list_sum(alt_ad) end as share_b
+        from (select *, unnest(range(0, j + 1)) as i from (select *, unnest(range(0, len(alts) + 1)) as j from v_alleles))""",
     "v_gl": """
-        select sample, chrom, pos, ref, count(*) as dp, count(*) filter (base <> ref) as alt_dp,
-          sum(case when base = ref then log10(1 - e) else log10(e / 3) end) as l0,
-          sum(log10((1 - e) / 2 + e / 6)) as l1,
-          sum(case when base = ref then log10(e / 3) else log10(1 - e) end) as l2
-        from (select *, pow(10.0, -bq / 10.0) as e from fx_pileup) group by all""",
+        select p.sample, p.chrom, p.pos, p.ref, alts, g, i, j, share_a, share_b, count(*) as dp,
+          sum(case when i = j and base = a then log10(1 - e) when i <> j and base in (a, b) then log10((1 - e) / 2 + e / 6)
+              else log10(e / 3) end) as l
+        from (select *, least(pow(10.0, -bq / 10.0), 0.75) as e from fx_pileup) p
+        join v_pairs v on p.chrom = v.chrom and p.pos = v.pos group by all""",
     "v_calls": """
-        select sample, chrom, pos, ref, dp, alt_dp,
-          case when l0 = m then '0/0' when l1 = m then '0/1' else '1/1' end as gt,
-          least(list_sort([pl0, pl1, pl2])[2], 99) as gq, pl0, pl1, pl2
-        from (select *, cast(round((m - l0) * 10) as int) as pl0, cast(round((m - l1) * 10) as int) as pl1,
-                cast(round((m - l2) * 10) as int) as pl2
-              from (select *, greatest(l0, l1, l2) as m from v_gl))""",
+        select sample, chrom, pos, ref, array_to_string(alts, ',') as alt, max(dp) as dp,
+          arg_min(i || '/' || j, case when round(m - l, 9) = 0 then g else 99 end) as gt,
+          least(list_sort(list(cast(round((m - l) * 10) as int)))[2], 99) as gq,
+          array_to_string(list(cast(round((m - l) * 10) as int) order by g), ',') as pl
+        from (select *, max(l) over (partition by sample, chrom, pos) as m from v_gl) group by sample, chrom, pos, ref, alts""",
+    "v_ad": """
+        select sample, p.chrom, p.pos, count(*) filter (base <> p.ref) as alt_dp, count(*) as dp,
+          list_concat([count(*) filter (base = p.ref)], list_transform(any_value(alts), lambda x: len(list_filter(list(base), lambda y: y = x)))) as ad
+        from fx_pileup p join v_alleles a on p.chrom = a.chrom and p.pos = a.pos group by sample, p.chrom, p.pos""",
     "v_candidates": """
-        select chrom, pos, ref, max(alt_dp) as max_alt_dp, cast(sum(dp) as bigint) as dp,
-          count(*) filter (alt_dp > 0) as samples_with_alt
-        from v_gl group by chrom, pos, ref having max(alt_dp) > 0""",
+        select a.chrom, a.pos, ref, alts, max(alt_dp) as max_alt_dp, cast(sum(dp) as bigint) as dp,
+          count(*) filter (alt_dp > 0) as samples_with_alt, array_to_string(list_concat([ref_ad], alt_ad), ',') as ad
+        from v_ad d join v_alleles a on a.chrom = d.chrom and a.pos = d.pos
+        group by a.chrom, a.pos, ref, alts, ref_ad, alt_ad having max(alt_dp) > 0""",
+    "v_f": """
+        select unnest(list_concat(list_concat([0.0::double], list_transform(range(1, 7), lambda k: pow(0.5, k))),
+                                  list_transform(range(2, 7), lambda k: 1 - pow(0.5, k)))) as f""",
+    # Eleven frequencies, each as likely as 1/f, and none with a chance of 0.999.
     "v_qual": """
-        select chrom, pos,
-          -10 * sum(l0 - m - log10(pow(10.0, l0 - m) + pow(10.0, l1 - m) + pow(10.0, l2 - m))) as qual,
-          cast(sum(dp) as bigint) as dp
-        from (select *, greatest(l0, l1, l2) as m from v_gl) group by chrom, pos""",
+        select chrom, pos, dp, 10 * greatest(0, top + log10(sum(pow(10, t - top))) - max(t) filter (f = 0)) as qual
+        from (select *, max(t) over (partition by chrom, pos) as top from (
+          select chrom, pos, f, cast(sum(dp) as bigint) as dp,
+            sum(log10((1 - f) * (1 - f) * w0 + f * (1 - f) * w1 + f * f * w2))
+              + log10(case when f = 0 then 0.999 else 0.001 / f / (select sum(1 / f) from v_f where f > 0) end) as t
+          from (select chrom, pos, sample, max(dp) as dp, sum(case when g = 0 then pow(10, l - m) else 0 end) as w0,
+                  sum(case when i = 0 and j > 0 then 2 * share_b * pow(10, l - m) else 0 end) as w1,
+                  sum(case when i > 0 then (case when i = j then 1 else 2 end) * share_a * share_b * pow(10, l - m) else 0 end) as w2
+                from (select *, max(l) over (partition by sample, chrom, pos) as m from v_gl) group by chrom, pos, sample), v_f
+          group by chrom, pos, f))
+        group by chrom, pos, dp, top""",
     "v_strand": """
         select chrom, pos, count(*) filter (base = ref and strand = 0) as ref_f,
           count(*) filter (base = ref and strand = 1) as ref_r,
@@ -177,6 +201,18 @@ _VIEWS = {
         group by chrom, pos"""
         for view, value in (("v_mapq_z", "mapq"), ("v_readpos_z", "read_pos"))
     },
+    "v_annotated": """
+        select c.chrom, c.pos, c.ref, array_to_string(alts, ',') as alt, q.qual, q.dp, q.qual / q.dp as qd, fs, sor, mq,
+          m.z as mqranksum, r.z as readposranksum
+        from v_candidates c join v_qual q using (chrom, pos) join v_fisher using (chrom, pos) join v_sor using (chrom, pos)
+        join v_rms using (chrom, pos) join v_mapq_z m using (chrom, pos) join v_readpos_z r using (chrom, pos)""",
+    "v_cells": """
+        select g.chrom, g.pos, coalesce(c.gt, case when b.chrom is not null then '0/0' else './.' end) as gt
+        from (select chrom, pos, s.sample from v_candidates, (select sample from fx_pileup union select sample from fx_blocks) s) g
+        left join v_calls c on g.chrom = c.chrom and g.pos = c.pos and g.sample is not distinct from c.sample
+        left join (select distinct b.sample, b.chrom, v.pos from fx_blocks b
+                   join v_candidates v on v.chrom = b.chrom and v.pos between b.start and b.stop) b
+          on g.chrom = b.chrom and g.pos = b.pos and g.sample is not distinct from b.sample""",
     "v_site_missing": """
         select chrom, pos, count(*) as calls, count(*) filter (gt = './.') as missing,
           count(*) filter (gt = './.') / count(*) as f_missing
@@ -467,8 +503,10 @@ ORACLE: dict[str, str] = {
         select sample, chrom, pos, ref, base, count(*) as depth, count(*) filter (strand = 0) as forward,
           count(*) filter (strand = 1) as reverse from fx_pileup group by all""",
     "genotype_likelihoods": """
-        select sample, chrom, pos, ref, dp, alt_dp, round(l0, 6) as l0, round(l1, 6) as l1, round(l2, 6) as l2 from v_gl""",
-    "genotype_calls": "select * from v_calls",
+        select sample, chrom, pos, ref, array_to_string(alts, ',') as alt, dp, cast(g as int) as pair, round(l, 6) as l from v_gl""",
+    "genotype_calls": """
+        select c.*, array_to_string(ad, ',') as ad from v_calls c
+        join v_ad d on c.chrom = d.chrom and c.pos = d.pos and c.sample is not distinct from d.sample""",
     "reference_blocks": """
         select sample, chrom, band, min(pos) as start, max(pos) as stop, min(gq) as gq from (
           select *, pos - row_number() over (partition by sample, chrom, band order by pos) as island
@@ -478,23 +516,23 @@ ORACLE: dict[str, str] = {
         select sample, chrom, pos as start, pos as stop, gt, gq, false as is_block from v_calls where gt <> '0/0'
         union all
         select sample, chrom, start, stop, '0/0', gq, true from fx_blocks""",
-    "candidate_sites": "select * from v_candidates",
+    "candidate_sites": """
+        select chrom, pos, ref, array_to_string(alts, ',') as alt, ad, max_alt_dp, dp, samples_with_alt from v_candidates""",
     "block_site_join": """
         select b.sample, b.chrom, b.start, b.stop, b.gq, s.pos from fx_blocks b
         join fx_sites s on s.chrom = b.chrom and s.pos between b.start and b.stop""",
     "cohort_grid": "select chrom, pos, sample, gt from fx_genotypes",
     "joint_genotypes": """
-        select chrom, pos, count(*) filter (gt <> './.') as called, count(*) filter (gt = './.') as no_call,
-          count(*) filter (gt = '0/1') as het, count(*) filter (gt = '1/1') as hom_alt,
-          count(*) filter (gt = '0/1') + 2 * count(*) filter (gt = '1/1') as ac, 2 * count(*) filter (gt <> './.') as an,
-          round((count(*) filter (gt = '0/1') + 2 * count(*) filter (gt = '1/1')) / nullif(2 * count(*) filter (gt <> './.'), 0), 6) as af
-        from (select g.chrom, g.pos, g.sample, coalesce(c.gt, case when b.sample is not null then '0/0' else './.' end) as gt
-              from (select chrom, pos, s.sample from v_candidates, (select sample from fx_pileup union select sample from fx_blocks) s) g
-              left join v_calls c on g.chrom = c.chrom and g.pos = c.pos and g.sample = c.sample
-              left join (select distinct b.sample, b.chrom, v.pos from fx_blocks b
-                         join v_candidates v on v.chrom = b.chrom and v.pos between b.start and b.stop) b
-                on g.chrom = b.chrom and g.pos = b.pos and g.sample = b.sample)
-        group by chrom, pos""",
+        select v.chrom, v.pos, v.ref, cast(v.number as int) as number, alts[v.number] as alt, called, no_call, het, hom_alt, coalesce(ac, 0) as ac,
+          2 * called as an, round(coalesce(ac, 0) / nullif(2 * called, 0), 6) as af
+        from (select *, unnest(range(1, len(alts) + 1)) as number from v_candidates) v
+        join (select chrom, pos, count(*) filter (gt <> './.') as called, count(*) filter (gt = './.') as no_call,
+                count(*) filter (gt <> './.' and gt[1] <> gt[3]) as het,
+                count(*) filter (gt <> './.' and gt[1] = gt[3] and gt[1] <> '0') as hom_alt
+              from v_cells group by chrom, pos) c on c.chrom = v.chrom and c.pos = v.pos
+        left join (select chrom, pos, cast(allele as int) as number, count(*) as ac
+                   from (select chrom, pos, unnest([gt[1], gt[3]]) as allele from v_cells where gt <> './.') group by all) seen
+          on seen.chrom = v.chrom and seen.pos = v.pos and seen.number = v.number""",
     "site_qual": "select chrom, pos, round(qual, 4) as qual, dp from v_qual",
     "site_qd": "select chrom, pos, round(qual, 4) as qual, dp, round(qual / dp, 4) as qd from v_qual",
     "strand_table": "select * from v_strand",
@@ -506,15 +544,10 @@ ORACLE: dict[str, str] = {
     "annotated_sites": f"""
         select * replace (round(qual, 4) as qual, round(qd, 4) as qd, round(fs, 4) as fs, round(sor, 4) as sor,
           round(mq, 4) as mq, round(mqranksum, 4) as mqranksum, round(readposranksum, 4) as readposranksum),
-          {_TAG} as filter from (
-          select c.chrom, c.pos, c.ref, a.alt, q.qual, q.dp, q.qual / q.dp as qd, fs, sor, mq,
-            m.z as mqranksum, r.z as readposranksum
-          from v_candidates c
-          join (select chrom, pos, base as alt from (
-                  select chrom, pos, base, row_number() over (partition by chrom, pos order by count(*) desc, base) as rn
-                  from fx_pileup where base <> ref group by chrom, pos, base) where rn = 1) a using (chrom, pos)
-          join v_qual q using (chrom, pos) join v_fisher using (chrom, pos) join v_sor using (chrom, pos)
-          join v_rms using (chrom, pos) join v_mapq_z m using (chrom, pos) join v_readpos_z r using (chrom, pos))""",
+          {_TAG} as filter from v_annotated""",
+    "called_biallelic_snps": f"""
+        select chrom, pos, ref, alt, round(qual, 4) as qual, dp, {_TAG} as filter,
+          case when {_TAG} = 'PASS' then 'PASS' else 'FAIL' end as pass from v_annotated where {_BI}""",
     "site_depth": "select chrom, pos, count(*) as dp from fx_pileup group by chrom, pos",
     # variant tables
     "select_snps": f"select chrom, pos, ref, alt from fx_sites where {_SNP}",

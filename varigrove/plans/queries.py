@@ -15,6 +15,7 @@ from varigrove.functions import names as N
 from varigrove.operators import (
     calling,
     cohort,
+    genotyping,
     joins,
     mapping,
     paralogs,
@@ -515,18 +516,31 @@ def allele_counts(x):
     return calling.allele_counts(x.pileup())
 
 
+def _likelihoods(x):
+    return genotyping.genotype_likelihoods(x.pileup())
+
+
+def _comma(column: str):
+    return F.array_join(F.col(column).cast("array<string>"), ",")
+
+
 @query
 def genotype_likelihoods(x):
-    return rounded(calling.genotype_likelihoods(x.pileup()))
+    """One row per pair of alleles."""
+    pairs = _likelihoods(x).select(
+        "sample", "chrom", "pos", "ref", genotyping.alternatives(F.col("alleles")).alias("alt"), "dp", F.posexplode("gl").alias("pair", "l")
+    )
+    return rounded(pairs)
 
 
 def _calls(x):
-    return calling.call_genotypes(calling.genotype_likelihoods(x.pileup()))
+    return genotyping.call_genotypes(_likelihoods(x))
 
 
 @query
 def genotype_calls(x):
-    return _calls(x)
+    alt = genotyping.alternatives(F.col("alleles")).alias("alt")
+    return _calls(x).select("sample", "chrom", "pos", "ref", alt, "dp", _comma("ad").alias("ad"), "gt", "gq", _comma("pl").alias("pl"))
 
 
 @query
@@ -541,7 +555,9 @@ def cohort_combine(x):
 
 @query
 def candidate_sites(x):
-    return calling.candidate_sites(calling.genotype_likelihoods(x.pileup()))
+    alt = genotyping.alternatives(F.col("alleles")).alias("alt")
+    found = genotyping.candidate_sites(_likelihoods(x))
+    return found.select("chrom", "pos", "ref", alt, _comma("site_ad").alias("ad"), "max_alt_dp", "dp", "samples_with_alt")
 
 
 @query
@@ -557,17 +573,34 @@ def cohort_grid(x):
 
 @query
 def joint_genotypes(x):
-    return rounded(chains.joint_chain(x.pileup(), x.blocks()))
+    """One row per alternative of a site."""
+    joint = chains.joint_chain(x.pileup(), x.blocks())
+    number = F.col("number")
+    each = joint.withColumn("number", F.explode(F.sequence(F.lit(1), F.size("ac")))).select(
+        "chrom",
+        "pos",
+        "ref",
+        "number",
+        F.get("alleles", number).alias("alt"),
+        "called",
+        "no_call",
+        "het",
+        "hom_alt",
+        F.get("ac", number - 1).alias("ac"),
+        "an",
+        F.get("af", number - 1).alias("af"),
+    )
+    return rounded(each)
 
 
 @query
 def site_qual(x):
-    return rounded(calling.site_quality(calling.genotype_likelihoods(x.pileup())), 4)
+    return rounded(genotyping.site_quality(_likelihoods(x)), 4)
 
 
 @query
 def site_qd(x):
-    quality = calling.site_quality(calling.genotype_likelihoods(x.pileup()))
+    quality = genotyping.site_quality(_likelihoods(x))
     return rounded(calling.qual_by_depth(quality), 4)
 
 
@@ -607,6 +640,12 @@ def annotated_sites(x):
     return rounded(variants.hard_filter(calling.annotate_sites(x.pileup())), 4)
 
 
+@query
+def called_biallelic_snps(x):
+    """Pileup to tagged SNPs with one alternative."""
+    return rounded(chains.site_chain(x.pileup()).select("chrom", "pos", "ref", "alt", "qual", "dp", "filter", "pass"), 4)
+
+
 @query
 def site_depth(x):
     return calling.site_depth(x.pileup())
