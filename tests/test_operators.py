@@ -167,7 +167,7 @@ def test_mark_duplicates_by_brute_force(spark):
     sets = {}
     for s, q, flag, rname, pos, _, _, mate, bq in data:
         if not flag & 4:
-            sets.setdefault((s, rname, five[q], flag & 16, mate), []).append((-bq, q))
+            sets.setdefault((s, rname, five[q], flag & 16), []).append((-bq, q))
     best = {min(v)[1] for v in sets.values()}
     for _, q, flag, *_ in data:
         assert bool(got[q] & 1024) == (not flag & 4 and q not in best)
@@ -190,6 +190,77 @@ def test_one_duplicate_set_with_all_reads(spark):
     assert (metrics.examined, metrics.duplicates) == (2000, 1999)
 
 
+TEMPLATES = "sample string, library string, qname string, flag int, rname string, pos long, cigar string, sum_bq int"
+
+
+def brute_duplicates(data):
+    """Keys of the templates that are duplicates, by comparing all templates with each other."""
+    ends, scores = {}, {}
+    for s, lib, q, flag, rname, pos, cigar, bq in data:
+        if not flag & (4 | 256 | 2048):
+            import re
+
+            ops = [(int(n), op) for n, op in re.findall(r"(\d+)([A-Z])", cigar)]
+            lead = sum(n for n, op in ops[:1] if op in "SH")
+            tail = sum(n for n, op in ops[-1:] if op in "SH")
+            span = sum(n for n, op in ops if op in "MDN")
+            five = pos + span - 1 + tail if flag & 16 else pos - lead
+            mates = ends.setdefault((s, lib, q), {})
+            key = bool(flag & 128)
+            mates[key] = min(mates.get(key, (rname, five, bool(flag & 16))), (rname, five, bool(flag & 16)))
+            scores[s, lib, q] = scores.get((s, lib, q), 0) + bq
+    rank = lambda t: (-scores[t], t[2] or "", t[0] or "")
+    out = set()
+    for t, mine in ends.items():
+        for u, other in ends.items():
+            if t == u or t[1] != u[1]:
+                continue
+            if len(mine) == 2 and len(other) == 2 and sorted(mine.values()) == sorted(other.values()) and rank(u) < rank(t):
+                out.add(t)
+            if len(mine) == 1:
+                end = next(iter(mine.values()))
+                if end in other.values() and (len(other) == 2 or rank(u) < rank(t)):
+                    out.add(t)
+    return out
+
+
+def test_templates_by_brute_force(spark):
+    """Pairs, lone mates, clips, libraries over samples, secondary and unmapped records, names that repeat."""
+    rng = np.random.default_rng(8)
+    data = []
+    for i in range(700):
+        s, lib = str(rng.choice(["s", "t"])), (None, "x", "y")[rng.integers(3)]
+        kind, at = rng.integers(4), int(rng.integers(1, 60))
+        record = lambda flag, pos: (
+            s, lib, f"q{i}", int(flag), "c", int(pos) + (5 if clip else 0), "5S15M" if clip else "20M", int(rng.integers(10, 14))
+        )
+        clip = rng.integers(2)
+        if kind != 1:
+            data.append(record(1 | 64, at))
+        clip = 0
+        if kind != 0:
+            data.append(record(1 | 128 | 16 | (4 if kind == 2 else 0), at + 100 + int(rng.integers(2))))
+        if rng.integers(5) == 0:
+            data.append(record(1 | 64 | int(rng.choice([256, 2048])), 900))
+    data += [("s", "x", "same", 65, "c", 3, "20M", 40), ("s", "x", "same", 65, "c", 3, "5S15M", 40)] * 2
+    data += [("s", "x", "only", 2048, "c", 3, "20M", 40), ("s", None, None, 0, "c", 77, "20M", 1), ("s", None, None, 0, "c", 77, "20M", 1)]
+    df = spark.createDataFrame(data, TEMPLATES)
+    got = mapping.mark_duplicates(df).collect()
+    assert len(got) == len(data)
+    twins = brute_duplicates(data)
+    assert 100 < len(twins) < 600
+    want = sorted((tuple(d[:3]) in twins and not d[3] & 4, d[3], str(d)) for d in data)
+    seen = sorted((bool(r.flag & 1024), r.flag & ~1024, str(tuple(r)[:3] + (r.flag & ~1024,) + tuple(r)[4:])) for r in got)
+    assert seen == want
+
+
+def test_records_equal_in_name_flag_and_place_stay_as_many(spark):
+    data = [("s", "l", "q", 0, "c", 10, "20M", 30), ("s", "l", "q", 0, "c", 10, "5S15M", 30), ("s", "l", "r", 0, "c", 10, "20M", 9)]
+    marked = mapping.mark_duplicates(spark.createDataFrame(data, TEMPLATES))
+    assert marked.count() == 3
+    assert mapping.mark_duplicates(spark.createDataFrame([], TEMPLATES)).collect() == []
+
+
 # -- calling -----------------------------------------------------------------
 
 def test_pileup_of_bases(spark):
@@ -401,8 +472,8 @@ def test_invariants(inputs):
     assert ratio.ti + ratio.tv == snps.count()
     kept = [r.kept for r in cohort.missingness_sweep(inputs.genotypes(), {"chr01": ["chr01"]}).orderBy("threshold").collect()]
     assert kept == sorted(kept)
-    marked = mapping.mark_duplicates(inputs.alignments())
-    assert marked.count() == inputs.alignments().count()
+    marked = mapping.mark_duplicates(inputs.template_records())
+    assert marked.count() == inputs.template_records().count()
     contigs = inputs.contigs()
     split = paralogs.clean_loci(contigs).count() + paralogs.paralog_loci(contigs).count()
     assert split == contigs.select("locus").distinct().count()

@@ -167,60 +167,101 @@ def alignment_counts(aln: DataFrame) -> DataFrame:
     )
 
 
-def mark_duplicates(
-    aln: DataFrame,
-    library: str = "sample",
-    identity: Sequence[str] = ("sample", "qname", "flag", "rname", "pos"),
-) -> DataFrame:
-    """Set the duplicate bit on all but the best record of each duplicate set.
-
-    A set shares library, contig, unclipped 5' position, strand and mate
-    position; a null, as in records without a read group, equals a null. The best has the highest `sum_bq`, then the smallest name.
-    Unmapped records never count. No row is removed.
-
-    A window per set would load a large set into one task. Instead the best of
-    each set comes from an aggregate that combines on the map side, and it is
-    joined back by record identity, a key no two records share.
+def templates(aln: DataFrame, library: str | None = None) -> DataFrame:
+    """One row per template, the records of one name in a sample and library: `__t, lib, low, high, score`.
+
+    `low` and `high` are the ends of its mates in order: contig, 5' position with
+    clips added back, and strand, of the primary mapped records. A template with
+    one end has no `high`, one without any has neither. `score` adds up their
+    base qualities. Should a mate stand there more than once, its first end counts.
     """
     flag = F.col("flag")
-    keys = {
-        "__lib": F.col(library),
-        "__rname": F.col("rname"),
-        "__five": B.unclipped_start(F.col("pos"), F.col("cigar"), flag),
-        "__strand": B.has_flag(flag, B.REVERSE),
-        "__mate": F.col("pnext"),
-    }
-    ident = F.struct(*identity)
-    best = (
-        aln.where(B.is_mapped(flag))
-        .groupBy(*[c.alias(n) for n, c in keys.items()])
-        .agg(F.min(F.struct((-F.col("sum_bq")).alias("r"), F.col("qname").alias("q"), ident.alias("id"))).alias("b"))
-        .select("b.id.*", F.lit(True).alias("__best"))
-        .alias("best")
+    name = library or _library(aln)
+    primary = B.is_mapped(flag) & ~B.has_flag(flag, B.SECONDARY | B.SUPPLEMENTARY)
+    end = F.struct(
+        F.col("rname").alias("rname"),
+        B.unclipped_start(F.col("pos"), F.col("cigar"), flag).alias("five"),
+        B.has_flag(flag, B.REVERSE).alias("reverse"),
+    )
+    second = B.has_flag(flag, B.SECOND_MATE)
+    per = aln.groupBy(F.struct("sample", F.col(name).alias("lib"), "qname").alias("__t")).agg(
+        F.min(F.when(primary & ~second, end)).alias("one"),
+        F.min(F.when(primary & second, end)).alias("two"),
+        F.sum(F.when(primary, F.col("sum_bq"))).alias("score"),
+    )
+    return per.select(
+        "__t",
+        F.col("__t.lib").alias("lib"),
+        F.least("one", "two").alias("low"),
+        F.when(F.col("one").isNotNull() & F.col("two").isNotNull(), F.greatest("one", "two")).alias("high"),
+        F.coalesce("score", F.lit(0)).alias("score"),
+    )
+
+
+def _library(aln: DataFrame) -> str:
+    return "library" if "library" in aln.columns else "sample"
+
+
+def mark_duplicates(aln: DataFrame, library: str | None = None) -> DataFrame:
+    """Set the duplicate bit on all records of all but the best template of each duplicate set.
+
+    Pairs are duplicates if they share library and both ends (contig, unclipped
+    5' position and strand of each mate). A template with one mapped end is a
+    duplicate of any pair with an end there, else of other such templates with
+    that end. The best has the highest sum of base qualities, then the smallest
+    name and sample. Secondary and supplementary records follow their template; unmapped
+    records, and templates without a primary mapped record, are never
+    duplicates. Rows in are rows out, whatever they have in common. The library is the
+    column `library` if there is one, else the sample; a null equals a null.
+
+    The best of a set comes from an aggregate that combines on the map side, so
+    a set may hold any share of all templates. The templates that stay are then
+    looked up by name, a key of one template each.
+    """
+    named = library or _library(aln)
+    found = templates(aln, named)
+    rank = F.struct((-F.col("score")).alias("r"), F.col("__t.qname").alias("q"), F.col("__t.sample").alias("s"), "__t")
+    pairs = found.where(F.col("high").isNotNull())
+    best_pairs = pairs.groupBy("lib", "low", "high").agg(F.min(rank).alias("best")).select("best.__t")
+    # A pair at an end comes before any template that has that end alone.
+    taken = pairs.select("lib", F.explode(F.array("low", "high")).alias("end"), F.lit(0).alias("kind"), F.lit(None).cast(
+        found.select(rank.alias("x")).schema["x"].dataType
+    ).alias("best"))
+    lone = found.where(F.col("low").isNotNull() & F.col("high").isNull()).select(
+        "lib", F.col("low").alias("end"), F.lit(1).alias("kind"), rank.alias("best")
     )
-    met = reduce(Column.__and__, (F.col(f"aln.{c}").eqNullSafe(F.col(f"best.{c}")) for c in identity))
+    first = taken.unionByName(lone).groupBy("lib", "end").agg(F.min(F.struct("kind", "best")).alias("f"))
+    best_lone = first.where(F.col("f.kind") == 1).select("f.best.__t")
+    stays = best_pairs.unionByName(best_lone).unionByName(found.where(F.col("low").isNull()).select("__t"))
+
+    flag = F.col("flag")
+    duplicate = B.is_mapped(flag) & F.col("__stays").isNull()
+    keyed = aln.withColumn("__t", F.struct("sample", F.col(named).alias("lib"), "qname"))
     return (
-        aln.alias("aln")
-        .join(best, met, "left")
-        .select("aln.*", "__best")
-        .withColumn(
-            "flag",
-            F.when(B.is_mapped(flag) & F.col("__best").isNull(), B.set_flag(flag, B.DUPLICATE)).otherwise(
-                B.clear_flag(flag, B.DUPLICATE)
-            ),
-        )
+        # Keys are structs, which compare nulls as equal.
+        keyed.join(stays.withColumn("__stays", F.lit(True)), "__t", "left")
+        .withColumn("flag", F.when(duplicate, B.set_flag(flag, B.DUPLICATE)).otherwise(B.clear_flag(flag, B.DUPLICATE)))
         .select(*aln.columns)
     )
 
 
 def duplicate_metrics(marked: DataFrame, by: Sequence[str] = ("sample",)) -> DataFrame:
-    """Mapped records examined, duplicates, and their share."""
-    dup = F.count(F.when(B.has_flag(F.col("flag"), B.DUPLICATE), 1))
+    """Primary mapped records examined, alone and in pairs, duplicates among them and their share; and what was not examined."""
+    flag = F.col("flag")
+    other = B.has_flag(flag, B.SECONDARY | B.SUPPLEMENTARY)
+    primary = B.is_mapped(flag) & ~other
+    paired = B.has_flag(flag, B.PAIRED) & ~B.has_flag(flag, B.MATE_UNMAPPED)
+    count = lambda cond: F.count(F.when(cond, 1))
     return (
-        marked.where(B.is_mapped(F.col("flag")))
-        .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("examined"), dup.alias("duplicates"))
-        .withColumn("share", F.col("duplicates") / F.col("examined"))
+        marked.groupBy(*by)
+        .agg(
+            count(primary).alias("examined"),
+            count(primary & paired).alias("in_pairs"),
+            count(primary & B.has_flag(flag, B.DUPLICATE)).alias("duplicates"),
+            count(other).alias("secondary_or_supplementary"),
+            count(~B.is_mapped(flag) & ~other).alias("unmapped"),
+        )
+        .withColumn("share", F.col("duplicates") / F.when(F.col("examined") > 0, F.col("examined")))
     )
 
 

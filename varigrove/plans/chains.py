@@ -17,9 +17,17 @@ def read_chain(raw: DataFrame, targets: DataFrame) -> DataFrame:
     return mapping.seed_join(reads.trim(raw), targets)
 
 
-def evidence_chain(aln: DataFrame, reference: DataFrame) -> DataFrame:
-    """Alignments to a pileup with reference bases, duplicates out, MAPQ 30 in."""
-    marked = mapping.mark_duplicates(mapping.min_mapq(aln))
+def evidence_chain(aln: DataFrame, reference: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """Alignments to a pileup with reference bases, duplicates out, MAPQ 30 in.
+
+    With read groups (`sample, lb`), duplicates are looked for in each library;
+    a sample without one is a library of its own.
+    """
+    kept = mapping.min_mapq(aln)
+    if groups is not None:
+        kept = mapping.attach_read_groups(kept, groups.select("sample", F.col("lb").alias("library")))
+        kept = kept.withColumn("library", F.coalesce("library", F.concat(F.lit("sample "), F.col("sample").cast("string"))))
+    marked = mapping.mark_duplicates(kept)
     return calling.pileup_on(marked, reference)
 
 

@@ -202,6 +202,40 @@ class Inputs:
             )
         )
 
+    def template_records(self) -> DataFrame:
+        """Records of read pairs, two lines of an order to a pair: lone and unmapped mates, clips, two
+        orientations, some secondary or supplementary records, five libraries and none, one of them crowded."""
+        order, line = F.col("l_orderkey"), F.col("l_linenumber")
+        lines = self.table("lineitem").select(order.alias("o"), line.cast("long").alias("n")).distinct()
+        o, n = F.col("o"), F.col("n")
+        extra = F.when(n == 7, 2048).when((n == 5) & (o % 13 == 0), 256).otherwise(0)
+        pair = F.when(extra > 0, 1).otherwise(F.floor((n + 1) / 2))
+        second = (extra == 0) & (n % 2 == 0)
+        place = (o * 31 + pair * 7) % F.when(o % 6 == 0, 601).otherwise(20011)
+        reverse = second != (o % 23 == 0)
+        unmapped = second & (o % 19 == 0)
+        clipped = (o + n) % 5 == 0
+        start = place * 10 + 1 + F.when(reverse, 150 + o % 3 * 10).otherwise(0) + F.when(extra > 0, 5000).otherwise(0)
+        flag = (
+            1
+            + F.when(o % 19 != 0, 2).otherwise(0)
+            + F.when(unmapped, 4).otherwise(0)
+            + F.when((o % 19 == 0) & ~second, 8).otherwise(0)
+            + F.when(reverse, 16).otherwise(0)
+            + F.when(second, 128).otherwise(64)
+            + extra
+        )
+        return lines.select(
+            F.concat_ws("-", o.cast("string"), pair.cast("string")).alias("qname"),
+            (o % 12).alias("sample"),
+            F.when(o % 6 != 5, F.concat(F.lit("lib"), (o % 6).cast("string"))).alias("library"),
+            F.concat(F.lit("chr"), _digits(place % 14 + 1, 2)).alias("rname"),
+            F.when(clipped & ~reverse, start + 5).otherwise(start).alias("pos"),
+            flag.cast("int").alias("flag"),
+            F.when(unmapped, "*").when(clipped & reverse, "95M5S").when(clipped, "5S95M").otherwise("100M").alias("cigar"),
+            (3000 + (o * 7 + n) % 700).cast("int").alias("sum_bq"),
+        )
+
     def target_alignments(self) -> DataFrame:
         """Records with bases on targets: some secondary, failed, without bases or sample, some bases N or lower case."""
         keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -396,6 +430,21 @@ INPUT_SQL = {
           case when l_linenumber%5=0 then '5S95M' else '100M' end as cigar,
           cast(1+l_partkey%200*50+200 as bigint) as pnext, cast(3000+l_orderkey%700 as int) as sum_bq
         from lineitem""",
+    "fx_template_records": """
+        select concat(cast(o as varchar),'-',cast(p as varchar)) as qname, o%12 as sample,
+          case when o%6<>5 then concat('lib',cast(o%6 as varchar)) end as library,
+          concat('chr',lpad(cast(place%14+1 as varchar),2,'0')) as rname,
+          place*10+1+(case when rev then 150+o%3*10 else 0 end)+(case when extra>0 then 5000 else 0 end)
+            +(case when (o+n)%5=0 and not rev then 5 else 0 end) as pos,
+          cast(1+(case when o%19<>0 then 2 else 0 end)+(case when snd and o%19=0 then 4 else 0 end)
+            +(case when o%19=0 and not snd then 8 else 0 end)+(case when rev then 16 else 0 end)
+            +(case when snd then 128 else 64 end)+extra as int) as flag,
+          case when snd and o%19=0 then '*' when (o+n)%5=0 and rev then '95M5S' when (o+n)%5=0 then '5S95M' else '100M' end as cigar,
+          cast(3000+(o*7+n)%700 as int) as sum_bq
+        from (select *, (o*31+p*7)%(case when o%6=0 then 601 else 20011 end) as place, snd<>(o%23=0) as rev
+          from (select o, n, extra, case when extra>0 then 1 else (n+1)//2 end as p, extra=0 and n%2=0 as snd
+            from (select o, n, case when n=7 then 2048 when n=5 and o%13=0 then 256 else 0 end as extra
+              from (select distinct l_orderkey as o, cast(l_linenumber as bigint) as n from lineitem))))""",
     "fx_target_alignments": """
         select locus, case when l_suppkey%5<>0 then l_suppkey end as sample, 1+(l_orderkey*13+l_linenumber*7)%29 as pos,
           case l_linenumber when 3 then 256 when 4 then 512 when 5 then 2048 when 6 then 1024 else 0 end as flag,

@@ -107,17 +107,33 @@ _VIEWS = {
         select sample, read_id, mate, locus, diag, strand, score,
           coalesce(lead(score) over w, 0) as second_score, row_number() over w as rn
         from v_seeds window w as (partition by sample, read_id, mate order by score desc, locus, diag, strand)""",
+    "v_ends": """
+        select sample, library, qname, (flag & 128) <> 0 as snd, sum_bq,
+          {'rname': rname, 'five': case when (flag & 16) = 0 then pos - (case when cigar like '5S%' then 5 else 0 end)
+                                        else pos + (case when cigar = '95M5S' then 95 else 100 end) - 1
+                                          + (case when cigar = '95M5S' then 5 else 0 end) end, 'rev': (flag & 16) <> 0} as e
+        from fx_template_records where (flag & 2308) = 0""",
+    "v_named": """
+        select sample, library, qname, least(max(e) filter (not snd), max(e) filter (snd)) as lo,
+          case when count(distinct snd) = 2 then greatest(max(e) filter (not snd), max(e) filter (snd)) end as hi, sum(sum_bq) as score
+        from v_ends group by sample, library, qname""",
+    "v_twins": """
+        select sample, library, qname, row_number() over (partition by library, lo, hi order by score desc, qname, sample) > 1 as twin
+        from v_named where hi is not null
+        union all
+        select f.sample, f.library, f.qname, p.e is not null or row_number() over (partition by f.library, f.lo order by score desc, f.qname, f.sample) > 1
+        from (select * from v_named where hi is null) f
+        left join (select distinct library, unnest([lo, hi]) as e from v_named where hi is not null) p
+          on f.library is not distinct from p.library and f.lo = p.e""",
     "v_marked": """
-        select * replace (case when (flag & 4) = 0 and rn > 1 then flag | 1024 else flag end as flag) from (
-          select *, row_number() over (partition by (flag & 4) = 0, sample, rname,
-              case when (flag & 16) = 0 then pos - (case when cigar like '5S%' then 5 else 0 end)
-                   else pos + (case when cigar like '5S%' then 95 else 100 end) - 1 end,
-              (flag & 16), pnext order by sum_bq desc, qname) as rn
-          from fx_alignments)""",
-    "v_lanes": "select * replace (sample % 4 as sample) from fx_alignments",
+        select r.* replace (case when twin and (flag & 4) = 0 then flag | 1024 else flag end as flag)
+        from fx_template_records r left join v_twins t
+          on r.sample = t.sample and r.qname = t.qname and r.library is not distinct from t.library""",
     "v_metrics": """
-        select sample, count(*) as examined, count(*) filter ((flag & 1024) <> 0) as duplicates
-        from v_marked where (flag & 4) = 0 group by sample""",
+        select sample, library, count(*) filter ((flag & 2308) = 0) as examined, count(*) filter ((flag & 2316) = 0) as in_pairs,
+          count(*) filter ((flag & 3332) = 1024) as duplicates, count(*) filter ((flag & 2304) <> 0) as secondary_or_supplementary,
+          count(*) filter ((flag & 2308) = 4) as unmapped
+        from v_marked group by sample, library""",
     "v_bases": """
         select sample, rname, pos + i as rpos, (flag & 16) // 16 as strand, mapq,
           i + (case when cigar like '5S%' then 5 else 0 end) + 1 as read_pos
@@ -472,17 +488,13 @@ ORACLE: dict[str, str] = {
           count(*) filter ((flag & 256) = 256) as secondary, count(*) filter ((flag & 2048) = 2048) as supplementary,
           count(*) filter ((flag & 13) = 9) as singletons
         from v_marked group by sample""",
-    "mark_duplicates": "select sample, qname, flag from v_marked",
+    "mark_duplicates": "select sample, library, qname, rname, pos, flag from v_marked",
     "duplicate_metrics": "select *, round(duplicates / examined, 6) as share from v_metrics",
     "high_duplication_samples": """
-        select sample, count(*) as examined, count(*) filter (rn > 1) as duplicates,
-          round(count(*) filter (rn > 1) / count(*), 6) as share
-        from (select sample, row_number() over (partition by sample, rname,
-              case when (flag & 16) = 0 then pos - (case when cigar like '5S%' then 5 else 0 end)
-                   else pos + (case when cigar like '5S%' then 95 else 100 end) - 1 end,
-              (flag & 16), pnext order by sum_bq desc, qname) as rn
-          from v_lanes where (flag & 4) = 0)
-        group by sample having count(*) filter (rn > 1) / count(*) > 0.3""",
+        select sample, cast(sum(examined) as bigint) as examined, cast(sum(in_pairs) as bigint) as in_pairs,
+          cast(sum(duplicates) as bigint) as duplicates, cast(sum(secondary_or_supplementary) as bigint) as secondary_or_supplementary,
+          cast(sum(unmapped) as bigint) as unmapped, round(sum(duplicates) / sum(examined), 6) as share
+        from v_metrics group by sample having sum(duplicates) / sum(examined) > 0.3""",
     "position_depth": "select rname, rpos as pos, count(*) as depth from v_bases group by all",
     "mapq_attrition": """
         select sample, count(*) as before, count(*) filter (mapq >= 30) as after,

@@ -455,26 +455,28 @@ def coordinate_rank(x):
     return mapping.coordinate_rank(x.alignments()).select("rname", "pos", "qname", "rank")
 
 
+def _marked(x):
+    return mapping.mark_duplicates(x.template_records())
+
+
 @query
 def flagstat(x):
-    return mapping.alignment_counts(mapping.mark_duplicates(x.alignments()))
+    return mapping.alignment_counts(_marked(x))
 
 
 @query
 def mark_duplicates(x):
-    return mapping.mark_duplicates(x.alignments()).select("sample", "qname", "flag")
+    return _marked(x).select("sample", "library", "qname", "rname", "pos", "flag")
 
 
 @query
 def duplicate_metrics(x):
-    return rounded(mapping.duplicate_metrics(mapping.mark_duplicates(x.alignments())))
+    return rounded(mapping.duplicate_metrics(_marked(x), by=["sample", "library"]))
 
 
 @query
 def high_duplication_samples(x):
-    # Whole lanes as samples, where the same places come up often enough.
-    lanes = x.alignments().withColumn("sample", F.col("sample") % 4)
-    return rounded(mapping.high_duplication(mapping.duplicate_metrics(mapping.mark_duplicates(lanes)), 0.3))
+    return rounded(mapping.high_duplication(mapping.duplicate_metrics(_marked(x)), 0.3))
 
 
 @query
