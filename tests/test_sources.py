@@ -6,7 +6,6 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from varigrove.plans import queries
 from varigrove.sources import alignments, fasta, fastq, tables, vcf
 from varigrove.streaming import resume
 
@@ -199,6 +198,25 @@ def test_matrix(spark, tmp_path):
     assert rows(tables.read_matrix(spark, str(tmp_path / "w")), "sample") == [("s1", "7271", 1), ("s2", "7271", 0)]
 
 
+def test_matrix_text(spark, tmp_path):
+    """Blank cells at every place, repeats, null names, one header in each file."""
+    data = [("s", "b", 2), ("s", "d", 4), ("t", "a", 1), ("t", "a", 9), ("u", "c", 3), (None, "d", 5), ("u", None, 7), ("v", "e", None)]
+    long = spark.createDataFrame(data, "sample string, locus string, n int")
+    lines = {r.line: r.header for r in tables.matrix_lines(long).collect()}
+    assert lines == {
+        "sample\ta\tb\tc\td\te": True, "s\t\t2\t\t4\t": False, "t\t9\t\t\t\t": False, "u\t\t\t3\t\t": False, "\t\t\t\t5\t": False
+    }
+    path = str(tmp_path / "m")
+    tables.write_matrix(long, path, parts=3)
+    files = [f.read_text().splitlines() for f in (tmp_path / "m").glob("part-*")]
+    assert sum(map(len, files)) == 4 + 3 and all(not f or f[0].startswith("sample\ta") for f in files)
+    assert rows(tables.read_matrix(spark, path), "sample", "locus") == [
+        (None, "d", 5), ("s", "b", 2), ("s", "d", 4), ("t", "a", 9), ("u", "c", 3)
+    ]
+    tables.write_matrix(long.where("false"), str(tmp_path / "none"))
+    assert tables.read_matrix(spark, str(tmp_path / "none")).collect() == []
+
+
 def test_runs(spark, tmp_path):
     df = spark.createDataFrame([(5, 1.5)], "raw long, pct double")
     for run in ("a", "b"):
@@ -266,16 +284,10 @@ def test_vcf_has_contigs_in_the_order_of_the_genome(spark, tmp_path):
     assert body[2][9:] == ["1/1" if n == "s300" else "./." for n in names] and set(body[0][9:]) == {"./."}
 
 
-def test_matrix_has_all_loci(inputs, monkeypatch):
-    """The query's wide table has a column for each locus, and gives back each cell."""
-    seen = []
-    unpivot = tables.unpivot_matrix
-    monkeypatch.setattr(tables, "unpivot_matrix", lambda wide, value="n": seen.append(wide) or unpivot(wide, value))
-    queries.matrix_unpivot(inputs)
-    loci = {str(r.locus) for r in inputs.contigs().select("locus").distinct().collect()}
-    assert len(loci) > 11 and {c for w in seen for c in w.columns[1:]} == loci
-    copies = inputs.contigs().groupBy("sample", F.col("locus").cast("string").alias("locus")).agg(F.count("*").alias("n"))
-    blocks = list(tables.pivot_blocks(copies, width=70))
-    assert len(blocks) == -(-len(loci) // 70) and all(len(w.columns) <= 71 for w in blocks)
-    got = tables.unpivot_blocks(inputs.spark, blocks).withColumn("sample", F.col("sample").cast(copies.schema["sample"].dataType))
-    assert rows(got, "sample", "locus") == rows(copies, "sample", "locus")
+def test_wide_matrix_has_one_plan(spark, tmp_path):
+    """50,000 loci: no column for each, and every cell comes back."""
+    long = spark.range(200_000).selectExpr("id % 40 as sample", "concat('locus', (id * 7919) % 50000) as locus", "id as n")
+    tables.write_matrix(long, str(tmp_path / "wide"), parts=4)
+    got = tables.read_matrix(spark, str(tmp_path / "wide"))
+    want = long.groupBy(F.col("sample").cast("string"), "locus").agg(F.max("n").alias("n"))
+    assert got.count() == want.count() and got.exceptAll(want.select("sample", "locus", "n")).count() == 0

@@ -303,9 +303,7 @@ ORACLE: dict[str, str] = {
     "run_append_union": "select * from v_run_table",
     "sample_map": "select split_part(split_part(path, '/', 2), '_', 1) as sample, path from fx_files where side = 'source'",
     "interval_list": "select name from fx_seqs order by ord",
-    "matrix_unpivot": """
-        select sample, concat('group_', cast(locus % 11 as varchar)) as locus, count(*) as n
-        from fx_contigs group by 1, 2""",
+    "matrix_unpivot": "select sample, locus, count(*) as n from fx_contigs group by sample, locus",
     "manifest_counts": """
         select side, 'fq.gz' as extension, count(*) as files, cast(sum(size) as bigint) as bytes
         from fx_files group by side""",

@@ -162,12 +162,11 @@ def interval_list(x):
 
 @query
 def matrix_unpivot(x):
-    # The wide table has all loci; the oracle is told by linkage group, so groups are summed behind it.
-    copies = x.contigs().groupBy("sample", F.col("locus").cast("string").alias("locus")).agg(F.count(F.lit(1)).alias("n"))
-    sample = copies.schema["sample"].dataType
-    long = tables.unpivot_blocks(x.spark, tables.pivot_blocks(copies)).withColumn("sample", F.col("sample").cast(sample))
-    group = F.concat(F.lit("group_"), (F.col("locus").cast("bigint") % 11).cast("string"))
-    return long.groupBy("sample", group.alias("locus")).agg(F.sum("n").alias("n"))
+    """The sample by locus matrix written with all its loci and read back cell by cell."""
+    copies = x.contigs().groupBy("sample", "locus").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(x.spark, "matrix")
+    tables.write_matrix(copies, path, parts=8)
+    return tables.read_matrix(x.spark, path).select(F.col("sample").cast("long"), F.col("locus").cast("long"), "n")
 
 
 @query
