@@ -55,59 +55,32 @@ def test_salted_join_rejects_outer(crowded, lookup):
         joins.salted_join(crowded, lookup, ["k"], "full")
 
 
-@pytest.mark.parametrize("bound", [0, 1_000_000])
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_on_both_sides_of_its_bound(crowded, lookup, how, bound):
-    got = joins.lookup_join(crowded, lookup, ["k"], how, max_bytes=bound)
-    assert content(got) == content(crowded.join(lookup, "k", how))
-
-
-@pytest.mark.parametrize("bound", [0, 1_000_000])
-def test_fill_join(spark, bound):
-    grid = spark.range(50).withColumnRenamed("id", "k")
-    cells = spark.range(0, 50, 3).select(F.col("id").alias("k"), F.lit(1).alias("n"))
-    got = joins.fill_join(grid, cells, ["k"], max_bytes=bound)
-    assert content(got) == content(grid.join(cells, "k", "left"))
-
-
-@pytest.mark.parametrize("shard_rows", [3, 1000])
-def test_with_roster(spark, shard_rows):
-    rows, names = spark.range(5), spark.range(10).select((F.col("id") % 7).alias("sample"))
-    got = joins.with_roster(rows, names, "sample", shard_rows)
-    assert content(got) == [(i, s) for i in range(5) for s in range(7)]
-
-
-def test_ordered_index(spark):
-    # Two thirds of the rows share one position.
-    df = spark.range(5000).select(
-        F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") % 11).alias("pos"), F.md5(F.col("id").cast("string")).alias("name")
-    )
-    got = joins.ordered_index(df, ["pos", "name"]).toPandas().sort_values("rank")
-    want = df.toPandas().sort_values(["pos", "name"]).reset_index(drop=True)
-    assert list(got["rank"]) == list(range(1, 5001))
-    assert list(got["name"]) == list(want["name"])
-
-
-@pytest.mark.parametrize("block", [1, 7, 10_000])
-def test_running_total(spark, block):
-    df = spark.range(200).select((F.col("id") % 2).alias("g"), (F.col("id") * 3).alias("at"), (F.col("id") % 5).alias("v"))
-    got = joins.running_total(df, ["g"], "at", "v", block, "total").toPandas().sort_values(["g", "at"])
-    want = df.toPandas().sort_values(["g", "at"])
-    assert list(got["total"]) == list(want.groupby("g")["v"].cumsum())
-
-
-@pytest.mark.parametrize("bound", [0, 1_000_000])
-@pytest.mark.parametrize("width", [1, 10, 1000])
-def test_interval_join(spark, width, bound):
+@pytest.mark.parametrize(("finest", "coarsest"), [(0, 0), (0, 6), (0, 28), (3, 9), (10, 28)])
+def test_interval_join(spark, finest, coarsest):
     rng = np.random.default_rng(1)
     start = rng.integers(0, 500, 300)
-    intervals = pd.DataFrame({"c": rng.choice(["a", "b"], 300), "i": range(300), "start": start, "stop": start + rng.integers(0, 90, 300)})
-    points = pd.DataFrame({"c": rng.choice(["a", "b"], 200), "p": rng.integers(0, 600, 200)}).drop_duplicates()
-    got = joins.interval_join(spark.createDataFrame(intervals), spark.createDataFrame(points), "c", "start", "stop", "p", width, bound)
+    stop = start + np.where(rng.random(300) < 0.1, 90_000, rng.integers(-2, 90, 300))
+    intervals = pd.DataFrame({"c": rng.choice(["a", "b"], 300), "i": range(300), "start": start, "stop": stop})
+    points = pd.DataFrame({"c": rng.choice(["a", "b"], 200), "p": np.r_[rng.integers(0, 600, 150), rng.integers(0, 99_999, 50)]}).drop_duplicates()
+    if finest == coarsest == 0:
+        intervals = intervals[intervals.stop - intervals.start < 100]
+    got = joins.interval_join(spark.createDataFrame(intervals), spark.createDataFrame(points), "c", "start", "stop", "p", finest, coarsest)
     want = intervals.merge(points, on="c").query("start <= p <= stop")
     assert sorted((r.i, r.p) for r in got.collect()) == sorted(zip(want["i"], want["p"]))
 
 
+def test_a_long_interval_is_in_few_bins(spark):
+    """A block of 50 Mb is fewer than 20 rows before it meets points."""
+    block = spark.createDataFrame([("c", 1, 50_000_000)], "c string, start long, stop long")
+    points = spark.createDataFrame([("c", n * 1000) for n in range(1, 101)] + [("c", 50_000_001), ("d", 5)], "c string, p long")
+    met = joins.interval_join(block, points, "c", "start", "stop", "p")
+    assert met.count() == 100
+    tree = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in tree
+    bins = block.select(F.size(F.sequence(F.shiftright("start", 22), F.shiftright("stop", 22)))).first()[0]
+    assert bins < 20
+
+
 @pytest.mark.parametrize("cuts", [2, 64])
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_exact_quantiles(spark, by, cuts):

@@ -75,10 +75,54 @@ def test_pairs(spark):
 
 # -- seeds and alignments ----------------------------------------------------
 
-def test_seed_join_is_the_same_beyond_the_broadcast_bound(inputs, monkeypatch):
+def test_seed_join_is_the_same_without_broadcast(spark, inputs):
     within = rows(mapping.seed_join(inputs.reads(), inputs.loci()), "read_id", "mate")
-    monkeypatch.setattr(mapping, "INDEX_KMERS", 0)
-    assert rows(mapping.seed_join(inputs.reads(), inputs.loci()), "read_id", "mate") == within
+    names = ["spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"]
+    kept = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        assert rows(mapping.seed_join(inputs.reads(), inputs.loci()), "read_id", "mate") == within
+    finally:
+        for n in names:
+            spark.conf.set(n, kept[n])
+
+
+def test_packed_seeds_by_brute_force(spark):
+    """Reads of all lengths, both strands, repeats and letters that are no bases, against text k-mers."""
+    rng = np.random.default_rng(12)
+    flip = str.maketrans("ACGT", "TGCA")
+    loci = ["".join(rng.choice(list("ACGT"), 60)) for _ in range(6)]
+    loci += [loci[0][10:40] * 2, loci[1][:30] + "N" + loci[1][30:], "ACGTA", "A" * 40]
+    data = []
+    for n in range(150):
+        text = loci[rng.integers(len(loci))]
+        at, size = rng.integers(0, 25), rng.integers(5, 60)
+        read = text[at : at + size]
+        read = read[::-1].translate(flip) if rng.integers(2) else read
+        data.append(("s", f"r{n}", 1, read + ("", "N", "acgt")[rng.integers(3)], ""))
+    k, step = 11, 4
+    want = {}
+    for _, name, _, seq, _ in data:
+        for strand, s in (("+", seq), ("-", seq[::-1].translate(flip))):
+            for off in range(0, len(s) - k + 1, step):
+                window = s[off : off + k]
+                if set(window) <= set("ACGT"):
+                    for locus, t in enumerate(loci):
+                        for t_off in range(len(t) - k + 1):
+                            if t[t_off : t_off + k] == window:
+                                key = (locus, t_off - off, strand)
+                                want.setdefault(name, {}).setdefault(key, 0)
+                                want[name][key] += 1
+    best = {}
+    for name, found in want.items():
+        order = sorted((-n, *key) for key, n in found.items())
+        best[name] = (*order[0][1:], -order[0][0], -order[1][0] if len(order) > 1 else 0)
+    targets = spark.createDataFrame(list(enumerate(loci)), "locus long, seq string")
+    got = mapping.seed_join(spark.createDataFrame(data, READS), targets, k, step)
+    assert {r.read_id: (r.locus, r.diag, r.strand, r.score, r.second_score) for r in got.collect()} == best
+    with pytest.raises(ValueError):
+        mapping.seed_join(spark.createDataFrame(data, READS), targets, 12)
 
 
 def test_seeds_find_the_right_locus(inputs):

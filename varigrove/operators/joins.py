@@ -211,26 +211,32 @@ def block_carry(cut: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def interval_join(
-    intervals: DataFrame,
-    points: DataFrame,
-    key: str,
-    start: str,
-    stop: str,
-    at: str,
-    width: int = 1000,
-    max_bytes: int = BROADCAST_BYTES,
+    intervals: DataFrame, points: DataFrame, key: str, start: str, stop: str, at: str, finest: int = 10, coarsest: int = 28
 ) -> DataFrame:
-    """Points inside closed intervals of the same `key`, as an equi-join on bins.
-
-    An interval is listed once in every bin it touches and a point once in its
-    own, so each pair meets exactly once. Points beyond the broadcast bound are
-    shuffled, and bins crowded by intervals are salted.
+    """Points inside closed intervals of the same `key`, as an equi-join on bins of several widths.
+
+    Widths go from 2^`finest` to 2^`coarsest` in powers of 64. An interval is listed in
+    bins of the first width that is a 16th of its length or more, so in 17 at
+    most; only beyond 16 of the widest bins are there more. A point is listed
+    once in its bin of every width, so each pair meets exactly once. Which side
+    travels is left to adaptive execution, which measures both and splits bins
+    crowded by intervals or points. A null bound or position meets nothing.
     """
-    bin_of = lambda c: F.floor(F.col(c) / width)
-    listed = intervals.withColumn("__bin", F.explode(F.sequence(bin_of(start), bin_of(stop))))
-    placed = points.withColumn("__bin", bin_of(at))
-    met = lookup_join(listed, placed, [key, "__bin"], max_bytes=max_bytes)
-    return met.where(F.col(at).between(F.col(start), F.col(stop))).drop("__bin")
+    levels = list(range(finest, coarsest + 1, 6))
+    length = F.col(stop) - F.col(start)
+    level = F.lit(levels[-1])
+    for bits in reversed(levels[:-1]):
+        level = F.when(length < (16 << bits), bits).otherwise(level)
+    bin_of = lambda c, bits: F.call_function("shiftright", F.col(c).cast("long"), bits)
+    listed = (
+        intervals.where(F.col(start) <= F.col(stop))
+        .withColumn("__level", level)
+        .withColumn("__bin", F.explode(F.sequence(bin_of(start, F.col("__level")), bin_of(stop, F.col("__level")))))
+    )
+    each = F.array(*[F.struct(F.lit(bits).alias("__level"), bin_of(at, F.lit(bits)).alias("__bin")) for bits in levels])
+    placed = points.where(F.col(at).isNotNull()).select("*", F.inline(each))
+    met = listed.join(placed, [key, "__level", "__bin"])
+    return met.where(F.col(at).between(F.col(start), F.col(stop))).drop("__level", "__bin")
 
 
 def restrict_to(df: DataFrame, names: DataFrame, column: str) -> DataFrame:

@@ -13,13 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators.joins import block_carry, lookup_join, ordered_index, salted_join
+from varigrove.operators.joins import block_carry, lookup_join, ordered_index
 
 MIN_MAPQ = 30
 SEED = 31
 SEED_STEP = 23
-# K-mers of a broadcast index; about 100 bytes each.
-INDEX_KMERS = 4_000_000
 DEPTH_BLOCK = 1 << 16
 
 READ = ("sample", "read_id", "mate")
@@ -27,34 +25,52 @@ READ = ("sample", "read_id", "mate")
 
 # -- seeds -------------------------------------------------------------------
 
+def _coded_windows(df: DataFrame, offsets: Column, k: int, columns: list[str]) -> DataFrame:
+    """Rows with `seq` as `columns, at, last, kmer, flip`, one for each offset: the window there, packed, of whichever strand packs lower.
+
+    A base is two bits, so up to 31 of them are one long, and `flip` tells that
+    it is the other strand's. Windows with other letters than A, C, G and T are
+    left out. Both strands become digits once per sequence, and windows are coded
+    before they become rows.
+    """
+    if not (k % 2 and 0 < k <= 31):
+        raise ValueError("k must be odd, so that no window equals its other strand, and at most 31")
+    strands = df.withColumns({"__digits": F.translate("seq", "ACGT0123", "0123xxxx"), "__odd": F.col("seq").rlike("[^ACGT]")})
+    strands = strands.withColumn("__back", F.reverse(F.translate("__digits", "0123", "3210"))).where(F.length("seq") >= k)
+    last = F.length("__digits") - k
+    cut = lambda text, at: F.substring(F.col(text), at + 1, F.lit(k))
+    code = lambda text, at: F.conv(cut(text, at), 4, 10).cast("long")
+    plain = lambda at: ~F.col("__odd") | ~cut("__digits", at).rlike("[^0-3]")
+    coded = F.transform(
+        F.filter(offsets, plain),
+        lambda at: F.struct(at.alias("at"), code("__digits", at).alias("ahead"), code("__back", last - at).alias("back")),
+    )
+    packed = F.transform(
+        coded, lambda w: F.struct(w["at"], F.least(w["ahead"], w["back"]).alias("kmer"), (w["back"] < w["ahead"]).alias("flip"))
+    )
+    return strands.select(*columns, last.alias("last"), F.inline(packed))
+
+
 def target_kmers(targets: DataFrame, k: int = SEED) -> DataFrame:
-    """Every k-mer of every target with its place: `kmer, locus, t_off`."""
-    last = F.length("seq") - k
-    return targets.where(last >= 0).select(
-        "locus", "seq", F.explode(F.sequence(F.lit(0), last)).alias("t_off")
-    ).select(F.substring("seq", F.col("t_off") + 1, F.lit(k)).alias("kmer"), "locus", "t_off")
+    """Every k-mer of every target with its place: `locus, t_off, kmer, t_flip`."""
+    every = F.sequence(F.lit(0), F.length("seq") - k)
+    # A short table whose rows become many: dealt before they do.
+    coded = _coded_windows(targets.repartition("locus"), every, k, ["locus"])
+    return coded.select("locus", F.col("at").alias("t_off"), "kmer", F.col("flip").alias("t_flip"))
 
 
 def read_seeds(reads: DataFrame, k: int = SEED, step: int = SEED_STEP) -> DataFrame:
-    """Every `step`-th k-mer of each read on both strands.
+    """Every `step`-th k-mer of each read, counted from either end, so of both strands: `kmer, flip, r_off, back_off`.
 
-    The k-mers of a read are listed before they become rows, so a row carries
-    its own k-mer and not the whole read.
+    Where the two counts meet, one k-mer serves both strands. `r_off` is its
+    place on the read, `back_off` on the other strand; null where it is not counted.
     """
     last = F.length("seq") - k
-    offsets = F.sequence(F.lit(0), last, F.lit(step))
-
-    def cut(s: Column) -> Column:
-        return F.transform(offsets, lambda i: F.substring(s, i + 1, F.lit(k)))
-
-    listed = F.concat(cut(F.col("seq")), cut(F.col("back")))
-    number = F.floor(last / step) + 1
-    strand = F.when(F.col("__i") < F.col("__n"), "+").otherwise("-")
-    return (
-        reads.where(last >= 0)
-        .withColumn("back", B.reverse_complement(F.col("seq")))
-        .select(*READ, number.cast("int").alias("__n"), F.posexplode(listed).alias("__i", "kmer"))
-        .select(*READ, strand.alias("strand"), (F.col("__i") % F.col("__n") * step).alias("r_off"), "kmer")
+    steps = F.sequence(F.lit(0), last, F.lit(step))
+    ends = F.when(last % step == 0, steps).otherwise(F.array_union(steps, F.transform(steps, lambda i: last - i)))
+    counted = lambda c: F.when(c % step == 0, c)
+    return _coded_windows(reads, ends, k, list(READ)).select(
+        *READ, "kmer", "flip", counted(F.col("at")).alias("r_off"), counted(F.col("last") - F.col("at")).alias("back_off")
     )
 
 
@@ -65,22 +81,16 @@ def seed_join(reads: DataFrame, targets: DataFrame, k: int = SEED, step: int = S
     strand. `second_score` is the best score among all other placements, 0 if
     there is none.
 
-    The number of target k-mers follows from the target lengths. Within bounds
-    the index is broadcast and reads are not shuffled for the lookup; beyond,
-    frequent k-mers of the reads are salted. Hits are then shuffled by read
-    once, for both the count and the choice. A read, and not a k-mer or a
-    locus, is the group of that window: its rows are its own placements.
+    One plan at all sizes: a join on packed k-mers, whose sides adaptive
+    execution measures, broadcasts or splits. Seeds of one place count on the map side.
+    A read, and not a k-mer or a locus, is the group of the window: its rows are its own placements.
     """
-    index = target_kmers(targets, k)
-    size = targets.agg(F.sum(F.greatest(F.length("seq") - k + 1, F.lit(0)))).first()[0] or 0
-    seeds = read_seeds(reads, k, step)
-    if size <= INDEX_KMERS:
-        hits = seeds.join(F.broadcast(index), "kmer")
-    else:
-        hits = salted_join(seeds, index, ["kmer"])
+    met = read_seeds(reads, k, step).join(target_kmers(targets, k), "kmer")
+    same = F.col("flip") == F.col("t_flip")
+    offset = F.when(same, F.col("r_off")).otherwise(F.col("back_off"))
     placed = (
-        hits.select(*READ, "locus", "strand", (F.col("t_off") - F.col("r_off")).alias("diag"))
-        .repartition(*READ)
+        met.select(*READ, "locus", F.when(same, "+").otherwise("-").alias("strand"), (F.col("t_off") - offset).alias("diag"))
+        .where(F.col("diag").isNotNull())
         .groupBy(*READ, "locus", "diag", "strand")
         .agg(F.count(F.lit(1)).alias("score"))
     )

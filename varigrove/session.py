@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sides are measured after their shuffle, so a larger one may still be broadcast.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "128m",
     # Split a skewed join partition even where an aggregate follows on the
     # same key; the extra shuffle is cheaper than one straggler.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
