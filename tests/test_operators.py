@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators import calling, cohort, genotyping, mapping, paralogs, reads, recovery, samples, variants
+from varigrove.operators import calling, cohort, genotyping, mapping, packed, paralogs, reads, recovery, samples, variants
 from varigrove.plans import chains
 
 
@@ -482,6 +482,34 @@ def test_chain_from_reads_to_tagged_sites(spark):
     assert row["filter"] == "PASS" and row.qual > 30 and row.dp == 48
 
 
+def test_packed_genotypes_come_back(spark):
+    """Seventy samples and one without a name, calls of all kinds, a site without any."""
+    rng = np.random.default_rng(9)
+    names = [f"s{n:02d}" for n in range(70)] + [None]
+    kinds = ["./.", "0/0", "0/1", "1/1", "1/2", "0|1", "2/2", "./1"]
+    cells = {("c", int(p), s): str(rng.choice(kinds)) for p in range(1, 30) for s in names if rng.random() < 0.8}
+    schema = "chrom string, pos long, sample string, gt string"
+    calls = spark.createDataFrame([(*k, v) for k, v in cells.items()] + [("c", 5, "stranger", "1/1")], schema)
+    roster = spark.createDataFrame([(s,) for s in names + names[:3]], "sample string")
+    sites = spark.createDataFrame([("c", p) for p in range(1, 31)], "chrom string, pos long")
+    vectors = packed.pack(calls, roster)
+    assert vectors.groupBy("chrom", "pos").count().agg(F.max("count")).first()[0] == 3
+    missing = lambda g: g is None or "." in g
+    got = {(r.chrom, r.pos, r.sample): r.gt for r in packed.unpack(vectors, roster, sites).collect()}
+    assert len(got) == 30 * 71
+    assert all(got[k] == (v if not missing(v) or v != "./." else "./.") or missing(v) for k, v in cells.items())
+    assert all(v == "./." for k, v in got.items() if k not in cells)
+    hom_alt = lambda g: g in ("1/1", "2/2")
+    for r in packed.site_counts(vectors, roster).collect():
+        mine = [v for k, v in cells.items() if k[1] == r.pos and not missing(v)]
+        assert (r.hom_ref, r.hom_alt) == (mine.count("0/0"), sum(map(hom_alt, mine))) and r.missing == 71 - len(mine)
+        assert r.het == len(mine) - r.hom_ref - r.hom_alt
+    for r in packed.sample_counts(vectors, roster).collect():
+        assert r.called == sum(k[2] == r.sample and not missing(v) for k, v in cells.items()) and r.missing == 29 - r.called
+    kept = {r.pos for r in packed.missingness_filter(vectors, roster, 0.4).collect()}
+    assert kept == {r.pos for r in packed.site_counts(vectors, roster).collect() if r.f_missing <= 0.4}
+
+
 # -- variants ----------------------------------------------------------------
 
 SITE = "chrom string, pos long, ref string, alt string, qual double, qd double, fs double, sor double, mq double, mqranksum double, readposranksum double, dp long"

@@ -79,7 +79,7 @@ def with_alleles(summed: DataFrame) -> DataFrame:
     whole = Window.partitionBy(*SITE, "ref")
     totals = summed.withColumns({f"__all_{x}": F.sum(f"__n_{x}").over(whole) for x in LETTERS})
     listed = totals.withColumn("alleles", _ordered_alleles({x: F.col(f"__all_{x}") for x in LETTERS}))
-    depths = F.transform("alleles", lambda a: _of(a, "all", F.lit(0)))
+    depths = F.slice(F.array(*[_of(F.get("alleles", F.lit(i)), "all", F.lit(0)) for i in range(4)]), F.lit(1), F.size("alleles"))
     return listed.withColumn("site_ad", depths).drop(*[f"__all_{x}" for x in LETTERS])
 
 
@@ -91,14 +91,21 @@ def _of(letter: Column, kind: str, unseen: Column) -> Column:
     return found.otherwise(unseen)
 
 
-def _likelihoods() -> Column:
-    """log10 likelihoods of all pairs of `alleles`, in order."""
+def _with_likelihoods(listed: DataFrame) -> DataFrame:
+    """`gl`, the log10 likelihoods of all pairs of `alleles` in order, and `ad`, the sample's bases by allele.
+
+    The sums of the alleles are looked up once; the pairs then add two of them.
+    """
     allele = [F.get("alleles", F.lit(i)) for i in range(4)]
-    both = [_of(a, "both", F.lit(0.0)) for a in allele]
-    one = [_of(a, "one", F.lit(0.0)) for a in allele]
+    gains = {f"__{kind}{i}": _of(a, kind, F.lit(0.0)) for kind in ("both", "one") for i, a in enumerate(allele)}
+    both, one = ([F.col(f"__{kind}{i}") for i in range(4)] for kind in ("both", "one"))
     each = [F.col("__none") + (both[i] if i == j else one[i] + one[j]) for i, j in PAIRS]
     n = F.size("alleles")
-    return F.slice(F.array(*each), F.lit(1), (n * (n + 1) / 2).cast("int"))
+    return (
+        listed.withColumn("ad", F.slice(F.array(*[_of(a, "n", F.lit(0)) for a in allele]), F.lit(1), n))
+        .withColumns(gains)
+        .withColumn("gl", F.slice(F.array(*each), F.lit(1), (n * (n + 1) / 2).cast("int")))
+    )
 
 
 def genotype_likelihoods(piled: DataFrame, keep: Sequence[str] = (), more: Sequence[Column] = ()) -> DataFrame:
@@ -110,9 +117,8 @@ def genotype_likelihoods(piled: DataFrame, keep: Sequence[str] = (), more: Seque
     aggregates of the pileup, named in `keep`.
     """
     summed = evidence(piled).groupBy("sample", *SITE, "ref").agg(*base_sums(), *more)
-    own = F.transform("alleles", lambda a: _of(a, "n", F.lit(0)))
-    return with_alleles(summed).select(
-        "sample", *SITE, "ref", "alleles", "dp", own.alias("ad"), "site_ad", _likelihoods().alias("gl"), *keep
+    return _with_likelihoods(with_alleles(summed)).select(
+        "sample", *SITE, "ref", "alleles", "dp", "ad", "site_ad", "gl", *keep
     )
 
 

@@ -69,12 +69,13 @@ class Inputs:
         )
 
     def roster(self) -> DataFrame:
-        """Samples of the cohort: all nations."""
-        return self.table("nation").select(F.col("n_nationkey").cast("long").alias("sample"))
+        """Samples of the cohort: all nations, one of them without a name."""
+        key = F.col("n_nationkey").cast("long")
+        return self.table("nation").select(F.when(key != 24, key).alias("sample"))
 
     def genotypes(self) -> DataFrame:
         """A call for every site and sample, some of them missing."""
-        h, s = F.col("h"), F.col("sample")
+        h, s = F.col("h"), F.coalesce("sample", F.lit(24))
         absent = (h + s * 7) % 11 < F.when(h % 13 > 10, 6).otherwise(1)
         gt = F.when(absent, "./.").when((h + s) % 3 == 0, "0/0").when((h + s) % 3 == 1, "0/1").otherwise("1/1")
         cells = with_roster(self.sites().select("chrom", "pos", "h"), self.roster(), "sample")
@@ -380,11 +381,11 @@ INPUT_SQL = {
           from (select l_orderkey, l_linenumber, max(l_partkey) as k,
                   l_orderkey*7919+max(l_partkey)*104729+l_linenumber*17 as h
                 from lineitem group by l_orderkey, l_linenumber))""",
-    "fx_roster": "select cast(n_nationkey as bigint) as sample from nation",
+    "fx_roster": "select case when n_nationkey <> 24 then cast(n_nationkey as bigint) end as sample from nation",
     "fx_genotypes": """
         select chrom, pos, sample,
-          case when (h+sample*7)%11 < (case when h%13>10 then 6 else 1 end) then './.'
-               when (h+sample)%3=0 then '0/0' when (h+sample)%3=1 then '0/1' else '1/1' end as gt
+          case when (h+coalesce(sample,24)*7)%11 < (case when h%13>10 then 6 else 1 end) then './.'
+               when (h+coalesce(sample,24))%3=0 then '0/0' when (h+coalesce(sample,24))%3=1 then '0/1' else '1/1' end as gt
         from fx_sites, fx_roster""",
     "fx_samples": """
         select s_suppkey as sample,

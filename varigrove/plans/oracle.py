@@ -604,6 +604,13 @@ ORACLE: dict[str, str] = {
     "sample_missingness": """
         select sample, count(*) as calls, count(*) filter (gt = './.') as missing,
           round(count(*) filter (gt = './.') / count(*), 6) as f_missing from fx_genotypes group by sample""",
+    "packed_site_counts": """
+        select chrom, pos, count(*) filter (gt = '0/0') as hom_ref, count(*) filter (gt = '0/1') as het,
+          count(*) filter (gt = '1/1') as hom_alt, count(*) filter (gt = './.') as missing,
+          round(count(*) filter (gt = './.') / count(*), 6) as f_missing from fx_genotypes group by chrom, pos""",
+    "packed_sample_counts": """
+        select sample, count(*) filter (gt <> './.') as called, count(*) filter (gt = './.') as missing,
+          round(count(*) filter (gt = './.') / count(*), 6) as f_missing from fx_genotypes group by sample""",
     "missingness_sweep": """
         select region, t as threshold, kept, total, floor(kept * 1000 / total) / 10 as pct from (
           select 'chr01' as region, t, count(*) filter (f_missing <= t) as kept, count(*) as total

@@ -18,6 +18,7 @@ from varigrove.operators import (
     genotyping,
     joins,
     mapping,
+    packed,
     paralogs,
     reads,
     recovery,
@@ -568,8 +569,9 @@ def block_site_join(x):
 
 @query
 def cohort_grid(x):
+    """The called cells as vectors, and from them every cell again."""
     calls = x.genotypes().where(~B.is_missing(F.col("gt")))
-    return calling.cohort_grid(x.sites(), x.roster(), calls)
+    return packed.unpack(packed.pack(calls, x.roster()), x.roster(), x.sites())
 
 
 @query
@@ -733,6 +735,16 @@ def sample_missingness(x):
     return rounded(cohort.sample_missingness(x.genotypes()))
 
 
+@query
+def packed_site_counts(x):
+    return rounded(packed.site_counts(packed.pack(x.genotypes(), x.roster()), x.roster()))
+
+
+@query
+def packed_sample_counts(x):
+    return rounded(packed.sample_counts(packed.pack(x.genotypes(), x.roster()), x.roster()))
+
+
 @query
 def missingness_sweep(x):
     return cohort.missingness_sweep(x.genotypes(), {"chr01": CHROMS[:1], "chr01-chr14": CHROMS})
