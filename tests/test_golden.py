@@ -48,14 +48,14 @@ def test_percent_of_nothing_is_null(spark):
 
 
 def test_read_group(spark):
-    base = F.lit("Plant_2013_110_CKDL250009714-1A_22V7CCLT4_L2")
+    base = F.lit("Plant_2013_110_LIB250009714-1A_FLOW1_L2")
     got = spark.range(1).select(*[c.alias(n) for n, c in N.read_group(base).items()]).first().asDict()
     assert got == {
         "sm": "Plant_2013_110",
-        "lb": "CKDL250009714-1A",
+        "lb": "LIB250009714-1A",
         "pl": "ILLUMINA",
-        "pu": "22V7CCLT4_L2",
-        "rgid": "Plant_2013_110_22V7CCLT4_L2",
+        "pu": "FLOW1_L2",
+        "rgid": "Plant_2013_110_FLOW1_L2",
     }
 
 

@@ -703,6 +703,18 @@ def test_only_evidence_is_piled_up(spark):
     assert depth == {1: 2, 2: 2, 3: 2, 4: 2}
 
 
+def test_null_samples_keep_pairs_lengths_and_reports(spark):
+    data = [(s, "r", m, "ACGT" * 20, "I" * 80) for s in (None, "x") for m in (1, 2)] + [(None, "lone", 1, "ACGT" * 20, "I" * 80)]
+    df = spark.createDataFrame(data, READS)
+    assert rows(reads.pair_mates(df).select("sample", "read_id"), "sample") == [(None, "r"), ("x", "r")]
+    assert rows(reads.unpaired(df).select("sample", "read_id")) == [(None, "lone")]
+    assert rows(reads.cohort_qc(df).select("sample", "reads"), "sample") == [(None, 3), ("x", 2)]
+    contigs = spark.createDataFrame([(None, 1, 1, 30, 40, 5), ("x", 2, 1, 50, 60, 5)], "sample string, locus long, contig_no int, exon_len int, supercontig_len int, depth int")
+    loci = spark.createDataFrame([(1,), (2,)], "locus long")
+    assert rows(recovery.seq_lengths(contigs, loci, "gene"), "sample", "locus") == [(None, 1, 30.0), (None, 2, 0.0), ("x", 1, 0.0), ("x", 2, 50.0)]
+    assert rows(paralogs.copy_counts(contigs), "sample", "locus") == [(None, 1, 1), (None, 2, 0), ("x", 1, 0), ("x", 2, 1)]
+
+
 def test_null_samples_are_a_sample(spark):
     primary = records(spark).where("flag in (0, 16) and seq is not null")
     marked = mapping.mark_duplicates(primary)

@@ -23,7 +23,7 @@ def record(name, seq, qual):
     return f"@{name}\n{seq}\n+\n{qual}\n"
 
 
-BASE = "Plant_2013_110_CKDL250009714-1A_22V7CCLT4_L2"
+BASE = "Plant_2013_110_LIB250009714-1A_FLOW1_L2"
 
 
 def test_fastq(spark, tmp_path):
@@ -88,7 +88,7 @@ def test_names(spark, tmp_path):
 
 SAM = (
     "@HD\tVN:1.6\n"
-    "q1\t99\tchr01\t10\t60\t2S3M\t=\t40\t35\tGGACG\tII5#I\tRG:Z:Plant_2013_110_22V7_L2\n"
+    "q1\t99\tchr01\t10\t60\t2S3M\t=\t40\t35\tGGACG\tII5#I\tRG:Z:Plant_2013_110_FLOW1_L2\n"
     "q2\t4\t*\t0\t0\t*\t*\t0\t0\tAC\t##\n"
 )
 

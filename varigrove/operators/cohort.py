@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
 from varigrove.functions.numbers import MEGABASE, pct_round2, pct_trunc1, safe_ratio, window_number
-from varigrove.operators.joins import attach, exact_quantiles, lookup_join
+from varigrove.operators.joins import exact_quantiles, lookup_join, null_safe_join
 from varigrove.operators.variants import RULES, is_pass, main_chromosomes
 
 BINS = 100
@@ -166,16 +166,18 @@ def histogram(df: DataFrame, value: str, split: Sequence[str], by: Sequence[str]
     laid over each other.
     """
     by = list(by)
-    ends = df.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    # Equal values are counted first; the range and the bins both come from those counts.
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, *split, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    ends = counts.groupBy(*by).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     if by:
-        ranged = attach(df, ends, by)
+        ranged = null_safe_join(counts, ends, by)
     else:
         one = ends.select(F.struct("*").alias("s")).scalar()
-        ranged = df.withColumn("__ends", one).select("*", "__ends.*").drop("__ends")
+        ranged = counts.withColumn("__ends", one).select("*", "__ends.*").drop("__ends")
     width = F.col("__hi") - F.col("__lo")
-    place = F.floor((F.col(value) - F.col("__lo")) / F.when(width != 0, width) * bins)
+    place = F.floor((F.col("__v") - F.col("__lo")) / F.when(width != 0, width) * bins)
     bin_no = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int")
-    return ranged.groupBy(*by, *split, bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("sites"))
+    return ranged.groupBy(*by, *split, bin_no.alias("bin")).agg(F.sum("__n").alias("sites"))
 
 
 # -- density -----------------------------------------------------------------

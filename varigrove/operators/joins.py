@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from varigrove.session import ensure_checkpoint_dir
 
-BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.01
 SALTS = 32
 ROSTER_SHARD = 50_000
@@ -23,24 +22,6 @@ _SALT = "__salt"
 _HOT = "__hot"
 
 
-def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows of `df` take at most `max_bytes`, counted and not guessed.
-
-    Texts and nested values count by their length, everything else as 16 bytes.
-    """
-    plain = ("string", "binary")
-    sizes = [
-        F.octet_length(F.col(f"`{f.name}`").cast("string")) if f.dataType.simpleString() in plain or _nested(f) else F.lit(16)
-        for f in df.schema.fields
-    ]
-    width = sum((F.coalesce(s, F.lit(0)) for s in sizes), F.lit(16)).cast("long")
-    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
-
-
-def _nested(field) -> bool:
-    return field.dataType.simpleString().startswith(("array", "map", "struct"))
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys that own more than `share` of all rows.
 
@@ -82,17 +63,14 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
 
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Broadcast `lookup` if it takes at most `max_bytes`, else salt the join."""
-    if fits(lookup, max_bytes):
-        return facts.join(F.broadcast(lookup), list(keys), how)
-    return salted_join(facts, lookup, keys, how)
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join to a side that is small as a rule.
+
+    Adaptive execution measures the side when it is there, broadcasts it within
+    its bound (`spark.sql.adaptive.autoBroadcastJoinThreshold`), and else shuffles
+    both and splits partitions in which a key is crowded. Nothing is counted while the plan is built.
+    """
+    return facts.join(lookup, list(keys), how)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -103,22 +81,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select("l.*", *added)
 
 
-def attach(facts: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join a summary of `facts`, one row per key, back to them.
-
-    The summary is checkpointed, so that measuring it for the broadcast
-    check does not read the facts once more.
-    """
-    ensure_checkpoint_dir(facts.sparkSession)
-    return lookup_join(facts, summary.checkpoint(), keys)
-
-
-def fill_join(grid: DataFrame, cells: DataFrame, keys: Sequence[str], max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Left join of cells to a grid in which every key occurs once.
-
-    No key is crowded, so beyond the broadcast bound a plain shuffle is even.
-    """
-    return grid.join(F.broadcast(cells) if fits(cells, max_bytes) else cells, list(keys), "left")
+def fill_join(grid: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of cells to a grid in which every key occurs once, so that none is crowded; a null key equals a null."""
+    return null_safe_join(grid, cells, keys, "left")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -244,61 +209,66 @@ def restrict_to(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
     return lookup_join(df, names.select(column).distinct(), [column], "left_semi")
 
 
+def _leading_bits(value: Column, bits: int) -> Column:
+    """An integer that orders as doubles do, from the exponent and the first `bits` bits of the fraction; NaN last."""
+    size = F.abs(value)
+    # In doubles, since infinity has no exponent that a long holds.
+    exponent = F.floor(F.log2(size)).cast("double")
+    # Should the logarithm round up, the fraction is negative and the number that of the bin below.
+    fraction = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * (1 << bits)).cast("double")
+    place = (exponent + 1100) * (1 << bits) + fraction
+    top = F.lit(float(1 << (bits + 12)))
+    kind = F.when(F.isnan(value), top * 2).when(size == float("inf"), top).when(size == 0, 0.0).otherwise(place)
+    return F.when(value < 0, -kind).otherwise(kind).cast("long")
+
+
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), cuts: int = 64
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), passes: Sequence[int] = (10, 26)
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per `by`, a column per entry of `probs`.
 
-    A null in `by` is a group of its own. Equal values are counted first and the
-    counts are checkpointed, so the data is read once. No task sees all values
-    of a group: approximate quantiles serve as cut points, counts per stretch
-    between cuts tell in which stretch each wanted rank lies, and only those
-    stretches are ranked value by value. A quantile between two equal values is
-    that value.
+    A null in `by` is a group of its own, and null values are left out. Equal
+    values are counted once, and every pass reads those counts. A pass
+    adds them up by the leading bits of the value, fixed by `passes`, and keeps the bins that hold a
+    wanted rank; the values of the last bins are then ranked one by one. So no
+    task sees all values of a group: only its bins, and in the end values that agree in 26 bits of
+    their fraction. A quantile between two equal values is that value.
     """
     by = list(by)
-    ensure_checkpoint_dir(df.sparkSession)
     # Structs compare nulls as equal.
     group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(group.alias("__g"), F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
-        .checkpoint()
-    )
-    grid = [i / cuts for i in range(1, cuts)]
-    marks = counts.groupBy("__g").agg(F.percentile_approx("__v", grid, 1000).alias("__marks"))
-    part = F.size(F.filter("__marks", lambda m: m < F.col("__v")))
-    counts = lookup_join(counts, marks, ["__g"]).withColumn("__part", part).drop("__marks")
-
-    parts = counts.groupBy("__g", "__part").agg(F.sum("__c").alias("__n"))
-    ahead = Window.partitionBy("__g").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        "__g",
-        "__part",
-        "__n",
-        F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"),
-        F.sum("__n").over(Window.partitionBy("__g")).alias("__all"),
     )
     spots = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
+    total = counts.groupBy("__g").agg(F.sum("__c").alias("__all"))
+    at = F.col("__s.p") * (F.col("__all") - 1)
+    # The two ranks around each quantile, counted from 0 in the bin they are in; at first that is the whole group.
     wanted = (
-        parts.withColumn("__s", F.explode(spots))
-        .withColumn("__at", F.col("__s.p") * (F.col("__all") - 1))
-        .withColumn("__rank", F.explode(F.array(F.floor("__at"), F.ceil("__at"))))
-        .where((F.col("__rank") >= F.col("__ahead")) & (F.col("__rank") < F.col("__ahead") + F.col("__n")))
-        .select("__g", "__part", "__ahead", F.col("__s.k").alias("__k"), "__at", "__rank")
-        .distinct()
-    )
-    # `wanted` holds at most two rows per quantile and group.
-    near = lookup_join(counts, wanted.select("__g", "__part", "__ahead").distinct(), ["__g", "__part"])
-    upto = Window.partitionBy("__g", "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = near.withColumn("__to", F.col("__ahead") + F.sum("__c").over(upto))
-    hit = ranked.join(wanted.drop("__ahead"), ["__g", "__part"]).where(
-        (F.col("__rank") < F.col("__to")) & (F.col("__rank") >= F.col("__to") - F.col("__c"))
+        total.withColumn("__s", F.explode(spots))
+        .select("__g", F.col("__s.k").alias("__k"), at.alias("__at"))
+        .withColumn("__rank", F.explode(F.array_distinct(F.array(F.floor("__at"), F.ceil("__at")))))
+        .withColumn("__bin", F.lit(0).cast("long"))
     )
-    low, high = F.min("__v"), F.max("__v")
-    step = F.max("__at") - F.floor(F.max("__at"))
-    blended = hit.groupBy("__g", "__k").agg((low + (high - low) * step).alias("__q"))
+    inside = F.lit(0).cast("long")
+    for bits in [*passes, None]:
+        step = F.col("__v") if bits is None else _leading_bits(F.col("__v"), bits)
+        near = counts.withColumn("__bin", inside).join(wanted.select("__g", "__bin").distinct(), ["__g", "__bin"])
+        bins = near.groupBy("__g", "__bin", step.alias("__step")).agg(F.sum("__c").alias("__n"))
+        upto = Window.partitionBy("__g", "__bin").orderBy("__step").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = bins.withColumn("__to", F.sum("__n").over(upto))
+        found = ranked.join(wanted, ["__g", "__bin"]).where(
+            (F.col("__rank") < F.col("__to")) & (F.col("__rank") >= F.col("__to") - F.col("__n"))
+        )
+        if bits is not None:
+            rank = F.col("__rank") - (F.col("__to") - F.col("__n"))
+            wanted = found.select("__g", "__k", "__at", rank.alias("__rank"), F.col("__step").alias("__bin"))
+            inside = step
+    low, high = F.min("__step"), F.max("__step")
+    part = F.max("__at") - F.floor(F.max("__at"))
+    blended = found.groupBy("__g", "__k").agg(F.when(low == high, low).otherwise(low + (high - low) * part).alias("__q"))
     return blended.groupBy("__g").agg(*[F.max(F.when(F.col("__k") == k, F.col("__q"))).alias(k) for k in probs]).select(
         *[F.col("__g").getField(c).alias(c) for c in by], *probs
     )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
+from varigrove.operators.joins import null_safe_join
 
 FILE = ("sample", "mate")
 
@@ -305,23 +306,23 @@ def cohort_qc(reads: DataFrame) -> DataFrame:
         (F.col("reads_after") * 100.0 / F.col("reads_before")).alias("kept_percent"),
         "adapter_trimmed",
     )
-    return basic.join(repeats, "sample").join(kept, "sample")
+    return null_safe_join(null_safe_join(basic, repeats, ["sample"]), kept, ["sample"])
 
 
 # -- pairing -----------------------------------------------------------------
 
 def pair_mates(reads: DataFrame) -> DataFrame:
-    """First mates with their second mates."""
+    """First mates with their second mates; a null sample is a sample."""
     one, two = (
         reads.where(F.col("mate") == m).select(
             "sample", "read_id", F.col("seq").alias(f"seq_{m}"), F.col("qual").alias(f"qual_{m}")
         )
         for m in (1, 2)
     )
-    return one.join(two, ["sample", "read_id"])
+    return null_safe_join(one, two, ["sample", "read_id"])
 
 
 def unpaired(reads: DataFrame) -> DataFrame:
     """First mates without a second one."""
     two = reads.where(F.col("mate") == 2).select("sample", "read_id")
-    return reads.where(F.col("mate") == 1).join(two, ["sample", "read_id"], "left_anti")
+    return null_safe_join(reads.where(F.col("mate") == 1), two, ["sample", "read_id"], "left_anti")

@@ -90,9 +90,9 @@ class Inputs:
             _digits(F.col("s_nationkey") % 14 + 10, 2),
             F.lit("_"),
             _digits(key, 3),
-            F.lit("_CKDL"),
+            F.lit("_LIB"),
             (key + 250009700).cast("string"),
-            F.lit("-1A_22V7CCLT4_L"),
+            F.lit("-1A_FLOW1_L"),
             (key % 4 + 1).cast("string"),
         )
         return self.table("supplier").select(key.alias("sample"), base.alias("base"))
@@ -391,7 +391,7 @@ INPUT_SQL = {
         select s_suppkey as sample,
           concat(case when s_suppkey%25=7 then 'Undetermined' else 'Plant' end,'_20',
             lpad(cast(10+s_nationkey%14 as varchar),2,'0'),'_',lpad(cast(s_suppkey as varchar),3,'0'),
-            '_CKDL',cast(250009700+s_suppkey as varchar),'-1A_22V7CCLT4_L',cast(s_suppkey%4+1 as varchar)) as base
+            '_LIB',cast(250009700+s_suppkey as varchar),'-1A_FLOW1_L',cast(s_suppkey%4+1 as varchar)) as base
         from supplier""",
     "fx_targets": """
         select p_partkey as locus_no,

@@ -295,6 +295,10 @@ ORACLE: dict[str, str] = {
     "vcf_file": """
         select chrom, pos, ref, alt, qual, qd, fs, sor, mq, mqranksum, readposranksum, dp from fx_sites""",
     "vcf_genotypes_file": "select chrom, pos, cast(sample as varchar) as sample, gt from fx_genotypes",
+    "vcf_contigs_file": "select name, length from fx_seqs",
+    "stats_report_file": f"""
+        select cast(count(*) filter ({_TI}) as double) as ti, cast(count(*) filter (not {_TI}) as double) as tv,
+          round(count(*) filter ({_TI}) / count(*) filter (not {_TI}), 6) as titv, count(*) as records from v_tagged where pass = 'PASS'""",
     "annotations_file": """
         select chrom as CHROM, pos as POS, qual as QUAL, filter as FILTER, qd as QD, fs as FS, sor as SOR, mq as MQ,
           mqranksum as MQRankSum, readposranksum as ReadPosRankSum, dp as DP from v_tagged_all""",

@@ -118,6 +118,24 @@ def vcf_genotypes_file(x):
     return vcf.genotypes(vcf.read_vcf(x.spark, path), names).select("chrom", "pos", "sample", "gt")
 
 
+@query
+def vcf_contigs_file(x):
+    """Contig lines of a header, from the index of the reference."""
+    path = scratch_path(x.spark, "vcf")
+    vcf.write_vcf(x.sites(), path, contigs=x.seqs().withColumnRenamed("ord", "rank"))
+    return vcf.read_contigs(x.spark, path)
+
+
+@query
+def stats_report_file(x):
+    path = scratch_path(x.spark, "stats")
+    passed = variants.pass_only(_tagged(x))
+    counted = variants.titv(passed).withColumn("records", passed.agg(F.count(F.lit(1))).scalar())
+    vcf.write_stats_report(counted, path)
+    records = vcf.read_summary_number(x.spark, path, "number of records").select(F.col("value").alias("records"))
+    return rounded(vcf.read_titv(x.spark, path).withColumn("records", records.scalar()))
+
+
 @query
 def annotations_file(x):
     path = scratch_path(x.spark, "annotations")
