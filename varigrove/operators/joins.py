@@ -219,7 +219,8 @@ def _leading_bits(value: Column, bits: int) -> Column:
     place = (exponent + 1100) * (1 << bits) + fraction
     top = F.lit(float(1 << (bits + 12)))
     kind = F.when(F.isnan(value), top * 2).when(size == float("inf"), top).when(size == 0, 0.0).otherwise(place)
-    return F.when(value < 0, -kind).otherwise(kind).cast("long")
+    # Never null, so that no filter for it sinks into the counts and makes each pass read the data anew.
+    return F.coalesce(F.when(value < 0, -kind).otherwise(kind).cast("long"), F.lit(0).cast("long"))
 
 
 def exact_quantiles(
