@@ -66,6 +66,33 @@ def test_trimming_steps(spark):
     assert report["reads_before"] == lost + report["reads_after"]
 
 
+def test_adapters_are_walked_from_tails(spark):
+    """Both mates have their own adapter, read through to different lengths; random reads have none."""
+    rng = np.random.default_rng(21)
+    draw = lambda n: "".join(rng.choice(list("ACGT"), n))
+    adapters = {1: "CTGTCTCTTATACACATCTCCGAGCCC", 2: "GGAATTCTCGGGTGCCAAGGAACTCC"}
+    data = []
+    for n in range(3000):
+        for mate, adapter in adapters.items():
+            cut = 100 - int(rng.integers(20, 40)) if n % 5 == 0 else 100
+            seq = (draw(cut) + adapter + draw(40))[:100]
+            data.append(("s", f"r{n}", mate, seq, "I" * 100))
+    df = spark.createDataFrame(data, READS)
+    found = {r.mate: r.adapter for r in reads.detect_adapters(df).collect()}
+    for mate, adapter in adapters.items():
+        # The last bases of a long adapter are reached by few reads.
+        assert found[mate] and adapter.startswith(found[mate]) and len(found[mate]) >= 20
+    trimmed = {(r.read_id, r.mate): r.seq for r in reads.trim_detected(df).collect()}
+    whole = {(d[1], d[2]): d[3] for d in data}
+    for (name, mate), seq in trimmed.items():
+        at = whole[name, mate].find(found[mate])
+        assert at < 0 or seq == whole[name, mate][:at]
+    plain = spark.createDataFrame([("s", f"r{n}", 1, draw(100), "I" * 100) for n in range(2000)], READS)
+    assert rows(reads.detect_adapters(plain).select("mate", "adapter")) == [(1, None)]
+    assert reads.trim_detected(plain).exceptAll(plain).count() == 0
+    assert reads.detect_adapters(plain.where("false")).collect() == [] and reads.trim(plain.where("false"), None).collect() == []
+
+
 def test_pairs(spark):
     data = [("s", "a", 1, "A", "I"), ("s", "a", 2, "C", "I"), ("s", "b", 1, "G", "I"), ("t", "b", 2, "T", "I")]
     df = spark.createDataFrame(data, READS)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
@@ -190,8 +190,8 @@ def adapter_content(
     )
 
 
-def detect_adapter(reads: DataFrame, k: int = 12, tail: int = 30) -> DataFrame:
-    """Most common k-mer of the read tails, per mate; ties by k-mer text."""
+def tail_kmers(reads: DataFrame, k: int = ADAPTER_SEED, tail: int = 30) -> DataFrame:
+    """How often each k-mer stands in the last `tail` bases: `mate, kmer, n`."""
     end = F.when(F.length("seq") > tail, F.substring("seq", -tail, tail)).otherwise(F.col("seq"))
     last = F.length("tail") - k + 1
     kmers = (
@@ -200,13 +200,66 @@ def detect_adapter(reads: DataFrame, k: int = 12, tail: int = 30) -> DataFrame:
         .select("mate", F.explode(F.sequence(F.lit(1), last)).alias("__i"), "tail")
         .select("mate", F.substring("tail", F.col("__i"), F.lit(k)).alias("kmer"))
     )
-    counts = kmers.groupBy("mate", "kmer").agg(F.count(F.lit(1)).alias("n"))
+    return kmers.groupBy("mate", "kmer").agg(F.count(F.lit(1)).alias("n"))
+
+
+def detect_adapter(reads: DataFrame, k: int = ADAPTER_SEED, tail: int = 30) -> DataFrame:
+    """Most common k-mer of the read tails, per mate; ties by k-mer text."""
     best = F.min(F.struct((-F.col("n")).alias("rank"), "kmer")).alias("b")
-    return counts.groupBy("mate").agg(best).select(
+    return tail_kmers(reads, k, tail).groupBy("mate").agg(best).select(
         "mate", F.col("b.kmer").alias("kmer"), (-F.col("b.rank")).alias("n")
     )
 
 
+def detect_adapters(
+    reads: DataFrame,
+    k: int = ADAPTER_SEED,
+    tail: int = 30,
+    min_share: float = 0.005,
+    step_share: float = 0.5,
+    longest: int = 64,
+) -> DataFrame:
+    """The adapter of each mate as far as read tails tell it: `mate, adapter, n`, null where there is none.
+
+    The walk starts from the commonest k-mer of the tails, which must stand in `min_share` of
+    the reads, and goes on base by base, first to the right and then to the left,
+    with the commonest k-mer that overlaps by k - 1 (ties by text), as long as
+    it is at least `step_share` as common as the first one. Where the adapter
+    begins, the bases before it differ and none is.
+
+    Only k-mers that a walk may use are listed, in one row per mate: a read has
+    `tail - k + 1` of them, so they are at most that over both shares.
+    """
+    counts = tail_kmers(reads, k, tail)
+    sizes = reads.groupBy("mate").agg(F.count(F.lit(1)).alias("reads"))
+    first = counts.groupBy("mate").agg(F.min(F.struct((-F.col("n")).alias("r"), "kmer")).alias("b"))
+    start = null_safe_join(sizes, first, ["mate"], "left").select(
+        "mate", F.col("b.kmer").alias("seed"), (-F.col("b.r")).alias("most"), (F.col("reads") * min_share).alias("least")
+    ).withColumn("seed", F.when(F.col("most") >= F.col("least"), F.col("seed")))
+    usable = null_safe_join(counts, start, ["mate"]).where(
+        F.col("seed").isNotNull() & (F.col("n") >= F.col("most") * step_share)
+    )
+    listed = usable.groupBy("mate").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("r"), "kmer"))).alias("list"))
+    walked = null_safe_join(start, listed, ["mate"], "left")
+
+    def walk(text: Column, right: bool) -> Column:
+        def on(acc: Column, _: Column) -> Column:
+            edge = F.substring(acc, -(k - 1), k - 1) if right else F.substring(acc, 1, k - 1)
+            part = lambda s: F.substring(s["kmer"], 1, k - 1) if right else F.substring(s["kmer"], 2, k - 1)
+            found = F.get(F.filter("list", lambda s: part(s) == edge), F.lit(0))["kmer"]
+            base = F.substring(found, k, 1) if right else F.substring(found, 1, 1)
+            longer = F.concat(acc, base) if right else F.concat(base, acc)
+            return F.when(F.length(acc) < longest, F.coalesce(longer, acc)).otherwise(acc)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(longest)), text, on)
+
+    return (
+        walked.withColumn("__right", walk(F.col("seed"), True))
+        .withColumn("adapter", F.when(F.col("seed").isNotNull(), walk(F.col("__right"), False)))
+        .select("mate", "adapter", F.when(F.col("seed").isNotNull(), F.col("most")).alias("n"))
+    )
+
+
 # -- trimming ----------------------------------------------------------------
 
 def adapter_pattern(adapter: str, overlap: int = ADAPTER_OVERLAP) -> str:
@@ -217,6 +270,12 @@ def adapter_pattern(adapter: str, overlap: int = ADAPTER_OVERLAP) -> str:
     return f"{adapter}|{adapter[:overlap]}{rest}$"
 
 
+def _cut(reads: DataFrame, at: Column) -> DataFrame:
+    """Bases and qualities before position `at`; whole where it is 0 or null."""
+    cut = lambda c: F.when(at > 0, F.substring(F.col(c), F.lit(1), at - 1)).otherwise(F.col(c))
+    return reads.withColumns({"seq": cut("seq"), "qual": cut("qual")})
+
+
 def trim_adapter(reads: DataFrame, adapter: str = ADAPTER, overlap: int = ADAPTER_OVERLAP) -> DataFrame:
     """Cut bases and qualities at the leftmost start of the adapter.
 
@@ -224,9 +283,26 @@ def trim_adapter(reads: DataFrame, adapter: str = ADAPTER, overlap: int = ADAPTE
     bases that fit where the read ends in it; a chance match of its first bases
     is no adapter.
     """
-    at = F.regexp_instr(F.col("seq"), F.lit(adapter_pattern(adapter, overlap)))
-    cut = lambda c: F.when(at > 0, F.substring(F.col(c), F.lit(1), at - 1)).otherwise(F.col(c))
-    return reads.withColumns({"seq": cut("seq"), "qual": cut("qual")})
+    return _cut(reads, F.regexp_instr(F.col("seq"), F.lit(adapter_pattern(adapter, overlap))))
+
+
+def trim_detected(reads: DataFrame, adapters: DataFrame | None = None, overlap: int = ADAPTER_OVERLAP) -> DataFrame:
+    """As `trim_adapter`, with the adapter of each mate (`mate, adapter`), by default the one that the reads show.
+
+    A mate without an adapter is left as it is.
+    """
+    found = adapters if adapters is not None else detect_adapters(reads)
+    letters = F.split(F.substring("adapter", overlap + 1, 1 << 20), "")
+    rest = F.aggregate(F.reverse(letters), F.lit(""), lambda acc, x: F.when(x == "", acc).otherwise(F.concat(F.lit("(?:"), x, acc, F.lit(")?"))))
+    pattern = F.concat(F.col("adapter"), F.lit("|"), F.substring("adapter", 1, overlap), rest, F.lit("$"))
+    # One entry per mate, so the patterns travel as a map.
+    patterns = found.where(F.col("mate").isNotNull() & F.col("adapter").isNotNull()).agg(
+        F.map_from_entries(F.collect_list(F.struct("mate", pattern.alias("pattern"))))
+    ).scalar()
+    # A branch for each mate keeps its pattern compiled.
+    at = lambda mate: F.regexp_instr(F.col("seq"), F.try_element_at(patterns, F.lit(mate)))
+    place = F.when(F.col("mate") == 1, at(1)).when(F.col("mate") == 2, at(2))
+    return _cut(reads, place)
 
 
 def low_quality(min_phred: int = MIN_PHRED, max_bad_percent: float = MAX_BAD_PERCENT):
@@ -256,9 +332,10 @@ def keep_pairs(reads: DataFrame) -> DataFrame:
     return reads.withColumn("__ok", has_mate()).where("__ok").drop("__ok")
 
 
-def trim(reads: DataFrame, adapter: str = ADAPTER) -> DataFrame:
-    """Adapter cut, quality filter, length filter, then whole pairs only."""
-    return keep_pairs(length_filter(quality_filter(trim_adapter(reads, adapter))))
+def trim(reads: DataFrame, adapter: str | None = ADAPTER) -> DataFrame:
+    """Adapter cut, quality filter, length filter, then whole pairs only; without an adapter, the one the reads show."""
+    cut = trim_adapter(reads, adapter) if adapter else trim_detected(reads)
+    return keep_pairs(length_filter(quality_filter(cut)))
 
 
 def trim_report(reads: DataFrame) -> DataFrame:

@@ -173,6 +173,11 @@ class Inputs:
             )
         )
 
+    def other_reads(self) -> DataFrame:
+        """The reads with another adapter than the usual one."""
+        usual, other = F.lit("AGATCGGAAGAGCACACGTCTGAACTCCAG"), F.lit("CTGTCTCTTATACACATCTCCGAGCCCACG")
+        return self.reads().withColumn("seq", F.replace("seq", usual, other))
+
     def alignments(self) -> DataFrame:
         """Aligned records; a fifth is clipped, some are unmapped."""
         keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -421,6 +426,8 @@ INPUT_SQL = {
           from (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem)
           join fx_loci on l_partkey=locus, (values (1),(2)) t(m)
           where not (m=2 and l_orderkey%41=0))""",
+    "fx_other_reads": """
+        select * replace (replace(seq,'AGATCGGAAGAGCACACGTCTGAACTCCAG','CTGTCTCTTATACACATCTCCGAGCCCACG') as seq) from fx_reads""",
     "fx_alignments": """
         select distinct concat_ws('-',cast(l_orderkey as varchar),cast(l_linenumber as varchar),cast(l_partkey as varchar),cast(l_suppkey as varchar)) as qname,
           l_suppkey as sample, concat('chr',lpad(cast(l_partkey%14+1 as varchar),2,'0')) as rname,

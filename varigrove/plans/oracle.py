@@ -89,6 +89,18 @@ _VIEWS = {
     "v_kept": """
         select *, why is null and count(distinct case when why is null then mate end)
           over (partition by sample, read_id) = 2 as kept from v_judged""",
+    "v_other_kept": """
+        select *, why and count(distinct case when why then mate end) over (partition by sample, read_id) = 2 as kept from (
+          select *, (length(qual) - length(replace(qual, '#', ''))) * 100 <= 40 * length(qual) and length(seq) >= 50 as why from (
+            select * exclude (place, whole, left_over) replace (
+              case when place > 0 then left(seq, place - 1) else seq end as seq, case when place > 0 then left(qual, place - 1) else qual end as qual)
+            from (
+              select *, case when whole > 0 and (left_over is null or whole < left_over) then whole else coalesce(left_over, 0) end as place
+              from (
+                select *, strpos(seq, 'CTGTCTCTTATACACATCTCCGAGCCCACG') as whole,
+                  list_min([length(seq) - n + 1 for n in range(4, 31)
+                            if right(seq, n) = left('CTGTCTCTTATACACATCTCCGAGCCCACG', n) and length(seq) >= n]) as left_over
+                from fx_other_reads))))""",
     "v_cycles": """
         select sample, mate, i as cycle, substr(seq, i, 1) as base, ascii(substr(qual, i, 1)) - 33 as phred
         from (select sample, mate, seq, qual, unnest(range(1, length(seq) + 1)) as i from fx_reads)""",
@@ -441,6 +453,28 @@ ORACLE: dict[str, str] = {
                 from (select mate, seq, unnest(range(71, 90)) as i from fx_reads))
           group by mate, kmer) where rn = 1""",
     "adapter_trim": "select read_id, mate, seq, qual from v_cut",
+    "adapters_walked": """
+        select mate, arg_min(text, (-length(text), text)) as adapter, max(most) as n from (
+          with recursive kmers as materialized (
+            select *, max(n) over (partition by mate) as most from (
+              select mate, substr(seq, cast(i as int), 12) as kmer, count(*) as n
+              from (select mate, seq, unnest(range(71, 90)) as i from fx_other_reads) group by all)
+          ), usable as materialized (select * from kmers where n >= most * 0.5),
+          walk(mate, text, most, side) as (
+            select mate, min(kmer), max(most), 0 from kmers where n = most group by mate
+            union all
+            select w.mate, case when w.side = 0 and r.kmer is not null then w.text || right(r.kmer, 1)
+                                when l.kmer is not null then left(l.kmer, 1) || w.text else w.text end, w.most,
+              case when w.side = 0 and r.kmer is not null then 0 when l.kmer is not null then 1 else 2 end
+            from walk w
+            left join (select mate, left(kmer, 11) as stem, arg_min(kmer, (-n, kmer)) as kmer from usable group by all) r
+              on w.side = 0 and r.mate = w.mate and r.stem = right(w.text, 11)
+            left join (select mate, right(kmer, 11) as stem, arg_min(kmer, (-n, kmer)) as kmer from usable group by all) l
+              on w.side < 2 and l.mate = w.mate and l.stem = left(w.text, 11)
+            where w.side < 2 and length(w.text) < 64)
+          select * from walk) group by mate""",
+    "adapter_detected_trim": """
+        select read_id, mate, seq, qual from v_other_kept where kept""",
     "quality_filter": "select read_id, mate, seq from v_judged where why is distinct from 'quality'",
     "length_filter": "select read_id, mate, seq from v_judged where why is distinct from 'quality' and length(seq) >= 80",
     "surviving_pairs": "select read_id, mate, cast(length(seq) as int) as length from v_kept where kept",

@@ -414,6 +414,18 @@ def adapter_trim(x):
     return reads.trim_adapter(x.reads()).select("read_id", "mate", "seq", "qual")
 
 
+@query
+def adapters_walked(x):
+    """The adapter that tails show, walked from their commonest k-mer."""
+    return reads.detect_adapters(x.other_reads())
+
+
+@query
+def adapter_detected_trim(x):
+    """Trimming of reads with another adapter, which is found first."""
+    return reads.trim(x.other_reads(), adapter=None).select("read_id", "mate", "seq", "qual")
+
+
 @query
 def quality_filter(x):
     return reads.quality_filter(reads.trim_adapter(x.reads())).select("read_id", "mate", "seq")
