@@ -223,6 +223,17 @@ def test_depth_by_brute_force(spark, block):
     assert {(r.sample, r.rname, r.pos): r.depth for r in got.collect()} == want
 
 
+def test_depth_track_follows_events(spark):
+    """A long read is one row per block and not one per base; its profile weighs rows by length."""
+    data = [("s", "q", 0, "c", 1, 60, "100000M", 0, 1), ("s", "r", 0, "c", 50_001, 60, "10M", 0, 1), (None, "n", 0, "c", 5, 60, "3M", 0, 1)]
+    track = mapping.depth_track(spark.createDataFrame(data, ALN))
+    assert track.count() < 10
+    got = {r.sample: r for r in mapping.depth_profile(track, ["sample"]).collect()}
+    assert (got["s"].covered, got["s"].max_depth, got["s"].median_depth) == (100_000, 2, 1.0)
+    assert got["s"].mean_depth == pytest.approx(1.0001) and got[None].covered == 3
+    assert rows(mapping.depth_bounds(track, 2, 9).select("start", "stop")) == [(50_001, 50_010)]
+
+
 def test_depth_of_an_endless_read(spark):
     """A stretch over many blocks with no event inside."""
     df = spark.createDataFrame([("s", "q", 0, "c", 3, 60, "100M", 0, 1)], ALN)

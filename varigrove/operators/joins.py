@@ -224,11 +224,16 @@ def _leading_bits(value: Column, bits: int) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), passes: Sequence[int] = (10, 26)
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    by: Sequence[str] = (),
+    passes: Sequence[int] = (10, 26),
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per `by`, a column per entry of `probs`.
 
-    A null in `by` is a group of its own, and null values are left out. Equal
+    With `weight`, a whole number, a row counts as so many. A null in `by` is a group of its own, and null values are left out. Equal
     values are counted once, and every pass reads those counts. A pass
     adds them up by the leading bits of the value, fixed by `passes`, and keeps the bins that hold a
     wanted rank; the values of the last bins are then ranked one by one. So no
@@ -241,7 +246,7 @@ def exact_quantiles(
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(group.alias("__g"), F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__c"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__c"))
     )
     spots = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
     total = counts.groupBy("__g").agg(F.sum("__c").alias("__all"))

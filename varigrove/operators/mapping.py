@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators.joins import block_carry, lookup_join, ordered_index
+from varigrove.operators.joins import block_carry, exact_quantiles, lookup_join, null_safe_join, ordered_index
 
 MIN_MAPQ = 30
 SEED = 31
@@ -300,10 +300,11 @@ def aligned_stretches(aln: DataFrame, keep: Sequence[str]) -> DataFrame:
     return usable.select(*keep, F.explode(B.aligned_blocks(F.col("cigar"))).alias("__b"))
 
 
-def depth(aln: DataFrame, by: Sequence[str] = ("sample",), block: int = DEPTH_BLOCK) -> DataFrame:
-    """Reads over each covered position.
+def depth_track(aln: DataFrame, by: Sequence[str] = ("sample",), block: int = DEPTH_BLOCK) -> DataFrame:
+    """Reads over covered stretches: `start, stop, depth`, positions from start to stop.
 
-    A stretch is two events, +1 at its start and -1 after its end, summed per
+    A row ends where a read begins or ends or a block is full, so rows follow
+    events and not bases. A stretch is two events, +1 at its start and -1 after its end, summed per
     position before any window. Running sums stay inside `block` positions;
     what enters a block is carried in, and a zero event at the start of every
     block a stretch runs into makes sure there is a row to carry it to.
@@ -341,4 +342,28 @@ def depth(aln: DataFrame, by: Sequence[str] = ("sample",), block: int = DEPTH_BL
         .withColumn("depth", F.col("__in") + F.col("__carry"))
         .where(F.col("depth") > 0)
     )
-    return runs.select(*keys, F.explode(F.sequence("at", F.col("__next") - 1)).alias("pos"), "depth")
+    return runs.select(*keys, F.col("at").alias("start"), (F.col("__next") - 1).alias("stop"), "depth")
+
+
+def depth(aln: DataFrame, by: Sequence[str] = ("sample",), block: int = DEPTH_BLOCK) -> DataFrame:
+    """Reads over each covered position: the stretches of `depth_track`, a row per position."""
+    track = depth_track(aln, by, block)
+    return track.select(*by, "rname", F.explode(F.sequence("start", "stop")).alias("pos"), "depth")
+
+
+def depth_profile(track: DataFrame, by: Sequence[str] = ("rname",)) -> DataFrame:
+    """Covered positions, mean, largest and median depth and quartiles over a track, each stretch weighing its length."""
+    width = F.col("stop") - F.col("start") + 1
+    sized = track.withColumn("__width", width)
+    sums = sized.groupBy(*by).agg(
+        F.sum("__width").alias("covered"),
+        (F.sum(F.col("__width") * F.col("depth")) / F.sum("__width")).alias("mean_depth"),
+        F.max("depth").alias("max_depth"),
+    )
+    marks = exact_quantiles(sized, "depth", {"q1": 0.25, "median_depth": 0.5, "q3": 0.75}, by, weight="__width")
+    return null_safe_join(sums, marks, by)
+
+
+def depth_bounds(track: DataFrame, low: float, high: float) -> DataFrame:
+    """The stretches with a depth between two bounds: a mask of callable positions."""
+    return track.where(F.col("depth").between(low, high))

@@ -532,6 +532,13 @@ ORACLE: dict[str, str] = {
           cast(sum(unmapped) as bigint) as unmapped, round(sum(duplicates) / sum(examined), 6) as share
         from v_metrics group by sample having sum(duplicates) / sum(examined) > 0.3""",
     "position_depth": "select rname, rpos as pos, count(*) as depth from v_bases group by all",
+    "depth_profiles": """
+        select rname, count(*) as covered, round(avg(depth), 6) as mean_depth, max(depth) as max_depth,
+          round(quantile_cont(depth, 0.25), 6) as q1, round(quantile_cont(depth, 0.5), 6) as median_depth, round(quantile_cont(depth, 0.75), 6) as q3
+        from (select rname, rpos, count(*) as depth from v_bases group by all) group by rname""",
+    "callable_positions": """
+        select rname, count(*) as positions from (select rname, rpos, count(*) as depth from v_bases group by all)
+        where depth between 20 and 200 group by rname""",
     "mapq_attrition": """
         select sample, count(*) as before, count(*) filter (mapq >= 30) as after,
           round(count(*) filter (mapq >= 30) * 100.0 / count(*), 6) as kept_percent from fx_alignments group by sample""",

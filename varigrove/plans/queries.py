@@ -514,6 +514,18 @@ def position_depth(x):
     return mapping.depth(x.alignments(), by=[], block=1024)
 
 
+@query
+def depth_profiles(x):
+    return rounded(mapping.depth_profile(mapping.depth_track(x.alignments(), by=[])))
+
+
+@query
+def callable_positions(x):
+    """Positions per contig within depth bounds, added up from stretches."""
+    mask = mapping.depth_bounds(mapping.depth_track(x.alignments(), by=[], block=1024), 20, 200)
+    return mask.groupBy("rname").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("positions"))
+
+
 @query
 def mapq_attrition(x):
     return rounded(mapping.mapq_attrition(x.alignments()))
