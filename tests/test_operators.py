@@ -382,19 +382,21 @@ def exact_fisher(a, b, c, d):
     return float(Fraction(sum(w for w in weight.values() if w <= weight[a]), sum(weight.values())))
 
 
-@pytest.mark.parametrize("step", [2, 1 << 16])
-def test_fisher_by_brute_force(step):
-    for cells in product(range(5), repeat=4):
-        assert 10 ** calling._fisher_log10(*cells, step=step) == pytest.approx(exact_fisher(*cells), rel=1e-6)
-    for cells in ((40, 3, 5, 60), (100, 100, 100, 90), (0, 80, 75, 1)):
-        assert 10 ** calling._fisher_log10(*cells, step=step) == pytest.approx(exact_fisher(*cells), rel=1e-6)
+TABLE = "ref_f long, ref_r long, alt_f long, alt_r long"
 
 
-def test_fisher_of_a_deep_site():
-    assert calling._fisher_log10(400_000, 400_000, 400_000, 400_000) == pytest.approx(0.0, abs=1e-9)
+def test_fisher_by_brute_force(spark):
+    cells = [*product(range(5), repeat=4), (40, 3, 5, 60), (100, 100, 100, 90), (0, 80, 75, 1)]
+    for r in calling.fisher_strand(spark.createDataFrame(cells, TABLE)).collect():
+        assert 10 ** (-r.fs / 10) == pytest.approx(exact_fisher(*tuple(r)[:4]), rel=1e-6)
+
+
+def test_fisher_of_a_deep_site(spark):
+    got = calling.fisher_strand(spark.createDataFrame([(400_000,) * 4, (500_000, 0, 0, 500_000)], TABLE)).collect()
+    assert got[0].fs == pytest.approx(0.0, abs=1e-8)
     # Two tables of C(1,000,000, 500,000) are as extreme.
     each = (lgamma(1_000_001) - 2 * lgamma(500_001)) / log(10)
-    assert calling._fisher_log10(500_000, 0, 0, 500_000) == pytest.approx(log10(2) - each, rel=1e-9)
+    assert got[1].fs == pytest.approx(-10 * (log10(2) - each), rel=1e-9)
 
 
 PILE = "sample string, chrom string, pos long, ref string, base string, bq int, mapq int, strand int, read_pos int"
@@ -510,7 +512,8 @@ def test_chain_from_reads_to_tagged_sites(spark):
     data = []
     for i in range(24):
         for s, seq in (("a", reference), ("b", changed if i % 2 else reference)):
-            data.append((s, f"{s}{i}", 16 * (i // 2 % 2), "c", 1, 60, "24M", 100 + i, 30, seq, "I" * 24))
+            data.append((s, f"{s}{i}", 65 + 16 * (i // 2 % 2), "c", 1, 60, "24M", 100 + i, 30, seq, "I" * 24))
+            data.append((s, f"{s}{i}", 129, "d", 100 + i, 60, "24M", 1, 30, seq, "I" * 24))
     aln = spark.createDataFrame(data, ALN + ", seq string, qual string")
     ref = spark.createDataFrame([("c", reference)], "name string, seq string")
     tagged = chains.site_chain(chains.evidence_chain(aln, ref))

@@ -5,8 +5,8 @@ import pytest
 from paths import SMALL
 from varigrove.plans import queries
 
-# The exact p-value of the strand table, on one row per site; lines of FASTQ files folded into records.
-PYTHON_QUERIES = {"fisher_strand", "annotated_sites", "fastq_file"}
+# Lines of FASTQ files folded into records.
+PYTHON_QUERIES = {"fastq_file"}
 
 
 def plan(df):

@@ -10,13 +10,11 @@ Pileup: `sample, chrom, pos, ref, base, bq, mapq, strand, read_pos`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from varigrove.functions import bases as B
 from varigrove.operators import genotyping
@@ -266,55 +264,56 @@ def strand_table(piled: DataFrame) -> DataFrame:
     return piled.groupBy(*SITE).agg(*_strand_columns())
 
 
-def _fisher_log10(a: int, b: int, c: int, d: int, step: int = 1 << 16) -> float:
-    """log10 of the two-sided exact p of a 2x2 table, which itself may be too small for a float.
+def _fisher_log10(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """log10 of the two-sided exact p of a 2x2 table, which itself may be too small for a double.
 
-    Weights follow from each other by ratio, starting at the lowest table; they
-    are walked in steps, so a deep site needs no array of its depth.
+    Weights of the tables with the same margins follow from each other by ratio,
+    starting at the lowest. One walk finds the weight of the table that was seen
+    and the largest, a second adds up all weights, and those that are no larger
+    than the one seen. Both keep a few numbers, whatever the depth.
     """
-    import numpy as np
-
     row, other, col = a + b, c + d, a + c
-    low, high = max(0, col - other), min(row, col)
-    if low == high:
-        return 0.0
-
-    def log_ratios(x):  # from table x to x + 1
-        return np.log((row - x) * (col - x)) - np.log((x + 1.0) * (other - col + x + 1.0))
-
-    def walk():
-        last = 0.0
-        yield low, np.zeros(1)
-        for start in range(low, high, step):
-            x = np.arange(start, min(start + step, high), dtype=float)
-            part = last + np.cumsum(log_ratios(x))
-            last = part[-1]
-            yield start + 1, part
-
-    peak, seen = -np.inf, 0.0
-    for start, part in walk():
-        peak = max(peak, part.max())
-        if start <= a < start + len(part):
-            seen = part[a - start]
-    total = extreme = 0.0
-    for _, part in walk():
-        total += np.exp(part - peak).sum()
-        extreme += np.exp(part[part <= seen + 1e-7] - seen).sum()
-    return float(min(0.0, (np.log(extreme) + seen - np.log(total) - peak) / np.log(10.0)))
-
-
-@F.pandas_udf(T.DoubleType())
-def _fisher_column(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-    for a, b, c, d in batches:
-        yield pd.Series([_fisher_log10(*map(int, t)) for t in zip(a, b, c, d)], dtype="float64")
+    low, high = F.greatest(F.lit(0).cast("long"), col - other), F.least(row, col)
+    steps = F.sequence(low, F.greatest(high - 1, low))
+
+    def ratio(x: Column) -> Column:  # from table x to x + 1, in doubles, as products pass 64 bits
+        f = lambda e: e.cast("double")
+        return F.log(f(row - x)) + F.log(f(col - x)) - F.log(f(x + 1)) - F.log(f(other - col + x + 1))
+
+    zero = F.lit(0.0)
+    found = F.aggregate(
+        steps,
+        F.struct(zero.alias("last"), zero.alias("seen"), zero.alias("peak")),
+        lambda s, x: F.struct(
+            (s["last"] + ratio(x)).alias("last"),
+            F.when(x + 1 == a, s["last"] + ratio(x)).otherwise(s["seen"]).alias("seen"),
+            F.greatest(s["peak"], s["last"] + ratio(x)).alias("peak"),
+        ),
+    )
 
+    def added(seen: Column, peak: Column) -> Column:
+        # Weights that differ by rounding only are equal.
+        counts = lambda w: F.when(w <= seen + 1e-7, F.exp(w - seen)).otherwise(0.0)
+        return F.aggregate(
+            steps,
+            F.struct(zero.alias("last"), F.exp(-peak).alias("total"), counts(zero).alias("extreme")),
+            lambda s, x: F.struct(
+                (s["last"] + ratio(x)).alias("last"),
+                (s["total"] + F.exp(s["last"] + ratio(x) - peak)).alias("total"),
+                (s["extreme"] + counts(s["last"] + ratio(x))).alias("extreme"),
+            ),
+            lambda s: (F.log(s["extreme"]) + seen - F.log(s["total"]) - peak) / F.log(F.lit(10.0)),
+        )
 
-def fisher_strand(table: DataFrame) -> DataFrame:
-    """Phred p-value of the strand table.
+    # Bound as lambda variables, so that the first walk is made once.
+    p = F.transform(F.array(found), lambda f: added(f["seen"], f["peak"]))[0]
+    return F.when(low < high, F.least(p, zero)).otherwise(zero)
 
-    The only Python step of this module; it runs on one small row per site.
-    """
-    return table.withColumn("fs", F.abs(_fisher_column("ref_f", "ref_r", "alt_f", "alt_r") * -10.0))
+
+def fisher_strand(table: DataFrame) -> DataFrame:
+    """Phred p-value of the strand table, as an expression over each site's four counts."""
+    cells = [F.col(c) for c in ("ref_f", "ref_r", "alt_f", "alt_r")]
+    return table.withColumn("fs", F.abs(_fisher_log10(*cells) * -10.0))
 
 
 def strand_odds_ratio(table: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def with_alleles(summed: DataFrame) -> DataFrame:
     """
     whole = Window.partitionBy(*SITE, "ref")
     totals = summed.withColumns({f"__all_{x}": F.sum(f"__n_{x}").over(whole) for x in LETTERS})
-    listed = totals.withColumn("alleles", _ordered_alleles({x: F.col(f"__all_{x}") for x in LETTERS}))
+    listed = _settled(totals, alleles=_ordered_alleles({x: F.col(f"__all_{x}") for x in LETTERS}))
     depths = F.slice(F.array(*[_of(F.get("alleles", F.lit(i)), "all", F.lit(0)) for i in range(4)]), F.lit(1), F.size("alleles"))
     return listed.withColumn("site_ad", depths).drop(*[f"__all_{x}" for x in LETTERS])
 
@@ -91,6 +91,11 @@ def _of(letter: Column, kind: str, unseen: Column) -> Column:
     return found.otherwise(unseen)
 
 
+def _settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with further columns, worked out once: what follows, a filter too, sees them as columns and not as their expressions."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _with_likelihoods(listed: DataFrame) -> DataFrame:
     """`gl`, the log10 likelihoods of all pairs of `alleles` in order, and `ad`, the sample's bases by allele.
 
@@ -101,11 +106,8 @@ def _with_likelihoods(listed: DataFrame) -> DataFrame:
     both, one = ([F.col(f"__{kind}{i}") for i in range(4)] for kind in ("both", "one"))
     each = [F.col("__none") + (both[i] if i == j else one[i] + one[j]) for i, j in PAIRS]
     n = F.size("alleles")
-    return (
-        listed.withColumn("ad", F.slice(F.array(*[_of(a, "n", F.lit(0)) for a in allele]), F.lit(1), n))
-        .withColumns(gains)
-        .withColumn("gl", F.slice(F.array(*each), F.lit(1), (n * (n + 1) / 2).cast("int")))
-    )
+    ad = F.slice(F.array(*[_of(a, "n", F.lit(0)) for a in allele]), F.lit(1), n)
+    return _settled(_settled(listed, ad=ad, **gains), gl=F.slice(F.array(*each), F.lit(1), (n * (n + 1) / 2).cast("int")))
 
 
 def genotype_likelihoods(piled: DataFrame, keep: Sequence[str] = (), more: Sequence[Column] = ()) -> DataFrame:
@@ -130,17 +132,13 @@ def call_genotypes(likelihoods: DataFrame) -> DataFrame:
     Likelihoods that agree to nine decimals are equal, since sums depend on the
     order of their terms; the first of equals is called.
     """
-    top = F.array_max("gl")
     scaled = F.transform("gl", lambda g: F.round((F.col("__top") - g) * 10.0).cast("int"))
     equal = F.transform("gl", lambda g: F.round(F.col("__top") - g, 9) == 0)
     best = F.array_position(equal, True).cast("int")
-    return (
-        likelihoods.withColumn("__top", top)
-        .withColumn("pl", scaled)
-        .withColumn("gt", F.element_at(F.array(*map(F.lit, GENOTYPES)), best))
-        .withColumn("gq", F.least(F.sort_array("pl")[1], F.lit(GQ_CAP)))
-        .select("sample", *SITE, "ref", "alleles", "dp", "ad", "gt", "gq", "pl")
-    )
+    topped = _settled(likelihoods, __top=F.array_max("gl"))
+    called = _settled(topped, pl=scaled, gt=F.element_at(F.array(*map(F.lit, GENOTYPES)), best))
+    quality = F.least(F.sort_array("pl")[1], F.lit(GQ_CAP)).alias("gq")
+    return called.select("sample", *SITE, "ref", "alleles", "dp", "ad", "gt", quality, "pl")
 
 
 def alternatives(alleles: Column) -> Column:
