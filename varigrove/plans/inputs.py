@@ -217,7 +217,7 @@ class Inputs:
         extra = F.when(n == 7, 2048).when((n == 5) & (o % 13 == 0), 256).otherwise(0)
         pair = F.when(extra > 0, 1).otherwise(F.floor((n + 1) / 2))
         second = (extra == 0) & (n % 2 == 0)
-        place = (o * 31 + pair * 7) % F.when(o % 6 == 0, 601).otherwise(20011)
+        place = (o * 31 + pair * 7) % F.when(o % 6 == 0, 101).otherwise(20011)
         reverse = second != (o % 23 == 0)
         unmapped = second & (o % 19 == 0)
         clipped = (o + n) % 5 == 0
@@ -449,7 +449,7 @@ INPUT_SQL = {
             +(case when snd then 128 else 64 end)+extra as int) as flag,
           case when snd and o%19=0 then '*' when (o+n)%5=0 and rev then '95M5S' when (o+n)%5=0 then '5S95M' else '100M' end as cigar,
           cast(3000+(o*7+n)%700 as int) as sum_bq
-        from (select *, (o*31+p*7)%(case when o%6=0 then 601 else 20011 end) as place, snd<>(o%23=0) as rev
+        from (select *, (o*31+p*7)%(case when o%6=0 then 101 else 20011 end) as place, snd<>(o%23=0) as rev
           from (select o, n, extra, case when extra>0 then 1 else (n+1)//2 end as p, extra=0 and n%2=0 as snd
             from (select o, n, case when n=7 then 2048 when n=5 and o%13=0 then 256 else 0 end as extra
               from (select distinct l_orderkey as o, cast(l_linenumber as bigint) as n from lineitem))))""",
