@@ -241,8 +241,9 @@ def exact_quantiles(
     their fraction. A quantile between two equal values is that value.
     """
     by = list(by)
-    # Structs compare nulls as equal.
-    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+    # Structs compare nulls as equal. Without groups all rows have one key, which is no
+    # literal, since a join on a literal would become a product.
+    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.pmod(F.xxhash64(value), F.lit(1)).alias("all"))
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(group.alias("__g"), F.col(value).cast("double").alias("__v"))
