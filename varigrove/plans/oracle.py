@@ -307,6 +307,7 @@ ORACLE: dict[str, str] = {
     "vcf_file": """
         select chrom, pos, ref, alt, qual, qd, fs, sor, mq, mqranksum, readposranksum, dp from fx_sites""",
     "vcf_genotypes_file": "select chrom, pos, cast(sample as varchar) as sample, gt from fx_genotypes",
+    "vcf_blocks_file": "select chrom, pos, cast(sample as varchar) as sample, gt from fx_genotypes",
     "vcf_contigs_file": "select name, length from fx_seqs",
     "stats_report_file": f"""
         select cast(count(*) filter ({_TI}) as double) as ti, cast(count(*) filter (not {_TI}) as double) as tv,

@@ -118,6 +118,15 @@ def vcf_genotypes_file(x):
     return vcf.genotypes(vcf.read_vcf(x.spark, path), names).select("chrom", "pos", "sample", "gt")
 
 
+@query
+def vcf_blocks_file(x):
+    """Genotypes by way of block gzip."""
+    path = scratch_path(x.spark, "vcf")
+    vcf.write_vcf(x.sites(), path, x.genotypes(), blocked=True)
+    names = vcf.sample_columns(x.spark, path, blocked=True)
+    return vcf.genotypes(vcf.read_vcf(x.spark, path, blocked=True), names).select("chrom", "pos", "sample", "gt")
+
+
 @query
 def vcf_contigs_file(x):
     """Contig lines of a header, from the index of the reference."""
