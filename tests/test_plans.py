@@ -5,8 +5,8 @@ import pytest
 from paths import SMALL
 from varigrove.plans import queries
 
-# Lines of FASTQ files folded into records.
-PYTHON_QUERIES = {"fastq_file"}
+# Lines of FASTQ files folded into records, and a data source of its own for block gzip.
+PYTHON_QUERIES = {"fastq_file", "vcf_blocks_file"}
 
 
 def plan(df):
