@@ -4,6 +4,8 @@ import base64
 import bz2
 import gzip
 import hashlib
+import io
+import json
 import lzma
 import random
 import re
@@ -161,6 +163,68 @@ def test_all_members_of_packed_data(level):
         assert secrets.find_secrets(b64(pack(b"nothing here") + pack(PLAIN.encode())))[1]
 
 
+def damaged(data, behind=8):
+    """`data` with another byte in the checksum at its end."""
+    return data[:-behind] + bytes([data[-behind] ^ 255]) + data[len(data) - behind + 1 :]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("noise", [0, 300_000])
+def test_damaged_packed_data_counts_up_to_the_damage(pack, noise):
+    content = b"word " * noise + PLAIN.encode() + b" end"
+    data = pack(content)
+    for bad in (damaged(data, 4 if pack is zlib.compress else 8), damaged(data, 1), data[:-1], data[:-4]):
+        assert secrets.find_secrets(f"a {b64(bad)} b")[1]
+    checked = zstandard.ZstdCompressor(write_checksum=True).compress(content)
+    assert secrets.find_secrets(f"a {b64(damaged(checked, 1))} b")[1]
+
+
+def test_damage_in_the_middle():
+    content = (f"{PLAIN} " + NOISE * 20).encode()
+    data = bytearray(gzip.compress(content))
+    data[len(data) // 2 :] = b"\xff" * (len(data) - len(data) // 2)
+    assert secrets.find_secrets(b64(bytes(data)))[1]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_packed_data_under_escapes(pack):
+    data = pack(f"{NOISE} {PLAIN}".encode())
+    for written in (
+        quote(data, safe=""),
+        "".join(f"%{b:02x}" for b in data),
+        "".join(f"\\x{b:02X}" for b in data),
+        repr(data),
+        json.dumps(data.decode("latin-1")),
+        quote(quote(data, safe=""), safe=""),
+    ):
+        text = f"é one\n{written}\nend"
+        assert [(k, 6 <= s < e <= 6 + len(written)) for k, s, e in secrets.find_secrets(text)[1]] == [("assign", True)]
+
+
+def test_raw_deflate_and_headers():
+    engine = zlib.compressobj(9, zlib.DEFLATED, -15)
+    assert secrets.find_secrets(b64(engine.compress(f"{NOISE} {PLAIN}".encode()) + engine.flush()))[1]
+    named = io.BytesIO()
+    with gzip.GzipFile("a name", "wb", fileobj=named) as f:
+        f.write(PLAIN.encode())
+    assert secrets.find_secrets(b64(named.getvalue()))[1]
+
+
+def test_xz_with_a_large_dictionary():
+    filters = [{"id": lzma.FILTER_LZMA2, "dict_size": 3 << 28, "mode": lzma.MODE_FAST, "mf": lzma.MF_HC3, "nice_len": 32}]
+    # Written small; the header is what asks for the memory.
+    data = lzma.compress(PLAIN.encode(), filters=filters)
+    assert secrets.find_secrets(b64(data))[1]
+
+
+@pytest.mark.parametrize("width", [4, 8, 12, 15, 16, 64])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n"])
+def test_line_ends_and_short_lines(width, end):
+    for inner in (f"{NOISE} {PLAIN}".encode(), gzip.compress(f"{NOISE} {PLAIN}".encode())):
+        written = lines(b64(inner), width).replace("\n", end)
+        assert secrets.find_secrets(f'{{"key": "{written}"}}')[1]
+
+
 @pytest.mark.parametrize("before", [1 << 20, (1 << 20) - 3000, (1 << 20) - 9000])
 def test_runs_over_a_stretch_are_whole(before):
     inner = b64(gzip.compress((" ".join(hashlib.sha256(b"%d" % n).hexdigest()[:20] for n in range(2000)) + " " + PLAIN).encode()))
@@ -184,7 +248,7 @@ def test_cycles_end():
 
 @pytest.mark.parametrize(
     "text",
-    ["a" * 99_999, "1." * 50_000, "+1" * 50_000, "+1" + " " * 99_999, "password" * 10_000, "%41" * 30_000, "a@" * 50_000, "1 " * 50_000, "ab" * 50_000, "(at)" * 20_000, "a.a" * 30_000 + "@", "Mr A " * 20_000],
+    ["x%9C" * 25_000, "BZh91AY&SY%41" * 8_000, "%1f%8b%08" * 11_000, "\\x78\\x9c" * 12_000, "abcd\\n" * 16_000, "word\n" * 20_000, "a" * 99_999, "1." * 50_000, "+1" * 50_000, "+1" + " " * 99_999, "password" * 10_000, "%41" * 30_000, "a@" * 50_000, "1 " * 50_000, "ab" * 50_000, "(at)" * 20_000, "a.a" * 30_000 + "@", "Mr A " * 20_000],
 )
 def test_time_is_linear(text):
     start = time.process_time()

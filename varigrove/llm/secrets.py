@@ -44,10 +44,22 @@ _ESCAPES = re.compile(
 )
 _ESCAPED = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 # A run goes on over line ends (with blanks that indent the next line), so wrapped lines are one run.
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)*={0,2}")
-_LINE_END = re.compile(r"\r?\n[\x20\t]*")
+# Line ends may be written out, as in JSON; a short line counts if another one follows.
+_END = r"(?:\r?\n[\x20\t]*|(?:\\r)?\\n)"
+_BASE64 = re.compile(
+    rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{16,}}|[A-Za-z0-9+/_-]{{4,15}}(?={_END}[A-Za-z0-9+/_-]{{4}}))(?:{_END}[A-Za-z0-9+/_-]+)*={{0,2}}"
+)
+_LINE_END = re.compile(_END)
 _SEPARATOR = re.compile(r"[+/_-]")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: The fewest digits that a run of base64 has over all its lines.
+LEAST_RUN = 16
+# Bytes written out in a text: in a word that holds URL escapes, or in a line that holds other ones.
+_URL_BYTES = re.compile(r"(?<![\x21-\x7E])[\x21-\x7E]*%[0-9A-Fa-f]{2}[\x21-\x7E]*")
+_LINE_BYTES = re.compile(r"(?<![\x20-\x7E\t])[\x20-\x7E\t]*\\(?:x|u00)[0-9A-Fa-f]{2}[\x20-\x7E\t]*")
+_UNIT = re.compile(rb"\\(?:x|u00)([0-9A-Fa-f]{2})|\\([abfnrtv0\\'\"/])")
+_NAMED = dict(zip(b"abfnrtv0", b"\a\b\f\n\r\t\v\0"))
+_PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\(\xb5/\xfd|\x78[\x01\x5e\x9c\xda]")
 _MAGIC = ((b"\x1f\x8b", "gzip"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"), (b"(\xb5/\xfd", "zstd"))
 
 #: Decompressed data is read in stretches of this size; a layer of it overlaps the last
@@ -123,8 +135,20 @@ class Layer:
                 runs += [(m.start() + x.start(), m.start() + x.end()) for x in _LINE.finditer(m[0])]
             for start, end in runs:
                 origin = self.origin(start, end)
-                for text in _run_texts(_LINE_END.sub("", self.text[start:end])):
+                run = _LINE_END.sub("", self.text[start:end])
+                for text in _run_texts(run) if len(run) >= LEAST_RUN else ():
                     yield Layer(text, *origin)
+        for mark, run, unescaped in (("%", _URL_BYTES, unquote_to_bytes), ("\\", _LINE_BYTES, _unescaped)):
+            for m in run.finditer(self.text) if mark in self.text else ():
+                data = unescaped(m[0])
+                for at in _PACKED.finditer(data):
+                    for text in _decompressed(data, at.start()):
+                        yield Layer(text, *self.origin(m.start(), m.end()))
+
+
+def _unescaped(text: str) -> bytes:
+    """Bytes of a line in which some are written as escapes."""
+    return _UNIT.sub(lambda m: bytes([int(m[1], 16) if m[1] else _NAMED.get(m[2][0], m[2][0])]), text.encode("ascii"))
 
 
 def _plain(m: re.Match[str]) -> str:
@@ -174,10 +198,10 @@ def texts_of(data: bytes) -> Iterator[str]:
     yield from _decompressed(data)
 
 
-def _decompressed(data: bytes) -> Iterator[str]:
+def _decompressed(data: bytes, start: int = 0) -> Iterator[str]:
     """Texts of what `data` decompresses to. A run of _RUN that a stretch ends in is carried over whole."""
     held: list[bytes] = []
-    for chunk in _members(data):
+    for chunk in _members(data, start):
         run = _run_start(chunk)
         if run == 0:
             held.append(chunk)
@@ -200,37 +224,137 @@ def _run_start(chunk: bytes) -> int:
         at = line
 
 
-_MACHINES: dict[str, Callable] = {
-    "gzip": lambda: zlib.decompressobj(31),
-    "zlib": zlib.decompressobj,
-    "bz2": bz2.BZ2Decompressor,
-    "xz": lambda: lzma.LZMADecompressor(memlimit=1 << 28),
-}
-
-
-def _members(data: bytes) -> Iterator[bytes]:
-    """Stretches of all members one behind the other, and what stands behind the last."""
+#: What unpacking may raise on damaged data.
+_DAMAGE = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError, IndexError, MemoryError)
+#: Bytes of packed data that are fed at once.
+FEED = 1 << 12
+#: Memory for the dictionary of xz data; of data that ask for more, as many bytes are read.
+XZ_MEMORY = 1 << 28
+
+
+def _body(kind: str, data: bytes, at: int) -> int:
+    """Where the deflated bytes begin behind a gzip or zlib header."""
+    if kind == "zlib":
+        return at + 2
+    if kind != "gzip":
+        return at
+    flags, body = data[at + 3], at + 10
+    if flags & 4:
+        body += 2 + int.from_bytes(data[body : body + 2], "little")
+    for flag in (8, 16):
+        if flags & flag:
+            body = data.index(b"\0", body) + 1
+    return body + 2 * (flags >> 1 & 1)
+
+
+class _Member:
+    """One member of packed data, read from the front; checksums of gzip and zlib are not asked for."""
+
+    #: Bytes of the checksums behind what was deflated.
+    TRAILER = {"gzip": 8, "zlib": 4}
+
+    def __init__(self, kind: str, data: bytes, at: int):
+        self.kind, self.data, self.at, self.open = kind, data, _body(kind, data, at), None
+        if kind == "zstd":
+            self.machine = zstandard.ZstdDecompressor().stream_reader(memoryview(data)[at:], read_across_frames=True)
+        elif kind == "bz2":
+            self.machine = bz2.BZ2Decompressor()
+        elif kind == "xz":
+            self.machine = lzma.LZMADecompressor(memlimit=XZ_MEMORY)
+            try:
+                self.machine.decompress(data[at : at + FEED], 1)
+                self.machine = lzma.LZMADecompressor()
+            except lzma.LZMAError:
+                self.machine, self.open = lzma.LZMADecompressor(), XZ_MEMORY
+        else:
+            self.machine = zlib.decompressobj(-15)
+
+    def read(self, most: int) -> bytes:
+        """The next bytes; none at the end of the member or of the data."""
+        if self.kind == "zstd":
+            return self.machine.read(most)
+        if self.open is not None:
+            most = min(most, self.open)
+        while most and not self.machine.eof:
+            fed = self.data[self.at : self.at + FEED]
+            if self.kind in ("gzip", "zlib", "deflate"):
+                chunk = self.machine.decompress(fed, most)
+                self.at += len(fed) - len(self.machine.unconsumed_tail)
+            else:
+                fed = fed if self.machine.needs_input else b""
+                chunk = self.machine.decompress(fed, most)
+                self.at += len(fed)
+            if chunk:
+                self.open = None if self.open is None else self.open - len(chunk)
+                return chunk
+            if self.at >= len(self.data) and not fed:
+                break
+        return b""
+
+    def end(self) -> int | None:
+        """Where the member ends; None if it does not, or if frames behind it were read with it."""
+        if self.kind == "zstd" or not self.machine.eof:
+            return None
+        return self.at - len(self.machine.unused_data) + self.TRAILER.get(self.kind, 0)
+
+
+def _stretches(kind: str, data: bytes, at: int) -> Iterator[bytes | int | None]:
+    """Stretches of a member, up to its damage if it is damaged, and then where it ends."""
+    given = 0
+    try:
+        member = _Member(kind, data, at)
+        while chunk := member.read(STRETCH):
+            given += len(chunk)
+            yield chunk
+        yield member.end()
+        return
+    except _DAMAGE:
+        pass
+    # What was unpacked in the call that failed is lost with it: get there again, in single bytes.
+    last = bytearray()
+    try:
+        member = _Member(kind, data, at)
+        while given and (chunk := member.read(min(given, STRETCH))):
+            given -= len(chunk)
+        while byte := member.read(1):
+            last += byte
+    except _DAMAGE:
+        pass
+    if last:
+        yield bytes(last)
+    yield None
+
+
+def _deflated(data: bytes, at: int) -> bool:
+    """Whether data are deflated without a header: they unpack to their own end."""
+    try:
+        member, size = _Member("deflate", data, at), 0
+        while chunk := member.read(STRETCH):
+            size += len(chunk)
+        return size >= 8 and member.end() is not None
+    except _DAMAGE:
+        return False
+
+
+def _members(data: bytes, at: int = 0) -> Iterator[bytes]:
+    """Stretches of all members one behind the other from `at` on, and what stands behind the last."""
     first = True
-    while kind := _kind(data):
-        try:
-            if kind == "zstd":
-                reader = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True)
-                yield from iter(lambda: reader.read(STRETCH), b"")
-                return
-            machine = _MACHINES[kind]()
-            rest = data
-            while not machine.eof:
-                chunk = machine.decompress(rest, STRETCH)
-                rest = getattr(machine, "unconsumed_tail", b"")
-                if not chunk and not machine.eof:
-                    return
-                if chunk:
-                    yield chunk
-        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+    while kind := _kind(data[at : at + 8]):
+        end = None
+        for chunk in _stretches(kind, data, at):
+            if isinstance(chunk, bytes):
+                yield chunk
+            else:
+                end = chunk
+        if end is None:
             break
-        data, first = machine.unused_data.lstrip(b"\0"), False
-    if data and not first:
-        yield data
+        at, first = end, False
+        while data[at : at + 1] == b"\0":
+            at += 1
+    if first and _deflated(data, at):
+        yield from (x for x in _stretches("deflate", data, at) if isinstance(x, bytes))
+    if not first and at < len(data):
+        yield data[at:]
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -270,7 +394,8 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     The counts and the digest are of secrets that stand openly in the text; they
     are written kind:start:end, by start and then kind, comma-joined, in code
     points. `spans` has those and the ones found in inner layers, `layered` the
-    number of the latter. Null and empty texts have none. Repeated rows, ties and
+    number of the latter. Damaged packed data count up to the damage. Very long
+    texts are scanned whole, one at a time. Null and empty texts have none. Repeated rows, ties and
     null ids are answered row by row; other columns are not read.
     """
     rank = {k: n for n, k in enumerate(KINDS)}
