@@ -74,6 +74,16 @@ def test_rejecting(spark):
     assert np.mean([(r.doc_id in left) == (r.toxic == 0) for r in df.collect()]) > 0.97
 
 
+def test_an_id_of_many_rows_counts_once(spark):
+    rows = made(60)
+    df = spark.createDataFrame(rows, "doc_id long, text string, low_quality int, toxic int")
+    docs, labels = df.select("doc_id", "text"), df.drop("text")
+    more = docs.unionByName(docs.where("doc_id = 7").crossJoin(spark.range(500)).select("doc_id", "text"))
+    one, many = (toxicity.train(d, labels, ["low_quality", "toxic"], sample_rows=1000) for d in (docs, more))
+    assert one.index == many.index and one.limits == many.limits
+    assert all(np.array_equal(a.of_feature, b.of_feature) and a.bias == b.bias for a, b in zip(one.models, many.models))
+
+
 def test_odd_rows(odd, none, spark):
     labels = spark.createDataFrame(
         [(1, 0, 1), (3, 1, 0), (3, 0, 0), (5, 0, 1), (7, 0, 0), (None, 1, 1), (8, None, 1), (99, 1, 1)], "doc_id long, low_quality int, toxic int"

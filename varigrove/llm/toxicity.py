@@ -162,8 +162,10 @@ def train(
     """A chain for the 0/1 columns `categories` of `labels`, in their order.
 
     Of several labels of an id the largest counts; null labels, null ids and
-    labels without a document are left out. Without labels every probability is
-    one half and no row is rejected.
+    labels without a document are left out. Of several documents of an id one
+    counts, the text with the smallest hash, so the sample has no more rows than
+    ids were drawn. Texts of any length are read whole. Without labels every
+    probability is one half and no row is rejected.
     """
     spark = docs.sparkSession
     once = (
@@ -177,8 +179,14 @@ def train(
     # At most about `sample_rows` short rows.
     drawn = F.broadcast(once.where(F.col("draw") < int(share * (1 << 30))))
     goals = [f"c{i}" for i in range(len(categories))]
+    # Map tasks keep one text per id, so that an id of many rows is small before it is shuffled.
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"]
     sample = saved(
-        docs.select(quoted(key).alias("id"), quoted(text).cast("string").alias("text")).join(drawn, "id").select("text", "draw", *goals),
+        docs.select(quoted(key).alias("id"), quoted(text).cast("string").alias("text"))
+        .join(drawn, "id")
+        .groupBy("id", "draw", *goals)
+        .agg(least.alias("text"))
+        .select("text", "draw", *goals),
         "toxic-sample",
     )
 
