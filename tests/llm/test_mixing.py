@@ -54,7 +54,11 @@ def test_query(spark):
         assert set(part.source_size) == {totals[s]} and math.isclose(part.target.iloc[0], want[s], rel_tol=1e-9)
         assert abs(part.taken.sum() - want[s]) <= max(part["size"]) / 2
     again = queries.op7_source_mix(spark, SMALL).toPandas().sort_values("doc_id")
-    assert again.taken.tolist() == got.sort_values("doc_id").taken.tolist()
+    got = got.sort_values("doc_id")
+    assert again.taken.tolist() == got.taken.tolist() and list(map(list, again.shards)) == list(map(list, got.shards))
+    assert all(len(to) * size == taken for to, size, taken in zip(got.shards, got["size"], got.taken))
+    dealt = {s for to in got.shards for s in to}
+    assert len(dealt) > 1 and dealt <= set(range(mixing.LEAST_SHARDS))
 
 
 def test_hypergeometric(spark):

@@ -30,6 +30,8 @@ BLOCK_WORDS = 50_000
 MAX_BLOCKS = 1 << 20
 #: Words of an output shard, about 50 MB; their number is the next power of two.
 SHARD_WORDS = 8_000_000
+#: Shards of a small mix, so that it too can be read by several tasks.
+LEAST_SHARDS = 8
 #: Sources that are broadcast at most, about 100 bytes each.
 BROADCAST_SOURCES = 100_000
 #: Levels of the splitting tree in one plan; after as many, what is split is written and spread.
@@ -306,8 +308,10 @@ def draw(
 
     The columns: size (words), source_size, target, and an array with the shard
     of each copy taken. Of `docs` the columns `keep` are returned, all by
-    default. Null texts have size 0 and a null source is a source of its own.
-    Equal rows are drawn one by one. Empty tables give no rows.
+    default; a name among them that is taken gets a `_` in front. Null texts have
+    size 0 and a null source is a source of its own. A text longer than what a
+    source still needs is left to other rows, whatever its length. Equal rows are
+    drawn one by one. Empty tables give no rows.
     """
     keep = docs.columns if keep is None else list(keep)
     names = [free_name(keep, n) for n in ("size", "source_size", "target", "shards")]
@@ -324,7 +328,7 @@ def draw(
     )
     held = goal.agg(F.count(F.lit(1)).alias("sources"), F.sum("target").alias("words")).first()
     if shards is None:
-        shards = 1 << int((held.words or 0) / SHARD_WORDS).bit_length()
+        shards = max(LEAST_SHARDS, 1 << int((held.words or 0) / SHARD_WORDS).bit_length())
     # One row per source. So many that they don't fit are met by a plain join instead, with the same rows.
     near = F.broadcast(goal) if held.sources <= BROADCAST_SOURCES else goal
     sized = packed.join(near, "source").withColumn("block", F.pmod("place", "blocks").cast("int"))

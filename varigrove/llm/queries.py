@@ -99,9 +99,9 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """What the mix takes of each document; see `mixing.draw`."""
+    """What the mix takes of each document, and the shard of each copy; see `mixing.draw`."""
     drawn, (size, source_size, target, shards), _ = mixing.draw(table(spark, folder, "documents"), keep=["doc_id"])
-    return drawn.select("doc_id", size, source_size, target, (F.col(size) * F.size(shards)).alias("taken"))
+    return drawn.select("doc_id", size, source_size, target, (F.col(size) * F.size(shards)).alias("taken"), shards)
 
 
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
