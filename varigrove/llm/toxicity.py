@@ -179,16 +179,15 @@ def train(
     # At most about `sample_rows` short rows.
     drawn = F.broadcast(once.where(F.col("draw") < int(share * (1 << 30))))
     goals = [f"c{i}" for i in range(len(categories))]
-    # Map tasks keep one text per id, so that an id of many rows is small before it is shuffled.
-    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"]
     sample = saved(
         docs.select(quoted(key).alias("id"), quoted(text).cast("string").alias("text"))
         .join(drawn, "id")
-        .groupBy("id", "draw", *goals)
-        .agg(least.alias("text"))
-        .select("text", "draw", *goals),
+        .withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()}),
         "toxic-sample",
     )
+    # One row per drawn id; texts are not shuffled.
+    one = sample.groupBy("id").agg(F.min(F.struct("hash", "row"))["row"].alias("row")).select("row")
+    sample = sample.join(F.broadcast(one), "row").select("text", "draw", *goals)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows with each feature, in all and by category; summed in a task first."""
