@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators import calling, cohort, genotyping, mapping, packed, paralogs, reads, recovery, samples, variants
+from varigrove.operators import calling, cohort, genotyping, joins, mapping, packed, paralogs, reads, recovery, samples, variants
 from varigrove.plans import chains
 
 
@@ -805,3 +805,25 @@ def test_manifest_of_named_loci(spark):
     df = spark.createDataFrame([("b7", 30), ("a10", 20), ("c", 5)], "locus string, length int")
     got = [tuple(r) for r in recovery.reference_manifest(df).orderBy("offset").collect()]
     assert got == [("a10", 20, 0, 20), ("b7", 30, 20, 50), ("c", 5, 50, 55)]
+
+
+def test_grids_hold_every_pair_and_are_not_moved(spark):
+    contigs = spark.createDataFrame(
+        [(s, l, 1, 10 * (l or 5) + 1, 90, 5) for s, l in ((None, 1), ("a", 1), ("a", 2), ("b", 2), ("a", None), ("b", 9))],
+        "sample string, locus long, contig_no int, exon_len int, supercontig_len int, depth int",
+    )
+    # Locus 2 is listed twice, locus 3 is in no contig and locus 9 in no list.
+    loci = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "locus long")
+    cells = {(None, 1): 11.0, ("a", 1): 11.0, ("a", 2): 21.0, ("b", 2): 21.0}
+    want = sorted(((str(s), str(l), cells.get((s, l), 0.0)) for s in (None, "a", "b") for l in (1, 2, 2, 3)))
+    got = recovery.seq_lengths(contigs, loci, "gene").where("locus is not null")
+    assert sorted((str(r.sample), str(r.locus), r.bp) for r in got.collect()) == want
+    nulls = recovery.recovered_lengths(contigs, "gene").where("locus is null").select("sample", "bp")
+    for shard_rows in (1, 2, 100):
+        grid = joins.filled_grid(loci, recovery.sample_list(contigs), recovery.recovered_lengths(contigs, "gene"), "locus", "sample", shard_rows)
+        assert grid.count() == 15
+        assert rows(grid.where("locus is null and bp is not null").select("sample", "bp")) == rows(nulls)
+    # No shuffle or sort above the generators that make the cells.
+    for grid in (recovery.seq_lengths(contigs, loci, "gene"), paralogs.copy_counts(contigs)):
+        text = grid._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" in text and "Exchange" not in text[: text.index("Generate explode(array_except")]
