@@ -291,3 +291,16 @@ def test_wide_matrix_has_one_plan(spark, tmp_path):
     got = tables.read_matrix(spark, str(tmp_path / "wide"))
     want = long.groupBy(F.col("sample").cast("string"), "locus").agg(F.max("n").alias("n"))
     assert got.count() == want.count() and got.exceptAll(want.select("sample", "locus", "n")).count() == 0
+
+
+def test_matrix_packed_on_disk(spark, tmp_path):
+    """A matrix of few cells: the file is far smaller than its tabs, and the shuffle holds no lines."""
+    long = spark.range(3000).selectExpr("id % 300 as sample", "(id * 7919) % 2000 as locus", "id as n")
+    for kind in ("none", "gzip"):
+        path = tmp_path / kind
+        tables.write_matrix(long, str(path), parts=4, compression=kind)
+        got = tables.read_matrix(spark, str(path)).selectExpr("cast(sample as long) sample", "cast(locus as long) locus", "n")
+        want = long.groupBy("sample", "locus").agg(F.max("n").alias("n"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    size = {k: sum(f.stat().st_size for f in (tmp_path / k).glob("part-*")) for k in ("none", "gzip")}
+    assert size["none"] > 300 * len(set(range(2000))) * 0.9 and size["gzip"] < size["none"] / 5
