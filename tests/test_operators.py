@@ -827,3 +827,14 @@ def test_grids_hold_every_pair_and_are_not_moved(spark):
     for grid in (recovery.seq_lengths(contigs, loci, "gene"), paralogs.copy_counts(contigs)):
         text = grid._jdf.queryExecution().executedPlan().toString()
         assert "Generate" in text and "Exchange" not in text[: text.index("Generate explode(array_except")]
+
+
+def test_seed_join_never_broadcasts_the_kmers(spark):
+    """Few targets as their rows count, many k-mers; one shuffle serves the scores and the window."""
+    reads_ = spark.createDataFrame([("s", "r", 1, "ACGTTGCA" * 12, "I" * 96)], READS)
+    targets = spark.createDataFrame([(1, "ACGTTGCA" * 16)], "locus long, seq string")
+    placed = mapping.seed_join(reads_, targets)
+    text = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert text[: text.index("SortMergeJoin")].count("Exchange") == 1
+    assert [(r.locus, r.score) for r in placed.collect()] == [(1, 3)]
