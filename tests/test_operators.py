@@ -838,3 +838,19 @@ def test_seed_join_never_broadcasts_the_kmers(spark):
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert text[: text.index("SortMergeJoin")].count("Exchange") == 1
     assert [(r.locus, r.score) for r in placed.collect()] == [(1, 3)]
+
+
+def test_cycle_bases_gathers_reads_by_file(spark):
+    """A crowded file and a null one beside many small ones; rows per base are counted where they are made."""
+    data = [(None, "n", 1, "ACN", "III")] + [("crowded", f"r{i}", 1, "AC"[i % 2] + "GTx", "IIII") for i in range(300)]
+    data += [(f"s{i}", "r", 2, "T", "I") for i in range(150)]
+    got = reads.cycle_bases(spark.createDataFrame(data, READS))
+    seen = {(r.sample, r.cycle): (r.bases, r.n_a, r.n_c, r.n_g, r.n_t, r.n_n) for r in got.collect()}
+    assert len(seen) == 3 + 4 + 150 and got.count() == len(seen)
+    assert [seen[None, c] for c in (1, 2, 3)] == [(1, 1, 0, 0, 0, 0), (1, 0, 1, 0, 0, 0), (1, 0, 0, 0, 0, 1)]
+    assert seen["crowded", 1] == (300, 150, 150, 0, 0, 0) and seen["crowded", 4] == (300, 0, 0, 0, 0, 0)
+    assert seen["s7", 1] == (1, 0, 0, 0, 1, 0)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    above = text[: text.index("Generate posexplode")]
+    # Counts of whole files, not of the share of a task, go through the last shuffle.
+    assert above.count("Exchange") == 1 and above.count("HashAggregate") == 4

@@ -61,6 +61,18 @@ def salted_join(
     return left.join(right, [*keys, _SALT], how).drop(_SALT)
 
 
+def gathered(df: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Rows of equal `keys` in one task, those of hot keys in `salts` tasks, with the column `__salt` beside the keys.
+
+    For aggregates with many groups to a key, of which each map task would else
+    write nearly all. A group by keys and salt stays in its task; one by the keys alone must follow.
+    """
+    hot = hot_keys(df, keys).withColumnRenamed(_HOT, _SALT)
+    marked = null_safe_join(df, F.broadcast(hot), keys, "left")
+    spread_out = F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(df)]), F.lit(salts)).cast("int")
+    return marked.withColumn(_SALT, F.when(F.col(_SALT), spread_out).otherwise(F.lit(0))).repartition(*keys, _SALT)
+
+
 def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 

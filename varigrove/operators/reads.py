@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators.joins import null_safe_join
+from varigrove.operators.joins import gathered, null_safe_join
 
 FILE = ("sample", "mate")
 
@@ -103,13 +103,17 @@ def read_quality_hist(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
 
 
 def cycle_bases(reads: DataFrame, by: Sequence[str] = FILE) -> DataFrame:
-    """A, C, G, T and N counts and shares per cycle."""
-    each = reads.select(*by, F.posexplode(F.split("seq", "")).alias("__i", "base"))
+    """A, C, G, T and N counts and shares per cycle.
+
+    A file has a group per cycle, and every map task has reads of nearly all
+    files, so reads are gathered by file before they become rows per base.
+    """
+    each = gathered(reads.select(*by, "seq"), by).select(*by, "__salt", F.posexplode(F.split("seq", "")).alias("__i", "base"))
     # Numeric grouping keys only: they keep the map-side hash table fast.
     tally = lambda b: F.count(F.when(F.col("base") == b, 1))
-    out = each.groupBy(*by, (F.col("__i") + 1).alias("cycle")).agg(
-        F.count(F.lit(1)).alias("bases"), *[tally(b).alias(f"n_{b.lower()}") for b in "ACGTN"]
-    )
+    counted = {"bases": F.count(F.lit(1)), **{f"n_{b.lower()}": tally(b) for b in "ACGTN"}}
+    parts = each.groupBy(*by, "__salt", (F.col("__i") + 1).alias("cycle")).agg(*[c.alias(n) for n, c in counted.items()])
+    out = parts.groupBy(*by, "cycle").agg(*[F.sum(n).alias(n) for n in counted])
     return out.select(
         "*", *[(F.col(f"n_{b}") * 100.0 / F.col("bases")).alias(f"pct_{b}") for b in "acgtn"]
     )
