@@ -854,3 +854,24 @@ def test_cycle_bases_gathers_reads_by_file(spark):
     above = text[: text.index("Generate posexplode")]
     # Counts of whole files, not of the share of a task, go through the last shuffle.
     assert above.count("Exchange") == 1 and above.count("HashAggregate") == 4
+
+
+def test_bases_below_counts_letters_at_every_bound(spark):
+    every = "".join(map(chr, range(33, 127)))
+    df = spark.createDataFrame([(every,), ("",), (None,), ("II#4 5",)], "qual string")
+    for least in (1, 2, 20, 60, 94):
+        col = B.bases_below(F.col("qual"), least)
+        below = sum(33 <= ord(c) < 33 + least for c in "II#4 5")
+        assert [r[0] for r in df.select(col).collect()] == [least, 0, None, below]
+        assert "regexp" not in str(col)
+
+
+def test_quality_filter_cuts_a_read_once(spark):
+    """The plan's filter holds the pattern for the test and for the cut, and not for each mention of the qualities."""
+    data = [("s", "good", 1, "ACGT" * 5, "I" * 20), ("s", "bad", 1, "ACGT" * 5, "#" * 9 + "I" * 11), ("s", "edge", 1, "ACGT" * 5, "#" * 8 + "I" * 12)]
+    data += [("s", "null", 1, "ACGT", None), ("s", "empty", 1, "", ""), ("s", "tail", 1, "ACGT" + reads.ADAPTER, "IIII" + "#" * 30)]
+    kept = reads.quality_filter(reads.trim_adapter(spark.createDataFrame(data, READS)))
+    assert {r.read_id: r.seq for r in kept.collect()} == {"good": "ACGT" * 5, "edge": "ACGT" * 5, "empty": "", "tail": "ACGT"}
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    filters = [x for x in plan.splitlines() if "Filter" in x]
+    assert sum(x.count("regexp_instr") for x in filters) <= 2

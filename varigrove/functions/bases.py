@@ -33,9 +33,8 @@ def phred_sum(qual: Column) -> Column:
 
 
 def bases_below(qual: Column, min_phred: int) -> Column:
-    """How many bases are under `min_phred`, without building an array."""
-    low = rf"[\x{PHRED_OFFSET:02x}-\x{PHRED_OFFSET + min_phred - 1:02x}]+"
-    return F.length(qual) - F.length(F.regexp_replace(qual, low, ""))
+    """How many bases are under `min_phred`, without building an array or matching a pattern."""
+    return count_bases(qual, "".join(map(chr, range(PHRED_OFFSET, PHRED_OFFSET + min_phred))))
 
 
 def letter_runs(text: Column) -> Column:

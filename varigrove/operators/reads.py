@@ -310,9 +310,12 @@ def trim_detected(reads: DataFrame, adapters: DataFrame | None = None, overlap:
 
 
 def low_quality(min_phred: int = MIN_PHRED, max_bad_percent: float = MAX_BAD_PERCENT):
-    """True for reads with too large a share of bases under `min_phred`."""
-    bad = B.bases_below(F.col("qual"), min_phred)
-    return bad * 100 > F.length("qual") * F.lit(max_bad_percent)
+    """True for reads with too large a share of bases under `min_phred`.
+
+    A filter puts in the whole cut for each mention of `qual`, pattern and all, so it is named once.
+    """
+    bad = lambda q: B.bases_below(q, min_phred) * 100 > F.length(q) * F.lit(max_bad_percent)
+    return F.exists(F.array("qual"), bad)
 
 
 def quality_filter(
