@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from varigrove.functions import bases as B
 from varigrove.operators import genotyping
 from varigrove.operators.genotyping import SITE
-from varigrove.operators.joins import interval_join, lookup_join, null_safe_join, with_roster
+from varigrove.operators.joins import gathered_join, interval_join, lookup_join, null_safe_join, with_roster
 from varigrove.operators.mapping import aligned_stretches
 
 CONFIDENT_GQ = 20
@@ -90,7 +90,7 @@ def pileup_on(aln: DataFrame, reference: DataFrame, chunk: int = 1000) -> DataFr
     The reference is cut into pieces of `chunk` bases, and stretches at the
     borders of pieces. They are joined before they become rows per base: the
     shuffle moves reads, and the far larger pileup is made in place. Pieces
-    that reads crowd on are salted.
+    that reads crowd on are salted: `piece` and `salt` say where a row is, see `base_counts`.
     """
     # One pass over a contig: looking each piece up by its place would read it from the start every time.
     cut = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
@@ -111,9 +111,22 @@ def pileup_on(aln: DataFrame, reference: DataFrame, chunk: int = 1000) -> DataFr
             }
         )
     )
-    met = lookup_join(parts, pieces, ["chrom", "__piece"])
+    met = gathered_join(parts, pieces, ["chrom", "__piece"])
     at = F.pmod(F.col("start") + F.col("__i") - 1, F.lit(chunk)) + 1
-    return _expand(met, F.upper(_letter("__ref", at)).alias("ref"))
+    return _expand(met, F.upper(_letter("__ref", at)).alias("ref"), F.col("__piece").alias("piece"), F.col("__salt").alias("salt"))
+
+
+def base_counts(piled: DataFrame) -> DataFrame:
+    """Bases, summed quality and named samples of each position, reference base and base of `pileup_on`.
+
+    There are nearly as many groups as positions with reads, so they are made in the task
+    that holds a piece and never moved, but for pieces that were salted.
+    """
+    base = [*SITE, "ref", "base"]
+    counted = {"bases": F.count(F.lit(1)), "quality": F.sum("bq"), "named": F.count("sample")}
+    own = piled.groupBy("chrom", "piece", "salt", "pos", "ref", "base").agg(*[c.alias(n) for n, c in counted.items()])
+    salted = own.where(F.col("salt") >= 0).groupBy(*base).agg(*[F.sum(n).alias(n) for n in counted])
+    return own.where(F.col("salt") < 0).select(*base, *counted).unionByName(salted)
 
 
 def _is_alt() -> Column:

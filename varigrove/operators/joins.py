@@ -66,11 +66,27 @@ def gathered(df: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFram
 
     For aggregates with many groups to a key, of which each map task would else
     write nearly all. A group by keys and salt stays in its task; one by the keys alone must follow.
+    Tasks are not merged again for being small, as rows that pack well become many.
     """
     hot = hot_keys(df, keys).withColumnRenamed(_HOT, _SALT)
     marked = null_safe_join(df, F.broadcast(hot), keys, "left")
     spread_out = F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(df)]), F.lit(salts)).cast("int")
-    return marked.withColumn(_SALT, F.when(F.col(_SALT), spread_out).otherwise(F.lit(0))).repartition(*keys, _SALT)
+    return spread(marked.withColumn(_SALT, F.when(F.col(_SALT), spread_out).otherwise(F.lit(0))), *keys, _SALT)
+
+
+def gathered_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Inner equi-join that leaves rows of equal `keys` in one task, those of hot keys of `facts` in `salts` tasks, with the column `__salt`.
+
+    The salt is -1 where the key is not hot. So a group by keys, salt and more is made where
+    the rows are, and is whole for a salt of -1; only hot keys need another group by the rest.
+    """
+    hot = F.broadcast(hot_keys(facts, keys))
+    spread_out = F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(facts)]), F.lit(salts)).cast("int")
+    left = facts.join(hot, list(keys), "left").withColumn(_SALT, F.when(F.col(_HOT), spread_out).otherwise(F.lit(-1))).drop(_HOT)
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    listed = F.explode(F.when(F.col(_HOT), every).otherwise(F.array(F.lit(-1))))
+    right = lookup.join(hot, list(keys), "left").withColumn(_SALT, listed).drop(_HOT)
+    return spread(left, *keys, _SALT).join(right, [*keys, _SALT])
 
 
 def _hashable(df: DataFrame) -> list[str]:
