@@ -107,8 +107,12 @@ def is_missing(gt: Column) -> Column:
 
 def call_state(gt: Column) -> Column:
     parts = F.split(gt, r"[/|]")
+    # Most calls are one of these texts, which need no splitting.
     return (
-        F.when(gt.isNull() | is_missing(gt), "missing")
+        F.when(gt.isin("0/0", "0|0"), "hom_ref")
+        .when(gt.isin("0/1", "0|1", "1|0"), "het")
+        .when(gt.isin("1/1", "1|1"), "hom_alt")
+        .when(gt.isNull() | is_missing(gt), "missing")
         .when(F.forall(parts, lambda a: a == "0"), "hom_ref")
         .when(F.size(F.array_distinct(parts)) > 1, "het")
         .otherwise("hom_alt")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
+from varigrove.operators.joins import null_safe_join
 
 PER_BLOCK = 32
 SITE = ("chrom", "pos")
@@ -44,17 +45,20 @@ def pack(genotypes: DataFrame, roster: DataFrame) -> DataFrame:
     """Vectors of `genotypes(chrom, pos, sample, gt)`, in which a sample has one call per site.
 
     Calls of samples that `roster` does not list are left out. Bits of a site
-    are combined on the map side, so a cell is moved as a share of a long.
+    are combined on the map side, so a cell is moved as a share of a long. Only calls
+    that their state does not tell are listed, in an aggregate of their own: lists beside the bits
+    would have all cells sorted by site.
     """
     state = B.call_state(F.col("gt"))
     code = F.when(state == "hom_ref", 1).when(state == "het", 2).when(state == "hom_alt", 3).otherwise(0)
     placed = _keyed(genotypes.select(*SITE, "sample", "gt")).join(_keyed(slots(roster)).drop("sample"), "__key")
     bits = F.call_function("shiftleft", code.cast("long"), F.col("slot") * 2)
     plain = F.col("gt").isin(NO_CALL, *TEXTS) | F.col("gt").isNull()
-    other = F.when(~plain, F.struct("slot", "gt"))
-    return placed.groupBy(*SITE, "block").agg(
-        F.bit_or(bits).alias("calls"), F.sort_array(F.collect_list(other)).alias("others")
-    )
+    vectors = placed.groupBy(*SITE, "block").agg(F.bit_or(bits).alias("calls"))
+    others = placed.where(~plain).groupBy(*SITE, "block").agg(F.sort_array(F.collect_list(F.struct("slot", "gt"))).alias("others"))
+    nothing = F.expr("cast(array() as array<struct<slot:int,gt:string>>)")
+    joined = null_safe_join(vectors, others, [*SITE, "block"], "left")
+    return joined.withColumn("others", F.coalesce("others", nothing))
 
 
 def _count(vector: Column, state: int) -> Column:

@@ -335,8 +335,9 @@ def variant_types(x):
 
 @query
 def genotype_states(x):
-    state = B.call_state(F.col("gt"))
-    return x.genotypes().groupBy("chrom", "sample", state.alias("state")).agg(F.count(F.lit(1)).alias("calls"))
+    # Equal texts first, so that a state is told once for each.
+    texts = x.genotypes().groupBy("chrom", "sample", "gt").agg(F.count(F.lit(1)).alias("calls"))
+    return texts.groupBy("chrom", "sample", B.call_state(F.col("gt")).alias("state")).agg(F.sum("calls").alias("calls"))
 
 
 # -- reads -------------------------------------------------------------------
@@ -558,10 +559,7 @@ def pileup_positions(x):
 
 @query
 def pileup_on_reference(x):
-    piled = calling.pileup_on(x.target_alignments(), x.masked_reference())
-    return piled.groupBy("chrom", "pos", "ref", "base").agg(
-        F.count(F.lit(1)).alias("bases"), F.sum("bq").alias("quality"), F.count("sample").alias("named")
-    )
+    return calling.base_counts(calling.pileup_on(x.target_alignments(), x.masked_reference()))
 
 
 @query
