@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,33 +15,51 @@ from varigrove.functions import names as N
 _LINES = "path string, read_no long, name string, seq string, qual string"
 
 
-def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fold lines into records of four; a new path starts a new file.
 
     Lines of one file come in order and in one task, over many batches. At
     most three lines wait between batches.
     """
-    path, number, held = None, 0, []
+    path, number, held = None, 0, None
     for batch in batches:
-        out = []
-        for at, line in zip(batch["path"], batch["value"]):
+        for at, lines in _runs(batch):
             if at != path:
-                if held:
+                if held is not None and len(held):
                     raise ValueError(f"{path}: ends inside a record")
-                path, number = at, 0
-            held.append(line)
-            if len(held) == 4:
-                head, seq, plus, qual = held
-                if not head.startswith("@") or not plus.startswith("+") or len(seq) != len(qual):
-                    raise ValueError(f"{path}: record {number} is not FASTQ")
-                out.append((path, number, head[1:].split()[0], seq, qual))
-                number, held = number + 1, []
-        if out:
-            yield pd.DataFrame(out, columns=["path", "read_no", "name", "seq", "qual"])
-    if held:
+                path, number, held = at, 0, lines[:0]
+            lines = pa.concat_arrays([held, lines])
+            n = len(lines) // 4
+            held = pa.concat_arrays([lines[n * 4 :]])
+            if n:
+                yield _folded(path, number, lines[: n * 4])
+            number += n
+    if held is not None and len(held):
         raise ValueError(f"{path}: ends inside a record")
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
+    """The stretches of a batch that come from one file."""
+    paths = pc.run_end_encode(batch.column(0))
+    start = 0
+    for path, stop in zip(paths.values.to_pylist(), paths.run_ends.to_pylist()):
+        yield path, batch.column(1)[start:stop]
+        start = stop
+
+
+def _folded(path: str, number: int, lines: pa.Array) -> pa.RecordBatch:
+    head, seq, plus, qual = (lines.take(pa.array(np.arange(i, len(lines), 4))) for i in range(4))
+    starts = pc.and_(pc.starts_with(head, "@"), pc.starts_with(plus, "+"))
+    names = pc.utf8_ltrim_whitespace(pc.utf8_slice_codeunits(head, 1))
+    fine = pc.and_(pc.and_(starts, pc.equal(pc.utf8_length(seq), pc.utf8_length(qual))), pc.not_equal(names, ""))
+    if not pc.all(fine).as_py():
+        raise ValueError(f"{path}: record {number + pc.index(fine, False).as_py()} is not FASTQ")
+    name = pc.list_element(pc.utf8_split_whitespace(names, max_splits=1), 0)
+    count = len(head)
+    columns = [pa.repeat(pa.scalar(path), count), pa.array(np.arange(number, number + count)), name, seq, qual]
+    return pa.RecordBatch.from_arrays(columns, names=["path", "read_no", "name", "seq", "qual"])
+
+
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """`file, base, sample, mate, read_no, read_id, seq, qual` of gzipped FASTQ files.
 
@@ -51,7 +71,7 @@ def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     plain = [p for p in lines.inputFiles() if not p.endswith(".gz")]
     if plain:
         raise ValueError(f"only gzip files keep a record in one task: {plain[0]}")
-    found = lines.mapInPandas(_records, _LINES)
+    found = lines.mapInArrow(_records, _LINES)
     base = N.fastq_base(F.col("path"))
     # The two mates of a pair share a name up to an optional /1 or /2.
     read_id = F.regexp_replace("name", "/[12]$", "")
