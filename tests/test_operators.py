@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varigrove.functions import bases as B
-from varigrove.operators import calling, cohort, genotyping, joins, mapping, packed, paralogs, reads, recovery, samples, variants
+from varigrove.operators import calling, cohort, genotyping, joins, mapping, packed, paralogs, reads, recovery, samples, tails, variants
 from varigrove.plans import chains
 
 
@@ -875,3 +875,80 @@ def test_quality_filter_cuts_a_read_once(spark):
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     filters = [x for x in plan.splitlines() if "Filter" in x]
     assert sum(x.count("regexp_instr") for x in filters) <= 2
+
+
+def test_adapter_is_the_commonest_kmer_of_all_tails(spark):
+    """Against a count of every k-mer, with ties, short, empty, missing and non-ASCII reads, a null mate, and k-mers crowded in few buckets."""
+    rng = np.random.default_rng(5)
+    draw = lambda n: "".join(rng.choice(list("ACGN"), n))
+    texts = [draw(int(rng.integers(0, 60))) for _ in range(300)] + [None, "", "é" * 14, "ACGé" * 9, "acgtacgtacgta"]
+    data = [("s", f"r{i}", (1, 2, None)[i % 3], t, "I") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(data, READS)
+    for k, tail in ((2, 30), (12, 30), (5, 8)):
+        counts = {}
+        for _, _, mate, text, _ in data:
+            end = (text or "")[-tail:]
+            for i in range(len(end) - k + 1):
+                key = (mate, end[i : i + k])
+                counts[key] = counts.get(key, 0) + 1
+        wanted = {}
+        for (mate, kmer), n in counts.items():
+            wanted[mate] = min(wanted.get(mate, (0, "")), (-n, kmer))
+        got = {r.mate: (-r.n, r.kmer) for r in reads.detect_adapter(df, k, tail).collect()}
+        assert got == wanted
+    assert reads.detect_adapter(df.where("false")).collect() == []
+
+
+def test_rare_kmers_are_no_rows(spark):
+    """Tails of random reads have as many k-mers as letters; only those of common buckets leave the tasks."""
+    rng = np.random.default_rng(6)
+    data = [("s", f"r{i}", 1, "".join(rng.choice(list("ACGT"), 30)) + "CTGTCTCTTATA" * (i % 2), "I") for i in range(2000)]
+    df = spark.createDataFrame(data, READS)
+    held = tails.bucket_counts(df, 12, 30)
+    assert held[1][0] == 2000 and held[1][1].sum() == 2000 * 19
+    common = tails.kmers_of(df, {1: held[1][1] >= 500}, 12, 30)
+    assert common.count() < 50 and common.where("kmer = 'CTGTCTCTTATA'").first().n == 1000
+
+
+def test_adapter_is_looked_for_once(spark):
+    """Cutting, filters on the cut columns and all: the pattern stands once in the plan."""
+    df = spark.createDataFrame([("s", "r", 1, "ACGT", "IIII")], READS)
+    plan = reads.length_filter(reads.quality_filter(reads.trim_adapter(df)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_instr") == 1
+
+
+def test_cycle_quality_gathers_files_before_runs(spark):
+    """The groups of a file, cycle and value are made where the file is, so no task holds those of all files."""
+    df = spark.createDataFrame([(f"s{i}", f"r{i}", 1, "ACGT", "II##") for i in range(20)], READS)
+    plan = reads.cycle_phred_counts(df)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate") :]
+    assert "RepartitionByExpression" in below[below.rindex("Generate explode") :]
+    got = rows(reads.cycle_quality(df).select("cycle", "bases", "mean_phred").distinct(), "cycle")
+    assert got == [(1, 1, 40.0), (2, 1, 40.0), (3, 1, 2.0), (4, 1, 2.0)]
+
+
+def test_packing_does_not_sort_cells(spark):
+    """Bits of a site are combined in a hash aggregate; calls that bits do not tell come back too, at null places also."""
+    cells = [("c", 1, "a", "0/1"), ("c", 1, "b", "1|2"), (None, 2, "a", "0|1"), (None, None, None, "2/2"), ("c", 3, "b", None)]
+    calls = spark.createDataFrame(cells, "chrom string, pos long, sample string, gt string")
+    roster = calls.select("sample").distinct()
+    vectors = packed.pack(calls, roster)
+    plan = vectors._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan.replace("ObjectHashAggregate", "") and "bit_or" in plan
+    assert not any("ObjectHash" in line and "bit_or" in line for line in plan.splitlines())
+    back = {tuple(r) for r in packed.unpack(vectors, roster).where("gt <> './.'").collect()}
+    assert back == {c for c in cells if c[3]}
+
+
+def test_bases_on_a_reference_are_counted_where_they_are(spark):
+    """Crowded and other contigs give one row per position and base, and no rows per base are moved."""
+    many = [(f"s{i % 3}", "hot", 1 + i % 4, 0, 60, "5M", "ACGTA", "IIIII") for i in range(300)]
+    few = [(None, f"c{i}", 2, 0, 60, "3M", "CgT", "I#I") for i in range(20)]
+    aln = spark.createDataFrame(many + few, "sample string, rname string, pos long, flag int, mapq int, cigar string, seq string, qual string")
+    names = [("hot", "acgtacgt")] + [(f"c{i}", "TCGTT") for i in range(20)]
+    piled = calling.pileup_on(aln, spark.createDataFrame(names, "name string, seq string"), chunk=4)
+    got = rows(calling.base_counts(piled), "chrom", "pos", "ref", "base")
+    by_row = piled.groupBy("chrom", "pos", "ref", "base").agg(F.count("*"), F.sum("bq"), F.count("sample"))
+    assert got == rows(by_row, "chrom", "pos", "ref", "base") and sum(r[4] for r in got) == 300 * 5 + 20 * 3
+    own = piled.groupBy("chrom", "piece", "salt", "pos", "ref", "base").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in own[: own.index("Generate")]
