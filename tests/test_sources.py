@@ -304,3 +304,24 @@ def test_matrix_packed_on_disk(spark, tmp_path):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     size = {k: sum(f.stat().st_size for f in (tmp_path / k).glob("part-*")) for k in ("none", "gzip")}
     assert size["none"] > 300 * len(set(range(2000))) * 0.9 and size["gzip"] < size["none"] / 5
+
+
+def test_vcf_cells_are_packed(spark, tmp_path):
+    """Over two longs: plain, other, missing and repeated calls give the cells that the first text of each sample tells."""
+    names = [f"s{n:02d}" for n in range(20)]
+    texts = ["./.", "0/0", "0/1", "1/1", "0|1", "1/2", None, "."]
+    cells = [("c", pos, name, texts[(i * 3 + pos) % 8]) for pos in (1, 2, 3) for i, name in enumerate(names) if (i + pos) % 5]
+    cells += [("c", pos, name, texts[(i + pos * 3) % 8]) for pos in (1, 2) for i, name in enumerate(names) if i % 3 == 0]
+    sites = spark.createDataFrame([("c", p, "A", "G", 1.0) for p in (3, 1, 4, 2)], "chrom string, pos long, ref string, alt string, qual double")
+    calls = spark.createDataFrame(cells, "chrom string, pos long, sample string, gt string")
+    wanted = {}
+    for _, pos, name, gt in sorted(cells, key=lambda c: (c[3] is not None, c[3] or "")):
+        wanted.setdefault((pos, name), gt or "./.")
+    path = str(tmp_path / "v")
+    vcf.write_vcf(sites, path, calls)
+    lines = [x for f in sorted((tmp_path / "v").glob("part-*")) for x in f.read_text().splitlines()]
+    assert [x.split("\t")[1] for x in lines if x[0] != "#"] == ["1", "2", "3", "4"]
+    got = vcf.genotypes(vcf.read_vcf(spark, path), vcf.sample_columns(spark, path)).collect()
+    assert {(r.pos, r.sample): r.gt for r in got} == {(p, n): wanted.get((p, n), "./.") for p in (1, 2, 3, 4) for n in names}
+    plan = vcf._cells(calls, calls.agg(F.sort_array(F.collect_set("sample")).alias("names")))._jdf.queryExecution().sparkPlan().toString()
+    assert not any("ObjectHash" in x and "bit_and" in x for x in plan.splitlines())
