@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varigrove.operators.joins import with_roster
+from varigrove.operators.joins import spread, with_roster
 
 
 def _digits(c: Column, width: int) -> Column:
@@ -146,7 +146,8 @@ class Inputs:
     def reads(self) -> DataFrame:
         """Read pairs cut from targets: some adapters, Ns, low tails, lone mates."""
         keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-        lines = self.table("lineitem").select(*keys).distinct()
+        # Short lines that become long reads: dealt out before they do.
+        lines = spread(self.table("lineitem").select(*keys), *keys).distinct()
         order, part = F.col("l_orderkey"), F.col("l_partkey")
         mates = F.when(order % 41 == 0, F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2)))
         one = F.substring("seq", F.expr("cast(1 + (l_orderkey*13 + l_linenumber*7) % 29 as int)"), F.lit(100))
@@ -320,8 +321,10 @@ class Inputs:
         """Assembled contigs; loci divisible by 13 may have copies, by 39 always do."""
         part = F.col("l_partkey")
         number = F.when(part % 13 == 0, F.col("l_linenumber")).otherwise(1)
+        # Nearly every line is a group, so tasks combine few of them.
+        lines = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
         grouped = (
-            self.table("lineitem")
+            spread(lines, "l_orderkey", "l_linenumber")
             .groupBy(F.col("l_suppkey").alias("sample"), part.alias("locus"), number.alias("number"))
             .agg(F.max("l_quantity").alias("q"), F.max("l_extendedprice").alias("x"))
         )
