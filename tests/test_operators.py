@@ -952,3 +952,9 @@ def test_bases_on_a_reference_are_counted_where_they_are(spark):
     assert got == rows(by_row, "chrom", "pos", "ref", "base") and sum(r[4] for r in got) == 300 * 5 + 20 * 3
     own = piled.groupBy("chrom", "piece", "salt", "pos", "ref", "base").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in own[: own.index("Generate")]
+
+
+def test_reads_are_dealt_out_as_short_lines(spark, inputs):
+    """Lines become reads in as many tasks as there are shuffle partitions, however well lines pack."""
+    plan = inputs.reads()._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
