@@ -41,6 +41,28 @@ def test_ids_and_counts_are_the_library_s(tokenizer, library):
         assert n == len(ids)
 
 
+def test_latin_texts_are_cut_by_the_plain_pattern(tokenizer, library, monkeypatch):
+    """Words are not cut at all and are kept once, other Latin texts by a pattern equal to the general one."""
+    latin = [chr(n) for n in range(0x250)]
+    texts = ["".join(random.Random(n).choices([*latin, *" \t\n's" * 40], k=12)) for n in range(2000)]
+    texts += [f"a{c}1 {c}" for c in latin] + ["some words, some-words (some) über den gechö### words"]
+    assert [pieces.pretokens(t) for t in texts] == [pieces.PRETOKEN.findall(t) for t in texts]
+    monkeypatch.setattr(pieces, "PRETOKEN", None)
+    encoder = token_files.Encoder(tokenizer)
+    for text in texts:
+        assert np.frombuffer(encoder(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "words" in encoder and " words" not in encoder.tokens
+
+
+def test_added_tokens_inside_words(tokenizer, tmp_path):
+    changed = Tokenizer.from_file(tokenizer)
+    changed.add_tokens(["cat"])
+    changed.save(str(tmp_path / "cat.json"))
+    encoder = token_files.Encoder(str(tmp_path / "cat.json"))
+    for text in ("to concatenate cat (cat) cats", "cat", " dogs"):
+        assert np.frombuffer(encoder(text), "<u2").tolist() == changed.encode(text, add_special_tokens=False).ids
+
+
 def test_counts_do_not_depend_on_what_is_known(tokenizer, monkeypatch):
     texts = strange(400, 3)
     want = token_counts.Counter(tokenizer).counts(texts)

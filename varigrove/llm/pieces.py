@@ -26,6 +26,18 @@ PRETOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 
+#: The same for texts without a character after U+024F, where the classes are few: this is quicker.
+_LATIN, _DIGIT, _GAP = "A-Za-z\xaa\xb5\xbaÀ-ÖØ-öø-\u024f", "0-9²³¹¼-¾", r"\t-\r\x20\x85\xa0"
+_LATIN_PRETOKEN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[{_DIGIT}]+| ?[^{_GAP}{_LATIN}{_DIGIT}]+|[{_GAP}]+(?![^{_GAP}])|[{_GAP}]+"
+)
+
+
+def pretokens(text: str) -> list[str]:
+    if text.isascii() or max(text) < "\u0250":
+        return _LATIN_PRETOKEN.findall(text)
+    return PRETOKEN.findall(text)
+
 
 def byte_letters() -> list[str]:
     """... and the letter of each byte in its vocabulary: itself if it is visible, else one after U+0100."""

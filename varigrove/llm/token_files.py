@@ -84,7 +84,8 @@ class Encoder(dict):
     """Ids of whole texts as bytes, by a byte-level BPE file of the tokenizers library.
 
     The library's model encodes each pre-token once; this dictionary holds what
-    is known of pieces (see `pieces`), without the blank they begin with.
+    is known of pieces (see `pieces`), without the blank they begin with. A blank
+    and ASCII letters are one pre-token, which is not cut and kept here only.
     """
 
     _loaded: dict[str, Encoder] = {}
@@ -101,7 +102,10 @@ class Encoder(dict):
         self.type = np.dtype(f"<u{self.width}")
         added = {t.content: np.array([n], self.type).tobytes() for n, t in tokenizer.get_added_tokens_decoder().items()}
         self.special, self.added = pieces.special_pattern(list(added)), added
+        self.begins = {t[0] for t in added if t}
+        self.words_are_whole = not any(t.replace(" ", "a").isalpha() for t in added)
         self.letters = dict(enumerate(pieces.byte_letters()))
+        self.number = [np.array([n], self.type).tobytes() for n in range(max(self.vocabulary.values(), default=-1) + 1)]
         self.tokens: dict[str, bytes] = {}
 
     @classmethod
@@ -112,26 +116,39 @@ class Encoder(dict):
         return cls._loaded[path]
 
     def __missing__(self, piece: str) -> bytes:
-        found = self._piece(" " + piece)
+        if self.words_are_whole and piece.isascii() and piece.isalpha():
+            found = self._ids(self.letters[32] + piece)
+        else:
+            found = self._piece(" " + piece)
         if len(piece) <= pieces.LONGEST and len(self) < pieces.KEPT_PIECES:
             self[piece] = found
         return found
 
     def _piece(self, text: str) -> bytes:
+        if self.begins.isdisjoint(text):
+            return self._part(text)
         out = []
-        for i, part in enumerate(self.special.split(text) if self.special else [text]):
-            out += [self.added[part]] if i % 2 else map(self._token, pieces.PRETOKEN.findall(part))
+        for i, part in enumerate(self.special.split(text)):
+            out.append(self.added[part] if i % 2 else self._part(part))
         return b"".join(out)
 
+    def _part(self, text: str) -> bytes:
+        return b"".join(map(self._token, pieces.pretokens(text)))
+
     def _token(self, token: str) -> bytes:
         found = self.tokens.get(token)
         if found is None:
-            letters = token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(letters)], self.type).tobytes()
+            word = token[1:]
+            if self.words_are_whole and token[0] == " " and word.isascii() and word.isalpha():
+                return self[word]
+            found = self._ids(token.encode("utf-8", "replace").decode("latin-1").translate(self.letters))
             if len(token) <= pieces.LONGEST and len(self.tokens) < pieces.KEPT_TOKENS:
                 self.tokens[token] = found
         return found
 
+    def _ids(self, letters: str) -> bytes:
+        return b"".join([self.number[t.id] for t in self.model.tokenize(letters)])
+
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
