@@ -1,7 +1,8 @@
 """Operators on small hand-made tables and against brute force."""
 
+import re
 from fractions import Fraction
-from itertools import product
+from itertools import product, takewhile
 from math import comb, lgamma, log, log10
 
 import numpy as np
@@ -306,6 +307,28 @@ def brute_duplicates(data):
     return out
 
 
+def test_clips_and_stretches_of_odd_cigars(spark):
+    """Records of one stretch are read by a way of their own."""
+    cigars = ["20M", "5S15M", "15M5S", "2H3S10=4S1H", "3H7X", "4S2H6M", "3M1I2M", "2S3M1D4M5H", "3M2P4M", "5N", "10I", "*", "", None, "3M4M"]
+    df = spark.createDataFrame([(c,) for c in cigars], "cigar string")
+    cigar = F.col("cigar")
+    for r in df.select(
+        "cigar", B.leading_clip(cigar).alias("a"), B.trailing_clip(cigar).alias("z"), B.aligned_blocks(cigar).alias("blocks")
+    ).collect():
+        if r.cigar is None:
+            assert (r.a, r.z, r.blocks) == (None, None, None)
+            continue
+        ops, at, read, want = re.findall(r"(\d+)([MIDNSHP=X])", r.cigar), 0, 0, []
+        for n, op in ((int(n), op) for n, op in ops):
+            if op in "M=X":
+                want.append((op, n, at, read))
+            at += n * (op in "MDN=X")
+            read += n * (op in "MIS=X")
+        clips = lambda some: sum(int(n) for n, op in takewhile(lambda x: x[1] in "SH", some))
+        assert (r.a, r.z) == (clips(ops), clips(ops[::-1]))
+        assert [(b.op, b.len, b.ref_off, b.read_off) for b in r.blocks] == want
+
+
 def test_templates_by_brute_force(spark):
     """Pairs, lone mates, clips, libraries over samples, secondary and unmapped records, names that repeat."""
     rng = np.random.default_rng(8)
@@ -336,6 +359,12 @@ def test_templates_by_brute_force(spark):
     assert seen == want
 
 
+def test_templates_are_made_once_for_marking(spark):
+    """One aggregate makes templates and one finds the best of all sets, of pairs and of lone mates."""
+    marked = mapping.mark_duplicates(spark.createDataFrame([("s", "l", "q", 0, "c", 10, "20M", 30)], TEMPLATES))
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+
+
 def test_records_equal_in_name_flag_and_place_stay_as_many(spark):
     data = [("s", "l", "q", 0, "c", 10, "20M", 30), ("s", "l", "q", 0, "c", 10, "5S15M", 30), ("s", "l", "r", 0, "c", 10, "20M", 9)]
     marked = mapping.mark_duplicates(spark.createDataFrame(data, TEMPLATES))

@@ -160,12 +160,14 @@ def reference_length(cigar: Column) -> Column:
 
 def leading_clip(cigar: Column) -> Column:
     """Bases clipped before the first aligned one (soft and hard)."""
-    return _cigar_sum(F.regexp_extract(cigar, r"^(?:[0-9]+[SH])*", 0), "SH")
+    clip = _cigar_sum(F.regexp_extract(cigar, r"^(?:[0-9]+[SH])*", 0), "SH")
+    return F.when(~cigar.rlike("^[0-9]+[SH]"), 0).otherwise(clip)
 
 
 def trailing_clip(cigar: Column) -> Column:
     """Bases clipped after the last aligned one (soft and hard)."""
-    return _cigar_sum(F.regexp_extract(cigar, r"(?:[0-9]+[SH])*$", 0), "SH")
+    clip = _cigar_sum(F.regexp_extract(cigar, r"(?:[0-9]+[SH])*$", 0), "SH")
+    return F.when(~cigar.rlike("[0-9][SH]$"), 0).otherwise(clip)
 
 
 def unclipped_start(pos: Column, cigar: Column, flag: Column) -> Column:

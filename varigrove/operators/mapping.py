@@ -196,14 +196,15 @@ def templates(aln: DataFrame, library: str | None = None) -> DataFrame:
         B.has_flag(flag, B.REVERSE).alias("reverse"),
     )
     second = B.has_flag(flag, B.SECOND_MATE)
-    per = aln.groupBy(F.struct("sample", F.col(name).alias("lib"), "qname").alias("__t")).agg(
+    # The name comes first: names tell rows apart when they are sorted for the aggregate.
+    per = aln.groupBy("qname", "sample", F.col(name).alias("lib")).agg(
         F.min(F.when(primary & ~second, end)).alias("one"),
         F.min(F.when(primary & second, end)).alias("two"),
         F.sum(F.when(primary, F.col("sum_bq"))).alias("score"),
     )
     return per.select(
-        "__t",
-        F.col("__t.lib").alias("lib"),
+        F.struct("sample", "lib", "qname").alias("__t"),
+        "lib",
         F.least("one", "two").alias("low"),
         F.when(F.col("one").isNotNull() & F.col("two").isNotNull(), F.greatest("one", "two")).alias("high"),
         F.coalesce("score", F.lit(0)).alias("score"),
@@ -226,37 +227,46 @@ def mark_duplicates(aln: DataFrame, library: str | None = None) -> DataFrame:
     duplicates. Rows in are rows out, whatever they have in common. The library is the
     column `library` if there is one, else the sample; a null equals a null.
 
-    The best of a set comes from an aggregate that combines on the map side, so
-    a set may hold any share of all templates. The templates that stay are then
-    looked up by name, a key of one template each.
+    Templates are made once and go by one aggregate that combines on the map side, so
+    a set may hold any share of all templates: a pair stands for its set and, without a rank,
+    for either end; a lone template stands for its end, where a pair comes first. The templates
+    that stay are then looked up by name, a key of one template each.
     """
     named = library or _library(aln)
+    null = lambda c: F.lit(None).cast(kinds[c])
     found = templates(aln, named)
-    rank = F.struct((-F.col("score")).alias("r"), F.col("__t.qname").alias("q"), F.col("__t.sample").alias("s"), "__t")
-    pairs = found.where(F.col("high").isNotNull())
-    best_pairs = pairs.groupBy("lib", "low", "high").agg(F.min(rank).alias("best")).select("best.__t")
-    # A pair at an end comes before any template that has that end alone.
-    taken = pairs.select("lib", F.explode(F.array("low", "high")).alias("end"), F.lit(0).alias("kind"), F.lit(None).cast(
-        found.select(rank.alias("x")).schema["x"].dataType
-    ).alias("best"))
-    lone = found.where(F.col("low").isNotNull() & F.col("high").isNull()).select(
-        "lib", F.col("low").alias("end"), F.lit(1).alias("kind"), rank.alias("best")
+    kinds = {f.name: f.dataType for f in found.withColumn("rank", _template_rank()).schema}
+    # set, kind and rank; `own` makes a set of each template without an end.
+    stands = lambda low, high, own, kind, rank: F.struct(
+        low.alias("low"), high.alias("high"), own.alias("own"), F.lit(kind).alias("kind"), rank.alias("rank")
+    )
+    low, high = F.col("low"), F.col("high")
+    own = F.when(low.isNull(), F.col("__t")).otherwise(null("__t"))
+    itself = stands(low, high, own, 1, _template_rank())
+    at_end = lambda end: stands(end, null("high"), null("__t"), 0, null("rank"))
+    sets = found.select(
+        "lib", F.inline(F.when(high.isNotNull(), F.array(itself, at_end(low), at_end(high))).otherwise(F.array(itself)))
+    )
+    # The place alone is enough to tell most sets apart, and is sorted by as a number.
+    best = sets.groupBy(F.col("low.five").alias("__five"), "lib", "low", "high", "own").agg(F.min(F.struct("kind", "rank")).alias("f"))
+    stays = best.where(F.col("f.kind") == 1).select(
+        F.col("f.rank.q").alias("qname"), F.col("f.rank.s").alias("sample"), F.col("lib").alias("__lib"), F.lit(True).alias("__stays")
     )
-    first = taken.unionByName(lone).groupBy("lib", "end").agg(F.min(F.struct("kind", "best")).alias("f"))
-    best_lone = first.where(F.col("f.kind") == 1).select("f.best.__t")
-    stays = best_pairs.unionByName(best_lone).unionByName(found.where(F.col("low").isNull()).select("__t"))
 
     flag = F.col("flag")
     duplicate = B.is_mapped(flag) & F.col("__stays").isNull()
-    keyed = aln.withColumn("__t", F.struct("sample", F.col(named).alias("lib"), "qname"))
     return (
-        # Keys are structs, which compare nulls as equal.
-        keyed.join(stays.withColumn("__stays", F.lit(True)), "__t", "left")
+        null_safe_join(aln.withColumn("__lib", F.col(named)), stays, ["qname", "sample", "__lib"], "left")
         .withColumn("flag", F.when(duplicate, B.set_flag(flag, B.DUPLICATE)).otherwise(B.clear_flag(flag, B.DUPLICATE)))
         .select(*aln.columns)
     )
 
 
+def _template_rank() -> Column:
+    """Smallest for the best template of a set, which are all of one library."""
+    return F.struct((-F.col("score")).alias("r"), F.col("__t.qname").alias("q"), F.col("__t.sample").alias("s"))
+
+
 def duplicate_metrics(marked: DataFrame, by: Sequence[str] = ("sample",)) -> DataFrame:
     """Primary mapped records examined, alone and in pairs, duplicates among them and their share; and what was not examined."""
     flag = F.col("flag")
