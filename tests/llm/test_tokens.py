@@ -2,11 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import SMALL
 from tokenizers import Tokenizer
 
-from varigrove.llm import pieces, queries, token_counts, token_files
+from varigrove.llm import bagminhash, common, pieces, queries, token_counts, token_files
 from varigrove.llm.common import table
 
 BITS = (
@@ -136,3 +137,30 @@ def test_odd_rows(odd, none, tokenizer):
     assert [r.doc_id for r in in_order] == sorted((r.doc_id for r in odd.collect()), key=lambda x: (x is None, x or 0))
     assert all(a.start + a.n_tokens == b.start for a, b in zip(in_order, in_order[1:]))
     assert token_counts.token_counts(none, tokenizer).collect() == [] and queries.token_file_digests(none).collect() == []
+
+
+def test_workers_do_not_keep_what_is_no_longer_used(tokenizer):
+    """The tasks of other operators drop the encoder, and the word hashes of bags go with their task."""
+    batch = pa.RecordBatch.from_pydict({"content": [b"x"], "text": ["one two three"]})
+    token_files.Encoder.of(tokenizer)
+    assert token_files.Encoder.of(tokenizer) is token_files.Encoder.of(tokenizer)
+    list(bagminhash._bags(iter([batch])))
+    assert not bagminhash._WORDS and not token_files.Encoder._loaded
+    token_files.Encoder.of(tokenizer)
+    list(common.in_slices(lambda b: b)(iter([batch])))
+    assert not token_files.Encoder._loaded
+
+
+def test_index_is_written_from_short_batches(spark, monkeypatch):
+    """A batch is held whole by executor and worker; the session's own setting comes back."""
+    name, seen, save = "spark.sql.execution.arrow.maxRecordsPerBatch", [], token_files.saved
+
+    def watched(df, label):
+        rows = spark.range(3000, numPartitions=1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long")
+        seen.append(max(r.n for r in rows.collect()))
+        return save(df, label)
+
+    monkeypatch.setattr(token_files, "saved", watched)
+    before = spark.conf.get(name)
+    queries.op4_token_files(spark, SMALL)
+    assert seen and seen[0] <= common.PYTHON_ROWS and spark.conf.get(name) == before

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varigrove.llm.common import free_name, quoted, row_key, saved, words
+from varigrove.llm.common import KEPT, free_name, give_back, quoted, row_key, saved, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -66,6 +66,7 @@ class WordHashes(dict):
 
 
 _WORDS = WordHashes()
+KEPT.append(_WORDS)
 
 
 def shingles(line: list[bytes], size: int = SHINGLE) -> np.ndarray:
@@ -174,7 +175,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = batch.slice(start, len(lines))
                 yield _described(lines, texts[start : n + 1], part.column(0), part.column(1))
                 start, lines, held = n + 1, [], 0
-    _WORDS.clear()  # workers are used again, by other stages too
+        batch = texts = text = part = None
+    give_back()  # workers are used again, by other stages too
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,6 +191,8 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 copy = np.arange(times.sum()) - np.repeat(first, times)
                 out.append(mixed(np.repeat(found, times) + copy.astype(np.uint64) * _FACTORS[4]).view(np.int64))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.list_(pa.int64()))], names=["content", "bag"])
+        batch = part = out = None
+    give_back()
 
 
 def _near_in_block(threshold: float):  # noqa: ANN202

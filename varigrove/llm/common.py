@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +17,9 @@ from varigrove.session import ensure_checkpoint_dir
 #: Rows that a Python task holds as objects at once; Arrow batches are cut to it.
 PYTHON_ROWS = 512
 
+#: What a Python worker keeps of one operator and the tasks of others drop: memory, not results, depends on it.
+KEPT: list[dict] = []
+
 #: Characters counted as white space by the contracts.
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -63,6 +68,33 @@ def row_key(df: DataFrame) -> Column:
     return F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
 
 
+def trim() -> None:
+    """Memory that is free in this Python worker goes back to the system: workers wait beside others, for further tasks."""
+    pa.default_memory_pool().release_unused()
+    if release := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        release(0)
+
+
+def give_back() -> None:
+    """For the end of a task: what other operators keep in this worker is dropped, and free memory given back."""
+    for known in KEPT:
+        known.clear()
+    trim()
+
+
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = PYTHON_ROWS) -> Iterator[None]:
+    """Arrow batches of at most `rows` rows for what the session runs inside; executor and Python worker both hold a batch whole."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def in_slices(
     convert: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = PYTHON_ROWS
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -72,6 +104,8 @@ def in_slices(
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 yield convert(batch.slice(start, rows))
+        batch = None
+        give_back()
 
     return run
 

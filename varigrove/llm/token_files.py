@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varigrove.llm import pieces
-from varigrove.llm.common import PYTHON_ROWS, quoted, saved, scratch
+from varigrove.llm.common import KEPT, PYTHON_ROWS, quoted, saved, scratch, short_batches, trim
 
 #: Fixed values of the frame.
 MASK_DELTA = 0xA282EAD8
@@ -110,10 +110,12 @@ class Encoder(dict):
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        """One per Python worker, so that pieces stay known from task to task."""
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        """One per Python worker, so that pieces stay known from task to task, until another operator's task ends there."""
+        found = cls._loaded.get(path)
+        if found is None:
+            found = cls._loaded[path] = cls(path)
+            trim()  # reading the file takes more memory than what it holds
+        return found
 
     def __missing__(self, piece: str) -> bytes:
         if self.words_are_whole and piece.isascii() and piece.isalpha():
@@ -156,6 +158,9 @@ class Encoder(dict):
         return self._piece(first) + b"".join(map(self.__getitem__, rest))
 
 
+KEPT.append(Encoder._loaded)
+
+
 def id_width(size: int) -> int:
     """Bytes of an id in a vocabulary of so many."""
     return 2 if size <= 1 << 16 else 4
@@ -216,12 +221,15 @@ def write(
                         ],
                         names=[c.split()[0] for c in INDEX.split(", ")],
                     )
+                batch = part = None
+        trim()
 
     # The hash lets the range sort split the rows of an id that many rows have.
     ordered = docs.select(quoted(key).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text")).orderBy(
         F.col("doc_id").asc_nulls_last(), F.xxhash64("text")
     )
-    index = saved(ordered.mapInArrow(convert, INDEX), "token-index")
+    with short_batches(docs.sparkSession):
+        index = saved(ordered.mapInArrow(convert, INDEX), "token-index")
     # One row per shard, as many as tasks.
     shards = index.groupBy("shard").agg(F.sum("tokens").alias("in_shard"))
     earlier = F.sum("in_shard").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varigrove.llm.common import free_name, in_slices, quoted, saved, words
+from varigrove.llm.common import free_name, give_back, in_slices, quoted, saved, words
 
 #: Labelled rows that the models are fitted on, drawn by a hash of the id. This
 #: is the one bounded sample here; scoring reads every document.
@@ -205,6 +205,8 @@ def train(
             columns = [pa.array(names, pa.binary()), pa.array([every[x] for x in names], pa.int64())]
             columns += [pa.array([c[x] for x in names], pa.int64()) for c in by]
             yield pa.RecordBatch.from_arrays(columns, names=["feature", "n", *goals])
+            batch = every = by = names = columns = None
+        give_back()
 
     total = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(g).alias(g) for g in goals]).first()
     if not total.n:
