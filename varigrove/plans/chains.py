@@ -14,7 +14,7 @@ from varigrove.session import ensure_checkpoint_dir
 
 def read_chain(raw: DataFrame, targets: DataFrame) -> DataFrame:
     """Raw reads to reads placed on targets."""
-    return mapping.seed_join(reads.trim(raw), targets)
+    return mapping.seed_join(reads.trim(raw), targets, step=1)
 
 
 def evidence_chain(aln: DataFrame, reference: DataFrame, groups: DataFrame | None = None) -> DataFrame:

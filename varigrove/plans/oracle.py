@@ -115,10 +115,21 @@ _VIEWS = {
                 select locus, seq, unnest(range(0, length(seq) - 30)) as toff from fx_loci)) k
           on t.kmer = k.kmer
         group by all""",
+    "v_windows": """
+        select t.sample, t.read_id, t.mate, locus, strand, toff - roff as diag, count(*) as score
+        from (select sample, read_id, mate, strand, roff, substr(s, cast(roff + 1 as int), 31) as kmer from (
+                select sample, read_id, mate, strand, s, unnest(range(0, length(s) - 30)) as roff from (
+                  select sample, read_id, mate, '+' as strand, seq as s from fx_reads
+                  union all
+                  select sample, read_id, mate, '-', reverse(translate(seq, 'ACGTN', 'TGCAN')) from fx_reads))) t
+        join (select locus, toff, substr(seq, cast(toff + 1 as int), 31) as kmer from (
+                select locus, seq, unnest(range(0, length(seq) - 30)) as toff from fx_loci)) k
+          on t.kmer = k.kmer
+        group by all""",
     "v_placed": """
         select sample, read_id, mate, locus, diag, strand, score,
           coalesce(lead(score) over w, 0) as second_score, row_number() over w as rn
-        from v_seeds window w as (partition by sample, read_id, mate order by score desc, locus, diag, strand)""",
+        from v_windows window w as (partition by sample, read_id, mate order by score desc, locus, diag, strand)""",
     "v_ends": """
         select sample, library, qname, (flag & 128) <> 0 as snd, sum_bq,
           {'rname': rname, 'five': case when (flag & 16) = 0 then pos - (case when cigar like '5S%' then 5 else 0 end)
