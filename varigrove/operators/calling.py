@@ -47,28 +47,39 @@ def _stretch_table(aln: DataFrame) -> DataFrame:
     )
 
 
-def _letter(text: str, at: Column) -> Column:
-    return F.substring(text, at.cast("int"), F.lit(1))
+def _letters(text: Column) -> Column:
+    """Bases of a text one by one, in upper case."""
+    return F.split(F.when(text.rlike("[acgt]"), F.translate(text, "acgt", "ACGT")).otherwise(text), "")
 
 
-def _expand(stretches: DataFrame, *more: Column) -> DataFrame:
-    """One row per position of each stretch; `more` may use `__i`, counted from 0.
+def _expand(stretches: DataFrame, ref: Column | None = None, *more: Column) -> DataFrame:
+    """One row per position of each stretch; `ref` is the reference along it.
 
-    Bases come in upper case, and only A, C, G and T are evidence.
+    Bases come in upper case, and only A, C, G and T are evidence. Texts are cut
+    into letters once a stretch: looking each one up by its place would read the text from its start every time.
     """
-    with_bases = {"seq", "qual"} <= set(stretches.columns)
+    n = (F.col("stop") - F.col("start")).cast("int")
+    if not {"seq", "qual"} <= set(stretches.columns):
+        placed = stretches.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stop") - F.col("start") - 1)).alias("__i"))
+    else:
+        along = lambda c: F.substring(F.col(c), (F.col("read_off") + 1).cast("int"), n)
+        # An array that is null would leave no row, and one that is too short ends in nulls.
+        held = {"base": _letters(along("seq")), "q": F.split(along("qual"), "")} | ({"ref": _letters(ref)} if ref is not None else {})
+        none = F.array().cast("array<string>")
+        zipped = F.arrays_zip(*[F.coalesce(c, none).alias(name) for name, c in held.items()])
+        placed = stretches.select("*", F.posexplode(zipped).alias("__i", "__at"))
     at = F.col("read_off") + F.col("__i") + 1
-    bases = [F.upper(_letter("seq", at)).alias("base"), (F.ascii(_letter("qual", at)) - B.PHRED_OFFSET).alias("bq")]
-    rows = stretches.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stop") - F.col("start") - 1)).alias("__i")
-    ).select(
+    letter = lambda name: F.col("__at").getField(name)
+    phred = F.when(F.col("qual").isNotNull(), F.coalesce(F.ascii(letter("q")), F.lit(0)) - B.PHRED_OFFSET) if "__at" in placed.columns else None
+    rows = placed.select(
         "sample",
         "chrom",
         (F.col("start") + F.col("__i")).alias("pos"),
         "strand",
         "mapq",
         at.cast("int").alias("read_pos"),
-        *(bases if with_bases else []),
+        *([letter("base").alias("base"), phred.alias("bq")] if phred is not None else []),
+        *([letter("ref").alias("ref")] if ref is not None else []),
         *more,
     )
     letters = [c for c in ("base", "ref") if c in rows.columns]
@@ -112,8 +123,9 @@ def pileup_on(aln: DataFrame, reference: DataFrame, chunk: int = 1000) -> DataFr
         )
     )
     met = gathered_join(parts, pieces, ["chrom", "__piece"])
-    at = F.pmod(F.col("start") + F.col("__i") - 1, F.lit(chunk)) + 1
-    return _expand(met, F.upper(_letter("__ref", at)).alias("ref"), F.col("__piece").alias("piece"), F.col("__salt").alias("salt"))
+    at = F.pmod(F.col("start") - 1, F.lit(chunk)) + 1
+    ref = F.substring(F.col("__ref"), at.cast("int"), (F.col("stop") - F.col("start")).cast("int"))
+    return _expand(met, ref, F.col("__piece").alias("piece"), F.col("__salt").alias("salt"))
 
 
 def base_counts(piled: DataFrame) -> DataFrame:
